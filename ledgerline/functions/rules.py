@@ -37,10 +37,14 @@ def first_match_index(conds: Sequence[Column]) -> Column:
 
 
 def pick(index: Column, values: Sequence, default=None) -> Column:
-    """``values[index-1]`` (literal array lookup), ``default`` when index is NULL."""
-    arr = F.array(*[F.lit(v) for v in values])
-    got = F.element_at(arr, index)
-    return F.coalesce(got, lit_or_col(default)) if default is not None else got
+    """``values[index-1]`` (literal array lookup), ``default`` when index is NULL.
+
+    The index is never NULL inside ``element_at`` (the default sits at the end
+    of the array): a nullable CASE index there is not evaluated reliably.
+    """
+    items = [F.lit(v) for v in values]
+    items.append(lit_or_col(default) if default is not None else F.lit(None).cast("string"))
+    return F.element_at(F.array(*items), F.coalesce(index, F.lit(len(values) + 1)))
 
 
 def flag(cond: Column) -> Column:
