@@ -129,14 +129,16 @@ def delinquency_attributes(
         "an_b": _analysis_text(col(an_b)),
         "status": col(cust_status),
     }
-    staged = df.withColumn("ageing_attribute", ageing_attribute(balance, *cds))
+    # normalised texts first, then one rule-number CASE over plain columns
+    staged = df.withColumns({"ageing_attribute": ageing_attribute(balance, *cds), **{f"_{k}": v for k, v in fields.items()}})
     conds = []
     for field, word, *_ in DELINQUENCY_RULES:
         if field == "age":
             conds.append(F.col("ageing_attribute") == F.lit(word))
         else:
-            conds.append(contains(fields[field], word))
-    idx = first_match_index(conds)
+            conds.append(contains(F.col(f"_{field}"), word))
+    staged = staged.withColumn("_rule", first_match_index(conds))
+    idx = F.col("_rule")
     g, d, t = DELINQUENCY_DEFAULT
     return staged.withColumns(
         {
@@ -144,7 +146,7 @@ def delinquency_attributes(
             "delinquency_attribute": pick(idx, [r[3] for r in DELINQUENCY_RULES], d),
             "delinquency_trigger": pick(idx, [r[4] for r in DELINQUENCY_RULES], t),
         }
-    )
+    ).drop("_rule", *[f"_{k}" for k in fields])
 
 
 # ------------------------------------------------------------------ GBIPX windows
