@@ -178,7 +178,7 @@ def receipt_code(txn) -> dict[str, Column]:
     return {"txn_rc": rc, "txn_rc_label": label}
 
 
-def receipt_details(rec, rem, res, normalised: bool = False) -> dict[str, Column]:
+def receipt_details(rec, rem, res, normalised: bool = False, rec_letters=None) -> dict[str, Column]:
     """Receipt type, note and bank.  ``normalised=True`` means ``rec`` is
     non-NULL text, ``rem`` upper-cased and ``res`` letters-only upper-case."""
     if normalised:
@@ -187,7 +187,7 @@ def receipt_details(rec, rem, res, normalised: bool = False) -> dict[str, Column
         r = F.coalesce(col(rec), F.lit(""))
         remark = F.upper(F.coalesce(col(rem), F.lit("")))
         bank_text = letters_upper(F.coalesce(col(res), F.lit("")))
-    letters = letters_upper(r)
+    letters = col(rec_letters) if rec_letters is not None else letters_upper(r)
     first = F.substring(letters, 1, 1)
     rtype = F.when(
         (F.length(r) >= 1) & (F.length(letters) >= 1),
@@ -202,9 +202,10 @@ def receipt_details(rec, rem, res, normalised: bool = False) -> dict[str, Column
     return {"txn_receipt_type": rtype, "txn_receipt_note": note, "txn_receipt_bank": bank}
 
 
-def transaction_type(txn, credit: Column, debit: Column, note: Column, rc: Column, rc_label: Column) -> Column:
-    t = col(txn)
-    ttype = F.when(t.isNotNull() & (t != ""), F.substring(letters_upper(t), 1, 3)).otherwise(F.lit(""))
+def transaction_type(txn, credit: Column, debit: Column, note: Column, rc: Column, rc_label: Column, ttype=None) -> Column:
+    if ttype is None:
+        t = col(txn)
+        ttype = F.when(t.isNotNull() & (t != ""), F.substring(letters_upper(t), 1, 3)).otherwise(F.lit(""))
     c = F.coalesce(credit, F.lit(0)) == 1
     d = F.coalesce(debit, F.lit(0)) == 1
     rules = []
@@ -231,24 +232,38 @@ def transaction_type(txn, credit: Column, debit: Column, note: Column, rc: Colum
 def classify_transactions(df: DataFrame, src="src", tdc="tdc", amt="amt", txn="txn", rec="rec", rem="rem", res="res") -> DataFrame:
     """Debit/credit flags, receipt code and label, receipt type/note/bank and transaction type.
 
-    The normalised texts are computed once in a first projection; the rule
-    ladders then test plain columns (the optimizer keeps the two projections
-    apart because the texts are referenced many times).
+    Three projections: normalised texts and codes first, then the flag and
+    label ladders over those plain columns, then the type ladder.  Each text
+    is normalised once per row; the optimizer keeps the projections apart
+    because the normalised texts are referenced many times, which also keeps
+    each generated method small enough for the JIT.
     """
-    staged = df.withColumns(
+    t = col(txn)
+    letters = letters_upper(t)
+    stage1 = df.withColumns(
         {
-            "_txn": F.col(txn) if isinstance(txn, str) else txn,
+            "txn_rc": F.substring(letters, 1, 3),
+            "_ttype": F.when(t.isNotNull() & (t != ""), F.substring(letters, 1, 3)).otherwise(F.lit("")),
             "_rec": F.coalesce(col(rec), F.lit("")),
             "_rem": F.upper(F.coalesce(col(rem), F.lit(""))),
             "_res": letters_upper(F.coalesce(col(res), F.lit(""))),
         }
     )
-    staged = staged.withColumns({**debit_credit(src, tdc, amt), **receipt_code("_txn"), **receipt_details("_rec", "_rem", "_res", normalised=True)})
-    out = staged.withColumn(
+    stage1 = stage1.withColumn("_rec_letters", letters_upper("_rec"))
+    rc = F.col("txn_rc")
+    stage2 = stage1.withColumns(
+        {
+            **debit_credit(src, tdc, amt),
+            "txn_rc_label": first_match([(rc == code, text) for code, text in RECEIPT_CODE_LABELS]),
+            **receipt_details("_rec", "_rem", "_res", normalised=True, rec_letters="_rec_letters"),
+        }
+    )
+    out = stage2.withColumn(
         "txn_type_label",
-        transaction_type("_txn", F.col("txn_credit"), F.col("txn_debit"), F.col("txn_receipt_note"), F.col("txn_rc"), F.col("txn_rc_label")),
+        transaction_type(None, F.col("txn_credit"), F.col("txn_debit"), F.col("txn_receipt_note"), rc, F.col("txn_rc_label"),
+                         ttype=F.col("_ttype")),
     )
-    return out.drop("_txn", "_rec", "_rem", "_res")
+    return out.drop("_ttype", "_rec", "_rem", "_res", "_rec_letters")
 
 
 def transaction_summary(classified: DataFrame, keys=("account", "txn_type_label"), amt="amt") -> DataFrame:

@@ -22,6 +22,10 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.caseSensitive": "false",
+    # Rule ladders compile to long generated methods; let the JIT compile them
+    # instead of interpreting them (set the same on executors of a cluster).
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
