@@ -59,8 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "tables")
-    os.makedirs(path, exist_ok=True) if "://" not in base else None
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=path) if "://" not in base else f"{path}/{name}"
+    """A fresh folder for written tables under the shared checkpoint location.
+
+    Always below ``spark.checkpoint.dir`` (shared storage on a cluster), never
+    a machine-local temporary folder unless the session itself points there.
+    """
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
