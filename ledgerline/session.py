@@ -25,6 +25,9 @@ LOCAL_CONF = {
     # Rule ladders compile to long generated methods; let the JIT compile them
     # instead of interpreting them (set the same on executors of a cluster).
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    # A fused stage whose generated method passes the JIT's size limit runs as
+    # separate (split, compiled) projections instead of one interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
