@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import sqltext as T
 from ledgerline.functions.rules import all_null, any_equal, col, contains, count_char, first_match, first_match_index, flag, pick
 
 # ------------------------------------------------------------------ delinquency
@@ -155,85 +156,103 @@ GBIPX_CHARS = {"g": "G", "b": "B", "i": ".", "p": "P", "x": "X"}
 DLQ_CHARS = {"0": "0", "1": "1", "2": "2", "3": "3", "4": "4", "a": "A", "c": "C"}
 
 
-def window_counts(dlq, gbipx, start: Column, length: int) -> dict[str, Column]:
-    """Character counts of the two profiles over months start..start+length-1 (1-based)."""
-    seg_d = F.upper(F.substr(col(dlq), start, F.lit(length))) if dlq is not None else None
-    seg_g = F.upper(F.substr(col(gbipx), start, F.lit(length)))
-    out = {f"cnt_{k}": count_char(seg_g, ch) for k, ch in GBIPX_CHARS.items()}
-    if seg_d is not None:
-        out.update({f"cnt_{k}": count_char(seg_d, ch) for k, ch in DLQ_CHARS.items()})
-    return out
+def _nz(c: Column) -> Column:
+    return F.when(c != 0, c).cast("int")
 
 
-def gbipx_label(cnt: dict[str, Column], n: int) -> Column:
-    return first_match(
+# -- the window family as SQL text: one JVM call per output column instead of one per node
+
+def _with_counts(df: DataFrame, dlq: str | None, gbipx: str, start: str, n: int, tag: str):
+    """Stage the window's segments and character counts as columns (computed once per row, and
+    keeping each generated method small); returns the frame and the count column references."""
+    seg = {f"_sg_{tag}": f"upper(substr({gbipx}, {start}, {n}))"}
+    if dlq is not None:
+        seg[f"_sd_{tag}"] = f"upper(substr({dlq}, {start}, {n}))"
+    staged = df.withColumns({k: F.expr(v) for k, v in seg.items()})
+    cnt = {}
+    for k, ch in GBIPX_CHARS.items():
+        cnt[f"cnt_{k}"] = f"(length(_sg_{tag}) - length(replace(_sg_{tag}, {T.q(ch)}, '')))"
+    if dlq is not None:
+        for k, ch in DLQ_CHARS.items():
+            cnt[f"cnt_{k}"] = f"(length(_sd_{tag}) - length(replace(_sd_{tag}, {T.q(ch)}, '')))"
+    staged = staged.withColumns({f"_{k}_{tag}": F.expr(v) for k, v in cnt.items()})
+    return staged, {k: f"_{k}_{tag}" for k in cnt}, [*seg, *[f"_{k}_{tag}" for k in cnt]]
+
+
+def _label_sql(c: dict[str, str], n: int) -> str:
+    return T.case(
         [
-            (cnt["cnt_x"] > 0, "X-Exclusion"),
-            (cnt["cnt_p"] == n, "P-Paid-up"),
-            (cnt["cnt_i"] == n, "I-Missing"),
-            (cnt["cnt_g"] == n, "G-Good"),
-            (cnt["cnt_b"] == n, "B-Bad"),
-            (cnt["cnt_b"] > 0, "B-Partial"),
-            (cnt["cnt_g"] > 0, "G-Partial"),
-            (cnt["cnt_p"] > 0, "P-Partial"),
+            (f"{c['cnt_x']} > 0", "'X-Exclusion'"),
+            (f"{c['cnt_p']} = {n}", "'P-Paid-up'"),
+            (f"{c['cnt_i']} = {n}", "'I-Missing'"),
+            (f"{c['cnt_g']} = {n}", "'G-Good'"),
+            (f"{c['cnt_b']} = {n}", "'B-Bad'"),
+            (f"{c['cnt_b']} > 0", "'B-Partial'"),
+            (f"{c['cnt_g']} > 0", "'G-Partial'"),
+            (f"{c['cnt_p']} > 0", "'P-Partial'"),
         ],
-        "I-Indeterminate",
+        "'I-Indeterminate'",
     )
 
 
-def _nz(c: Column) -> Column:
-    return F.when(c != 0, c).cast("int")
+def _nz_sql(x: str) -> str:
+    return f"CAST(nullif({x}, 0) AS INT)"
+
+
+def _grp_sql(cnt: str, n: int, word: str) -> str:
+    return T.case(
+        [
+            (f"{cnt} IS NULL OR {cnt} = 0", T.q(f"E. All {word} points missing")),
+            (f"{cnt} < {n - 2}", T.q(f"D. 3+ missing {word} points")),
+            (f"{cnt} = {n - 2}", T.q(f"C. 2 missing {word} points")),
+            (f"{cnt} = {n - 1}", T.q(f"B. 1 missing {word} point")),
+            (f"{cnt} = {n}", T.q(f"A. No missing {word} point")),
+        ],
+        "''",
+    )
+
+
+def _start_sql(start) -> str:
+    if isinstance(start, int):
+        return str(start)
+    if isinstance(start, str):
+        return T.ident(start)
+    raise TypeError("start must be a month number or a column name")
 
 
 def gbipx_window(df: DataFrame, months: int, start=1, dlq="dlq_profile", gbipx="gbipx_profile", prefix: str | None = None) -> DataFrame:
     """Behaviour label and the 12 counters (0 -> NULL) over ``months`` months from month ``start``."""
     pre = prefix or f"b{months:02d}"
-    s = start if isinstance(start, Column) else (F.col(start) if isinstance(start, str) else F.lit(start))
-    cnt = window_counts(dlq, gbipx, s, months)
-    out = {pre: gbipx_label(cnt, months)}
+    staged, cnt, temp = _with_counts(df, T.ident(dlq) if dlq else None, T.ident(gbipx), _start_sql(start), months, pre)
+    out = {pre: _label_sql(cnt, months)}
     for k in ("g", "b", "i", "p", "x", "0", "1", "2", "3", "4", "a", "c"):
         if f"cnt_{k}" in cnt:
-            out[f"{pre}_cnt_{k}"] = _nz(cnt[f"cnt_{k}"])
-    return df.withColumns(out)
-
-
-def _grp(cnt: Column, n: int, word: str) -> Column:
-    return first_match(
-        [
-            (cnt.isNull() | (cnt == 0), f"E. All {word} points missing"),
-            (cnt < n - 2, f"D. 3+ missing {word} points"),
-            (cnt == n - 2, f"C. 2 missing {word} points"),
-            (cnt == n - 1, f"B. 1 missing {word} point"),
-            (cnt == n, f"A. No missing {word} point"),
-        ],
-        "",
-    )
+            out[f"{pre}_cnt_{k}"] = _nz_sql(cnt[f"cnt_{k}"])
+    return staged.withColumns({k: F.expr(v) for k, v in out.items()}).drop(*temp)
 
 
 def observation_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
     """Look-back window of ``n`` months from the point in time (``obs<n>_*``); NULL when pit + n >= 62."""
-    p = col(pit)
-    cnt = window_counts(dlq, gbipx, p, n)
-    ok = (p + n) < 62
-    gds, bad, pup = cnt["cnt_g"], cnt["cnt_b"], cnt["cnt_p"]
-    total = gds + bad + pup
+    p = T.ident(pit)
     pre = f"obs{n}"
+    df, c, temp = _with_counts(df, T.ident(dlq), T.ident(gbipx), p, n, pre)
+    total = f"({c['cnt_g']} + {c['cnt_b']} + {c['cnt_p']})"
     vals = {
-        pre: gbipx_label(cnt, n),
-        f"{pre}_grp": _grp(_nz(total), n, "OBS"),
-        f"{pre}_dc0": _nz(cnt["cnt_0"]),
-        f"{pre}_dc1": _nz(cnt["cnt_1"]),
-        f"{pre}_dc2": _nz(cnt["cnt_2"]),
-        f"{pre}_dc3": _nz(cnt["cnt_3"]),
-        f"{pre}_dc4": _nz(cnt["cnt_4"]),
-        f"{pre}_adv": _nz(cnt["cnt_a"]),
-        f"{pre}_crd": _nz(cnt["cnt_c"]),
-        f"{pre}_gds": _nz(gds),
-        f"{pre}_bad": _nz(bad),
-        f"{pre}_pup": _nz(pup),
-        f"{pre}_cnt": _nz(total),
+        pre: _label_sql(c, n),
+        f"{pre}_grp": _grp_sql(_nz_sql(total), n, "OBS"),
+        f"{pre}_dc0": _nz_sql(c["cnt_0"]),
+        f"{pre}_dc1": _nz_sql(c["cnt_1"]),
+        f"{pre}_dc2": _nz_sql(c["cnt_2"]),
+        f"{pre}_dc3": _nz_sql(c["cnt_3"]),
+        f"{pre}_dc4": _nz_sql(c["cnt_4"]),
+        f"{pre}_adv": _nz_sql(c["cnt_a"]),
+        f"{pre}_crd": _nz_sql(c["cnt_c"]),
+        f"{pre}_gds": _nz_sql(c["cnt_g"]),
+        f"{pre}_bad": _nz_sql(c["cnt_b"]),
+        f"{pre}_pup": _nz_sql(c["cnt_p"]),
+        f"{pre}_cnt": _nz_sql(total),
     }
-    return df.withColumns({k: F.when(ok, v) for k, v in vals.items()})
+    return df.withColumns({k: F.expr(f"CASE WHEN {p} + {n} < 62 THEN {v} END") for k, v in vals.items()}).drop(*temp)
 
 
 def performance_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
@@ -241,32 +260,34 @@ def performance_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbip
 
     Bad-rate and paid-up-rate outputs are part of the schema but always NULL.
     """
-    p = col(pit)
-    cnt = window_counts(dlq, gbipx, p - n, n)
-    ok = p > n
-    gds, bad, pup = cnt["cnt_g"], cnt["cnt_b"], cnt["cnt_p"]
-    total = gds + bad + pup
-    label = gbipx_label(cnt, n)
-    first = F.substring(label, 1, 1)
-    goods, bads, paid = flag(first == "G"), flag(first == "B"), flag(first == "P")
+    p = T.ident(pit)
     pre = f"per{n}"
+    df, c, temp = _with_counts(df, T.ident(dlq), T.ident(gbipx), f"({p} - {n})", n, pre)
+    total = f"({c['cnt_g']} + {c['cnt_b']} + {c['cnt_p']})"
     vals = {
-        pre: label,
-        f"{pre}_grp": _grp(_nz(total), n, "PER"),
-        f"bad_rate_{n}m": F.lit(None).cast("int"),
-        f"doubtful_debt_{n}m": flag(cnt["cnt_4"] >= 1).cast("int"),
-        f"paid_up_{n}m": F.lit(None).cast("int"),
-        f"{pre}_gds": _nz(gds),
-        f"{pre}_bad": _nz(bad),
-        f"{pre}_pup": _nz(pup),
-        f"{pre}_crd": _nz(cnt["cnt_c"]),
-        f"{pre}_cnt": _nz(total),
-        f"goods_{n}": goods.cast("int"),
-        f"bads_{n}": bads.cast("int"),
-        f"paidup_{n}": paid.cast("int"),
-        f"{pre}_gbp": _nz(F.coalesce(goods, F.lit(0)) + F.coalesce(bads, F.lit(0)) + F.coalesce(paid, F.lit(0))),
+        pre: _label_sql(c, n),
+        f"{pre}_grp": _grp_sql(_nz_sql(total), n, "PER"),
+        f"bad_rate_{n}m": "CAST(NULL AS INT)",
+        f"doubtful_debt_{n}m": f"CAST(CASE WHEN {c['cnt_4']} >= 1 THEN 1 END AS INT)",
+        f"paid_up_{n}m": "CAST(NULL AS INT)",
+        f"{pre}_gds": _nz_sql(c["cnt_g"]),
+        f"{pre}_bad": _nz_sql(c["cnt_b"]),
+        f"{pre}_pup": _nz_sql(c["cnt_p"]),
+        f"{pre}_crd": _nz_sql(c["cnt_c"]),
+        f"{pre}_cnt": _nz_sql(total),
+    }
+    staged = df.withColumns({k: F.expr(f"CASE WHEN {p} > {n} THEN {v} END") for k, v in vals.items()})
+    # goods / bads / paid-up read the first letter of the label computed above
+    first = f"substr({T.ident(pre)}, 1, 1)"
+    goods, bads, paid = (f"CAST(CASE WHEN {first} = '{x}' THEN 1 END AS INT)" for x in "GBP")
+    more = {
+        f"goods_{n}": goods,
+        f"bads_{n}": bads,
+        f"paidup_{n}": paid,
+        f"{pre}_gbp": f"CASE WHEN {T.ident(pre)} IS NOT NULL THEN "
+                      + _nz_sql(f"(coalesce({goods}, 0) + coalesce({bads}, 0) + coalesce({paid}, 0))") + " END",
     }
-    return df.withColumns({k: F.when(ok, v) for k, v in vals.items()})
+    return staged.withColumns({k: F.expr(v) for k, v in more.items()}).drop(*temp)
 
 
 def payment_defaulters(df: DataFrame, pit="pit", dlq="dlq_profile") -> DataFrame:

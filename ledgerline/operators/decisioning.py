@@ -18,8 +18,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import sqltext as T
 from ledgerline.functions.rules import first_match
-from ledgerline.operators.applications import risk_grade_mandate, score_band
+from ledgerline.operators.applications import risk_grade_mandate
 
 # Policy rules shared by every segment (column, label); a rule fails on "Y"
 # except the age rule, which fails below 1800 (years x 100).
@@ -143,41 +144,47 @@ ACTIVATION_FLAGS = ["filter_immature_activations", "filter_clear_activations", "
                     "filter_erratic_activations", "filter_arrears_activations", "filter_other_activations"]
 
 
-def _yes(c: str) -> Column:
-    return F.coalesce(F.col(c) == "Y", F.lit(False))
+def _yes(c: str) -> str:
+    return T.true_or_false(f"{c} = 'Y'")
 
 
-def _claims(seg: Segment, states) -> Column:
-    st = F.col("app_customer_state")
+def _claims(seg: Segment, states) -> str:
     if states is None:
-        return F.coalesce(F.col("all_timeoldesttrade") < 3, F.lit(False))
-    cond = F.coalesce(st.isin(*states), F.lit(False))
-    if seg.channel:
-        cond = cond & F.col(seg.channel).isNotNull()
-    return cond
+        return T.true_or_false("all_timeoldesttrade < 3")
+    cond = T.true_or_false(T.in_list("app_customer_state", states))
+    return f"({cond} AND {seg.channel} IS NOT NULL)" if seg.channel else cond
 
 
-def _policy(seg: Segment) -> Column:
+def _policy(seg: Segment) -> str:
     rules = []
     for c, label in POLICY_RULES:
-        cond = F.coalesce(F.col(c) < 1800, F.lit(False)) if c == "cst_customerage" else _yes(c)
-        rules.append((cond, label))
+        cond = T.true_or_false(f"{c} < 1800") if c == "cst_customerage" else _yes(c)
+        rules.append((cond, T.q(label)))
     if seg.debt_review:
-        rules.append((_yes(DEBT_REVIEW_REQUESTED[0]), DEBT_REVIEW_REQUESTED[1]))
+        rules.append((_yes(DEBT_REVIEW_REQUESTED[0]), T.q(DEBT_REVIEW_REQUESTED[1])))
     if seg.income:
-        inc = F.col(LOW_INCOME[0])
-        low = (inc.isNull() | (inc < 1500)) if seg.code == "NTC" else F.coalesce(inc < 1500, F.lit(False))
-        rules.append((low, LOW_INCOME[1]))
+        c = LOW_INCOME[0]
+        low = f"({c} IS NULL OR {c} < 1500)" if seg.code == "NTC" else T.true_or_false(f"{c} < 1500")
+        rules.append((low, T.q(LOW_INCOME[1])))
     for c, op, v, label in seg.checks:
-        x = F.col(c)
-        cond = x.isNull() if op == "null" else F.coalesce(x < v if op == "<" else x == v, F.lit(False))
-        rules.append((cond, label))
-    return first_match(rules)
+        cond = f"{c} IS NULL" if op == "null" else T.true_or_false(f"{c} {'<' if op == '<' else '='} {v}")
+        rules.append((cond, T.q(label)))
+    return T.case(rules)
+
+
+def _band(x: str, cuts) -> str:
+    """Band label of a score: '001' below the first cut-off, else the highest cut-off reached."""
+    rules = [(f"{x} < {cuts[0]}", "'001'")] + [(f"{x} < {cuts[i]}", T.q(str(cuts[i - 1]))) for i in range(1, len(cuts))]
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE {T.case(rules, T.q(str(cuts[-1])))} END"
 
 
 def decision_waterfall(df: DataFrame) -> DataFrame:
     """Apply the twelve segments in order; adds segment, outcome, waterfall, matrix, risk grade,
-    the segment filter flags and the activation flags."""
+    the segment filter flags and the activation flags.
+
+    Three projections per segment (claim + policy, matrix + outcome, grade),
+    each written as SQL expression text.
+    """
     out = df.withColumns(
         {
             "decision_services_segment": F.lit(None).cast("string"),
@@ -188,44 +195,42 @@ def decision_waterfall(df: DataFrame) -> DataFrame:
             "decision_services_risk_grade": F.lit(None).cast("string"),
         }
     )
-    seg_c, wf_c = F.col("decision_services_segment"), F.col("decision_services_waterfall")
     for seg in SEGMENTS:
         claim = _claims(seg, seg.states)
-        fail = _policy(seg)
         out = out.withColumns(
             {
-                "decision_services_segment": F.when(claim, F.lit(seg.claim_code or seg.code)).otherwise(seg_c),
-                seg.flag: F.when(claim, F.lit(1)).otherwise(F.col(seg.flag)),
-                "decision_services_waterfall": F.when(claim, F.coalesce(fail, wf_c)).otherwise(wf_c),
+                "decision_services_segment": F.expr(f"CASE WHEN {claim} THEN {T.q(seg.claim_code or seg.code)} ELSE decision_services_segment END"),
+                seg.flag: F.expr(f"CASE WHEN {claim} THEN 1 ELSE {seg.flag} END"),
+                "decision_services_waterfall": F.expr(
+                    f"CASE WHEN {claim} THEN coalesce({_policy(seg)}, decision_services_waterfall) ELSE decision_services_waterfall END"),
             }
         )
         computed = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
-        applied = computed if seg.matrix_states is None or seg.code != "IMM" else _claims(seg, seg.states)
-        wf = F.col("decision_services_waterfall")
-        wf_empty = wf.isNull() | (wf == "")
-        mat = F.concat(score_band(F.col("cbx_prism_tm"), seg.prism_cuts), F.lit("x"),
-                       score_band(F.col(seg.score_col), seg.score_cuts))
-        outcome = F.when(wf_empty, F.lit(f"Approve {seg.grade}")).otherwise(F.lit("Decline"))
-        new_wf = F.when(wf_empty, F.lit("P. Pass Credit Policies")).otherwise(wf)
         # as delivered for IMM: computed for one state, applied to another -> NULL results there
+        applied = _claims(seg, seg.states) if seg.code == "IMM" else computed
+        empty = "(decision_services_waterfall IS NULL OR decision_services_waterfall = '')"
+        mat = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
+        outcome = f"CASE WHEN {empty} THEN {T.q('Approve ' + seg.grade)} ELSE 'Decline' END"
+        new_wf = f"CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE decision_services_waterfall END"
         out = out.withColumns(
             {
-                "decision_services_outcome": F.when(applied, F.when(computed, outcome)).otherwise(F.col("decision_services_outcome")),
-                "decision_services_waterfall": F.when(applied, F.when(computed, new_wf)).otherwise(wf),
-                "decision_services_matrix": F.when(applied, F.when(computed, mat)).otherwise(F.col("decision_services_matrix")),
+                "decision_services_outcome": F.expr(
+                    f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {outcome} END ELSE decision_services_outcome END"),
+                "decision_services_waterfall": F.expr(
+                    f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {new_wf} END ELSE decision_services_waterfall END"),
+                "decision_services_matrix": F.expr(
+                    f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {mat} END ELSE decision_services_matrix END"),
             }
         )
         if seg.grades:
-            m = F.col("decision_services_matrix")
-            g = first_match([(applied & (m == k), v) for k, v in seg.grades], F.col("decision_services_risk_grade"))
-            out = out.withColumn("decision_services_risk_grade", g)
-    seg_c = F.col("decision_services_segment")
-    out = out.withColumn("decision_services_segment", F.coalesce(seg_c, F.lit("XXX")))
-    xxx = F.col("decision_services_segment") == "XXX"
+            g = T.case([(f"{applied} AND decision_services_matrix = {T.q(k)}", T.q(v)) for k, v in seg.grades],
+                       "decision_services_risk_grade")
+            out = out.withColumn("decision_services_risk_grade", F.expr(g))
+    out = out.withColumn("decision_services_segment", F.expr("coalesce(decision_services_segment, 'XXX')"))
     out = out.withColumns(
         {
-            "decision_services_outcome": F.when(xxx, F.lit("Decline")).otherwise(F.col("decision_services_outcome")),
-            "filter_xxxxxx_state": F.when(xxx, F.lit(1)).otherwise(F.col("filter_xxxxxx_state")),
+            "decision_services_outcome": F.expr("CASE WHEN decision_services_segment = 'XXX' THEN 'Decline' ELSE decision_services_outcome END"),
+            "filter_xxxxxx_state": F.expr("CASE WHEN decision_services_segment = 'XXX' THEN 1 ELSE filter_xxxxxx_state END"),
         }
     )
     return activation_flags(out)
