@@ -132,20 +132,25 @@ def delinquency_attributes(
     }
     # normalised texts first, then one rule-number CASE over plain columns
     staged = df.withColumns({"ageing_attribute": ageing_attribute(balance, *cds), **{f"_{k}": v for k, v in fields.items()}})
-    conds = []
-    for field, word, *_ in DELINQUENCY_RULES:
+    rules = []
+    for i, (field, word, *_) in enumerate(DELINQUENCY_RULES):
         if field == "age":
-            conds.append(F.col("ageing_attribute") == F.lit(word))
+            cond = f"ageing_attribute = {T.q(word)}"
         else:
-            conds.append(contains(F.col(f"_{field}"), word))
-    staged = staged.withColumn("_rule", first_match_index(conds))
-    idx = F.col("_rule")
+            cond = T.true_or_false(f"instr(_{field}, {T.q(word)}) > 0")
+        rules.append((cond, str(i + 1)))
+    staged = staged.withColumn("_rule", F.expr(T.case(rules)))
     g, d, t = DELINQUENCY_DEFAULT
+
+    def pick_sql(values, default):
+        arr = ", ".join(T.q(v) for v in [*values, default])
+        return F.expr(f"element_at(array({arr}), coalesce(_rule, {len(values) + 1}))")
+
     return staged.withColumns(
         {
-            "gbipx_attribute": pick(idx, [r[2] for r in DELINQUENCY_RULES], g),
-            "delinquency_attribute": pick(idx, [r[3] for r in DELINQUENCY_RULES], d),
-            "delinquency_trigger": pick(idx, [r[4] for r in DELINQUENCY_RULES], t),
+            "gbipx_attribute": pick_sql([r[2] for r in DELINQUENCY_RULES], g),
+            "delinquency_attribute": pick_sql([r[3] for r in DELINQUENCY_RULES], d),
+            "delinquency_trigger": pick_sql([r[4] for r in DELINQUENCY_RULES], t),
         }
     ).drop("_rule", *[f"_{k}" for k in fields])
 
@@ -343,37 +348,29 @@ def account_behaviour(df: DataFrame, windows: Sequence[str] = ("b01", "b06", "b1
 
 def account_state(df: DataFrame, account_cat="account_cat", dlq="delinquency_attribute") -> DataFrame:
     """14-rung account state ladder over observation counters (obs1/obs3/obs12/obs24 columns)."""
-    c, d = col(account_cat), col(dlq)
-    o = F.col
-    never_adv = all_null([o("obs24_adv"), o("obs24_dc4")])
-    cat = F.upper(c)
-    state = first_match(
-        [
-            ((d == "D") | (o("obs24") == "X-Exclusion") | (o("obs24") == "I-Missing"), "X. EXC Exclusions"),
-            (cat == "APP", "A. NTU Not Taken-Up Applications"),
-            (cat == "NEW", "1. IMM Immature Accounts"),
-            (o("obs3_crd") == 3, "B. CRD Credit balance 3+ months (Voluntary Churn)"),
-            ((d == "C") & o("obs3_crd").isNotNull(), "2. C01 Credit Balance 1-2 months"),
-            ((o("obs12_pup") == 12) & never_adv, "C. PUP Paid-up 12+ months (Voluntary Churn)"),
-            ((o("obs3_pup") == 3) & never_adv, "3. P03 Paid-up 3-11 months"),
-            ((d == "P") & o("obs3_pup").isNotNull() & never_adv, "3. P01 Paid-up 1-2 months"),
-            (
-                (o("obs12_dc0") == 12)
-                & all_null([o("obs24_dc1"), o("obs24_dc2"), o("obs24_adv"), o("obs24_dc3"), o("obs24_dc4"), o("obs24_pup")]),
-                "4. CLR Clear",
-            ),
-            (
-                (o("obs3_dc0") == 3) & o("obs12_dc2").isNull() & all_null([o("obs24_adv"), o("obs24_dc3"), o("obs24_dc4")]),
-                "5. RES Responsible",
-            ),
-            (d == "0", "6. ERR Erratic"),
-            (o("obs1_dc1") == 1, "7. EXT Extended"),
-            (d.isin("2", "3"), "8. DIS Distressed"),
-            (d.isin("A", "4", "P"), "D. DBT Doubtful Debt (Involuntary Churn)"),
-        ],
-        "",
-    )
-    return df.withColumn("account_state", state)
+    c, d = T.ident(account_cat), T.ident(dlq)
+
+    def all_null(*cols):
+        return "(" + " AND ".join(f"{x} IS NULL" for x in cols) + ")"
+
+    never_adv = all_null("obs24_adv", "obs24_dc4")
+    rules = [
+        (f"{d} = 'D' OR obs24 = 'X-Exclusion' OR obs24 = 'I-Missing'", "X. EXC Exclusions"),
+        (f"upper({c}) = 'APP'", "A. NTU Not Taken-Up Applications"),
+        (f"upper({c}) = 'NEW'", "1. IMM Immature Accounts"),
+        ("obs3_crd = 3", "B. CRD Credit balance 3+ months (Voluntary Churn)"),
+        (f"{d} = 'C' AND obs3_crd IS NOT NULL", "2. C01 Credit Balance 1-2 months"),
+        (f"obs12_pup = 12 AND {never_adv}", "C. PUP Paid-up 12+ months (Voluntary Churn)"),
+        (f"obs3_pup = 3 AND {never_adv}", "3. P03 Paid-up 3-11 months"),
+        (f"{d} = 'P' AND obs3_pup IS NOT NULL AND {never_adv}", "3. P01 Paid-up 1-2 months"),
+        ("obs12_dc0 = 12 AND " + all_null("obs24_dc1", "obs24_dc2", "obs24_adv", "obs24_dc3", "obs24_dc4", "obs24_pup"), "4. CLR Clear"),
+        ("obs3_dc0 = 3 AND obs12_dc2 IS NULL AND " + all_null("obs24_adv", "obs24_dc3", "obs24_dc4"), "5. RES Responsible"),
+        (f"{d} = '0'", "6. ERR Erratic"),
+        ("obs1_dc1 = 1", "7. EXT Extended"),
+        (f"{d} IN ('2', '3')", "8. DIS Distressed"),
+        (f"{d} IN ('A', '4', 'P')", "D. DBT Doubtful Debt (Involuntary Churn)"),
+    ]
+    return df.withColumn("account_state", F.expr(T.case([(T.true_or_false(k), T.q(v)) for k, v in rules], "''")))
 
 
 # Customer behaviour ladder (counter columns tested >= 1, label).
@@ -440,13 +437,20 @@ TRANSITION_TEXT = [
 ]
 
 
-def transition_text(code: Column) -> Column:
-    m = F.create_map(*[F.lit(x) for codes, text in TRANSITION_TEXT for c in codes for x in (c, text)])
-    return F.try_element_at(m, code)
+# wording removed from ageing transitions (the ageing profile knows no adverse events)
+ADVERSE_EVENT = "or adverse event"
+ADVERSE_NEXT = "or 120 Days and adverse next period"
+SPACES = r"'\\s+'"
+EMPTY = "''"
+
 
+def transition_text_sql(code: str) -> str:
+    pairs = ", ".join(f"{T.q(c)}, {T.q(text)}" for codes, text in TRANSITION_TEXT for c in codes)
+    return f"try_element_at(map({pairs}), {code})"
 
-def _squash(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+
+def transition_text(code: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for codes, text in TRANSITION_TEXT for c in codes for x in (c, text)]), code)
 
 
 def account_transition(
@@ -464,51 +468,44 @@ def account_transition(
     Adds ``transition_<ndx>_age``, ``_dlq`` (descriptions) and ``_mat`` (1 when
     they agree); empty texts and NULL match when pit <= ndx.
     """
-    p, a, d = col(pit), col(age), col(dlq)
-    pos = p - ndx
-    pa = F.substr(col(age_profile), pos, F.lit(1))
-    pd_ = F.substr(col(dlq_profile), pos, F.lit(1))
-    age_code = F.replace(F.concat(F.coalesce(a.cast("string"), F.lit("None")), pa), F.lit(" "), F.lit(""))
-    dlq_code = F.replace(F.concat(F.coalesce(d.cast("string"), F.lit("None")), pd_), F.lit(" "), F.lit(""))
-    age_missing_dash = a.isNull() | (a == "-") | (pa == "-")
-    age_missing_dot = a.isNull() | (a == ".") | (pa == ".")
-    dlq_missing = d.isNull() | (d == ".") | (pd_ == ".")
-    excl_x = (d == "X") | (pd_ == "X")
-    excl_d = (d == "D") | (pd_ == "D")
-    st = F.upper(F.substring(col(state), 1, 1))
-    override = first_match([(st == "B", "CC"), (st == "C", "PP"), (st == "D", "44"), (st == "X", "XX")])
-    age_c = first_match(
-        [
-            (F.coalesce(excl_d, F.lit(False)), "DD"),
-            (F.coalesce(excl_x, F.lit(False)), "XX"),
-            (F.coalesce(age_missing_dot, F.lit(False)), ".."),
-            (F.coalesce(age_missing_dash, F.lit(False)), "--"),
-        ],
-        age_code,
+    a, d = T.ident(age), T.ident(dlq)
+    pos = f"({T.ident(pit)} - {ndx})"
+    pa, pd_ = f"substr({T.ident(age_profile)}, {pos}, 1)", f"substr({T.ident(dlq_profile)}, {pos}, 1)"
+    st = f"upper(substr({T.ident(state)}, 1, 1))"
+    override = T.case([(f"{st} = 'B'", "'CC'"), (f"{st} = 'C'", "'PP'"), (f"{st} = 'D'", "'44'"), (f"{st} = 'X'", "'XX'")])
+    excl_d = T.true_or_false(f"{d} = 'D' OR {pd_} = 'D'")
+    excl_x = T.true_or_false(f"{d} = 'X' OR {pd_} = 'X'")
+    age_code = T.case(
+        [(excl_d, "'DD'"), (excl_x, "'XX'"),
+         (T.true_or_false(f"{a} IS NULL OR {a} = '.' OR {pa} = '.'"), "'..'"),
+         (T.true_or_false(f"{a} IS NULL OR {a} = '-' OR {pa} = '-'"), "'--'")],
+        f"replace(concat(coalesce(CAST({a} AS STRING), 'None'), {pa}), ' ', '')",
     )
-    dlq_c = first_match(
-        [
-            (F.coalesce(excl_d, F.lit(False)), "DD"),
-            (F.coalesce(excl_x, F.lit(False)), "XX"),
-            (F.coalesce(dlq_missing, F.lit(False)), ".."),
-        ],
-        dlq_code,
+    dlq_code = T.case(
+        [(excl_d, "'DD'"), (excl_x, "'XX'"), (T.true_or_false(f"{d} IS NULL OR {d} = '.' OR {pd_} = '.'"), "'..'")],
+        f"replace(concat(coalesce(CAST({d} AS STRING), 'None'), {pd_}), ' ', '')",
     )
-    age_c = F.coalesce(override, age_c)
-    dlq_c = F.coalesce(override, dlq_c)
-    age_t, dlq_t = transition_text(age_c), transition_text(dlq_c)
-    mat = flag(age_t == dlq_t).cast("int")
-    age_t = _squash(F.replace(_squash(F.replace(age_t, F.lit("or adverse event"), F.lit(""))),
-                              F.lit("or 120 Days and adverse next period"), F.lit("")))
-    ok = pos >= 1
     pre = f"transition_{ndx}"
-    return df.withColumns(
+    staged = df.withColumns(
         {
-            f"{pre}_age": F.when(ok, age_t).otherwise(F.lit("")),
-            f"{pre}_dlq": F.when(ok, dlq_t).otherwise(F.lit("")),
-            f"{pre}_mat": F.when(ok, mat),
+            f"_{pre}_a": F.expr(transition_text_sql(f"coalesce({override}, {age_code})")),
+            f"_{pre}_d": F.expr(transition_text_sql(f"coalesce({override}, {dlq_code})")),
         }
     )
+    at, dt = f"_{pre}_a", f"_{pre}_d"
+
+    def squash(x):
+        return f"trim(regexp_replace({x}, {SPACES}, ' '))"
+
+    age_txt = squash(f"replace({squash(f'replace({at}, {T.q(ADVERSE_EVENT)}, {EMPTY})')}, {T.q(ADVERSE_NEXT)}, {EMPTY})")
+    ok = f"{pos} >= 1"
+    return staged.withColumns(
+        {
+            f"{pre}_age": F.expr(f"CASE WHEN {ok} THEN {age_txt} ELSE '' END"),
+            f"{pre}_dlq": F.expr(f"CASE WHEN {ok} THEN {dt} ELSE '' END"),
+            f"{pre}_mat": F.expr(f"CASE WHEN {ok} THEN CAST(CASE WHEN {at} = {dt} THEN 1 END AS INT) END"),
+        }
+    ).drop(at, dt)
 
 
 def doubtful_debt(df: DataFrame, state="account_state", pit="pit") -> DataFrame:

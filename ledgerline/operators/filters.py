@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.rules import col, contains, first_match, first_match_index, flag, pick
+from ledgerline.functions import sqltext as T
+from ledgerline.functions.rules import col, first_match, first_match_index, flag, pick
 
 
 def _z(c: Column) -> Column:
@@ -173,34 +174,44 @@ DECISION_SERVICES = [
 ]
 
 
-def _one_hots(idx: Column, names: Sequence[str], other: str) -> dict[str, Column]:
-    out = {name: flag(F.coalesce(idx == i + 1, F.lit(False))).cast("int") for i, name in enumerate(names)}
-    out[other] = flag(idx.isNull()).cast("int")
+def _one_hots_sql(idx: str, names: Sequence[str], other: str) -> dict[str, Column]:
+    out = {name: F.expr(f"CAST(CASE WHEN {idx} = {i + 1} THEN 1 END AS INT)") for i, name in enumerate(names)}
+    out[other] = F.expr(f"CAST(CASE WHEN ({idx}) IS NULL THEN 1 END AS INT)")
     return out
 
 
 def filter_one_hots(df: DataFrame, channel: str | None = "channel", outcome: str | None = "decision_outcome",
                     service: str | None = "decision_service", risk_grade: str | None = "risk_grade") -> DataFrame:
-    """Channel, decision outcome (+ sequence), decision service and risk grade one-hot columns."""
+    """Channel, decision outcome (+ sequence), decision service and risk grade one-hot columns.
+
+    Each family is one rule-number CASE (staged once per row) and its one-hot columns.
+    """
+    idx: dict[str, str] = {}
+    if channel:
+        ch = f"upper(coalesce({T.ident(channel)}, ''))"
+        idx["_ix_channel"] = T.case([(f"instr({ch}, {T.q(k)}) > 0", str(i + 1)) for i, (k, _) in enumerate(CHANNELS)])
+    if outcome:
+        o = f"upper(coalesce({T.ident(outcome)}, ''))"
+        idx["_ix_outcome"] = T.case([(f"{o} = {T.q(k)}", str(i + 1)) for i, (k, _, _) in enumerate(OUTCOMES)])
+    if service:
+        sv = f"upper(coalesce({T.ident(service)}, ''))"
+        idx["_ix_service"] = T.case([(f"instr({sv}, {T.q(k)}) > 0", str(i + 1)) for i, (k, _) in enumerate(DECISION_SERVICES)])
+    if risk_grade:
+        g = f"upper(coalesce(CAST({T.ident(risk_grade)} AS STRING), 'None'))"
+        idx["_ix_grade"] = T.case([(f"{g} = '{k}'", str(k)) for k in range(1, 10)])
+    staged = df.withColumns({k: F.expr(v) for k, v in idx.items()})
     out: dict[str, Column] = {}
     if channel:
-        ch = F.upper(F.coalesce(col(channel), F.lit("")))
-        idx = first_match_index([contains(ch, k) for k, _ in CHANNELS])
-        out.update(_one_hots(idx, [n for _, n in CHANNELS], "filter_channel_other"))
+        out.update(_one_hots_sql("_ix_channel", [n for _, n in CHANNELS], "filter_channel_other"))
     if outcome:
-        o = F.upper(F.coalesce(col(outcome), F.lit("")))
-        idx = first_match_index([o == k for k, _, _ in OUTCOMES])
-        out["filter_decision_outcome_seq"] = pick(idx, [s for _, s, _ in OUTCOMES], 9).cast("int")
-        out.update(_one_hots(idx, [n for _, _, n in OUTCOMES], "filter_decision_outcome_unknown"))
+        seqs = T.case([(f"_ix_outcome = {i + 1}", str(s_)) for i, (_, s_, _) in enumerate(OUTCOMES)], "9")
+        out["filter_decision_outcome_seq"] = F.expr(f"CAST({seqs} AS INT)")
+        out.update(_one_hots_sql("_ix_outcome", [n for _, _, n in OUTCOMES], "filter_decision_outcome_unknown"))
     if service:
-        s = F.upper(F.coalesce(col(service), F.lit("")))
-        idx = first_match_index([contains(s, k) for k, _ in DECISION_SERVICES])
-        out.update(_one_hots(idx, [n for _, n in DECISION_SERVICES], "filter_dmp_unknown"))
+        out.update(_one_hots_sql("_ix_service", [n for _, n in DECISION_SERVICES], "filter_dmp_unknown"))
     if risk_grade:
-        g = F.upper(F.coalesce(col(risk_grade).cast("string"), F.lit("None")))
-        idx = first_match_index([g == str(k) for k in range(1, 10)])
-        out.update(_one_hots(idx, [f"filter_risk_grade_{k}" for k in range(1, 10)], "filter_risk_grade_x"))
-    return df.withColumns(out)
+        out.update(_one_hots_sql("_ix_grade", [f"filter_risk_grade_{k}" for k in range(1, 10)], "filter_risk_grade_x"))
+    return staged.withColumns(out).drop(*idx)
 
 
 # ---------------------------------------------------------------- activations

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.rules import col, contains, first_match, flag
+from ledgerline.functions import sqltext as T
+from ledgerline.functions.rules import col, first_match, flag
 
 # State keyword -> (dimension label, portfolio label), first match.
 SEGMENT_RULES = [
@@ -84,31 +85,33 @@ def portfolio_segmentation(df: DataFrame, dim: str = "account", m00="account_m00
     ``legacy=True`` is the earlier variant: RES/DIS keywords, and a non-NULL
     new/immature count below 1 gives NULL labels.
     """
-    st = F.upper(col(state or f"{dim}_state"))
-    m, n = col(m00), col(new)
-    rules = []
+    st = f"upper({T.ident(state or f'{dim}_state')})"
+    m, n = T.ident(m00), T.ident(new)
+    kw = []
     for word, dlab, plab in SEGMENT_RULES:
         w = LEGACY_KEYWORDS.get(word, word) if legacy else word
-        rules.append((contains(st, w), dlab, plab))
+        kw.append((T.true_or_false(f"instr({st}, {T.q(w)}) > 0"), dlab, plab))
     if legacy:
-        head_d = [(m.isNotNull(), F.when(m >= 1, F.lit(NEW_LABELS[0]))), (n.isNotNull(), F.when(n >= 1, F.lit(IMMATURE_LABELS[0])))]
-        head_p = [(m.isNotNull(), F.when(m >= 1, F.lit(NEW_LABELS[1]))), (n.isNotNull(), F.when(n >= 1, F.lit(IMMATURE_LABELS[1])))]
+        head_d = [(f"{m} IS NOT NULL", f"CASE WHEN {m} >= 1 THEN {T.q(NEW_LABELS[0])} END"),
+                  (f"{n} IS NOT NULL", f"CASE WHEN {n} >= 1 THEN {T.q(IMMATURE_LABELS[0])} END")]
+        head_p = [(f"{m} IS NOT NULL", f"CASE WHEN {m} >= 1 THEN {T.q(NEW_LABELS[1])} END"),
+                  (f"{n} IS NOT NULL", f"CASE WHEN {n} >= 1 THEN {T.q(IMMATURE_LABELS[1])} END")]
     else:
-        head_d = [(F.coalesce(m >= 1, F.lit(False)), NEW_LABELS[0]), (F.coalesce(n >= 1, F.lit(False)), IMMATURE_LABELS[0])]
-        head_p = [(F.coalesce(m >= 1, F.lit(False)), NEW_LABELS[1]), (F.coalesce(n >= 1, F.lit(False)), IMMATURE_LABELS[1])]
-    dim_lab = first_match(head_d + [(c, d) for c, d, _ in rules], "")
-    port_lab = first_match(head_p + [(c, p) for c, _, p in rules], "")
-    return df.withColumns({f"yoy_{dim}": dim_lab, "yoy_portfolio": port_lab})
+        head_d = [(T.true_or_false(f"{m} >= 1"), T.q(NEW_LABELS[0])), (T.true_or_false(f"{n} >= 1"), T.q(IMMATURE_LABELS[0]))]
+        head_p = [(T.true_or_false(f"{m} >= 1"), T.q(NEW_LABELS[1])), (T.true_or_false(f"{n} >= 1"), T.q(IMMATURE_LABELS[1]))]
+    dim_lab = T.case(head_d + [(c, T.q(d)) for c, d, _ in kw], "''")
+    port_lab = T.case(head_p + [(c, T.q(p)) for c, _, p in kw], "''")
+    return df.withColumns({f"yoy_{dim}": F.expr(dim_lab), "yoy_portfolio": F.expr(port_lab)})
 
 
 def segment_by_ageing(df: DataFrame, acc: str = "accounts", age: str = "account_age", enabled: bool = True) -> DataFrame:
     """Per-bucket record counters and the ageing segment (all NULL when ``enabled`` is False)."""
-    a = col(age)
     if not enabled:
         return df.withColumns({**{f"records_dc{k}": F.lit(None).cast("int") for k in range(5)},
                                "yoy_aging": F.lit(None).cast("string")})
-    out = {f"records_dc{k}": F.when(a == str(k), col(acc)) for k in range(5)}
-    out["yoy_aging"] = first_match([(a == code, lab) for code, lab in AGEING_SEGMENTS], AGEING_OTHER)
+    a, c = T.ident(age), T.ident(acc)
+    out = {f"records_dc{k}": F.expr(f"CASE WHEN {a} = '{k}' THEN {c} END") for k in range(5)}
+    out["yoy_aging"] = F.expr(T.case([(f"{a} = {T.q(code)}", T.q(lab)) for code, lab in AGEING_SEGMENTS], T.q(AGEING_OTHER)))
     return df.withColumns(out)
 
 
@@ -116,15 +119,17 @@ def roll_rate_flags(df: DataFrame, transition: str = "transition_1_age", enabled
     """16 roll-rate flags (1/NULL) from the one-month ageing transition text."""
     if not enabled:
         return df.withColumns({name: F.lit(None).cast("int") for name, _ in ROLL_RATES})
-    staged = df.withColumn("_tr", F.regexp_replace(F.upper(col(transition)), " ", ""))
-    return staged.withColumns({name: flag(F.col("_tr") == text).cast("int") for name, text in ROLL_RATES}).drop("_tr")
+    staged = df.withColumn("_tr", F.expr(f"replace(upper({T.ident(transition)}), ' ', '')"))
+    return staged.withColumns(
+        {name: F.expr(f"CAST(CASE WHEN _tr = {T.q(text)} THEN 1 END AS INT)") for name, text in ROLL_RATES}
+    ).drop("_tr")
 
 
 def portfolio_input(df: DataFrame, dim: str, yoy: str, acc: str = "accounts") -> DataFrame:
     """Record counter, period label and segment placeholders (the temporary data file)."""
     return df.withColumns(
         {
-            "records": col(acc),
+            "records": F.col(acc),
             "yoy_label": F.lit(yoy),
             "yoy_portfolio": F.lit("99. No Data"),
             f"yoy_{dim}": F.lit("99. No Data"),
@@ -133,30 +138,28 @@ def portfolio_input(df: DataFrame, dim: str, yoy: str, acc: str = "accounts") ->
     )
 
 
-def _pct(num: Column, den: Column) -> Column:
-    return (F.try_divide(num, den) * F.lit(100)).cast("float")
+def _pct(num: str, den: str) -> str:
+    return f"CAST(try_divide({num}, {den}) * 100 AS FLOAT)"
 
 
 def summary_metrics(agg: DataFrame, per: str) -> DataFrame:
     """Averages (int) and rates (float %) from summed measures, suffixed by the period."""
     per = str(per)[:4]
-    c = F.col
     out = {
-        f"balance_{per}": F.try_divide(c("balance"), c("records")).cast("int"),
-        f"instalment_{per}": F.try_divide(c("instalment"), c("records")).cast("int"),
+        f"balance_{per}": "CAST(try_divide(balance, records) AS INT)",
+        f"instalment_{per}": "CAST(try_divide(instalment, records) AS INT)",
     }
     for m in DEFAULT_MEASURES:
-        out[f"{m}_{per}"] = _pct(c(m), c("records"))
+        out[f"{m}_{per}"] = _pct(m, "records")
     for n in PERIODS:
-        out[f"bad_rate_{n}m_{per}"] = _pct(c(f"bads_{n}"), c(f"goods_{n}") + c(f"bads_{n}"))
+        out[f"bad_rate_{n}m_{per}"] = _pct(f"bads_{n}", f"(goods_{n} + bads_{n})")
     for n in PERIODS:
-        out[f"doubtful_debt_{n}m_{per}"] = _pct(c(f"doubtful_debt_{n}m"), c("records"))
+        out[f"doubtful_debt_{n}m_{per}"] = _pct(f"doubtful_debt_{n}m", "records")
     for k in range(5):
-        out[f"records_dc{k}_{per}"] = c(f"records_dc{k}").cast("int")
+        out[f"records_dc{k}_{per}"] = f"CAST(records_dc{k} AS INT)"
     for name, _ in ROLL_RATES:
-        k = name[2]
-        out[f"{name}_{per}"] = _pct(c(name), c(f"records_dc{k}"))
-    return agg.withColumns(out).drop(*MEASURES)
+        out[f"{name}_{per}"] = _pct(name, f"records_dc{name[2]}")
+    return agg.withColumns({k: F.expr(v) for k, v in out.items()}).drop(*MEASURES)
 
 
 def portfolio_summary(df: DataFrame, var: str, per: str) -> DataFrame:
@@ -183,7 +186,7 @@ def portfolio_performance(df: DataFrame, dim: str = "account", yoy: str = "2024"
         F.grouping(ydim).alias("_g_dim"),
         F.grouping("yoy_aging").alias("_g_age"),
     )
-    seg = F.when(F.col("_g_dim") == 0, F.col(ydim)).when(F.col("_g_age") == 0, F.col("yoy_aging")).otherwise(F.col("yoy_portfolio"))
+    seg = F.expr(f"CASE WHEN _g_dim = 0 THEN {T.ident(ydim)} WHEN _g_age = 0 THEN yoy_aging ELSE yoy_portfolio END")
     agg = agg.select(seg.alias(ydim), "yoy_label", *MEASURES)
     out = summary_metrics(agg, per)
     return out.orderBy(ydim) if sort else out

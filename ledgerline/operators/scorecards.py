@@ -9,10 +9,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.rules import col
+from ledgerline.functions import sqltext as T
 
 
 @dataclass(frozen=True)
@@ -103,21 +103,19 @@ PDO = 20
 CONSTANT = 582
 
 
-def attribute_points(attr, value: Column) -> Column:
+def attribute_points_sql(attr, value: str) -> str:
+    """Points of one attribute as SQL text over the column expression ``value``."""
     if isinstance(attr, NumericAttribute):
-        expr = F.when(value.isNull(), F.lit(attr.null_points))
-        for op, bound, pts in attr.bins:
-            cond = value < F.lit(bound) if op == "<" else value <= F.lit(bound)
-            expr = expr.when(cond, F.lit(pts))
-        last = attr.bins[-1][1]
-        return expr.when(value >= F.lit(last), F.lit(attr.top))
-    code = F.upper(F.replace(value, F.lit(" "), F.lit("")))
+        rules = [(f"{value} IS NULL", str(attr.null_points))]
+        rules += [(f"{value} {op} {bound}", str(pts)) for op, bound, pts in attr.bins]
+        rules.append((f"{value} >= {attr.bins[-1][1]}", str(attr.top)))
+        return T.case(rules)
+    code = f"upper(replace({value}, ' ', ''))"
     if attr.null == "blank":
-        code = F.coalesce(code, F.lit(""))
-    expr = F.when(code == "", F.lit(attr.blank_points))
-    for codes, pts in attr.groups:
-        expr = expr.when(code.isin(*codes), F.lit(pts))
-    return expr
+        code = f"coalesce({code}, '')"
+    rules = [(f"{code} = ''", str(attr.blank_points))]
+    rules += [(T.in_list(code, codes), str(pts)) for codes, pts in attr.groups]
+    return T.case(rules)
 
 
 def score(df: DataFrame, card: str, inputs: dict[str, str], pdo: float = PDO, constant: float = CONSTANT) -> DataFrame:
@@ -126,21 +124,14 @@ def score(df: DataFrame, card: str, inputs: dict[str, str], pdo: float = PDO, co
     ``inputs`` maps each attribute name of the scorecard to a column of ``df``.
     """
     attrs = SCORECARDS[card]
-    points = [attribute_points(a, col(inputs[a.name])) for a in attrs]
-    total = None
-    for p in points:
-        p0 = F.coalesce(p, F.lit(0))
-        total = p0 if total is None else total + p0
-    void = None
-    for a in attrs:
-        if isinstance(a, CodeAttribute) and a.null == "void":
-            t = col(inputs[a.name]).isNull()
-            void = t if void is None else (void | t)
-    total = total.cast("int")
-    if void is not None:
-        total = F.when(~void, total)
-    lnodds = (total - F.lit(constant)) / F.lit(pdo / math.log(2))
-    prob = F.exp(lnodds) / (F.lit(1.0) + F.exp(lnodds))
-    return df.withColumns(
-        {f"{card}_customer_score": total, f"{card}_customer_score_lnodds": lnodds, f"{card}_customer_score_prob": prob}
-    )
+    total = " + ".join(f"coalesce({attribute_points_sql(a, T.ident(inputs[a.name]))}, 0)" for a in attrs)
+    voids = [f"{T.ident(inputs[a.name])} IS NULL" for a in attrs if isinstance(a, CodeAttribute) and a.null == "void"]
+    total = f"CAST({total} AS INT)"
+    if voids:
+        total = f"CASE WHEN NOT ({' OR '.join(voids)}) THEN {total} END"
+    name = f"{card}_customer_score"
+    staged = df.withColumn(name, F.expr(total))
+    lnodds = (F.col(name) - F.lit(constant)) / F.lit(pdo / math.log(2))
+    staged = staged.withColumn(f"{name}_lnodds", lnodds)
+    lo = F.col(f"{name}_lnodds")
+    return staged.withColumn(f"{name}_prob", F.exp(lo) / (F.lit(1.0) + F.exp(lo)))
