@@ -167,21 +167,29 @@ def _nz(c: Column) -> Column:
 
 # -- the window family as SQL text: one JVM call per output column instead of one per node
 
-def _with_counts(df: DataFrame, dlq: str | None, gbipx: str, start: str, n: int, tag: str):
-    """Stage the window's segments and character counts as columns (computed once per row, and
-    keeping each generated method small); returns the frame and the count column references."""
-    seg = {f"_sg_{tag}": f"upper(substr({gbipx}, {start}, {n}))"}
-    if dlq is not None:
-        seg[f"_sd_{tag}"] = f"upper(substr({dlq}, {start}, {n}))"
+def _with_counts(df: DataFrame, specs):
+    """Stage every window's segments and character counts as columns (two projections for all
+    windows together: each count is computed once per row and generated methods stay small).
+
+    ``specs``: (tag, dlq expr or None, gbipx expr, start expr, months).  Returns the frame, the
+    count column names per tag and the temporary columns to drop.
+    """
+    seg, cnt, refs = {}, {}, {}
+    for tag, dlq, gbipx, start, n in specs:
+        seg[f"_sg_{tag}"] = f"upper(substr({gbipx}, {start}, {n}))"
+        if dlq is not None:
+            seg[f"_sd_{tag}"] = f"upper(substr({dlq}, {start}, {n}))"
+        refs[tag] = {}
+        for k, ch in GBIPX_CHARS.items():
+            cnt[f"_cnt_{k}_{tag}"] = f"(length(_sg_{tag}) - length(replace(_sg_{tag}, {T.q(ch)}, '')))"
+            refs[tag][f"cnt_{k}"] = f"_cnt_{k}_{tag}"
+        if dlq is not None:
+            for k, ch in DLQ_CHARS.items():
+                cnt[f"_cnt_{k}_{tag}"] = f"(length(_sd_{tag}) - length(replace(_sd_{tag}, {T.q(ch)}, '')))"
+                refs[tag][f"cnt_{k}"] = f"_cnt_{k}_{tag}"
     staged = df.withColumns({k: F.expr(v) for k, v in seg.items()})
-    cnt = {}
-    for k, ch in GBIPX_CHARS.items():
-        cnt[f"cnt_{k}"] = f"(length(_sg_{tag}) - length(replace(_sg_{tag}, {T.q(ch)}, '')))"
-    if dlq is not None:
-        for k, ch in DLQ_CHARS.items():
-            cnt[f"cnt_{k}"] = f"(length(_sd_{tag}) - length(replace(_sd_{tag}, {T.q(ch)}, '')))"
-    staged = staged.withColumns({f"_{k}_{tag}": F.expr(v) for k, v in cnt.items()})
-    return staged, {k: f"_{k}_{tag}" for k in cnt}, [*seg, *[f"_{k}_{tag}" for k in cnt]]
+    staged = staged.withColumns({k: F.expr(v) for k, v in cnt.items()})
+    return staged, refs, [*seg, *cnt]
 
 
 def _label_sql(c: dict[str, str], n: int) -> str:
@@ -225,76 +233,102 @@ def _start_sql(start) -> str:
     raise TypeError("start must be a month number or a column name")
 
 
+def gbipx_windows(df: DataFrame, months, start=1, dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
+    """Behaviour label ``b<nn>`` and the 12 counters (0 -> NULL) for each window length in ``months``."""
+    specs = [(f"b{n:02d}", T.ident(dlq) if dlq else None, T.ident(gbipx), _start_sql(start), n) for n in months]
+    staged, refs, temp = _with_counts(df, specs)
+    out = {}
+    for pre, _, _, _, n in specs:
+        cnt = refs[pre]
+        out[pre] = _label_sql(cnt, n)
+        for k in ("g", "b", "i", "p", "x", "0", "1", "2", "3", "4", "a", "c"):
+            if f"cnt_{k}" in cnt:
+                out[f"{pre}_cnt_{k}"] = _nz_sql(cnt[f"cnt_{k}"])
+    return staged.withColumns({k: F.expr(v) for k, v in out.items()}).drop(*temp)
+
+
 def gbipx_window(df: DataFrame, months: int, start=1, dlq="dlq_profile", gbipx="gbipx_profile", prefix: str | None = None) -> DataFrame:
     """Behaviour label and the 12 counters (0 -> NULL) over ``months`` months from month ``start``."""
-    pre = prefix or f"b{months:02d}"
-    staged, cnt, temp = _with_counts(df, T.ident(dlq) if dlq else None, T.ident(gbipx), _start_sql(start), months, pre)
-    out = {pre: _label_sql(cnt, months)}
-    for k in ("g", "b", "i", "p", "x", "0", "1", "2", "3", "4", "a", "c"):
-        if f"cnt_{k}" in cnt:
-            out[f"{pre}_cnt_{k}"] = _nz_sql(cnt[f"cnt_{k}"])
-    return staged.withColumns({k: F.expr(v) for k, v in out.items()}).drop(*temp)
+    out = gbipx_windows(df, [months], start, dlq, gbipx)
+    pre = f"b{months:02d}"
+    if prefix and prefix != pre:
+        out = out.withColumnsRenamed({c: prefix + c[len(pre):] for c in out.columns if c == pre or c.startswith(pre + "_")})
+    return out
 
 
-def observation_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
-    """Look-back window of ``n`` months from the point in time (``obs<n>_*``); NULL when pit + n >= 62."""
+def observation_windows(df: DataFrame, ns, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
+    """Look-back windows of each length in ``ns`` from the point in time (``obs<n>_*``); NULL when pit + n >= 62."""
     p = T.ident(pit)
-    pre = f"obs{n}"
-    df, c, temp = _with_counts(df, T.ident(dlq), T.ident(gbipx), p, n, pre)
-    total = f"({c['cnt_g']} + {c['cnt_b']} + {c['cnt_p']})"
-    vals = {
-        pre: _label_sql(c, n),
-        f"{pre}_grp": _grp_sql(_nz_sql(total), n, "OBS"),
-        f"{pre}_dc0": _nz_sql(c["cnt_0"]),
-        f"{pre}_dc1": _nz_sql(c["cnt_1"]),
-        f"{pre}_dc2": _nz_sql(c["cnt_2"]),
-        f"{pre}_dc3": _nz_sql(c["cnt_3"]),
-        f"{pre}_dc4": _nz_sql(c["cnt_4"]),
-        f"{pre}_adv": _nz_sql(c["cnt_a"]),
-        f"{pre}_crd": _nz_sql(c["cnt_c"]),
-        f"{pre}_gds": _nz_sql(c["cnt_g"]),
-        f"{pre}_bad": _nz_sql(c["cnt_b"]),
-        f"{pre}_pup": _nz_sql(c["cnt_p"]),
-        f"{pre}_cnt": _nz_sql(total),
-    }
-    return df.withColumns({k: F.expr(f"CASE WHEN {p} + {n} < 62 THEN {v} END") for k, v in vals.items()}).drop(*temp)
+    specs = [(f"obs{n}", T.ident(dlq), T.ident(gbipx), p, n) for n in ns]
+    staged, refs, temp = _with_counts(df, specs)
+    out = {}
+    for pre, _, _, _, n in specs:
+        c = refs[pre]
+        total = f"({c['cnt_g']} + {c['cnt_b']} + {c['cnt_p']})"
+        vals = {
+            pre: _label_sql(c, n),
+            f"{pre}_grp": _grp_sql(_nz_sql(total), n, "OBS"),
+            f"{pre}_dc0": _nz_sql(c["cnt_0"]),
+            f"{pre}_dc1": _nz_sql(c["cnt_1"]),
+            f"{pre}_dc2": _nz_sql(c["cnt_2"]),
+            f"{pre}_dc3": _nz_sql(c["cnt_3"]),
+            f"{pre}_dc4": _nz_sql(c["cnt_4"]),
+            f"{pre}_adv": _nz_sql(c["cnt_a"]),
+            f"{pre}_crd": _nz_sql(c["cnt_c"]),
+            f"{pre}_gds": _nz_sql(c["cnt_g"]),
+            f"{pre}_bad": _nz_sql(c["cnt_b"]),
+            f"{pre}_pup": _nz_sql(c["cnt_p"]),
+            f"{pre}_cnt": _nz_sql(total),
+        }
+        out.update({k: f"CASE WHEN {p} + {n} < 62 THEN {v} END" for k, v in vals.items()})
+    return staged.withColumns({k: F.expr(v) for k, v in out.items()}).drop(*temp)
 
 
-def performance_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
-    """Look-forward window of ``n`` months ending before the point in time (``per<n>_*``); NULL when pit <= n.
+def observation_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
+    return observation_windows(df, [n], pit, dlq, gbipx)
 
-    Bad-rate and paid-up-rate outputs are part of the schema but always NULL.
-    """
+
+def performance_windows(df: DataFrame, ns, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
+    """Look-forward windows of each length in ``ns`` ending before the point in time (``per<n>_*``);
+    NULL when pit <= n.  Bad-rate and paid-up-rate outputs are part of the schema but always NULL."""
     p = T.ident(pit)
-    pre = f"per{n}"
-    df, c, temp = _with_counts(df, T.ident(dlq), T.ident(gbipx), f"({p} - {n})", n, pre)
-    total = f"({c['cnt_g']} + {c['cnt_b']} + {c['cnt_p']})"
-    vals = {
-        pre: _label_sql(c, n),
-        f"{pre}_grp": _grp_sql(_nz_sql(total), n, "PER"),
-        f"bad_rate_{n}m": "CAST(NULL AS INT)",
-        f"doubtful_debt_{n}m": f"CAST(CASE WHEN {c['cnt_4']} >= 1 THEN 1 END AS INT)",
-        f"paid_up_{n}m": "CAST(NULL AS INT)",
-        f"{pre}_gds": _nz_sql(c["cnt_g"]),
-        f"{pre}_bad": _nz_sql(c["cnt_b"]),
-        f"{pre}_pup": _nz_sql(c["cnt_p"]),
-        f"{pre}_crd": _nz_sql(c["cnt_c"]),
-        f"{pre}_cnt": _nz_sql(total),
-    }
-    staged = df.withColumns({k: F.expr(f"CASE WHEN {p} > {n} THEN {v} END") for k, v in vals.items()})
-    # goods / bads / paid-up read the first letter of the label computed above
-    first = f"substr({T.ident(pre)}, 1, 1)"
-    goods, bads, paid = (f"CAST(CASE WHEN {first} = '{x}' THEN 1 END AS INT)" for x in "GBP")
-    more = {
-        f"goods_{n}": goods,
-        f"bads_{n}": bads,
-        f"paidup_{n}": paid,
-        f"{pre}_gbp": f"CASE WHEN {T.ident(pre)} IS NOT NULL THEN "
-                      + _nz_sql(f"(coalesce({goods}, 0) + coalesce({bads}, 0) + coalesce({paid}, 0))") + " END",
-    }
+    specs = [(f"per{n}", T.ident(dlq), T.ident(gbipx), f"({p} - {n})", n) for n in ns]
+    staged, refs, temp = _with_counts(df, specs)
+    out, more = {}, {}
+    for pre, _, _, _, n in specs:
+        c = refs[pre]
+        total = f"({c['cnt_g']} + {c['cnt_b']} + {c['cnt_p']})"
+        vals = {
+            pre: _label_sql(c, n),
+            f"{pre}_grp": _grp_sql(_nz_sql(total), n, "PER"),
+            f"bad_rate_{n}m": "CAST(NULL AS INT)",
+            f"doubtful_debt_{n}m": f"CAST(CASE WHEN {c['cnt_4']} >= 1 THEN 1 END AS INT)",
+            f"paid_up_{n}m": "CAST(NULL AS INT)",
+            f"{pre}_gds": _nz_sql(c["cnt_g"]),
+            f"{pre}_bad": _nz_sql(c["cnt_b"]),
+            f"{pre}_pup": _nz_sql(c["cnt_p"]),
+            f"{pre}_crd": _nz_sql(c["cnt_c"]),
+            f"{pre}_cnt": _nz_sql(total),
+        }
+        out.update({k: f"CASE WHEN {p} > {n} THEN {v} END" for k, v in vals.items()})
+        # goods / bads / paid-up read the first letter of the label computed in the first projection
+        first = f"substr({T.ident(pre)}, 1, 1)"
+        goods, bads, paid = (f"CAST(CASE WHEN {first} = '{x}' THEN 1 END AS INT)" for x in "GBP")
+        more.update({
+            f"goods_{n}": goods,
+            f"bads_{n}": bads,
+            f"paidup_{n}": paid,
+            f"{pre}_gbp": f"CASE WHEN {T.ident(pre)} IS NOT NULL THEN "
+                          + _nz_sql(f"(coalesce({goods}, 0) + coalesce({bads}, 0) + coalesce({paid}, 0))") + " END",
+        })
+    staged = staged.withColumns({k: F.expr(v) for k, v in out.items()})
     return staged.withColumns({k: F.expr(v) for k, v in more.items()}).drop(*temp)
 
 
+def performance_window(df: DataFrame, n: int, pit="pit", dlq="dlq_profile", gbipx="gbipx_profile") -> DataFrame:
+    return performance_windows(df, [n], pit, dlq, gbipx)
+
+
 def payment_defaulters(df: DataFrame, pit="pit", dlq="dlq_profile") -> DataFrame:
     """First/second/third-instalment default flags: the months after pit read 1, 21, 321."""
     p, d = col(pit), col(dlq)

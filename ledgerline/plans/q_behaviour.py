@@ -161,9 +161,7 @@ def accounts_with_profiles(spark, sf_dir) -> DataFrame:
 
 def accounts_with_state(spark, sf_dir) -> DataFrame:
     df = B.delinquency_attributes(accounts_with_profiles(spark, sf_dir))
-    for n in OBS_WINDOWS:
-        df = B.observation_window(df, n)
-    return B.account_state(df)
+    return B.account_state(B.observation_windows(df, OBS_WINDOWS))
 
 
 @query("delinquency_attributes", oracle=f"WITH {_ACC} SELECT * FROM {delinquency_sql('fx_accounts')}")
@@ -182,9 +180,7 @@ GBIPX_WINDOWS = (1, 6, 12, 18, 24)
 )
 def q_gbipx_window(spark, sf_dir):
     df = fixture(spark, sf_dir, "fx_profiles").select("account", "pit", "dlq_profile", "gbipx_profile")
-    for n in GBIPX_WINDOWS:
-        df = B.gbipx_window(df, n)
-    return df
+    return B.gbipx_windows(df, GBIPX_WINDOWS)
 
 
 @query(
@@ -195,9 +191,7 @@ def q_gbipx_window(spark, sf_dir):
 )
 def q_observation_window(spark, sf_dir):
     df = fixture(spark, sf_dir, "fx_profiles").select("account", "pit", "dlq_profile", "gbipx_profile")
-    for n in OBS_WINDOWS:
-        df = B.observation_window(df, n)
-    return df
+    return B.observation_windows(df, OBS_WINDOWS)
 
 
 PERF_WINDOWS = (1, 3, 6, 9, 12)
@@ -211,9 +205,7 @@ PERF_WINDOWS = (1, 3, 6, 9, 12)
 )
 def q_performance_window(spark, sf_dir):
     df = fixture(spark, sf_dir, "fx_profiles").select("account", "pit", "dlq_profile", "gbipx_profile")
-    for n in PERF_WINDOWS:
-        df = B.performance_window(df, n)
-    return df
+    return B.performance_windows(df, PERF_WINDOWS)
 
 
 @query(
@@ -250,8 +242,7 @@ def _beh_sql() -> str:
 )
 def q_account_behaviour(spark, sf_dir):
     df = fixture(spark, sf_dir, "fx_profiles")
-    for n in GBIPX_WINDOWS:
-        df = B.gbipx_window(df, n)
+    df = B.gbipx_windows(df, GBIPX_WINDOWS)
     df = df.select("account", *[f"b{n:02d}" for n in GBIPX_WINDOWS])
     df = B.account_behaviour(df)
     return B.account_behaviour(df, case_sensitive=True)
@@ -282,9 +273,7 @@ FROM g""",
 def q_customer_behaviour(spark, sf_dir):
     """Account behaviour and MOB class per account, rolled up per identity key (first 10 ID characters)."""
     df = fixture(spark, sf_dir, "fx_profiles")
-    for n in GBIPX_WINDOWS:
-        df = B.gbipx_window(df, n)
-    df = B.account_behaviour(df)
+    df = B.account_behaviour(B.gbipx_windows(df, GBIPX_WINDOWS))
     df = df.withColumns(P.mob_category(P.generate_mob_profile("mob_start")))
     ids = fixture(spark, sf_dir, "fx_identities").select(F.col("rec").alias("account"), F.substring("id_raw", 1, 10).alias("idkey"))
     return B.customer_behaviour(df.join(ids, "account"), "idkey")

@@ -21,8 +21,7 @@ YOY, PER = "2024", "2024"
 def account_view(spark, sf_dir) -> DataFrame:
     """One row per account with every measure the portfolio summary sums."""
     df = accounts_with_state(spark, sf_dir)
-    for n in PF.PERIODS:
-        df = B.performance_window(df, n)
+    df = B.performance_windows(df, PF.PERIODS)
     df = B.payment_defaulters(df)
     df = B.doubtful_debt(df)
     df = B.account_transition(df, 1)

@@ -27,7 +27,7 @@ LOCAL_CONF = {
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     # A fused stage whose generated method passes the JIT's size limit runs as
     # separate (split, compiled) projections instead of one interpreted method.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.codegen.hugeMethodLimit": os.environ.get("LEDGERLINE_HUGE_METHOD_LIMIT", "8000"),
     "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
