@@ -171,3 +171,37 @@ def test_plans_stay_in_the_jvm_and_never_gather_to_one_partition(spark):
             if "Exchange SinglePartition" in line:
                 # only global aggregates may gather (one partial row per task), never rows
                 assert "HashAggregate(keys=[]" in lines[i + 1], (key, line)
+
+
+def test_ordered_lag_equals_whole_key_lag(spark):
+    from pyspark.sql import Window
+
+    from ledgerline.functions.sequences import ordered_lag
+
+    rnd = random.Random(5)
+    rows = []
+    for rec in range(1, 3001):
+        key = 0 if rec % 3 == 0 else (None if rec % 17 == 0 else rnd.randrange(1, 60))  # key 0: a third of the rows
+        d = None if rec % 97 == 0 else dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(0, 40))
+        rows.append(Row(k=key, d=d, rec=rec, v=rnd.randrange(0, 1000)))
+    df = spark.createDataFrame(rows, "k int, d date, rec int, v int")
+    for split, rest in ((("d", True),), (("rec", False),)), ((("d", False),), (("rec", True),)):
+        got = ordered_lag(df, ["k"], list(split), list(rest), ["d", "rec", "v"])
+        w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in split + rest])
+        want = df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in ("d", "rec", "v")})
+        cols = ["rec", "prev_d", "prev_rec", "prev_v"]
+        assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_ordered_row_number_equals_whole_key_row_number(spark):
+    from pyspark.sql import Window
+
+    from ledgerline.functions.sequences import ordered_row_number
+
+    rnd = random.Random(9)
+    rows = [Row(k=0 if i % 3 == 0 else rnd.randrange(1, 40), d=None if i % 89 == 0 else dt.date(2021, 1, 1) + dt.timedelta(days=rnd.randrange(0, 30)),
+                rec=i) for i in range(1, 2001)]
+    df = spark.createDataFrame(rows, "k int, d date, rec int")
+    got = ordered_row_number(df, ["k"], [("d", True)], [("rec", True)], out="rn")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(F.col("d").asc_nulls_first(), "rec")))
+    assert sorted(got.select("rec", "rn").collect()) == sorted(want.select("rec", "rn").collect())
