@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import sqltext as T
-from ledgerline.functions.rules import all_null, any_equal, col, contains, count_char, first_match, first_match_index, flag, pick
+from ledgerline.functions.rules import all_null, any_equal, col, first_match, first_match_index, flag, pick
 
 # ------------------------------------------------------------------ delinquency
 
