@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.rules import first_match
 
 
 @dataclass(frozen=True)
@@ -47,71 +46,63 @@ COLS = dict(
 )
 
 
-def _c(k: str) -> Column:
-    return F.col(COLS[k])
+def _c(k: str) -> str:
+    return f"`{COLS[k]}`"
 
 
-def _z(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
+def _z(x: str) -> str:
+    return f"coalesce({x}, 0)"
 
 
-def _lookup(col_: Column, idx: int) -> Column:
-    m = F.create_map(*[x for row in CURE_TABLE for x in (F.lit(row[0]), F.lit(row[idx]))])
-    return F.try_element_at(m, col_)
+def _d(v: float) -> str:
+    """A double literal (a bare decimal literal would be DECIMAL in Spark SQL)."""
+    return f"{float(v)!r}D"
 
 
-def _min1(x: Column) -> Column:
-    return F.when(x.isNotNull(), F.least(F.lit(1.0), x))
+def _lookup(col_: str, idx: int) -> str:
+    pairs = ", ".join(f"{row[0]}, {row[idx]!r}" + ("D" if isinstance(row[idx], float) else "") for row in CURE_TABLE)
+    return f"try_element_at(map({pairs}), {col_})"
 
 
-def _discount(rate: Column, ttd: Column, ttwo: Column) -> Column:
-    return F.pow(F.lit(1.0) + rate, (-ttd - ttwo) / F.lit(12.0))
+def _discount(rate: str, ttd: str, ttwo: str) -> str:
+    return f"pow(1.0D + {rate}, (-{ttd} - {ttwo}) / 12.0D)"
+
+
+def _exprs(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    return df.withColumns({k: F.expr(v) for k, v in cols.items()})
 
 
 def stage_columns(df: DataFrame, vintage: int, cure: bool = True) -> DataFrame:
     """stage_fix (+ V3 cure, cure_adjustment, stage_cure), pd_use, avg_rem_time."""
     gbx, bd, dlq, stage = _c("gbx"), _c("bd_use"), _c("dlq"), _c("stage")
-    bad = (bd == 1) | (_c("wof") == 1) if vintage == 2 else (bd == 1)
-    stage_fix = first_match([(gbx == "X", 4), (bad, 5), (dlq == "4", 3)], stage.cast("int"))
-    out = df.withColumn("stage_fix", stage_fix.cast("int"))
-    sf = F.col("stage_fix")
+    bad = f"({bd} = 1 OR {_c('wof')} = 1)" if vintage == 2 else f"{bd} = 1"
+    stage_fix = f"CAST(CASE WHEN {gbx} = 'X' THEN 4 WHEN {bad} THEN 5 WHEN {dlq} = '4' THEN 3 ELSE CAST({stage} AS INT) END AS INT)"
+    out = _exprs(df, {"stage_fix": stage_fix})
+    sf = "stage_fix"
     if vintage == 3:
         n, t = _c("n_def"), _c("t_def")
         first_cure, full_cure = _lookup(n, 2), _lookup(n, 4)
-        cure_state = first_match(
-            [
-                (sf == 4, "DECEASED"),
-                (sf == 5, "WO"),
-                (dlq.isin("4", "A"), "DEFAULT"),
-                ((n == 1) & (sf <= 2), "PERF"),
-                (t == 0, "DEFAULT"),
-                (n > 5, ">5 DEFAULTS"),
-                (n.isNull() | t.isNull() | first_cure.isNull(), "DEFAULT"),
-                (t < first_cure, "DEFAULT"),
-                (t < full_cure, "PARTIAL CURE"),
-                (t >= first_cure, "PURE CURE"),
-            ],
-            "DEFAULT",
-        )
-        out = out.withColumn("cure", cure_state)
-        cur = F.col("cure")
-        adj = F.lit(1.0) if not cure else F.when(cur == "PARTIAL CURE", _lookup(n, 3).cast("double")).otherwise(F.lit(1.0))
-        stage_cure = F.when(
-            (sf == 3) & cur.isin("PURE CURE", "PARTIAL CURE"),
-            first_match([(dlq.isin("C", "P", "0"), 1), (dlq == "1", 2)], 3),
-        ).otherwise(sf)
-        out = out.withColumns({"cure_adjustment": adj, "stage_cure": stage_cure.cast("int")})
-        st = F.col("stage_cure") if cure else sf
-        hi = (st == 3) | sf.isin(4, 5)
-        pd_use = first_match([(hi, _c("pd3")), (st == 2, _c("pd2"))], _c("pd1"))
-        rem = _c("avg_rem") - _c("ttd") + 0
-        avg = F.when(hi, _c("avg_rem")).otherwise(F.when(rem.isNotNull(), F.ceil(F.greatest(F.lit(0), rem))))
+        cure_state = f"""CASE WHEN {sf} = 4 THEN 'DECEASED' WHEN {sf} = 5 THEN 'WO' WHEN {dlq} IN ('4', 'A') THEN 'DEFAULT'
+            WHEN {n} = 1 AND {sf} <= 2 THEN 'PERF' WHEN {t} = 0 THEN 'DEFAULT' WHEN {n} > 5 THEN '>5 DEFAULTS'
+            WHEN {n} IS NULL OR {t} IS NULL OR {first_cure} IS NULL THEN 'DEFAULT'
+            WHEN {t} < {first_cure} THEN 'DEFAULT' WHEN {t} < {full_cure} THEN 'PARTIAL CURE'
+            WHEN {t} >= {first_cure} THEN 'PURE CURE' ELSE 'DEFAULT' END"""
+        out = _exprs(out, {"cure": cure_state})
+        adj = "1.0D" if not cure else f"CASE WHEN cure = 'PARTIAL CURE' THEN CAST({_lookup(n, 3)} AS DOUBLE) ELSE 1.0D END"
+        stage_cure = (f"CAST(CASE WHEN {sf} = 3 AND cure IN ('PURE CURE', 'PARTIAL CURE') THEN "
+                      f"CASE WHEN {dlq} IN ('C', 'P', '0') THEN 1 WHEN {dlq} = '1' THEN 2 ELSE 3 END ELSE {sf} END AS INT)")
+        out = _exprs(out, {"cure_adjustment": adj, "stage_cure": stage_cure})
+        st = "stage_cure" if cure else sf
+        hi = f"({st} = 3 OR {sf} IN (4, 5))"
+        pd_use = f"CASE WHEN {hi} THEN {_c('pd3')} WHEN {st} = 2 THEN {_c('pd2')} ELSE {_c('pd1')} END"
+        rem = f"({_c('avg_rem')} - {_c('ttd')} + 0)"
+        avg = f"CASE WHEN {hi} THEN {_c('avg_rem')} ELSE CASE WHEN {rem} IS NOT NULL THEN ceil(greatest(0, {rem})) END END"
     else:
-        pd_use = first_match([(sf.isin(3, 4, 5), _c("pd3")), (sf == 2, _c("pd2"))], _c("pd1"))
-        rem = _c("avg_rem") - _c("ttd") + 2
-        avg = F.when(sf.isin(3, 4, 5), _c("avg_rem")).otherwise(F.when(rem.isNotNull(), F.ceil(F.greatest(F.lit(0), rem))))
-    lgd_use = F.when(sf.isin(1, 2), _c("lgd_new")).otherwise(_c("lgd_curve"))
-    return out.withColumns({"pd_use": pd_use, "lgd_use": lgd_use, "avg_rem_time": avg.cast("int")})
+        pd_use = f"CASE WHEN {sf} IN (3, 4, 5) THEN {_c('pd3')} WHEN {sf} = 2 THEN {_c('pd2')} ELSE {_c('pd1')} END"
+        rem = f"({_c('avg_rem')} - {_c('ttd')} + 2)"
+        avg = f"CASE WHEN {sf} IN (3, 4, 5) THEN {_c('avg_rem')} ELSE CASE WHEN {rem} IS NOT NULL THEN ceil(greatest(0, {rem})) END END"
+    lgd_use = f"CASE WHEN {sf} IN (1, 2) THEN {_c('lgd_new')} ELSE {_c('lgd_curve')} END"
+    return _exprs(out, {"pd_use": pd_use, "lgd_use": lgd_use, "avg_rem_time": f"CAST({avg} AS INT)"})
 
 
 def ecl_by_stage(df: DataFrame, vintage: int) -> DataFrame:
@@ -122,55 +113,51 @@ def ecl_by_stage(df: DataFrame, vintage: int) -> DataFrame:
     out = {}
     for n in (1, 2, 3):
         if vintage == 1:
-            lgd = lgd_new if n < 3 else lgd_curve
-            lgd = _z(lgd) if n < 3 else lgd
-            a = _z(bal) * _z(pit_pd) * _z(pds[n]) * _z(ead) * lgd * _z(pit_lgd) * (F.lit(1) - _z(pwor))
+            lgd = _z(lgd_new) if n < 3 else lgd_curve
+            a = f"{_z(bal)} * {_z(pit_pd)} * {_z(pds[n])} * {_z(ead)} * {lgd} * {_z(pit_lgd)} * (1 - {_z(pwor)})"
             b = _discount(_z(rate), _z(ttd), _z(ttwo))
         elif vintage == 2:
             lgd = lgd_new if n < 3 else lgd_curve
-            a = bal * pit_pd * pds[n] * ead * lgd * pit_lgd * (F.lit(1) - pwor)
+            a = f"{bal} * {pit_pd} * {pds[n]} * {ead} * {lgd} * {pit_lgd} * (1 - {pwor})"
             b = _discount(rate, ttd, ttwo)
         else:
             lgd = _z(lgd_new if n < 3 else lgd_curve)
-            a = (_z(bal) * _z(pit_pd)) * _z(pds[n]) * _z(ead) * (lgd * _z(pit_lgd) * (F.lit(1) - _z(pwor)))
-            b = F.pow(F.lit(1) + _z(rate), -(_z(ttd) + _z(ttwo)) / F.lit(12))
-        out[f"ecl_{n}"] = a * b
-    return df.withColumns(out)
+            a = f"({_z(bal)} * {_z(pit_pd)}) * {_z(pds[n])} * {_z(ead)} * ({lgd} * {_z(pit_lgd)} * (1 - {_z(pwor)}))"
+            b = f"pow(1 + {_z(rate)}, -({_z(ttd)} + {_z(ttwo)}) / 12)"
+        out[f"ecl_{n}"] = f"({a}) * {b}"
+    return _exprs(df, out)
 
 
 def updated_stage(df: DataFrame, vintage: int, cure: bool = True) -> DataFrame:
-    sf, e2, e3 = F.col("stage_fix"), F.col("ecl_2"), F.col("ecl_3")
     if vintage in (1, 2):
-        us = F.when((sf == 3) & (e2 > e3), 2).otherwise(sf)
+        us = "CASE WHEN stage_fix = 3 AND ecl_2 > ecl_3 THEN 2 ELSE stage_fix END"
     else:
-        sc = F.col("stage_cure")
-        st = sc if cure else sf
-        us = F.when((_c("bal") < 0) & (sc <= 3), -1).otherwise(F.when((st == 3) & (e3 < e2), 2).otherwise(st))
-    return df.withColumn("updated_stage", us.cast("int"))
+        st = "stage_cure" if cure else "stage_fix"
+        us = (f"CASE WHEN {_c('bal')} < 0 AND stage_cure <= 3 THEN -1 "
+              f"ELSE CASE WHEN {st} = 3 AND ecl_3 < ecl_2 THEN 2 ELSE {st} END END")
+    return _exprs(df, {"updated_stage": f"CAST({us} AS INT)"})
 
 
 def ecl_amount(df: DataFrame, vintage: int) -> DataFrame:
     """The account's ECL at its own stage (bad-debt amount in stage 5)."""
-    sf, bal, pit_pd = F.col("stage_fix"), _c("bal"), _c("pit_pd")
-    pd_use, ead, lgd_use, pit_lgd, pwor = F.col("pd_use"), _c("ead"), F.col("lgd_use"), _c("pit_lgd"), _c("pwor")
+    bal, pit_pd, ead, pit_lgd, pwor = _c("bal"), _c("pit_pd"), _c("ead"), _c("pit_lgd"), _c("pwor")
     rate, ttd, ttwo, bdt, wof = _c("rate"), _c("ttd"), _c("ttwo"), _c("bdt"), _c("wof")
     if vintage == 1:
-        a = pd_use * ead * lgd_use * pit_lgd * (F.lit(1) - pwor)
-        b = F.pow(F.lit(1) + rate, F.lit(-1) * (ttd + _z(ttwo)) / F.lit(12))
-        k = F.when(sf == 1, _z(bal) * pit_pd).otherwise(_z(bal) * F.lit(1.0))
-        e = F.when(sf == 5, bdt).otherwise(k * a * b)
+        a = f"(pd_use * {ead} * lgd_use * {pit_lgd} * (1 - {pwor}))"
+        b = f"pow(1 + {rate}, -1 * ({ttd} + {_z(ttwo)}) / 12)"
+        k = f"CASE WHEN stage_fix = 1 THEN {_z(bal)} * {pit_pd} ELSE {_z(bal)} * 1.0D END"
+        e = f"CASE WHEN stage_fix = 5 THEN {bdt} ELSE ({k}) * {a} * {b} END"
     elif vintage == 2:
-        a = pd_use * ead * lgd_use * pit_lgd * (F.lit(1) - pwor)
-        b = F.pow(F.lit(1) + rate, F.lit(-1) * (ttd + ttwo) / F.lit(12))
-        k = F.when(sf == 1, bal * pit_pd).otherwise(bal * F.lit(1.0))
-        e = F.when((sf == 5) & (wof == 0), bdt).otherwise(k * a * b)
+        a = f"(pd_use * {ead} * lgd_use * {pit_lgd} * (1 - {pwor}))"
+        b = f"pow(1 + {rate}, -1 * ({ttd} + {ttwo}) / 12)"
+        k = f"CASE WHEN stage_fix = 1 THEN {bal} * {pit_pd} ELSE {bal} * 1.0D END"
+        e = f"CASE WHEN stage_fix = 5 AND {wof} = 0 THEN {bdt} ELSE ({k}) * {a} * {b} END"
     else:
-        us = F.col("updated_stage")
-        pit = F.when(us == 1, F.lit(1.0)).otherwise(pit_pd)
-        a = (bal * pit) * pd_use * ead * (lgd_use * pit_lgd * (F.lit(1) - pwor))
-        b = F.pow(F.lit(1) + rate, -(ttd + ttwo) / F.lit(12))
-        e = F.when(us == 5, bdt).otherwise(a * b)
-    return df.withColumn("ecl", e.cast("double"))
+        pit = f"CASE WHEN updated_stage = 1 THEN 1.0D ELSE {pit_pd} END"
+        a = f"({bal} * {pit}) * pd_use * {ead} * (lgd_use * {pit_lgd} * (1 - {pwor}))"
+        b = f"pow(1 + {rate}, -({ttd} + {ttwo}) / 12)"
+        e = f"CASE WHEN updated_stage = 5 THEN {bdt} ELSE ({a}) * {b} END"
+    return _exprs(df, {"ecl": f"CAST({e} AS DOUBLE)"})
 
 
 SCENARIOS = ("base", "upside", "downside")
@@ -178,47 +165,46 @@ SCENARIOS = ("base", "upside", "downside")
 
 def ecl_scenarios(df: DataFrame, vintage: int, params: ScenarioParams = ScenarioParams()) -> DataFrame:
     """PD, LGD and ECL under the base, upside and downside scenarios."""
-    us, sf = F.col("updated_stage"), F.col("stage_fix")
     pd1, pd2, pd3, pit_pd = _c("pd1"), _c("pd2"), _c("pd3"), _c("pit_pd")
     bal, ead, pwor, rate, ttd, ttwo, bdt, wof = (_c(k) for k in ("bal", "ead", "pwor", "rate", "ttd", "ttwo", "bdt", "wof"))
     out = {}
     for s in SCENARIOS:
-        spd, slgd = F.lit(getattr(params, f"{s}_pd")), F.lit(getattr(params, f"{s}_lgd"))
+        spd, slgd = _d(getattr(params, f"{s}_pd")), _d(getattr(params, f"{s}_lgd"))
         if vintage == 3:
-            low = pd1 * pit_pd * F.col("cure_adjustment") * spd
-            mid = pd2 * spd
+            low, mid = f"{pd1} * {pit_pd} * cure_adjustment * {spd}", f"{pd2} * {spd}"
         else:
-            low = pd1 * pit_pd * spd
-            mid = pd2 * spd if s == "base" else pd2 * pit_pd * spd
-        pdv = _min1(first_match([(us.isin(3, 4, 5), pd3), (us == 2, mid)], low))
-        base_lgd = F.when(us.isin(1, 2), _c("lgd_new")).otherwise(_c("lgd_curve"))
-        lgdv = (base_lgd * _c("pit_lgd")) * slgd if vintage == 3 else base_lgd * (_c("pit_lgd") * slgd)
-        out[f"pd_{s}"] = pdv
-        out[f"lgd_{s}"] = lgdv
-    staged = df.withColumns(out)
+            low = f"{pd1} * {pit_pd} * {spd}"
+            mid = f"{pd2} * {spd}" if s == "base" else f"{pd2} * {pit_pd} * {spd}"
+        pdx = f"CASE WHEN updated_stage IN (3, 4, 5) THEN {pd3} WHEN updated_stage = 2 THEN {mid} ELSE {low} END"
+        out[f"pd_{s}"] = f"CASE WHEN ({pdx}) IS NOT NULL THEN least(1.0D, {pdx}) END"
+        base_lgd = f"CASE WHEN updated_stage IN (1, 2) THEN {_c('lgd_new')} ELSE {_c('lgd_curve')} END"
+        out[f"lgd_{s}"] = (f"(({base_lgd}) * {_c('pit_lgd')}) * {slgd}" if vintage == 3
+                           else f"({base_lgd}) * ({_c('pit_lgd')} * {slgd})")
+    staged = _exprs(df, out)
     ecl = {}
     for s in SCENARIOS:
-        pdv, lgdv = F.col(f"pd_{s}"), F.col(f"lgd_{s}")
+        pdv, lgdv = f"pd_{s}", f"lgd_{s}"
         if vintage == 1:
-            c = _z(bal) * pdv * ead * (lgdv * (F.lit(1.0) - pwor)) * _discount(rate, ttd, _z(ttwo))
-            e = F.when(sf == 5, F.greatest(F.lit(0.0), bdt)).otherwise(F.greatest(F.lit(0.0), F.coalesce(c, F.lit(0.0))))
+            c = f"{_z(bal)} * {pdv} * {ead} * ({lgdv} * (1.0D - {pwor})) * {_discount(rate, ttd, _z(ttwo))}"
+            e = f"CASE WHEN stage_fix = 5 THEN greatest(0.0D, {bdt}) ELSE greatest(0.0D, coalesce({c}, 0.0D)) END"
         elif vintage == 2:
-            c = bal * pdv * ead * (lgdv * (F.lit(1.0) - pwor)) * _discount(rate, ttd, ttwo)
-            e = F.when((sf == 5) & (wof == 0), bdt).otherwise(c)
+            c = f"{bal} * {pdv} * {ead} * ({lgdv} * (1.0D - {pwor})) * {_discount(rate, ttd, ttwo)}"
+            e = f"CASE WHEN stage_fix = 5 AND {wof} = 0 THEN {bdt} ELSE {c} END"
         else:
-            c = _z(bal) * _z(pdv) * _z(ead) * lgdv * (F.lit(1) - _z(pwor)) * F.pow(F.lit(1) + _z(rate), -(_z(ttd) + _z(ttwo)) / F.lit(12))
-            interim = F.when(F.coalesce(sf, F.lit(0)) == 5, _z(bdt)).otherwise(c)
-            e = F.when(interim.isNotNull(), F.greatest(interim, F.lit(0.0)))
-        ecl[f"ecl_{s}"] = e.cast("double")
-    return staged.withColumns(ecl)
+            c = (f"{_z(bal)} * {_z(pdv)} * {_z(ead)} * {lgdv} * (1 - {_z(pwor)}) "
+                 f"* pow(1 + {_z(rate)}, -({_z(ttd)} + {_z(ttwo)}) / 12)")
+            interim = f"CASE WHEN coalesce(stage_fix, 0) = 5 THEN {_z(bdt)} ELSE {c} END"
+            e = f"CASE WHEN ({interim}) IS NOT NULL THEN greatest({interim}, 0.0D) END"
+        ecl[f"ecl_{s}"] = f"CAST({e} AS DOUBLE)"
+    return _exprs(staged, ecl)
 
 
 def ecl_final(df: DataFrame, vintage: int, params: ScenarioParams = ScenarioParams()) -> DataFrame:
     parts = []
     for s in SCENARIOS:
-        p = F.col(f"ecl_{s}") * F.lit(getattr(params, f"{s}_weight"))
-        parts.append(F.coalesce(p, F.lit(0.0)) if vintage == 1 else p)
-    return df.withColumn("ecl_final", parts[0] + parts[1] + parts[2])
+        p = f"ecl_{s} * {_d(getattr(params, f'{s}_weight'))}"
+        parts.append(f"coalesce({p}, 0.0D)" if vintage == 1 else f"({p})")
+    return _exprs(df, {"ecl_final": " + ".join(parts)})
 
 
 def ecl_pipeline(df: DataFrame, vintage: int, params: ScenarioParams = ScenarioParams(), cure: bool = True) -> DataFrame:
@@ -235,7 +221,7 @@ def ecl_summary(scored: DataFrame, keys=("vintage", "updated_stage")) -> DataFra
     """Portfolio roll-up: ECL and balance per stage (partial aggregation, tiny output)."""
     return scored.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("accounts"),
-        F.sum(_c("bal")).alias("balance"),
+        F.sum(COLS["bal"]).alias("balance"),
         F.sum("ecl").alias("ecl"),
         F.sum("ecl_final").alias("ecl_final"),
     )
