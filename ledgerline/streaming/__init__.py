@@ -1 +1,8 @@
+"""Streaming.
 
+The surveyed library has no streaming sources, sinks or stateful operators,
+so nothing is built here.  Every batch operator in ``ledgerline.operators``
+is a pure DataFrame transformation and can be applied to each micro-batch of
+a Structured Streaming query (``foreachBatch``); ``sources.io_ops.replace_partition``
+is idempotent, which is what a re-played micro-batch needs.
+"""
