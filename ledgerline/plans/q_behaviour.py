@@ -299,8 +299,8 @@ def _transition_sql(ndx: int) -> str:
              f"ELSE replace(delinquency_attribute || {pd_}, ' ', '') END)")
     at, dt = f"{m}[{age_c}]", f"{m}[{dlq_c}]"
     sq = "trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
-    age_txt = sq.format(x=f"replace({sq.format(x=f'replace({at}, {chr(39)}or adverse event{chr(39)}, {chr(39)}{chr(39)})')}, "
-                          f"'or 120 Days and adverse next period', '')")
+    inner = sq.format(x=f"replace({at}, 'or adverse event', '')")
+    age_txt = sq.format(x=f"replace({inner}, 'or 120 Days and adverse next period', '')")
     pre = f"transition_{ndx}"
     return (f"CASE WHEN {pos} >= 1 THEN {age_txt} ELSE '' END AS {pre}_age, CASE WHEN {pos} >= 1 THEN {dt} ELSE '' END AS {pre}_dlq, "
             f"CAST(CASE WHEN {pos} >= 1 AND {at} = {dt} THEN 1 END AS INTEGER) AS {pre}_mat")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerline.operators import dormancy as D
 from ledgerline.plans.catalog import query
 from ledgerline.sources.fixtures import fixture, fixture_cte
@@ -103,5 +101,3 @@ def q_dormant_counts_by_day(spark, sf_dir):
     """Flagship: dormant subscribers per day and channel."""
     return D.dormant_counts_by_day(D.dormancy_report(_activity(spark, sf_dir), MIN_DATE))
 
-
-del F

@@ -9,6 +9,8 @@ tables they read; none holds made-up rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 FIXTURE_SQL: dict[str, str] = {}
@@ -149,7 +151,7 @@ FROM {customer}
 
 
 TABLES_USED = {
-    name: sorted(set(__import__("re").findall(r"\{(\w+)\}", sql))) for name, sql in FIXTURE_SQL.items()
+    name: sorted(set(re.findall(r"\{(\w+)\}", sql))) for name, sql in FIXTURE_SQL.items()
 }
 
 
