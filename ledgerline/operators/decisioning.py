@@ -137,6 +137,25 @@ SEGMENTS = [
             grades=(("615x590", "8"), ("615x655", "7"), ("690x590", "7"), ("690x655", "6"))),
 ]
 
+
+def fixed_segments() -> list:
+    """The segments as evidently intended: the credit-balance step claims credit-balance applications
+    with its own code, the immature matrix is computed for immature applications and the clear step
+    writes its own code."""
+    from dataclasses import replace
+
+    out = []
+    for seg in SEGMENTS:
+        if seg.code == "CRD":
+            seg = replace(seg, states=("CRD Credit Balance",), matrix_states=None, claim_code=None)
+        elif seg.code == "IMM":
+            seg = replace(seg, matrix_states=None)
+        elif seg.code == "CLR":
+            seg = replace(seg, claim_code=None)
+        out.append(seg)
+    return out
+
+
 OUTPUT_FLAGS = ["filter_new_to_credit", "filter_telesales_outbound", "filter_telesales_inbound", "filter_web_service",
                 "filter_first_account_applicant", "filter_immature_state", "filter_xxxxxx_state", "filter_clear_state",
                 "filter_responsible_state", "filter_erratic_state", "filter_arrears_state"]
@@ -178,9 +197,9 @@ def _band(x: str, cuts) -> str:
     return f"CASE WHEN {x} IS NULL THEN NULL ELSE {T.case(rules, T.q(str(cuts[-1])))} END"
 
 
-def decision_waterfall(df: DataFrame) -> DataFrame:
+def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
     """Apply the twelve segments in order; adds segment, outcome, waterfall, matrix, risk grade,
-    the segment filter flags and the activation flags.
+    the segment filter flags and the activation flags.  ``fixed=True`` uses ``fixed_segments()``.
 
     Three projections per segment (claim + policy, matrix + outcome, grade),
     each written as SQL expression text.
@@ -195,7 +214,7 @@ def decision_waterfall(df: DataFrame) -> DataFrame:
             "decision_services_risk_grade": F.lit(None).cast("string"),
         }
     )
-    for seg in SEGMENTS:
+    for seg in (fixed_segments() if fixed else SEGMENTS):
         claim = _claims(seg, seg.states)
         out = out.withColumns(
             {
@@ -207,7 +226,7 @@ def decision_waterfall(df: DataFrame) -> DataFrame:
         )
         computed = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
         # as delivered for IMM: computed for one state, applied to another -> NULL results there
-        applied = _claims(seg, seg.states) if seg.code == "IMM" else computed
+        applied = _claims(seg, seg.states) if seg.code == "IMM" and not fixed else computed
         empty = "(decision_services_waterfall IS NULL OR decision_services_waterfall = '')"
         mat = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
         outcome = f"CASE WHEN {empty} THEN {T.q('Approve ' + seg.grade)} ELSE 'Decline' END"
