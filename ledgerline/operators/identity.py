@@ -82,9 +82,14 @@ def _py_lstrip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+", "")
 
 
-def validate_identities(df: DataFrame, id_col: str = "id_raw", as_of=None, fixed_month_label: bool = False) -> DataFrame:
+def validate_identities(df: DataFrame, id_col: str = "id_raw", as_of=None, fixed_month_label: bool = False,
+                        fixed: bool = False) -> DataFrame:
     """Clean and classify ID numbers; adds id_key, id_type, id_failure, id_dob, id_dobx, id_expand,
-    id_age, id_gender, id_fix, id_report.  ``as_of`` (date) is "today" for the age."""
+    id_age, id_gender, id_fix, id_report.  ``as_of`` (date) is "today" for the age.
+
+    As delivered, company numbers with a short middle part (``yyyy/nnnnn/nn``) keep
+    their text; ``fixed=True`` zero-pads the middle part to six digits, as the
+    identity classifier does."""
     as_of = F.lit(as_of if as_of is not None else _dt.date(2024, 1, 31)).cast("date") if not isinstance(as_of, Column) else as_of
     s0 = _py_lstrip(F.coalesce(col(id_col).cast("string"), F.lit("None")))
     s1 = _py_lstrip(F.when(s0.endswith(".0"), F.substring(s0, F.lit(1), F.length(s0) - 2)).otherwise(s0))
@@ -99,8 +104,10 @@ def validate_identities(df: DataFrame, id_col: str = "id_raw", as_of=None, fixed
     rules = [
         ((n == 13) & digits, "I", f),
         ((n == 14) & (_ch(f, 4) == "/") & (_ch(f, 11) == "/") & slashdig & (head4 > "1800"), "B", f),
-        ((n == 13) & (_ch(f, 4) == "/") & (_ch(f, 10) == "/") & slashdig & (head4 > "1800"), "b", f),
-        ((n == 12) & (_ch(f, 4) == "/") & (_ch(f, 9) == "/") & slashdig & (head4 > "1800"), "b", f),
+        ((n == 13) & (_ch(f, 4) == "/") & (_ch(f, 10) == "/") & slashdig & (head4 > "1800"), "b",
+         _compress(F.concat(_sl(f, 0, 5), F.lit("0"), _sl(f, 5))) if fixed else f),
+        ((n == 12) & (_ch(f, 4) == "/") & (_ch(f, 9) == "/") & slashdig & (head4 > "1800"), "b",
+         _compress(F.concat(_sl(f, 0, 5), F.lit("00"), _sl(f, 5))) if fixed else f),
         ((n == 12) & digits & (head4.try_cast("int") > 1800),
          "b", _compress(F.concat_ws("/", _sl(f, 0, 4), _sl(f, 4, 10), _sl(f, 10)))),
         ((n == 12) & (_ch(f, 2) == "/") & (_ch(f, 9) == "/") & slashdig, "b", _compress(F.concat(F.lit("00"), f))),

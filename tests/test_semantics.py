@@ -242,3 +242,18 @@ def test_decision_waterfall_fixed_segments(spark):
     assert a.get(("CLR Clear", "CRD"), 0) == clr               # as delivered: the clear step writes CRD
     assert a.get(("CRD Credit Balance", "CRD"), 0) == 0
     assert sum(a.values()) == sum(f.values())
+
+
+def test_validate_identities_fixed_pads_company_numbers(spark):
+    ids = ["1990/12345/07", "1990/1234/07", "1990/012345/07"]
+    df = spark.createDataFrame([Row(id_raw=x) for x in ids], "id_raw string")
+    asis = {r.id_raw: r for r in I.validate_identities(df, as_of=dt.date(2024, 1, 31)).collect()}
+    fixed = {r.id_raw: r for r in I.validate_identities(df, as_of=dt.date(2024, 1, 31), fixed=True).collect()}
+    later = {r.id_raw: r for r in I.classify_identities(df).collect()}
+    # as delivered the unpadded middle part shifts the company-type suffix: rejected
+    assert asis["1990/12345/07"].id_failure == "11 Invalid Company Type"
+    assert fixed["1990/12345/07"].id_fix == "1990/012345/07" and fixed["1990/12345/07"].id_failure == ""
+    assert fixed["1990/1234/07"].id_fix == "1990/001234/07" and fixed["1990/1234/07"].id_expand == "Private"
+    assert asis["1990/012345/07"] == fixed["1990/012345/07"]
+    for x in ids:
+        assert fixed[x].id_fix == later[x].idfix
