@@ -31,8 +31,12 @@ def read_source(spark: SparkSession, fmt: str, path: str | None = None, options:
 
 
 def _writer(df: DataFrame, fmt: str, options: dict | None, partition_by: Sequence[str] | None):
-    w = df.write.format(fmt).options(**(options or {}))
-    return w.partitionBy(*partition_by) if partition_by else w
+    if not partition_by:
+        return df.write.format(fmt).options(**(options or {}))
+    # Rows of one partition value go to few tasks (AQE splits a hot value and merges small ones),
+    # so a partitioned write makes about one file per value instead of one per task and value.
+    df = df.hint("rebalance", *partition_by)
+    return df.write.format(fmt).options(**(options or {})).partitionBy(*partition_by)
 
 
 def write_overwrite(df: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
