@@ -257,3 +257,28 @@ def test_validate_identities_fixed_pads_company_numbers(spark):
     assert asis["1990/012345/07"] == fixed["1990/012345/07"]
     for x in ids:
         assert fixed[x].id_fix == later[x].idfix
+
+
+def test_sessions_with_undated_rows_and_null_key(spark):
+    rnd = random.Random(5)
+    rows, rec = [], 0
+    for key in [None, 0, 1, 2]:
+        for _ in range(300 if key == 0 else 25):  # key 0 holds most rows, many on the same days
+            rec += 1
+            d = None if rnd.random() < 0.2 else dt.date(2021, 1, 1) + dt.timedelta(days=rnd.randrange(0, 60))
+            rows.append((rec, key, d))
+    df = spark.createDataFrame(rows, "app_record_number long, idkey long, app_date date").repartition(4)
+    got = A.sessionize_applications(df, day=14).collect()
+    assert len(got) == len(rows)
+    for key in [None, 0, 1, 2]:
+        mine = [r for r in got if r.idkey == key]
+        undated = sorted((r for r in mine if r.app_date is None), key=lambda r: r.app_record_number)
+        assert [r.dup_application_sequence for r in undated] == list(range(len(undated)))
+        assert all(r.dup_applicant == "N" for r in undated)
+        dated = [r for r in mine if r.app_date is not None]
+        want = sorted((d, s + len(undated)) for d, s in _brute_sessions([r.app_date for r in dated], 14))
+        assert sorted((r.app_date, r.dup_application_sequence) for r in dated) == want, key
+        firsts = {}
+        for r in sorted(dated, key=lambda r: (r.app_date, r.app_record_number)):
+            firsts.setdefault(r.dup_application_sequence, r.app_record_number)
+        assert {r.app_record_number for r in dated if r.dup_applicant == "N"} == set(firsts.values())
