@@ -282,3 +282,24 @@ def test_sessions_with_undated_rows_and_null_key(spark):
         for r in sorted(dated, key=lambda r: (r.app_date, r.app_record_number)):
             firsts.setdefault(r.dup_application_sequence, r.app_record_number)
         assert {r.app_record_number for r in dated if r.dup_applicant == "N"} == set(firsts.values())
+
+
+def test_scans_read_only_the_needed_columns(spark):
+    import os
+
+    import pyarrow.parquet as pq
+
+    import __spark_entry__ as E
+    from tools.plan_audit import audit
+
+    sf = "/root/testdata/sf0.001"
+    widths = {f[:-8]: len(pq.read_schema(os.path.join(sf, f)).names) for f in os.listdir(sf) if f.endswith(".parquet")}
+    qs = E.queries()
+    for key in ("classify_transactions", "transaction_summary", "decision_report", "match_applications_contracts",
+                "dormancy_report", "portfolio_performance", "column_extrema"):
+        plan = qs[key](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        _, _, scans, issues = audit(plan, widths)
+        assert scans and not issues, (key, issues)
+        for s in scans:
+            read, total = s.split(":")[1].split(" ")[0].split("/")
+            assert int(read) < int(total), (key, s)
