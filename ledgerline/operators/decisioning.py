@@ -201,7 +201,7 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
     """Apply the twelve segments in order; adds segment, outcome, waterfall, matrix, risk grade,
     the segment filter flags and the activation flags.  ``fixed=True`` uses ``fixed_segments()``.
 
-    Three projections per segment (claim + policy, matrix + outcome, grade),
+    Two projections per segment (claim + policy; matrix, outcome and grade),
     each written as SQL expression text.
     """
     out = df.withColumns(
@@ -231,8 +231,16 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
         mat = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
         outcome = f"CASE WHEN {empty} THEN {T.q('Approve ' + seg.grade)} ELSE 'Decline' END"
         new_wf = f"CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE decision_services_waterfall END"
+        step = {}
+        if seg.grades:
+            # grade of the matrix just computed (one map lookup), else the grade already set
+            grades = "map(" + ", ".join(f"{T.q(k)}, {T.q(v)}" for k, v in seg.grades) + ")"
+            step["decision_services_risk_grade"] = F.expr(
+                f"CASE WHEN {applied} THEN coalesce(try_element_at({grades}, CASE WHEN {computed} THEN {mat} END), "
+                f"decision_services_risk_grade) ELSE decision_services_risk_grade END")
         out = out.withColumns(
             {
+                **step,
                 "decision_services_outcome": F.expr(
                     f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {outcome} END ELSE decision_services_outcome END"),
                 "decision_services_waterfall": F.expr(
@@ -241,10 +249,6 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
                     f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {mat} END ELSE decision_services_matrix END"),
             }
         )
-        if seg.grades:
-            g = T.case([(f"{applied} AND decision_services_matrix = {T.q(k)}", T.q(v)) for k, v in seg.grades],
-                       "decision_services_risk_grade")
-            out = out.withColumn("decision_services_risk_grade", F.expr(g))
     out = out.withColumn("decision_services_segment", F.expr("coalesce(decision_services_segment, 'XXX')"))
     out = out.withColumns(
         {
