@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, packing, token_files
+from ledgerline.llm import exact_dedup, license_scan, packing, token_files
 from ledgerline.llm.common import table
 
 
@@ -31,8 +31,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op5_token_files, op6_exact_dedup)
+    f.__name__: f for f in (op1_pack_best_fit, op5_token_files, op6_exact_dedup, op10_license_scan)
 }
 
 ORACLES: dict[str, str] = {
