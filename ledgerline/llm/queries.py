@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, license_scan, packing, token_files
+from ledgerline.llm import exact_dedup, license_scan, packing, token_files, warc
 from ledgerline.llm.common import table
 
 
@@ -21,6 +21,12 @@ def op1_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary(), capacity=1024, end_id=2)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc.build_index(spark, warc.write_archive(spark, pages))
+    return warc.read_records(spark, warc.lookup(spark, manifest, pages.select("url")))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_shards(spark, table(spark, sf_dir, "documents"), vocabulary(), end_id=0)
     return token_files.read_documents(spark, manifest).drop("shard")
@@ -36,10 +42,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op5_token_files, op6_exact_dedup, op10_license_scan)
+    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op5_token_files, op6_exact_dedup, op10_license_scan)
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM g
+""",
     "op6_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                            'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),

@@ -52,7 +52,7 @@ class ShardWriter:
     def __init__(self, uri: str, bits: int, per_block: int):
         fs, path = file_system(uri)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
-        self.out = fs.open_output_stream(path)
+        self.out = fs.open_output_stream(path, compression=None)
         self.out.write(MAGIC)
         self.bits, self.per_block, self.at = bits, per_block, len(MAGIC)
         self.offsets, self.starts, self.doc_ids, self.nulls = [self.at], [0], [], []
