@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, license_scan, packing, token_files, warc
+from ledgerline.llm import exact_dedup, license_scan, packing, quality, token_files, toxicity, warc
 from ledgerline.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.lookup(spark, manifest, pages.select("url")))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_shards(spark, table(spark, sf_dir, "documents"), vocabulary(), end_id=0)
     return token_files.read_documents(spark, manifest).drop("shard")
@@ -37,12 +41,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op5_token_files, op6_exact_dedup, op10_license_scan)
+    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op4_quality, op5_token_files, op6_exact_dedup, op9_toxicity, op10_license_scan)
 }
 
 ORACLES: dict[str, str] = {
