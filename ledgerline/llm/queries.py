@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, license_scan, packing, quality, token_files, toxicity, warc
+from ledgerline.llm import (
+    decontamination, exact_dedup, license_scan, packing, quality, token_files, toxicity, warc,
+)
 from ledgerline.llm.common import table
 
 
@@ -41,6 +43,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "first_word", "n_words", "similarity", "hamming")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,7 +57,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op4_quality, op5_token_files, op6_exact_dedup, op9_toxicity, op10_license_scan)
+    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op4_quality, op5_token_files, op6_exact_dedup, op8_decontamination, op9_toxicity, op10_license_scan)
 }
 
 ORACLES: dict[str, str] = {
