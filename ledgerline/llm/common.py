@@ -49,3 +49,15 @@ def file_system(uri: str):
 def attempt_name(prefix: str, suffix: str) -> str:
     """A file name that no other task attempt uses; only committed manifests name the valid ones."""
     return f"{prefix}-{uuid.uuid4().hex}{suffix}"
+
+
+def keep_rows(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named in ``stay`` (doc_id, text_key = xxhash64 of the text, once), with all their columns.
+
+    Rows equal in id and text stay together, or as one if ``once``; which, is not defined if their other columns differ."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_doc"),
+                       F.xxhash64(text_or_empty()).alias("_key"))
+    stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "once")
+    hit = rows.join(stay, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")))
+    single = hit.filter("once").groupBy("_doc", "_key").agg(F.first("row").alias("row")).select("row.*")
+    return single.unionByName(hit.filter("NOT once").select("row.*"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    decontamination, exact_dedup, license_scan, packing, quality, token_files, toxicity, warc,
+    decontamination, exact_dedup, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
 )
 from ledgerline.llm.common import table
 
@@ -29,6 +29,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.lookup(spark, manifest, pages.select("url")))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,7 +61,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op4_quality, op5_token_files, op6_exact_dedup, op8_decontamination, op9_toxicity, op10_license_scan)
+    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op8_decontamination, op9_toxicity, op10_license_scan)
 }
 
 ORACLES: dict[str, str] = {
