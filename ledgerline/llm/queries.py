@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    decontamination, exact_dedup, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
+    decontamination, exact_dedup, language_model, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
 )
 from ledgerline.llm.common import table
 
@@ -47,6 +47,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "first_word", "n_words", "similarity", "hamming")
@@ -61,7 +65,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op8_decontamination, op9_toxicity, op10_license_scan)
+    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op7_language_model, op8_decontamination, op9_toxicity, op10_license_scan)
 }
 
 ORACLES: dict[str, str] = {

@@ -14,6 +14,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
 MULTIPLIERS = _RNG.integers(0, 2**64, 16, dtype=np.uint64) | np.uint64(1)
 STEP = 1 << 20
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 #: Bytes that part words: ASCII white space.
 WHITE = np.zeros(256, bool)
@@ -57,8 +59,9 @@ def _pieces(text: bytes, gap: np.ndarray) -> list[bytes]:
     return [*out, text[first:]]
 
 
-def word_hashes(texts: list[bytes], gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, word offsets of the texts).  ``gap``: which byte values part words.
+def word_hashes(texts: list[bytes], gap: np.ndarray, tails: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, word offsets of the texts).  ``gap``: which byte values part words.  ``tails`` gets arrays
+    of the words' last two bytes as one number (of the last byte alone for words of one byte), lower case.
 
     Works on about STEP bytes at a time; a longer text is cut between words."""
     codes = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), _CODES[(np.arange(256) + 32) % 256], _CODES)
@@ -85,6 +88,9 @@ def word_hashes(texts: list[bytes], gap: np.ndarray) -> tuple[np.ndarray, np.nda
         total[0] = 0
         np.cumsum(codes[raw] * power[: len(raw)], out=total[1:])
         hashes.append(mixed((total[end] - total[start]) * unpower[start]))
+        if tails is not None:
+            low = _LOWER[raw]
+            tails.append(low[end - 1].astype(np.int64) | np.where(end - start > 1, low[end - 2].astype(np.int64) << 8, 0))
         owner = np.searchsorted(np.cumsum(lengths), start, side="right")
         counts[first:last] = np.bincount(owner, minlength=last - first)
         first = last
