@@ -1,9 +1,10 @@
 """Token ids of whole texts by the tokenizers library, with a bounded cache of pieces.
 
-The byte-level tokenizer never joins characters across a single white-space character between two
-non-space characters: such a space opens the next pre-token and a line feed is one of its own.  Texts are
-cut there, each distinct piece is encoded once by the library, and the ids of a text are its pieces' ids.
-The result equals ``Tokenizer.encode(text, add_special_tokens=False).ids``.
+The byte-level tokenizer parts a text into pieces (runs of letters, digits, other characters or white space, most with
+the space before them) and merges bytes inside a piece only.  Texts of ASCII and Latin letters are cut into exactly those
+pieces; other texts are cut only at single spaces and line feeds between non-space characters, which always part pieces.
+Each distinct piece is encoded once by the library, and the ids of a text are its pieces' ids.  The result equals
+``Tokenizer.encode(text, add_special_tokens=False).ids``.
 """
 
 from __future__ import annotations
@@ -12,14 +13,16 @@ import re
 
 import numpy as np
 
+_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+PLAIN_TEXT = re.compile(rf"[\t-\r -~{_L}]*")
+PIECES = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{_L}]+|\s+(?!\S)|\s+")
 CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-PLAIN = re.compile(r" \S(?:.*\S)?\Z", re.S)
 JOIN = 256
 
 _ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
 
 
-def encoder(path: str, keep: int = 400_000) -> "PieceEncoder":
+def encoder(path: str, keep: int = 1_000_000) -> "PieceEncoder":
     """The worker's encoder for a vocabulary file; lives as long as the Python worker."""
     found = _ENCODERS.get((path, keep))
     if found is None:
@@ -28,7 +31,9 @@ def encoder(path: str, keep: int = 400_000) -> "PieceEncoder":
 
 
 class PieceEncoder:
-    """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes. At most ``keep`` pieces stay cached."""
+    """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
+
+    About ``keep`` pieces stay cached, and those of the texts at hand."""
 
     def __init__(self, path: str, keep: int):
         import os
@@ -49,42 +54,39 @@ class PieceEncoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        plain = [p for p in pieces if PLAIN.match(p)]
-        other = [p for p in pieces if not PLAIN.match(p)]
-        out = {p: ids.tobytes() for p, ids in zip(other, self._encode(other))}
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces; a space and letters are encoded many at once, as they part from one another."""
+        plain, other = [], []
+        for p in pieces:
+            (plain if p[0] == " " and p[1:].isalpha() else other).append(p)
+        self.cache.update(zip(other, [ids.tobytes() for ids in self._encode(other)]))
         groups = [plain[i : i + JOIN] for i in range(0, len(plain), JOIN)]
-        for group, ids in zip(groups, self._encode(["".join(g) for g in groups])):
-            ends = np.cumsum([len(p.encode()) for p in group])
-            at = np.searchsorted(np.cumsum(self.byte_length[ids]), ends) + 1
+        texts = ["".join(g) for g in groups]
+        for group, text, ids in zip(groups, texts, self._encode(texts)):
+            sizes = np.fromiter(map(len, group) if text.isascii() else (len(p.encode()) for p in group), np.int64, len(group))
+            at = np.searchsorted(np.cumsum(self.byte_length[ids]), np.cumsum(sizes)) + 1
             if len(ids) != at[-1]:
                 raise ValueError("pieces and ids do not line up")
-            raw, last = ids.tobytes(), 0
-            for p, e in zip(group, (at * 4).tolist()):
-                out[p] = raw[last:e]
-                last = e
-        return out
+            raw, ends = ids.tobytes(), (at * 4).tolist()
+            self.cache.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut, whole, new = [], {}, {}
+        cut, whole, all_pieces = [], {}, set()
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 whole[i] = self._encode([text])[0].tobytes()
                 cut.append(())
                 continue
-            pieces = CUT.split(text)
+            pieces = PIECES.findall(text) if PLAIN_TEXT.fullmatch(text) else list(filter(None, CUT.split(text)))
             cut.append(pieces)
-            new.update(dict.fromkeys(p for p in pieces if p not in self.cache))
-        if len(self.cache) + len(new) > self.keep:
-            self.cache = {}
-            new = dict.fromkeys(p for pieces in cut for p in pieces)
-        learnt = self._learn(list(new))
-        if len(learnt) <= self.keep:
-            self.cache.update(learnt)
-            lookup = self.cache
-        else:
-            lookup = learnt
-        return [whole[i] if i in whole else b"".join([lookup[p] for p in pieces]) for i, pieces in enumerate(cut)]
+            all_pieces.update(pieces)
+        new = [p for p in all_pieces if p not in self.cache]
+        if len(self.cache) + len(new) > self.keep:  # keep what these texts use
+            self.cache = {p: self.cache[p] for p in all_pieces if p in self.cache}
+        if new:
+            self._learn(new)
+        get = self.cache.__getitem__
+        return [whole[i] if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
 
 
 def slices(texts, most: int = 4_000_000):
