@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,13 +53,51 @@ def attempt_name(prefix: str, suffix: str) -> str:
     return f"{prefix}-{uuid.uuid4().hex}{suffix}"
 
 
-def keep_rows(docs: DataFrame, stay: DataFrame) -> DataFrame:
-    """The rows of ``docs`` named in ``stay`` (doc_id, text_key = xxhash64 of the text, once), with all their columns.
+BLOOM_WORDS = 1 << 19
+
+
+def bloom_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of fixed size (BLOOM_WORDS of 64 bits) over a column of random 64-bit keys.
+
+    It is only ever a first sieve before an exact join: however full it gets, nothing is lost."""
+    cut = BLOOM_WORDS - 1
+    bits = keys.select(F.explode(F.array(*[
+        F.struct(F.expr(f"shiftrightunsigned({column}, {a}) & {cut}").alias("word"),
+                 F.expr(f"shiftleft(1L, CAST(shiftrightunsigned({column}, {b}) & 63 AS INT))").alias("bit"))
+        for a, b in ((0, 19), (25, 44))])).alias("s")).select("s.*")
+    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(BLOOM_WORDS, np.int64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def bloom_hits(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys (unsigned 64-bit) may be in the filter."""
+    hit = np.ones(len(keys), bool)
+    for a, b in ((0, 19), (25, 44)):
+        words = bloom[(keys >> np.uint64(a)) & np.uint64(BLOOM_WORDS - 1)]
+        hit &= (words >> ((keys >> np.uint64(b)) & np.uint64(63))) & np.uint64(1) == 1
+    return hit
+
+
+def drop_rows(spark: SparkSession, docs: DataFrame, named: DataFrame) -> DataFrame:
+    """``docs`` (all columns) without the rows named in ``named`` (doc_id, text_key = xxhash64 of the text, once); of rows
+    named with ``once``, which are equal in id and text, one stays.
+
+    Only rows that may be named, by a Bloom filter, are shuffled to the exact join; ``named`` should be a written table."""
+    held = spark.sparkContext.broadcast(bloom_filter(named, "text_key"))
+
+    @F.pandas_udf("boolean")
+    def doubtful(key: pd.Series) -> pd.Series:
+        return pd.Series(bloom_hits(held.value, key.to_numpy(np.int64).view(np.uint64)))
 
-    Rows equal in id and text stay together, or as one if ``once``; which, is not defined if their other columns differ."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_doc"),
                        F.xxhash64(text_or_empty()).alias("_key"))
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "once")
-    hit = rows.join(stay, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")))
-    single = hit.filter("once").groupBy("_doc", "_key").agg(F.first("row").alias("row")).select("row.*")
-    return single.unionByName(hit.filter("NOT once").select("row.*"))
+    rows = rows.withColumn("_in", doubtful("_key"))
+    named = named.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "once")
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
+    hit = rows.filter("_in").join(named, same, "left")
+    out = rows.filter("NOT _in").select("row.*").unionByName(hit.filter("once IS NULL").select("row.*"))
+    if named.filter("once").isEmpty():
+        return out
+    return out.unionByName(hit.filter("once").groupBy("_doc", "_key").agg(F.first("row").alias("row")).select("row.*"))
