@@ -1,17 +1,15 @@
-"""Previous-row values within a key, without sending a whole key to one task.
+"""Previous-row values and row numbers within a key, without sending a whole key to one task.
 
-``lag`` over ``Window.partitionBy(key)`` sorts every row of a key in one
-task; one applicant key (an all-zero or unknown ID) can hold a large share of
-all rows.  ``ordered_lag`` splits each key by the leading order column(s):
+``lag`` over ``Window.partitionBy(key)`` sorts every row of a key in one task; one applicant key (an all-zero or
+unknown ID) can hold a large share of all rows.  Here a key's order is given in levels of leading order columns,
+from the outermost in, and the columns that order what is left.  The rows of equal level columns are a piece:
 
-1. within each (key, split) group -- many small groups -- the previous row is
-   an ordinary window ``lag``;
-2. the first row of a group takes the last row of the preceding group of the
-   same key: one aggregate row per (key, split) (``max_by`` of the order
-   key, map-side partial), a window over those few rows, and an equi-join
-   back on (key, split).
+1. inside a piece the previous row (or the row number) is an ordinary window function;
+2. pieces hand over by a table of one row per piece: its last row (``max_by``) or its row count, carried
+   level by level, so that a window never sees more than one row per distinct value of a level's columns.
 
-The result equals ``lag`` over the whole key ordered by ``split + rest``.
+The input is shuffled once, by piece; both steps read that exchange.  The result equals the window function over the
+whole key ordered by all levels and the rest.
 """
 
 from __future__ import annotations
@@ -22,59 +20,74 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
-def _sort_key(df: DataFrame, cols: Sequence[tuple[str, bool]]) -> Column:
-    """A struct whose ascending order equals the given (column, ascending) order, NULLs placed as
-    Spark places them (first when ascending, last when descending).  Descending columns must be
-    numeric or dates (dates are negated as day numbers)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
+
+def _sort_key(types: dict[str, T.DataType], cols: Order, at: str = "") -> Column:
+    """A struct whose ascending order equals the given order, NULLs placed as Spark places them (first when ascending,
+    last when descending).  Descending columns must be numeric or dates; others raise here."""
     parts = []
     for i, (c, asc) in enumerate(cols):
-        x = F.col(c)
+        x = F.col(at + c)
         if not asc:
-            x = -F.datediff(x, F.lit("1970-01-01").cast("date")) if isinstance(types[c], T.DateType) else -x
-        nulls = F.when(F.col(c).isNull(), F.lit(0 if asc else 1)).otherwise(F.lit(1 if asc else 0))
+            if isinstance(types[c], T.DateType):
+                x = -F.datediff(x, F.lit("1970-01-01").cast("date"))
+            elif isinstance(types[c], T.NumericType):
+                x = -x
+            else:
+                raise TypeError(f"descending order needs a number or a date, {c} is {types[c].simpleString()}")
+        nulls = F.when(F.col(at + c).isNull(), F.lit(0 if asc else 1)).otherwise(F.lit(1 if asc else 0))
         parts += [nulls.alias(f"n{i}"), x.alias(f"v{i}")]
     return F.struct(*parts)
 
 
-def _order(cols: Sequence[tuple[str, bool]]) -> list[Column]:
+def _order(cols: Order) -> list[Column]:
     return [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in cols]
 
 
-def ordered_lag(df: DataFrame, keys: Sequence[str], split: Sequence[tuple[str, bool]], rest: Sequence[tuple[str, bool]],
-                lag_cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key, rows ordered by
-    ``split`` then ``rest`` ((column, ascending) pairs; ``rest`` should end in a unique column)."""
-    keys, split_cols = list(keys), [c for c, _ in split]
-    w_in = Window.partitionBy(*keys, *split_cols).orderBy(*_order(rest))
-    staged = df.withColumns({f"{prefix}{c}": F.lag(c).over(w_in) for c in lag_cols})
-    staged = staged.withColumn("_first_in_split", F.row_number().over(w_in) == 1)
-    # the last row of every (key, split) group, then the preceding group's last row for each key
-    last = df.groupBy(*keys, *split_cols).agg(
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), _sort_key(df, rest)).alias("_last")
-    )
-    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(*_order(split)))).drop("_last")
-    carry = carry.withColumnsRenamed({k: f"_c_{k}" for k in keys + split_cols})
-    joined = staged.join(carry, [staged[k].eqNullSafe(carry[f"_c_{k}"]) for k in keys + split_cols], "left")
-    out = joined.withColumns(
-        {f"{prefix}{c}": F.when(F.col("_first_in_split"), F.col(f"_carry.{c}")).otherwise(F.col(f"{prefix}{c}")) for c in lag_cols}
-    )
-    return out.drop("_first_in_split", "_carry", *[f"_c_{k}" for k in keys + split_cols])
-
-
-def ordered_row_number(df: DataFrame, keys: Sequence[str], split: Sequence[tuple[str, bool]],
-                       rest: Sequence[tuple[str, bool]], out: str = "row_no") -> DataFrame:
-    """Add ``out`` = row number within the key, rows ordered by ``split`` then ``rest``, computed as
-    (rows of the key's preceding split groups) + (row number inside the split group): a window per
-    (key, split) group plus a running sum over one count row per group."""
-    keys, split_cols = list(keys), [c for c, _ in split]
-    w_in = Window.partitionBy(*keys, *split_cols).orderBy(*_order(rest))
-    staged = df.withColumn("_rn_in_split", F.row_number().over(w_in))
-    counts = df.groupBy(*keys, *split_cols).agg(F.count(F.lit(1)).alias("_n"))
-    w_key = Window.partitionBy(*keys).orderBy(*_order(split)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w_key), F.lit(0))).drop("_n")
-    offsets = offsets.withColumnsRenamed({k: f"_o_{k}" for k in keys + split_cols})
-    joined = staged.join(offsets, [staged[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys + split_cols], "left")
-    return joined.withColumn(out, (F.col("_before") + F.col("_rn_in_split")).cast("int")).drop(
-        "_rn_in_split", "_before", *[f"_o_{k}" for k in keys + split_cols])
+def _piece(keys: Sequence[str], levels: Sequence[Order]) -> Column:
+    """A piece as one struct: structs compare NULL fields as equal, so they partition and join null-safely."""
+    return F.struct(*[F.col(c) for c in [*keys, *[c for level in levels for c, _ in level]]])
+
+
+def _carried(pieces: DataFrame, types, keys, levels) -> DataFrame:
+    """``pieces`` (the key and level columns, _last) with _carry = _last of the preceding piece of the key."""
+    outer, inner = levels[:-1], levels[-1]
+    group = [*keys, *[c for level in outer for c, _ in level]]
+    w = Window.partitionBy(*group).orderBy(*_order(inner))
+    out = pieces.withColumns({"_carry": F.lag("_last").over(w), "_edge": F.row_number().over(w) == 1})
+    if outer:
+        up = pieces.groupBy(*group).agg(F.max_by("_last", _sort_key(types, inner)).alias("_last"))
+        up = _carried(up, types, keys, outer).select(_piece(keys, outer).alias("_up"), F.col("_carry").alias("_over"))
+        out = out.withColumn("_up", _piece(keys, outer)).join(up, "_up", "left").withColumn(
+            "_carry", F.when(F.col("_edge"), F.col("_over")).otherwise(F.col("_carry"))).drop("_up", "_over")
+    return out.drop("_edge")
+
+
+def ordered_lag(df: DataFrame, keys: Sequence[str], levels: Sequence[Order], rest: Order, lag_cols: Sequence[str],
+                prefix: str = "prev_") -> DataFrame:
+    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key, rows ordered by all ``levels`` then
+    ``rest`` (which should end in a unique column)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    dealt = df.withColumn("_piece", _piece(keys, levels)).repartition("_piece")
+    w = Window.partitionBy("_piece").orderBy(*_order(rest))
+    staged = dealt.withColumns({**{f"{prefix}{c}": F.lag(c).over(w) for c in lag_cols}, "_first": F.row_number().over(w) == 1})
+    last = dealt.groupBy("_piece").agg(
+        F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), _sort_key(types, rest)).alias("_last")).select("_piece.*", "_last")
+    carry = _carried(last, types, keys, levels).select(_piece(keys, levels).alias("_piece"), "_carry")
+    joined = staged.join(carry, "_piece", "left")
+    return joined.withColumns({
+        f"{prefix}{c}": F.when(F.col("_first"), F.col(f"_carry.{c}")).otherwise(F.col(f"{prefix}{c}")) for c in lag_cols
+    }).select(*df.columns, *[f"{prefix}{c}" for c in lag_cols])
+
+
+def ordered_row_number(df: DataFrame, keys: Sequence[str], level: Order, rest: Order, out: str = "row_no") -> DataFrame:
+    """Add ``out`` = row number within the key, rows ordered by ``level`` then ``rest``: the rows of the key's preceding
+    pieces and the row number inside the piece."""
+    dealt = df.withColumn("_piece", _piece(keys, [level])).repartition("_piece")
+    staged = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy("_piece").orderBy(*_order(rest))))
+    counts = dealt.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")).select("_piece.*", "_piece", "_n")
+    w = Window.partitionBy(*keys).orderBy(*_order(level)).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).select("_piece", "_before")
+    return staged.join(before, "_piece", "left").select(
+        *df.columns, (F.col("_before") + F.col("_inside")).cast("int").alias(out))

@@ -177,7 +177,9 @@ def _claims(seg: Segment, states) -> str:
 def _policy(seg: Segment) -> str:
     rules = []
     for c, label in POLICY_RULES:
-        cond = T.true_or_false(f"{c} < 1800") if c == "cst_customerage" else _yes(c)
+        # a missing age counts as under age in the NTC segment only
+        young = f"({c} IS NULL OR {c} < 1800)" if seg.code == "NTC" else T.true_or_false(f"{c} < 1800")
+        cond = young if c == "cst_customerage" else _yes(c)
         rules.append((cond, T.q(label)))
     if seg.debt_review:
         rules.append((_yes(DEBT_REVIEW_REQUESTED[0]), T.q(DEBT_REVIEW_REQUESTED[1])))

@@ -1,21 +1,25 @@
 """Subscriber dormancy (gaps and islands over a daily calendar).
 
-Input: one row per subscriber and active day with 0/1 activity flags per
-channel.  Output: one row per subscriber and calendar day from ``min_date``
-to the latest activity date of the whole table, with
+Input: activity rows of a subscriber and day with 0/1 flags per channel; a day
+may have several rows, or none, and undated rows only name their subscriber.
+Output: one row per subscriber and calendar day from ``min_date`` to the latest
+activity date of the whole table -- or one per activity row of that day -- with
 
 * ``dormancy_period_<ch>`` – day number within the current run of inactive
   days (0 on active days; a run that starts on ``min_date`` counts from 1);
 * ``still_dormant_<ch>``   – 1 when the day is inactive and the channel stays
   inactive up to the last calendar day.
 
-Plan: the input is clustered once by subscriber; one window (same partition
+A day is active on a channel if one of its rows is; rows of one day share both.
+
+Plan: rows are first counted per subscriber, day and flags (pre-aggregated, so
+a subscriber-day may hold any number of rows); one window (same partition
 and order for every channel) gives each activity row its last-active date
 per channel and the next activity row; each activity row then generates its
 own day plus the silent days after it with ``explode(sequence(...))``.  No
 distinct-ids cross join, no calendar join, no driver collect: the calendar
-end is a scalar subquery.  Rows per subscriber are bounded by the number of
-calendar days, so the per-subscriber window cannot be skewed by volume.
+end is a scalar subquery.  The window sees one row per subscriber and day, so
+it is bounded by the number of calendar days and cannot be skewed by volume.
 """
 
 from __future__ import annotations
@@ -102,6 +106,12 @@ def _calendar(df, min_date, id_col, date_col, channels, with_dormancy):
         id_col, "_d", *[F.when(F.col("_d") >= start, F.col(d)).otherwise(0).alias(d) for d in flags]
     )
 
+    # one row per subscriber and day, with its distinct flag rows and how often each occurs (at most 2**channels);
+    # a NULL subscriber matches no activity row, so its days have one row each
+    kinds = base.groupBy(id_col, "_d", *flags).agg(F.when(F.col(id_col).isNull(), 1).otherwise(F.count(F.lit(1))).cast("int").alias("_n"))
+    base = kinds.groupBy(id_col, "_d").agg(
+        F.collect_list(F.struct("_n", *flags)).alias("_rows"), *[F.max(d).alias(d) for d in flags])
+
     w = Window.partitionBy(id_col).orderBy("_d")
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -112,6 +122,7 @@ def _calendar(df, min_date, id_col, date_col, channels, with_dormancy):
         F.col("_d"),
         F.when(is_first, start).otherwise(F.greatest(F.col("_d"), start)).alias("_from"),
         F.least(F.coalesce(F.date_sub(nxt, 1), end), end).alias("_to"),
+        F.col("_rows"),
         *[F.col(d) for d in flags],
     ]
     if with_dormancy:
@@ -131,12 +142,11 @@ def _calendar(df, min_date, id_col, date_col, channels, with_dormancy):
         ).alias("date"),
     )
     own = F.col("date") == F.col("_d")
-    out = [F.col(id_col), F.col("date")]
-    out += [F.when(own, F.col(d)).otherwise(0).alias(d) for d in flags]
+    out = [F.col(id_col), F.col("date"), F.when(own, F.col("_rows")).alias("_rows")]
     if with_dormancy:
         before_start = F.date_sub(start, 1)
         for ch, d in zip(channels, flags):
-            active = own & (F.col(d) == 1)
+            active = own & (F.col(d) == 1)  # the day, by any of its rows
             # days before this row's own day (leading gap) precede any activity
             last_active = F.when(F.col("date") < F.col("_d"), before_start).otherwise(
                 F.coalesce(F.col(f"_la_{ch}"), before_start)
@@ -147,7 +157,12 @@ def _calendar(df, min_date, id_col, date_col, channels, with_dormancy):
                 .otherwise(0)
                 .alias(f"still_dormant_{ch}")
             )
-    return days.select(*out)
+    days = days.select(*out)
+    silent = F.array(F.struct(F.lit(1).alias("_n"), *[F.lit(0).alias(d) for d in flags]))
+    rows = days.select(*[c for c in days.columns if c != "_rows"], F.inline(F.coalesce("_rows", silent)))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n")))
+    rest = [c for c in days.columns if c not in (id_col, "date", "_rows")]
+    return rows.select(id_col, "date", *flags, *rest)
 
 
 def dormant_counts_by_day(report: DataFrame, channels=CHANNELS) -> DataFrame:

@@ -53,7 +53,7 @@ def _ch(s: Column, i: int) -> Column:
 
 def _sl(s: Column, a: int, b: int | None = None) -> Column:
     """Python ``s[a:b]``."""
-    return F.substring(s, a + 1, (b - a) if b is not None else 1 << 20)
+    return F.substr(s, F.lit(a + 1)) if b is None else F.substring(s, a + 1, b - a)
 
 
 def _only(s: Column, chars_regex: str) -> Column:

@@ -54,7 +54,7 @@ def shift_back(profile, ptype: str) -> Column:
     """Drop the newest month and re-normalise (the profile as seen one month earlier)."""
     p = col(profile)
     chunk = PROFILE_TYPES[ptype][1]
-    return normalise(F.substring(p, chunk + 1, 1 << 20), ptype)
+    return normalise(F.substr(p, F.lit(chunk + 1)), ptype)
 
 
 def prefix_month(profile, element, ptype: str) -> Column:

@@ -76,8 +76,8 @@ def row_count(df: DataFrame) -> Column:
 
 def count_distribution(df: DataFrame, col: str, sort: bool = True) -> DataFrame:
     """Rows and share (%) per value of ``col``, NULL included, biggest first."""
-    total = row_count(df)
     out = df.groupBy(col).agg(F.count(F.lit(1)).alias("n_entries"))
+    total = out.select(F.sum("n_entries")).scalar()  # over the groups, whose exchange both sides read
     out = out.withColumn("perc_entries", F.col("n_entries") * 100.0 / total)
     return out.orderBy(F.col("n_entries").desc(), F.col(col).asc_nulls_first()) if sort else out
 
@@ -86,7 +86,8 @@ def distinct_stats(df: DataFrame, cols: Iterable[str], approx: bool = False) ->
     """Distinct non-null values per column and duplicates (n - distinct), with shares.
 
     ``approx=True`` uses HyperLogLog++ sketches (one pass, no per-column
-    shuffle); the exact form plans one distinct aggregation.
+    shuffle); the exact form plans one distinct aggregation, which expands each row once per column before the
+    shuffle -- for many columns of a large table run it column by column.
     """
     cols = list(cols)
     n = F.count(F.lit(1))
@@ -136,19 +137,16 @@ def column_extrema(df: DataFrame, cols) -> DataFrame:
     return df.agg(*[a for c in cols for a in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))])
 
 
-def isolate_keys(df: DataFrame, key: str, values, cols: Sequence[str] = (), broadcast_rows: int = 0) -> DataFrame:
+def isolate_keys(df: DataFrame, key: str, values, cols: Sequence[str] = ()) -> DataFrame:
     """Rows whose ``key`` is in ``values`` (a list, or a DataFrame holding the key).
 
     A list becomes an IN filter (pushed to the scan); a DataFrame becomes a
-    left-semi join, which never duplicates rows.  ``broadcast_rows`` > 0 hints
-    a broadcast only after checking the key table holds at most that many rows.
+    left-semi join, which never duplicates rows; Spark broadcasts the keys if
+    they are small enough by its own size check.
     """
     proj = [key, *[c for c in cols if c != key]] if cols else df.columns
     if isinstance(values, DataFrame):
-        right = values.select(F.col(key)).distinct()
-        if broadcast_rows and right.limit(broadcast_rows + 1).count() <= broadcast_rows:
-            right = F.broadcast(right)
-        out = df.join(right, on=key, how="left_semi")
+        out = df.join(values.select(F.col(key)), on=key, how="left_semi")
     else:
         out = df.filter(F.col(key).isin(list(values)))
     return out.select(*proj).orderBy(key)

@@ -70,6 +70,24 @@ def q_match_applications_contracts(spark, sf_dir):
     return _matched(spark, sf_dir).select(*MATCH_COLS)
 
 
+_SLOT_COLS = [f"{n}{k}" for k in range(1, 6) for n in SLOT_NAMES]
+
+
+@query("match_applications_fixed", oracle=_match_sql(fixed=True).replace(
+    "FROM s", ", greatest(count(*) FILTER (d IS NOT NULL) OVER (PARTITION BY app_record_number) - 5, 0) AS app_unslotted FROM s"))
+def q_match_applications_fixed(spark, sf_dir):
+    """The intended numbering: activations take slots 1 to 5 in order; app_unslotted counts those beyond."""
+    return _matched(spark, sf_dir, fixed=True).select(*MATCH_COLS, "app_unslotted")
+
+
+@query("applications_slots", oracle=f"""SELECT app_record_number, max(app_subscriptions) AS app_subscriptions,
+  {', '.join(f'max({c}) AS {c}' for c in _SLOT_COLS)}
+FROM ({_match_sql(fixed=True)}) GROUP BY app_record_number""")
+def q_applications_slots(spark, sf_dir):
+    """One row per application with the five slots filled from its activations."""
+    return A.applications_slots(_matched(spark, sf_dir, fixed=True))
+
+
 @query(
     "activation_status",
     oracle=f"""WITH {_APPS}, {_ACT},
@@ -102,29 +120,68 @@ def q_drop_all_null_columns(spark, sf_dir):
     return Q.drop_all_null_columns(apps)
 
 
-_DUP_SQL = f"""WITH {_APPS},
-w AS (SELECT app_record_number, idkey, app_date,
-        lag(idkey) OVER (PARTITION BY idkey ORDER BY app_date ASC, app_record_number DESC) AS rk,
-        lag(app_date) OVER (PARTITION BY idkey ORDER BY app_date ASC, app_record_number DESC) AS rd FROM fx_applications),
-f AS (SELECT *, CASE WHEN idkey IS NOT NULL AND rk IS NULL THEN idkey ELSE rk END AS rk2,
-        CASE WHEN app_date IS NOT NULL AND rd IS NULL THEN app_date ELSE rd END AS ret_date FROM w),
-g AS (SELECT *, coalesce(idkey = rk2, false) AS same FROM f)
-SELECT app_record_number, idkey, app_date, ret_date,
-  CASE WHEN same THEN 'Y' ELSE 'N' END AS dup_applicant,
-  CASE WHEN same THEN CAST(date_diff('day', ret_date, app_date) AS INTEGER) END AS dup_days_between_applications,
-  CAST(NULL AS INTEGER) AS ret_days_between_applications, CAST(NULL AS INTEGER) AS dup_application_sequence
-FROM g"""
+def _dup_sql(order: str, incoming: bool) -> str:
+    """Lag over the whole key, a missing predecessor being the row itself; the span above 14 days never opens a sequence."""
+    days, seq = ("app_record_number % 5", "app_record_number % 3") if incoming else ("NULL", "NULL")
+    if order == "ascending":
+        out = """CASE WHEN idkey IS NOT NULL THEN CAST(date_diff('day', coalesce(rd, app_date), app_date) AS INTEGER) ELSE days_in END
+    AS dup_days_between_applications, CASE WHEN idkey IS NULL THEN seq_in END AS dup_application_sequence"""
+    else:
+        out = "days_in AS dup_days_between_applications, seq_in AS dup_application_sequence"
+    return f"""WITH {_APPS},
+n AS (SELECT app_record_number, CASE WHEN app_record_number % 13 = 0 THEN NULL ELSE idkey END AS idkey,
+        CASE WHEN app_record_number % 17 = 0 THEN NULL ELSE app_date END AS app_date,
+        CAST({days} AS INTEGER) AS days_in, CAST({seq} AS INTEGER) AS seq_in FROM fx_applications),
+w AS (SELECT *, lag(app_date) OVER (PARTITION BY idkey ORDER BY app_date ASC NULLS FIRST, app_record_number DESC) AS rd FROM n)
+SELECT app_record_number, idkey, app_date, CASE WHEN idkey IS NULL THEN 'N' ELSE 'Y' END AS dup_applicant, {out}
+FROM w"""
+
+
+def _dup_input(spark, sf_dir) -> DataFrame:
+    """Applications with some keys and dates missing."""
+    apps = fixture(spark, sf_dir, "fx_applications").select("app_record_number", "idkey", "app_date")
+    rec = F.col("app_record_number")
+    return apps.withColumns({"idkey": F.when(rec % 13 != 0, F.col("idkey")), "app_date": F.when(rec % 17 != 0, F.col("app_date"))})
 
 
-@query("flag_duplicate_applicants", oracle=_DUP_SQL)
+@query("flag_duplicate_applicants", oracle=_dup_sql("ascending", incoming=False))
 def q_flag_duplicate_applicants(spark, sf_dir):
-    apps = fixture(spark, sf_dir, "fx_applications").select("app_record_number", "idkey", "app_date")
-    return A.flag_duplicate_applicants(apps, "ascending", day=14)
+    return A.flag_duplicate_applicants(_dup_input(spark, sf_dir), "ascending", day=14)
+
+
+def _with_incoming(spark, sf_dir) -> DataFrame:
+    rec = F.col("app_record_number")
+    return _dup_input(spark, sf_dir).withColumns({"dup_days_between_applications": rec % 5, "dup_application_sequence": rec % 3})
+
+
+@query("flag_duplicate_applicants_incoming", oracle=_dup_sql("ascending", incoming=True))
+def q_flag_duplicate_applicants_incoming(spark, sf_dir):
+    return A.flag_duplicate_applicants(_with_incoming(spark, sf_dir), "ascending", day=14)
+
+
+@query("flag_duplicate_applicants_descending", oracle=_dup_sql("descending", incoming=True))
+def q_flag_duplicate_applicants_descending(spark, sf_dir):
+    return A.flag_duplicate_applicants(_with_incoming(spark, sf_dir), "descending")
+
+
+_SESSION_SQL = f"""WITH RECURSIVE {_APPS},
+days AS (SELECT idkey, app_date, min(app_record_number) AS first_rec FROM fx_applications GROUP BY idkey, app_date),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY idkey ORDER BY app_date) AS rn FROM days),
+chain AS (
+  SELECT idkey, app_date, first_rec, rn, 0 AS seq, app_date AS start FROM ranked WHERE rn = 1
+  UNION ALL
+  SELECT r.idkey, r.app_date, r.first_rec, r.rn, CASE WHEN date_diff('day', c.start, r.app_date) > 14 THEN c.seq + 1 ELSE c.seq END,
+         CASE WHEN date_diff('day', c.start, r.app_date) > 14 THEN r.app_date ELSE c.start END
+  FROM chain c JOIN ranked r ON r.idkey = c.idkey AND r.rn = c.rn + 1)
+SELECT a.app_record_number, a.idkey, a.app_date, CAST(c.seq AS INTEGER) AS dup_application_sequence, c.start AS dup_session_start,
+  CAST(date_diff('day', c.start, a.app_date) AS INTEGER) AS dup_days_since_session_start,
+  CASE WHEN a.app_date = c.start AND a.app_record_number = c.first_rec THEN 'N' ELSE 'Y' END AS dup_applicant
+FROM fx_applications a JOIN chain c ON a.idkey = c.idkey AND a.app_date = c.app_date"""
 
 
-@query("sessionize_applications")
+@query("sessionize_applications", oracle=_SESSION_SQL)
 def q_sessionize_applications(spark, sf_dir):
-    """Greedy 14-day application sessions per applicant (no SQL oracle: checked against a brute force in tests)."""
+    """Greedy 14-day application sessions per applicant."""
     apps = fixture(spark, sf_dir, "fx_applications").select("app_record_number", "idkey", "app_date")
     return A.sessionize_applications(apps, day=14)
 
@@ -134,14 +191,14 @@ def _consecutive_input(spark, sf_dir) -> DataFrame:
         "app_record_number", "idkey", "app_date", "app_month", "decision_outcome", "risk_grade", "gross_income", "subscription_limit")
     apps = FL.filter_one_hots(apps, channel=None, service=None, risk_grade=None).select(
         "app_record_number", "idkey", "app_date", "app_month", "risk_grade", "gross_income", "subscription_limit", "filter_decision_outcome_seq")
-    return apps.withColumn("dup_application_sequence", F.lit(0))
+    return apps.withColumn("dup_application_sequence", (F.col("app_record_number") % 3).cast("int"))
 
 
 @query(
     "compare_consecutive_applications",
     oracle=f"""WITH {_APPS},
 a AS (SELECT app_record_number, idkey, app_date, app_month, risk_grade, gross_income, subscription_limit,
-        CAST({_OUTCOME_SQL} AS INTEGER) AS filter_decision_outcome_seq, 0 AS dup_application_sequence FROM fx_applications),
+        CAST({_OUTCOME_SQL} AS INTEGER) AS filter_decision_outcome_seq, CAST(app_record_number % 3 AS INTEGER) AS dup_application_sequence FROM fx_applications),
 w AS (SELECT *, lag(idkey) OVER o AS rk, lag(app_date) OVER o AS ret_date, lag(dup_application_sequence) OVER o AS ret_application_sequence,
         CAST(date_trunc('month', app_date) AS DATE) AS app_month_dte, lag(app_month) OVER o AS ret_month,
         lag(filter_decision_outcome_seq) OVER o AS ret_decision_outcome, lag(risk_grade) OVER o AS rg
@@ -149,7 +206,7 @@ w AS (SELECT *, lag(idkey) OVER o AS rk, lag(app_date) OVER o AS ret_date, lag(d
         gross_income DESC, subscription_limit DESC, app_date, app_record_number)),
 x AS (SELECT *, CAST(date_trunc('month', ret_date) AS DATE) AS ret_month_dte, coalesce(idkey = rk, false) AS same,
         coalesce(idkey = rk, false) AND coalesce(ret_application_sequence = dup_application_sequence, false) AS same_seq FROM w)
-SELECT * EXCLUDE (rk, rg, same, same_seq),
+SELECT * EXCLUDE (rk, rg, same, same_seq, ret_date, ret_application_sequence, ret_month, ret_decision_outcome),
   CASE WHEN same THEN CAST(date_diff('day', ret_date, app_date) AS INTEGER) END AS dup_days_between_applications,
   CASE WHEN same_seq THEN 'Z' END AS dup_applicant,
   CASE WHEN same_seq AND coalesce(app_month <> ret_month, false) THEN CAST(date_diff('month', ret_month_dte, app_month_dte) AS DOUBLE) END

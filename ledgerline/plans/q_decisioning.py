@@ -23,8 +23,6 @@ from ledgerline.plans.q_portfolio import _VIEW_SQL, account_view
 from ledgerline.sources.fixtures import fixture, fixture_cte
 
 _APPS, _BUR, _ACT = fixture_cte("fx_applications"), fixture_cte("fx_bureau"), fixture_cte("fx_activations")
-NO_FLAGS = ["cst_fraud", "cst_sequestration", "cst_dispute", "cst_emigrated", "all_notices5years",
-            "cst_debtreviewgranted", "cst_debtreviewrequested"]
 OUT_COLS = (["app_record_number", "decision_services_segment", "decision_services_waterfall", "decision_services_outcome",
              "decision_services_matrix", "decision_services_risk_grade"] + D.OUTPUT_FLAGS + D.ACTIVATION_FLAGS)
 
@@ -47,7 +45,6 @@ def decision_input(spark, sf_dir) -> DataFrame:
             "app_customer_state": F.col("customer_state"),
             "cst_deceased": F.col("deceased"),
             "cst_customerage": F.col("customer_age"),
-            **{c: F.lit("N") for c in NO_FLAGS},
             "app_gross_income": F.col("gross_income"),
             "cbx_prism_tm": F.col("prism_score"),
             "ntc_accept_final_score_v01": F.col("custom_score"),
@@ -84,7 +81,8 @@ def _claim_sql(seg, states) -> str:
 def _policy_sql(seg) -> str:
     whens = []
     for c, label in D.POLICY_RULES:
-        cond = f"coalesce({c} < 1800, false)" if c == "cst_customerage" else f"coalesce({c} = 'Y', false)"
+        young = f"coalesce({c} < 1800, {'true' if seg.code == 'NTC' else 'false'})"
+        cond = young if c == "cst_customerage" else f"coalesce({c} = 'Y', false)"
         whens.append(f"WHEN {cond} THEN '{label}'")
     if seg.debt_review:
         whens.append(f"WHEN coalesce({D.DEBT_REVIEW_REQUESTED[0]} = 'Y', false) THEN '{D.DEBT_REVIEW_REQUESTED[1]}'")
@@ -97,7 +95,7 @@ def _policy_sql(seg) -> str:
     return "CASE " + " ".join(whens) + " END"
 
 
-def _waterfall_sql() -> str:
+def _waterfall_sql(fixed: bool = False) -> str:
     sc = {c: f"({_score_expr(c)})" for c in ("new", "est", "cam")}
     oh_ch = "upper(coalesce(channel, ''))"
     ch_idx = "CASE " + " ".join(f"WHEN instr({oh_ch}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(FL.CHANNELS)) + " END"
@@ -106,21 +104,21 @@ def _waterfall_sql() -> str:
         {sc['cam']} AS cam_customer_score FROM fx_bureau)""",
             f"""inp AS (SELECT a.*, bs.new_customer_score, bs.est_customer_score, bs.cam_customer_score, {ch_cols},
         a.time_oldest_trade AS all_timeoldesttrade, a.customer_state AS app_customer_state, a.deceased AS cst_deceased,
-        a.customer_age AS cst_customerage, {', '.join(f"'N' AS {c}" for c in NO_FLAGS)}, a.gross_income AS app_gross_income,
+        a.customer_age AS cst_customerage, a.gross_income AS app_gross_income,
         a.prism_score AS cbx_prism_tm, a.custom_score AS ntc_accept_final_score_v01, a.prism_score AS ntc_accept_risk_score_v01,
         a.perc0delq90 AS all_perc0delq90days, a.numpay90 AS all_numpayments90days, a.subscription_limit AS app_subscriptions,
         CAST(NULL AS VARCHAR) AS seg, {', '.join(f'CAST(NULL AS INTEGER) AS {f}' for f in D.OUTPUT_FLAGS)},
         CAST(NULL AS VARCHAR) AS wf, CAST(NULL AS VARCHAR) AS outc, CAST(NULL AS VARCHAR) AS mat, CAST(NULL AS VARCHAR) AS grade
       FROM fx_applications a LEFT JOIN bs ON a.idkey = bs.idkey)"""]
     prev = "inp"
-    for i, seg in enumerate(D.SEGMENTS):
+    for i, seg in enumerate(D.fixed_segments() if fixed else D.SEGMENTS):
         claim = _claim_sql(seg, seg.states)
         code = seg.claim_code or seg.code
         ctes.append(f"""s{i}a AS (SELECT * REPLACE (CASE WHEN {claim} THEN '{code}' ELSE seg END AS seg,
             CASE WHEN {claim} THEN 1 ELSE {seg.flag} END AS {seg.flag},
             CASE WHEN {claim} THEN coalesce({_policy_sql(seg)}, wf) ELSE wf END AS wf) FROM {prev})""")
         computed = _claim_sql(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
-        applied = _claim_sql(seg, seg.states) if seg.code == "IMM" else computed
+        applied = _claim_sql(seg, seg.states) if seg.code == "IMM" and not fixed else computed
         empty = "(wf IS NULL OR wf = '')"
         mat = f"{_band('cbx_prism_tm', seg.prism_cuts)} || 'x' || {_band(seg.score_col, seg.score_cuts)}"
         ctes.append(f"""s{i}b AS (SELECT * REPLACE (
@@ -150,6 +148,12 @@ def q_decision_waterfall(spark, sf_dir):
     return D.decision_waterfall(decision_input(spark, sf_dir)).select(*OUT_COLS)
 
 
+@query("decision_waterfall_fixed", oracle=_waterfall_sql(fixed=True) + "\nSELECT " + ", ".join(OUT_COLS) + " FROM dw")
+def q_decision_waterfall_fixed(spark, sf_dir):
+    """The intended segments: credit balance by its own rules, the immature matrix for its own state."""
+    return D.decision_waterfall(decision_input(spark, sf_dir), fixed=True).select(*OUT_COLS)
+
+
 # ---------------------------------------------------------------- report
 
 REPORT_VAR = "channel"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import dormancy as D
 from ledgerline.plans.catalog import query
 from ledgerline.sources.fixtures import fixture, fixture_cte
@@ -9,12 +11,12 @@ from ledgerline.sources.fixtures import fixture, fixture_cte
 MIN_DATE = "2024-01-01"
 
 _CAL = f"""
-WITH {fixture_cte("fx_activity")},
-ids AS (SELECT DISTINCT service_number FROM fx_activity),
+WITH {fixture_cte("fx_activity_rows")},
+ids AS (SELECT DISTINCT service_number FROM fx_activity_rows),
 days AS (
   SELECT CAST(d AS DATE) AS date
   FROM generate_series(TIMESTAMP '{MIN_DATE} 00:00:00',
-                       CAST((SELECT max(call_begin_date) FROM fx_activity) AS TIMESTAMP),
+                       CAST((SELECT max(call_begin_date) FROM fx_activity_rows) AS TIMESTAMP),
                        INTERVAL 1 DAY) AS t(d)
 ),
 cal AS (
@@ -24,10 +26,15 @@ cal AS (
          CAST(coalesce(a.active_sms, 0) AS INTEGER) AS active_sms,
          CAST(coalesce(a.active_any, 0) AS INTEGER) AS active_any
   FROM ids i CROSS JOIN days d
-  LEFT JOIN fx_activity a ON a.service_number = i.service_number AND a.call_begin_date = d.date
+  LEFT JOIN fx_activity_rows a ON a.service_number = i.service_number AND a.call_begin_date = d.date
 )"""
 
 
+# one row per subscriber and day: the channel is active if one of the day's rows is
+_DAILY = ", daily AS (SELECT service_number, date, " + ", ".join(
+    f"max(active_{ch}) AS active_{ch}" for ch in D.CHANNELS) + " FROM cal GROUP BY service_number, date)"
+
+
 def _channel_sql(src: str, ch: str) -> str:
     """Island numbering exactly as a lag/running-sum/row_number pipeline does it."""
     return f"""
@@ -54,18 +61,20 @@ def _channel_sql(src: str, ch: str) -> str:
 
 
 def _report_sql() -> str:
-    parts, src = [], "cal"
+    parts, src = [], "daily"
     for ch in D.CHANNELS:
         parts.append(_channel_sql(src, ch))
         src = f"{ch}_d"
-    return _CAL + "," + ",".join(parts), src
+    return _CAL + _DAILY + "," + ",".join(parts), src
 
 
 _REPORT, _LAST = _report_sql()
+_FLAGS = ", ".join(f"active_{ch}" for ch in D.CHANNELS)
+_ROWS = f"(SELECT c.*, l.* EXCLUDE (service_number, date, {_FLAGS}) FROM cal c JOIN {_LAST} l ON l.service_number = c.service_number AND l.date = c.date)"
 
 
 def _activity(spark, sf_dir):
-    return fixture(spark, sf_dir, "fx_activity")
+    return fixture(spark, sf_dir, "fx_activity_rows")
 
 
 @query("expand_activity_calendar", oracle=_CAL + "\nSELECT * FROM cal")
@@ -79,10 +88,11 @@ def q_expand_activity_calendar(spark, sf_dir):
 )
 def q_dormancy_periods(spark, sf_dir):
     cal = D.expand_activity_calendar(_activity(spark, sf_dir), MIN_DATE)
-    return D.dormancy_periods(cal)
+    daily = cal.groupBy("service_number", "date").agg(*[F.max(f"active_{ch}").alias(f"active_{ch}") for ch in D.CHANNELS])
+    return D.dormancy_periods(daily)
 
 
-@query("dormancy_report", oracle=_REPORT + f"\nSELECT * FROM {_LAST}")
+@query("dormancy_report", oracle=_REPORT + f"\nSELECT * FROM {_ROWS}")
 def q_dormancy_report(spark, sf_dir):
     return D.dormancy_report(_activity(spark, sf_dir), MIN_DATE)
 
@@ -93,7 +103,7 @@ def _counts_sql() -> str:
         cols.append(f"CAST(sum(CASE WHEN dormancy_period_{ch} > 0 THEN 1 ELSE 0 END) AS BIGINT) AS dormant_{ch}")
         cols.append(f"CAST(sum(still_dormant_{ch}) AS BIGINT) AS still_dormant_{ch}")
     cols.append("count(*) AS subscribers")
-    return _REPORT + f"\nSELECT date, {', '.join(cols)} FROM {_LAST} GROUP BY date"
+    return _REPORT + f"\nSELECT date, {', '.join(cols)} FROM {_ROWS} GROUP BY date"
 
 
 @query("dormant_counts_by_day", oracle=_counts_sql())

@@ -81,11 +81,7 @@ def q_transaction_summary(spark, sf_dir):
 
 
 def _contract_sql() -> str:
-    present = {"act_mob", "renewal", "started_0", "started_1", "started_2", "bar_outgoing", "months_24", "months_12"}
-    whens = []
-    for i, (name, v, _, _) in enumerate(K.CONTRACT_LADDER):
-        if name in present:
-            whens.append(f"WHEN {name} = {v} THEN {i + 1}")
+    whens = [f"WHEN {name} = {v} THEN {i + 1}" for i, (name, v, _, _) in enumerate(K.CONTRACT_LADDER)]
     labels = "[" + ", ".join(_q(r[2]) for r in K.CONTRACT_LADDER) + "]"
     hots = ", ".join(f"CAST(CASE WHEN k = {i + 1} THEN 1 END AS INTEGER) AS {r[3]}" for i, r in enumerate(K.CONTRACT_LADDER))
     return (f"SELECT * EXCLUDE (k), coalesce({labels}[k], {_q(K.CONTRACT_DEFAULT)}) AS con_treatment, {hots} "

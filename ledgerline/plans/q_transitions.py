@@ -42,6 +42,25 @@ m4 AS (SELECT *, {", ".join(cols)}, CAST({cure} AS BIGINT) AS cure, CAST({mill}
 SELECT *, {_rate('cure')} AS cure_rate, {_rate('mill')} AS mill_rate, {_rate('worsen')} AS worsen_rate FROM m4""")
 
 
+@query("transition_rates_bland", oracle=_MATRIX_SQL + "\nSELECT *, " + ", ".join(
+    [f"{_rate(f'to_{b}')} AS to_{b}_rate" for b in CANON] + [f"{_rate('to_exit')} AS to_exit_rate"]) + " FROM m3")
+def q_transition_rates_bland(spark, sf_dir):
+    """Row shares only, without cure, mill and worsen."""
+    mat = T.transition_matrix(fixture(spark, sf_dir, "fx_month_states"), MONTHS, BUCKETS)
+    return T.transition_rates(mat, BUCKETS, movement=False)
+
+
+# the window (0, 2) pairs each month with the one two months later
+_WIDE_SQL = _MATRIX_SQL.replace("SELECT m1 AS f, m2 AS t FROM", "SELECT m1 AS f, m3 AS t FROM").replace(
+    "SELECT m2, m3 FROM", "SELECT m2, m4 FROM").replace("UNION ALL SELECT m3, m4 FROM fx_month_states)", ")")
+
+
+@query("transition_matrix_two_months", oracle=_WIDE_SQL + "\nSELECT * FROM m3")
+def q_transition_matrix_two_months(spark, sf_dir):
+    """Transitions from a month to two months later."""
+    return T.transition_matrix(fixture(spark, sf_dir, "fx_month_states"), MONTHS, BUCKETS, delta_min=0, delta_max=2)
+
+
 @query("transition_rates", oracle=_rates_sql())
 def q_transition_rates(spark, sf_dir):
     mat = T.transition_matrix(fixture(spark, sf_dir, "fx_month_states"), MONTHS, BUCKETS)

@@ -111,7 +111,11 @@ SELECT o.o_orderkey AS app_record_number, o.o_custkey AS idkey, CAST(o.o_orderda
        CASE o.o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'IMM MOB 00-05' WHEN 2 THEN 'PUP Paid-Up' WHEN 3 THEN 'CRD Credit Balance' WHEN 4 THEN 'CLR Clear'
             WHEN 5 THEN 'RES Responsible' WHEN 6 THEN 'ERR Erratic' WHEN 7 THEN 'EXT Extended' WHEN 8 THEN 'DBT Doubtful Debt' WHEN 9 THEN 'DIS Distressed' ELSE 'other' END AS customer_state,
        CAST(o.o_orderkey % 40 AS INT) AS time_oldest_trade,
-       CASE WHEN o.o_orderkey % 41 = 0 THEN 'Y' ELSE 'N' END AS deceased, CAST(1700 + (o.o_orderkey * 13) % 5000 AS INT) AS customer_age,
+       CASE WHEN o.o_orderkey % 41 = 0 THEN 'Y' ELSE 'N' END AS deceased, CASE WHEN o.o_orderkey % 23 <> 0 THEN CAST(1700 + (o.o_orderkey * 13) % 5000 AS INT) END AS customer_age,
+       CASE WHEN o.o_orderkey % 43 = 1 THEN 'Y' ELSE 'N' END AS cst_fraud, CASE WHEN o.o_orderkey % 47 = 2 THEN 'Y' ELSE 'N' END AS cst_sequestration,
+       CASE WHEN o.o_orderkey % 53 = 3 THEN 'Y' ELSE 'N' END AS cst_dispute, CASE WHEN o.o_orderkey % 59 = 4 THEN 'Y' END AS cst_emigrated,
+       CASE WHEN o.o_orderkey % 61 = 5 THEN 'Y' ELSE 'N' END AS all_notices5years, CASE WHEN o.o_orderkey % 67 = 6 THEN 'Y' END AS cst_debtreviewgranted,
+       CASE WHEN o.o_orderkey % 71 < 9 THEN 'Y' ELSE 'N' END AS cst_debtreviewrequested,
        CAST(560 + (o.o_orderkey * 17) % 140 AS INT) AS prism_score, CAST(520 + (o.o_orderkey * 19) % 160 AS INT) AS custom_score,
        CAST((o.o_orderkey * 23) % 100 AS INT) AS perc0delq90, CAST(o.o_orderkey % 6 AS INT) AS numpay90
 FROM {orders} o
@@ -119,8 +123,8 @@ FROM {orders} o
 
 FIXTURE_SQL["fx_activations"] = """
 SELECT l_orderkey AS app_record_number, l_suppkey AS account, l_partkey AS subscriber_number,
-       CAST(l_shipdate AS DATE) AS con_start_date, l_linenumber
-FROM {lineitem} WHERE l_quantity >= 25
+       CAST(CASE WHEN l_quantity >= 25 THEN l_shipdate END AS DATE) AS con_start_date, l_linenumber
+FROM {lineitem}
 """
 
 FIXTURE_SQL["fx_contracts"] = """
@@ -129,7 +133,11 @@ SELECT l_orderkey * 10 + l_linenumber AS contract_id,
        CASE WHEN l_partkey % 5 = 0 THEN 1 END AS renewal, CASE WHEN l_partkey % 6 = 1 THEN 1 END AS started_0,
        CASE WHEN l_partkey % 8 = 2 THEN 1 END AS started_1, CASE WHEN l_partkey % 9 = 3 THEN 1 END AS started_2,
        CASE WHEN l_suppkey % 4 = 0 THEN 1 END AS bar_outgoing, CASE WHEN l_suppkey % 5 = 1 THEN 1 END AS months_24,
-       CASE WHEN l_suppkey % 5 = 2 THEN 1 END AS months_12
+       CASE WHEN l_suppkey % 5 = 2 THEN 1 END AS months_12,
+       CASE WHEN l_partkey % 11 = 4 THEN 1 END AS months_00, CASE WHEN l_partkey % 13 = 5 THEN 1 END AS months_01,
+       CASE WHEN l_partkey % 17 = 6 THEN 1 END AS ended_2, CASE WHEN l_partkey % 19 = 7 THEN 1 END AS ended_1,
+       CASE WHEN l_partkey % 23 = 8 THEN 1 END AS ended_0, CASE WHEN l_suppkey % 7 = 3 THEN 1 END AS ending_1,
+       CASE WHEN l_suppkey % 7 = 5 THEN 1 END AS ending_2, CASE WHEN l_suppkey % 3 = 1 THEN 1 END AS months_06
 FROM {lineitem}
 """
 
@@ -141,6 +149,13 @@ SELECT user_id AS service_number, CAST(ts AS DATE) AS call_begin_date,
 FROM {events} GROUP BY user_id, CAST(ts AS DATE)
 """
 
+FIXTURE_SQL["fx_activity_rows"] = """
+SELECT user_id AS service_number, CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS call_begin_date,
+       CASE WHEN event_type IN ('view','click') THEN 1 ELSE 0 END AS active_data, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS active_voice,
+       CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS active_sms, 1 AS active_any
+FROM {events}
+"""
+
 FIXTURE_SQL["fx_month_states"] = """
 SELECT c_custkey AS account,
        substr('0123401', CAST(1 + c_custkey % 7 AS INT), 1) AS m1, substr('0012341', CAST(1 + c_custkey % 7 AS INT), 1) AS m2,
