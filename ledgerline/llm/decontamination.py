@@ -125,5 +125,6 @@ def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold:
     """The rows of ``docs`` without a leak, all their columns."""
     found = leaks(spark, docs, benchmark, threshold).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     found = written(spark, found, "leaking")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_key"))
-    return docs.join(found, same, "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_doc"),
+                       F.xxhash64(text_or_empty()).alias("_text"))
+    return rows.join(found, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left_anti").select("row.*")
