@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import applications as A
 from ledgerline.operators import filters as FL
 from ledgerline.operators import quality as Q
+from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_portfolio import _VIEW_SQL, account_view
 from ledgerline.sources.fixtures import fixture, fixture_cte
@@ -237,7 +238,7 @@ def _grade_sql(r, cuts):
 
 
 def _mandate_sql() -> str:
-    g12, g9, g6 = (_grade_sql(f"bad_rate_{n}m", A.MANDATE_CUTOFFS[n]) for n in (12, 9, 6))
+    g12, g9, g6 = (_grade_sql(f"bad_rate_{n}m", OT.MANDATE[n]) for n in (12, 9, 6))
     m = f"""CASE WHEN bad_rate_12m IS NOT NULL AND bad_rate_9m IS NOT NULL AND bad_rate_6m IS NOT NULL THEN trunc(10 * ({g12} + {g9} + {g6}) / 3) / 10e0
   WHEN bad_rate_12m IS NOT NULL AND bad_rate_9m IS NOT NULL THEN trunc(10 * ({g12} + {g9}) / 2) / 10e0
   WHEN bad_rate_9m IS NOT NULL AND bad_rate_6m IS NOT NULL THEN trunc(10 * ({g9} + {g6}) / 2) / 10e0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import behaviour as B
 from ledgerline.operators import profiles as P
+from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_profiles import AGEING_SQL, MOB_SQL
 from ledgerline.sources.fixtures import fixture, fixture_cte
@@ -28,15 +29,15 @@ def delinquency_sql(src: str) -> str:
     """SELECT over ``src`` adding ageing, gbipx, delinquency attribute and trigger."""
     fields = {"cg": "cg", "an_a": "aa", "an_b": "ab", "status": "cust_status"}
     whens = []
-    for i, (field, word, *_rest) in enumerate(B.DELINQUENCY_RULES):
+    for i, (field, word, *_rest) in enumerate(OT.DELINQUENCY):
         cond = f"ageing_attribute = '{word}'" if field == "age" else f"coalesce(instr({fields[field]}, '{word}') > 0, false)"
         whens.append(f"WHEN {cond} THEN {i + 1}")
     idx = "CASE " + " ".join(whens) + " END"
 
     def arr(k):
-        return "[" + ", ".join("'" + r[k] + "'" for r in B.DELINQUENCY_RULES) + "]"
+        return "[" + ", ".join("'" + r[k] + "'" for r in OT.DELINQUENCY) + "]"
 
-    g, d, t = B.DELINQUENCY_DEFAULT
+    g, d, t = OT.DELINQUENCY_DEFAULT
     return f"""(SELECT * EXCLUDE (cg, aa, ab, rule_no),
       coalesce({arr(2)}[rule_no], '{g}') AS gbipx_attribute,
       coalesce({arr(3)}[rule_no], '{d}') AS delinquency_attribute,
@@ -223,12 +224,12 @@ def q_payment_defaulters(spark, sf_dir):
 def _beh_sql() -> str:
     ws = ["b01", "b06", "b12", "b18", "b24"]
     whens_ci, whens_cs = [], []
-    for i, (label, which, _, text) in enumerate(B.BEHAVIOUR_LADDER):
+    for i, (label, which, _, text) in enumerate(OT.BEHAVIOUR):
         use = ws if which == "all" else ws[1:]
         whens_ci.append("WHEN " + " OR ".join(f"lower(trim({w})) = '{label.lower()}'" for w in use) + f" THEN {i + 1}")
         whens_cs.append("WHEN " + " OR ".join(f"{w} = '{label}'" for w in use) + f" THEN '{text}'")
-    flags = ", ".join(f"CAST(CASE WHEN k = {i + 1} THEN 1 END AS INTEGER) AS {r[2]}" for i, r in enumerate(B.BEHAVIOUR_LADDER))
-    texts = "[" + ", ".join(f"'{r[3]}'" for r in B.BEHAVIOUR_LADDER) + "]"
+    flags = ", ".join(f"CAST(CASE WHEN k = {i + 1} THEN 1 END AS INTEGER) AS {r[2]}" for i, r in enumerate(OT.BEHAVIOUR))
+    texts = "[" + ", ".join(f"'{r[3]}'" for r in OT.BEHAVIOUR) + "]"
     return (f"SELECT * EXCLUDE (k), {flags}, {texts}[k] AS beh_account FROM (SELECT *, CASE {' '.join(whens_ci)} END AS k, "
             f"CASE {' '.join(whens_cs)} ELSE '' END AS acct_beh, '' AS cust_beh FROM w)")
 
@@ -285,7 +286,7 @@ TRANSITION_NDX = (1, 3)
 def _transition_sql(ndx: int) -> str:
     pos = f"(pit - {ndx})"
     pa, pd_ = f"substr(age_profile, {pos}, 1)", f"substr(dlq_profile, {pos}, 1)"
-    m = "MAP {" + ", ".join(f"'{c}': '{t}'" for codes, t in B.TRANSITION_TEXT for c in codes) + "}"
+    m = "MAP {" + ", ".join(f"'{c}': '{t}'" for codes, t in OT.TRANSITIONS for c in codes) + "}"
     excl_d = f"coalesce(delinquency_attribute = 'D' OR {pd_} = 'D', false)"
     excl_x = f"coalesce(delinquency_attribute = 'X' OR {pd_} = 'X', false)"
     st = "upper(substr(account_state, 1, 1))"
@@ -338,8 +339,8 @@ def _jumps_sql() -> str:
     cols = ["m1", "m2", "m3", "m4"]
     prob, interp, cyc = "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"
     for old, young in zip(cols[:-1], cols[1:]):
-        hit = " OR ".join(f"({old} = '{a}' AND {young} = '{b}')" for a, b, _ in B.AGE_JUMPS)
-        txt = "CASE " + " ".join(f"WHEN {old} = '{a}' AND {young} = '{b}' THEN '{t}'" for a, b, t in B.AGE_JUMPS) + " END"
+        hit = " OR ".join(f"({old} = '{a}' AND {young} = '{b}')" for a, b, _ in OT.AGE_JUMPS)
+        txt = "CASE " + " ".join(f"WHEN {old} = '{a}' AND {young} = '{b}' THEN '{t}'" for a, b, t in OT.AGE_JUMPS) + " END"
         h = f"coalesce({hit}, false)"
         prob = f"CASE WHEN {h} THEN 'From ' || {old} || ' to ' || {young} ELSE {prob} END"
         interp = f"CASE WHEN {h} THEN {txt} ELSE {interp} END"

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import decisioning as D
-from ledgerline.operators.applications import MANDATE_CUTOFFS
 from ledgerline.operators import filters as FL
 from ledgerline.operators import scorecards as S
+from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_applications import _grade_sql
 from ledgerline.plans.q_ecl import SCORE_INPUTS, _points_sql
@@ -80,15 +80,15 @@ def _claim_sql(seg, states) -> str:
 
 def _policy_sql(seg) -> str:
     whens = []
-    for c, label in D.POLICY_RULES:
+    for c, label in OT.POLICY:
         young = f"coalesce({c} < 1800, {'true' if seg.code == 'NTC' else 'false'})"
         cond = young if c == "cst_customerage" else f"coalesce({c} = 'Y', false)"
         whens.append(f"WHEN {cond} THEN '{label}'")
     if seg.debt_review:
-        whens.append(f"WHEN coalesce({D.DEBT_REVIEW_REQUESTED[0]} = 'Y', false) THEN '{D.DEBT_REVIEW_REQUESTED[1]}'")
+        whens.append(f"WHEN coalesce({OT.DEBT_REVIEW[0]} = 'Y', false) THEN '{OT.DEBT_REVIEW[1]}'")
     if seg.income:
         low = "(app_gross_income IS NULL OR app_gross_income < 1500)" if seg.code == "NTC" else "coalesce(app_gross_income < 1500, false)"
-        whens.append(f"WHEN {low} THEN '{D.LOW_INCOME[1]}'")
+        whens.append(f"WHEN {low} THEN '{OT.LOW_INCOME}'")
     for c, op, v, label in seg.checks:
         cond = f"{c} IS NULL" if op == "null" else f"coalesce({c} {'<' if op == '<' else '='} {v}, false)"
         whens.append(f"WHEN {cond} THEN '{label}'")
@@ -98,8 +98,8 @@ def _policy_sql(seg) -> str:
 def _waterfall_sql(fixed: bool = False) -> str:
     sc = {c: f"({_score_expr(c)})" for c in ("new", "est", "cam")}
     oh_ch = "upper(coalesce(channel, ''))"
-    ch_idx = "CASE " + " ".join(f"WHEN instr({oh_ch}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(FL.CHANNELS)) + " END"
-    ch_cols = ", ".join(f"CASE WHEN ({ch_idx}) = {i + 1} THEN 1 END AS {n}" for i, (_, n) in enumerate(FL.CHANNELS))
+    ch_idx = "CASE " + " ".join(f"WHEN instr({oh_ch}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(OT.CHANNELS)) + " END"
+    ch_cols = ", ".join(f"CASE WHEN ({ch_idx}) = {i + 1} THEN 1 END AS {n}" for i, (_, n) in enumerate(OT.CHANNELS))
     ctes = [f"""bs AS (SELECT applicant AS idkey, {sc['new']} AS new_customer_score, {sc['est']} AS est_customer_score,
         {sc['cam']} AS cam_customer_score FROM fx_bureau)""",
             f"""inp AS (SELECT a.*, bs.new_customer_score, bs.est_customer_score, bs.cam_customer_score, {ch_cols},
@@ -225,7 +225,7 @@ ri AS (SELECT *, {', '.join(per_app)} FROM ri0)"""
     for s_ in D.SCORE_AVERAGES:
         exprs[s_] = f"CASE WHEN s_{s_}_cnt IS NOT NULL THEN CAST(trunc(s_{s_} / s_{s_}_cnt) AS INTEGER) END"
     met = f"met AS (SELECT {keys}, s_freq AS applicants, {', '.join(f'{v} AS {k}' for k, v in exprs.items())} FROM agg)"
-    g12, g9, g6 = (_grade_sql(f"badrate{n}m", MANDATE_CUTOFFS[n]) for n in (12, 9, 6))
+    g12, g9, g6 = (_grade_sql(f"badrate{n}m", OT.MANDATE[n]) for n in (12, 9, 6))
     m = f"""CASE WHEN badrate12m IS NOT NULL AND badrate9m IS NOT NULL AND badrate6m IS NOT NULL THEN trunc(10 * ({g12} + {g9} + {g6}) / 3) / 10e0
       WHEN badrate12m IS NOT NULL AND badrate9m IS NOT NULL THEN trunc(10 * ({g12} + {g9}) / 2) / 10e0
       WHEN badrate9m IS NOT NULL AND badrate6m IS NOT NULL THEN trunc(10 * ({g9} + {g6}) / 2) / 10e0

@@ -14,6 +14,7 @@ from ledgerline.operators import behaviour as B
 from ledgerline.operators import filters as FL
 from ledgerline.operators import identity as I
 from ledgerline.operators import portfolio as PF
+from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_behaviour import delinquency_sql
 from ledgerline.plans.q_identity import _ACCOUNT_TYPE, AS_OF, _validate_sql
@@ -219,13 +220,13 @@ def applications_with_service(spark, sf_dir) -> DataFrame:
 def _one_hot_sql() -> str:
     cols = []
     ch = "upper(coalesce(channel, ''))"
-    k = "CASE " + " ".join(f"WHEN instr({ch}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(FL.CHANNELS)) + " END"
-    cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, n) in enumerate(FL.CHANNELS)]
+    k = "CASE " + " ".join(f"WHEN instr({ch}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(OT.CHANNELS)) + " END"
+    cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, n) in enumerate(OT.CHANNELS)]
     cols.append(f"CAST(CASE WHEN ({k}) IS NULL THEN 1 END AS INTEGER) AS filter_channel_other")
     o = "upper(coalesce(decision_outcome, ''))"
-    k = "CASE " + " ".join(f"WHEN {o} = '{w}' THEN {i + 1}" for i, (w, _, _) in enumerate(FL.OUTCOMES)) + " END"
-    cols.append(f"CAST(coalesce([{', '.join(str(s) for _, s, _ in FL.OUTCOMES)}][{k}], 9) AS INTEGER) AS filter_decision_outcome_seq")
-    cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, _, n) in enumerate(FL.OUTCOMES)]
+    k = "CASE " + " ".join(f"WHEN {o} = '{w}' THEN {i + 1}" for i, (w, _, _) in enumerate(OT.OUTCOMES)) + " END"
+    cols.append(f"CAST(coalesce([{', '.join(str(s) for _, s, _ in OT.OUTCOMES)}][{k}], 9) AS INTEGER) AS filter_decision_outcome_seq")
+    cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, _, n) in enumerate(OT.OUTCOMES)]
     cols.append(f"CAST(CASE WHEN ({k}) IS NULL THEN 1 END AS INTEGER) AS filter_decision_outcome_unknown")
     s = "upper(coalesce(decision_service, ''))"
     k = "CASE " + " ".join(f"WHEN instr({s}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(FL.DECISION_SERVICES)) + " END"

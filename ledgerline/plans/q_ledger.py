@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerline.operators import contracts as K
 from ledgerline.operators import ledger as L
+from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.sources.fixtures import fixture, fixture_cte
 
@@ -25,14 +26,14 @@ def _q(s: str) -> str:
 def classify_sql(src: str) -> str:
     amount = "CASE WHEN coalesce(upper(replace(src, ' ', '')) = 'CELLC', false) THEN -amt ELSE amt END"
     code = "upper(replace(tdc, ' ', ''))"
-    rc_label = _case([(f"txn_rc = {_q(k)}", _q(v)) for k, v in L.RECEIPT_CODE_LABELS])
+    rc_label = _case([(f"txn_rc = {_q(k)}", _q(v)) for k, v in OT.RECEIPT_CODES])
     letters = _lu("coalesce(rec, '')")
     rtype = (f"CASE WHEN length(coalesce(rec, '')) >= 1 AND length({letters}) >= 1 THEN "
-             + _case([(f"substr({letters}, 1, 1) = {_q(k)}", _q(v)) for k, v in L.RECEIPT_TYPES], letters) + " END")
+             + _case([(f"substr({letters}, 1, 1) = {_q(k)}", _q(v)) for k, v in OT.RECEIPT_TYPES], letters) + " END")
     remark = "upper(coalesce(rem, ''))"
-    note = _case([(f"instr({remark}, {_q(k)}) > 0", _q(v)) for k, v in L.RECEIPT_NOTES], "''")
+    note = _case([(f"instr({remark}, {_q(k)}) > 0", _q(v)) for k, v in OT.RECEIPT_NOTES], "''")
     bt = _lu("coalesce(res, '')")
-    bank = _case([(f"instr({bt}, {_q(k)}) > 0", _q(v)) for k, v in L.RECEIPT_BANKS]
+    bank = _case([(f"instr({bt}, {_q(k)}) > 0", _q(v)) for k, v in OT.RECEIPT_BANKS]
                  + [(f"length({bt}) = 0 OR {bt} = 'A'", "''")], f"'* ' || {bt}")
     stage1 = f"""SELECT *,
       CASE WHEN tdc IS NOT NULL THEN CASE WHEN {code} = 'CR' THEN 1 ELSE 0 END ELSE CASE WHEN ({amount}) < 0 THEN 1 ELSE 0 END END AS txn_credit,
@@ -43,7 +44,7 @@ def classify_sql(src: str) -> str:
     FROM {src}"""
     ttype = f"CASE WHEN txn IS NOT NULL AND txn <> '' THEN substr({_lu('txn')}, 1, 3) ELSE '' END"
     rules = []
-    for tcode, extra, label in L.TRANSACTION_TYPES:
+    for tcode, extra, label in OT.TRANSACTIONS:
         cond = f"tt = {_q(tcode)}"
         if extra == "C":
             cond += " AND txn_credit = 1"
@@ -56,7 +57,7 @@ def classify_sql(src: str) -> str:
             cond += " AND txn_rc IN (" + ", ".join(_q(x) for x in codes.split(",")) + ")"
             cond += {"C": " AND txn_credit = 1", "D": " AND txn_debit = 1"}.get(side, "")
         rules.append((cond, "txn_rc_label" if label == "=RC" else _q(label)))
-    ttl = _case(rules, _q(L.TRANSACTION_TYPE_DEFAULT))
+    ttl = _case(rules, _q(OT.TRANSACTION_DEFAULT))
     return f"""SELECT * EXCLUDE (amount_signed, tt), {ttl} AS txn_type_label FROM (
       SELECT *, CASE WHEN amount_signed > 0 AND txn_credit = 1 THEN 1 ELSE 0 END AS amt_pos,
         CASE WHEN amount_signed < 0 AND txn_debit = 1 THEN 1 ELSE 0 END AS amt_neg,
@@ -81,10 +82,10 @@ def q_transaction_summary(spark, sf_dir):
 
 
 def _contract_sql() -> str:
-    whens = [f"WHEN {name} = {v} THEN {i + 1}" for i, (name, v, _, _) in enumerate(K.CONTRACT_LADDER)]
-    labels = "[" + ", ".join(_q(r[2]) for r in K.CONTRACT_LADDER) + "]"
-    hots = ", ".join(f"CAST(CASE WHEN k = {i + 1} THEN 1 END AS INTEGER) AS {r[3]}" for i, r in enumerate(K.CONTRACT_LADDER))
-    return (f"SELECT * EXCLUDE (k), coalesce({labels}[k], {_q(K.CONTRACT_DEFAULT)}) AS con_treatment, {hots} "
+    whens = [f"WHEN {name} = {v} THEN {i + 1}" for i, (name, v, _, _) in enumerate(OT.CONTRACTS)]
+    labels = "[" + ", ".join(_q(r[2]) for r in OT.CONTRACTS) + "]"
+    hots = ", ".join(f"CAST(CASE WHEN k = {i + 1} THEN 1 END AS INTEGER) AS {r[3]}" for i, r in enumerate(OT.CONTRACTS))
+    return (f"SELECT * EXCLUDE (k), coalesce({labels}[k], {_q(OT.CONTRACT_DEFAULT)}) AS con_treatment, {hots} "
             f"FROM (SELECT *, CASE {' '.join(whens)} END AS k FROM fx_contracts)")
 
 

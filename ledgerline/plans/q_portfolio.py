@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import behaviour as B
 from ledgerline.operators import portfolio as PF
+from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_behaviour import _STATE_BASE, _transition_sql, accounts_with_state, performance_sql
 
@@ -81,16 +82,16 @@ def _seg_sql(legacy: bool = False) -> tuple[str, str]:
     else:
         whens_d += ["WHEN account_m00 >= 1 THEN '01. New (MOB=00)'", "WHEN account_new >= 1 THEN '02. Immature (MOB=01-05)'"]
         whens_p += ["WHEN account_m00 >= 1 THEN '00. Active (01 to 07)'", "WHEN account_new >= 1 THEN '00. Active (01 to 07)'"]
-    for word, d, p in PF.SEGMENT_RULES:
-        w = PF.LEGACY_KEYWORDS.get(word, word) if legacy else word
+    for word, older, d, p in OT.SEGMENTS:
+        w = older if legacy else word
         whens_d.append(f"WHEN coalesce(instr({st}, '{w}') > 0, false) THEN '{d}'")
         whens_p.append(f"WHEN coalesce(instr({st}, '{w}') > 0, false) THEN '{p}'")
     return "CASE " + " ".join(whens_d) + " ELSE '' END", "CASE " + " ".join(whens_p) + " ELSE '' END"
 
 
-_AGE_SQL = "CASE " + " ".join(f"WHEN account_age = '{c}' THEN '{lab}'" for c, lab in PF.AGEING_SEGMENTS) + f" ELSE '{PF.AGEING_OTHER}' END"
+_AGE_SQL = "CASE " + " ".join(f"WHEN account_age = '{c}' THEN '{lab}'" for c, lab in OT.AGEING) + f" ELSE '{OT.AGEING_OTHER}' END"
 _ROLL_SQL = ", ".join(
-    f"CAST(CASE WHEN replace(upper(transition_1_age), ' ', '') = '{t}' THEN 1 END AS INTEGER) AS {n}" for n, t in PF.ROLL_RATES
+    f"CAST(CASE WHEN replace(upper(transition_1_age), ' ', '') = '{t}' THEN 1 END AS INTEGER) AS {n}" for n, t in OT.ROLL_RATES
 )
 _DC_SQL = ", ".join(f"CASE WHEN account_age = '{k}' THEN accounts END AS records_dc{k}" for k in range(5))
 
@@ -114,7 +115,7 @@ def _metrics_sql(src: str, var: str) -> str:
     cols += [f"{pct(f'bads_{n}', f'(goods_{n} + bads_{n})')} AS bad_rate_{n}m_{per}" for n in PF.PERIODS]
     cols += [f"{pct(f'doubtful_debt_{n}m', 'records')} AS doubtful_debt_{n}m_{per}" for n in PF.PERIODS]
     cols += [f"CAST(records_dc{k} AS INTEGER) AS records_dc{k}_{per}" for k in range(5)]
-    cols += [f"{pct(n, f'records_dc{n[2]}')} AS {n}_{per}" for n, _ in PF.ROLL_RATES]
+    cols += [f"{pct(n, f'records_dc{n[2]}')} AS {n}_{per}" for n, _ in OT.ROLL_RATES]
     return f"SELECT {var}, yoy_label, {', '.join(cols)} FROM (SELECT {var}, yoy_label, {sums} FROM {src} GROUP BY {var}, yoy_label)"
 
 

@@ -158,7 +158,7 @@ FROM {events}
 
 FIXTURE_SQL["fx_month_states"] = """
 SELECT c_custkey AS account,
-       substr('0123401', CAST(1 + c_custkey % 7 AS INT), 1) AS m1, substr('0012341', CAST(1 + c_custkey % 7 AS INT), 1) AS m2,
+       CASE WHEN c_custkey % 5 = 1 THEN 'C' WHEN c_custkey % 5 = 2 THEN 'P' ELSE substr('0123401', CAST(1 + c_custkey % 7 AS INT), 1) END AS m1, substr('0012341', CAST(1 + c_custkey % 7 AS INT), 1) AS m2,
        CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE substr('1023400', CAST(1 + c_custkey % 7 AS INT), 1) END AS m3,
        CASE WHEN c_custkey % 12 = 0 THEN 'outside' ELSE substr('2101340', CAST(1 + c_custkey % 7 AS INT), 1) END AS m4
 FROM {customer}

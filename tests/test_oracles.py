@@ -23,3 +23,35 @@ def test_query_matches_oracle(spark, duck, key):
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, got) == rows_of(names, want)
+
+
+def test_oracle_tables_are_not_the_operators_registries():
+    import pathlib
+    import re
+
+    import ledgerline.plans as plans
+
+    shared = ("DELINQUENCY_RULES|DELINQUENCY_DEFAULT|BEHAVIOUR_LADDER|TRANSITION_TEXT|AGE_JUMPS|CONTRACT_LADDER|CONTRACT_DEFAULT|RECEIPT_CODE_LABELS|"
+              "RECEIPT_TYPES|RECEIPT_NOTES|RECEIPT_BANKS|TRANSACTION_TYPES|SEGMENT_RULES|LEGACY_KEYWORDS|AGEING_SEGMENTS|ROLL_RATES|MANDATE_CUTOFFS|"
+              "CHANNELS|OUTCOMES|POLICY_RULES|DEBT_REVIEW_REQUESTED|LOW_INCOME")
+    for path in pathlib.Path(plans.__path__[0]).glob("q_*.py"):
+        if path.name == "q_dormancy.py":  # its CHANNELS are column names
+            continue
+        assert not re.findall(rf"\b(?!OT\.)[A-Z]{{1,2}}\.(?:{shared})\b", path.read_text().replace("OT.", "oracle.")), path
+
+
+@pytest.mark.parametrize("key,module,registry,change", [
+    ("contract_treatment", "contracts", "CONTRACT_LADDER", lambda r: [r[1], r[0], *r[2:]]),
+    ("flag_age_jumps", "behaviour", "AGE_JUMPS", lambda r: [(*r[0][:2], "other"), *r[1:]]),
+    ("account_transition", "behaviour", "TRANSITION_TEXT", lambda r: [(r[0][0], "other"), *r[1:]]),
+    ("segment_by_ageing", "portfolio", "AGEING_SEGMENTS", lambda r: [("0", "other"), *r[1:]]),
+])
+def test_a_wrong_registry_entry_is_found(spark, duck, monkeypatch, key, module, registry, change):
+    import importlib
+
+    m = importlib.import_module(f"ledgerline.operators.{module}")
+    monkeypatch.setattr(m, registry, change(getattr(m, registry)))
+    df = QUERIES[key](spark, SF_SMALL)
+    cur = duck.execute(ORACLES[key])
+    names = [d[0] for d in cur.description]
+    assert rows_of(df.columns, df.collect()) != rows_of(names, cur.fetchall())
