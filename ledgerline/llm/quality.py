@@ -5,7 +5,7 @@ and random codes); learned filters run over the chunk, their rectified responses
 a small dense layer gives the chunk's logit.  A text's probability combines the mean, the largest and the smallest chunk
 logit by a logistic curve fitted on the training sample.
 
-Training draws a bounded sample: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 20
+Training draws a bounded sample: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 12
 million together, fetched to the driver.  Scoring reads every whole text.  Defined cases: null text is empty and has one
 all-padding chunk; if the sample lacks a class every score is its only label (0 without labels); every row is scored
 alone, so ids may repeat or be null; empty tables give no rows; other columns are ignored.
@@ -53,8 +53,11 @@ def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(b"".join(texts) + bytes(CHUNK), np.uint8)
     start = np.concatenate([[0], np.cumsum(size)[:-1]])[owner] + shift
     length = np.minimum(CHUNK, size[owner] - shift)
-    x = raw[np.minimum(start[:, None] + np.arange(CHUNK), len(raw) - 1)]
-    x[np.arange(CHUNK) >= length[:, None]] = 0
+    x = np.empty((len(start), CHUNK), np.uint8)
+    for a in range(0, len(start), 1024):  # the index is eight times the bytes
+        part = slice(a, a + 1024)
+        x[part] = raw[np.minimum(start[part, None] + np.arange(CHUNK), len(raw) - 1)]
+        x[part][np.arange(CHUNK) >= length[part, None]] = 0
     return x, np.clip((length - TAPS) // STRIDE + 1, 1, PLACES), owner
 
 
@@ -141,7 +144,7 @@ def train(texts: list[str], y: np.ndarray, chunks_seen: int = 60_000, batch: int
             square[k] = 0.999 * square[k] + 0.001 * g * g
             move = rate * (1 - t / steps) * (mean[k] / (1 - 0.9**t)) / (np.sqrt(square[k] / (1 - 0.999**t)) + 1e-8)
             setattr(net, k, (getattr(net, k) - move).astype(getattr(net, k).dtype))
-    net.curve = logistic(np.concatenate([net.features(raw[i : i + 200]) for i in range(0, len(raw), 200)]), y)
+    net.curve = logistic(np.concatenate([net.features(raw[i : i + 100]) for i in range(0, len(raw), 100)]), y)
     return net
 
 

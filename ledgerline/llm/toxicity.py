@@ -13,8 +13,8 @@ the highest margin, chosen anew each round (a document is toxic if one of its se
 words, a trained machine is one number a word; a document's probability comes from its best sentence and its total
 evidence by a logistic curve fitted on the training sample.
 
-The sample is bounded: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 20 million
-together, fetched to the driver.
+The sample is bounded: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 12
+million together, fetched to the driver.
 Scoring reads every whole text.  Defined cases: null text is empty; texts without words, and every text if the sample
 lacks a class, get the score of no evidence; every row is scored alone, so ids may repeat or be null; empty
 tables give no rows; other columns are kept by ``scored``.
@@ -22,8 +22,6 @@ tables give no rows; other columns are kept by ``scored``.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -249,67 +247,101 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _parts(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, Words]]:
+    """(number of texts before, words of the next texts), about ``most`` bytes at a time."""
+    first = 0
+    while first < len(texts):
+        last, size = first, 0
+        while last < len(texts) and (last == first or size + len(texts[last]) <= most):
+            size += len(texts[last])
+            last += 1
+        yield first, split_words(texts[first:last])
+        first = last
+
+
 def choose_landmarks(texts: list[bytes], y: np.ndarray, count: int) -> np.ndarray:
     """The words whose presence speaks most for a class, by the signed root of their G statistic; two of three for toxic."""
-    words = split_words(texts)
-    seen = {c: Counter() for c in (0, 1)}
-    fits = (words.size >= 3) & (words.size <= WIDTH)
-    pairs = {(words.letters[i : i + n].tobytes(), t) for i, n, t in zip(
-        words.start[fits].tolist(), words.size[fits].tolist(), words.text[fits].tolist())}
-    for w, t in pairs:
-        seen[int(y[t])][w] += 1
-    n = [int((y == c).sum()) for c in (0, 1)]
-
-    def strength(w: bytes) -> float:
-        a, b = seen[1][w], seen[0][w]
-        p, q, r = a / n[1], b / n[0], (a + b) / (n[0] + n[1])
-        g = sum(k * math.log(x / r) for k, x in ((a, p), (b, q)) if k) + sum(
-            (m - k) * math.log((1 - x) / (1 - r)) for k, m, x in ((a, n[1], p), (b, n[0], q)) if k < m and r < 1)
-        return math.copysign(math.sqrt(max(0.0, g)), p - q)
-
-    ranked = sorted(((strength(w), w) for w in seen[0].keys() | seen[1].keys()), reverse=True)
-    toxic = [w for s, w in ranked if s > 0][: count * 2 // 3]
-    clean = [w for s, w in reversed(ranked) if s < 0][: count - len(toxic)]
-    out = np.zeros((len(toxic) + len(clean), WIDTH), np.int16)
-    for i, w in enumerate(toxic + clean):
-        out[i, : len(w) // 2] = np.frombuffer(w, np.int16)
+    found = []
+    for before, words in _parts(texts):
+        fits = (words.size >= 3) & (words.size <= WIDTH)
+        pair = np.unique(np.column_stack([words.hash[fits], words.text[fits].astype(np.uint64)]), axis=0)
+        h, back = np.unique(pair[:, 0], return_inverse=True)
+        toxic = y[before + pair[:, 1].astype(np.int64)] == 1
+        found.append((h, np.bincount(back, toxic, len(h)), np.bincount(back, ~toxic, len(h))))
+    h, back = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    a, b = (np.bincount(back, np.concatenate([f[i] for f in found]), len(h)) for i in (1, 2))
+    n = [float((y == c).sum()) for c in (1, 0)]
+    r = (a + b) / sum(n)
+
+    def likelihood(k, m):  # k of m against the rate r
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.nan_to_num(k * np.log(k / (m * r)), nan=0.0) + np.nan_to_num((m - k) * np.log((m - k) / (m * (1 - r))), nan=0.0)
+
+    g = likelihood(a, n[0]) + likelihood(b, n[1])
+    strength = np.copysign(np.sqrt(np.maximum(g, 0)), a / n[0] - b / n[1])
+    order = np.lexsort((h, -strength))
+    toxic = h[order[strength[order] > 0][: count * 2 // 3]]
+    clean = h[order[strength[order] < 0][::-1][: count - len(toxic)]]
+    chosen = np.concatenate([toxic, clean])
+    place = {int(x): i for i, x in enumerate(chosen)}
+    out = np.zeros((len(chosen), WIDTH), np.int16)
+    for _, words in _parts(texts):
+        for i in np.flatnonzero(np.isin(words.hash, chosen)).tolist():
+            k = place[int(words.hash[i])]
+            if not out[k].any():
+                out[k, : words.size[i]] = words.letters[words.start[i] : words.start[i] + words.size[i]]
     return out
 
 
+def sentence_kernels(texts: list[bytes], marks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
+    """(kernel vectors of the sentences near a landmark, and one zero vector a text for its others; owners)."""
+    kernels, owners = [np.zeros((len(texts), marks.m), np.float32)], [np.arange(len(texts))]
+    for before, words in _parts(texts):
+        at, back = words.distinct()
+        found = [(row[hit], k) for row, letters in windows(words, at) for hit, k in [marks.kernel(letters)]]
+        near, place = np.unique(np.concatenate([r for r, _ in found] or [np.empty(0, np.int64)]), return_inverse=True)
+        if not len(near):
+            continue
+        each = np.zeros((len(near), marks.m), np.float32)
+        np.add.at(each, place, np.concatenate([k for _, k in found]))
+        slot = np.full(len(at), -1)
+        slot[near] = np.arange(len(near))
+        speaks = np.flatnonzero(slot[back] >= 0)
+        sentences, row = np.unique(words.sentence[speaks], return_inverse=True)
+        kernel = np.zeros((len(sentences), marks.m), np.float32)
+        np.add.at(kernel, row, each[slot[back[speaks]]])
+        owner = np.empty(len(sentences), np.int64)
+        owner[row] = words.text[speaks] + before
+        kernels.append(kernel)
+        owners.append(owner)
+    return np.concatenate(kernels), np.concatenate(owners)
+
+
 def train(texts: list[str], y: np.ndarray, count: int = 96, rounds: int = 6, ridge: float = 1e-3) -> Model:
     if len(np.unique(y)) < 2:
         return Model(None, np.empty(0), 0.0, np.array([0.0 if not len(y) else float(y[0])]))
     raw = encoded(texts)
     chosen = choose_landmarks(raw, y, count)
+    if not len(chosen):
+        return Model(None, np.empty(0), 0.0, np.array([float(y.mean())]))
     marks = Landmarks(chosen)
     rows, k = marks.kernel(chosen)
     own = np.zeros((len(chosen), len(chosen)))
     own[rows] = k
     values, vectors = np.linalg.eigh((own + own.T) / 2 + 1e-3 * np.eye(len(own)))
     half = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T  # inverse root
-    words = split_words(raw)
-    kernel = np.zeros((int(words.sentence.max()) + 1, len(chosen)), np.float32)
-    at, back = words.distinct()
-    found = [(row[hit], k) for row, letters in windows(words, at) for hit, k in [marks.kernel(letters)]]
-    speaks, place = np.unique(np.concatenate([r for r, _ in found]), return_inverse=True)  # few words are near a landmark
-    each = np.zeros((len(speaks), len(chosen)), np.float32)
-    np.add.at(each, place, np.concatenate([k for _, k in found]))
-    slot = np.full(len(at), -1)
-    slot[speaks] = np.arange(len(speaks))
-    slot = slot[back]
-    for i in np.array_split(np.flatnonzero(slot >= 0), 1 + int((slot >= 0).sum()) // 50_000):
-        np.add.at(kernel, words.sentence[i], each[slot[i]])
-    owner = np.zeros(len(kernel), np.int64)
-    owner[words.sentence] = words.text
-    phi = kernel @ half
+    kernel, owner = sentence_kernels(raw, marks)
+    phi = (kernel @ half.astype(np.float32)).astype(np.float32)
+    del kernel
     sign, weight = np.where(y == 1, 1.0, -1.0), np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
     there = np.unique(owner)
-    w, b = half.T @ np.r_[np.ones(len(chosen) * 2 // 3), np.zeros(len(chosen) - len(chosen) * 2 // 3)], 0.0
+    first = len(chosen) * 2 // 3
+    w, b = half.T @ np.r_[np.ones(first), np.zeros(len(chosen) - first)], 0.0
     for _ in range(rounds):
         margin = phi @ w
         order = np.lexsort((margin, owner))
         last = order[np.flatnonzero(np.diff(np.append(owner[order], -1)))]  # each document's best sentence
-        x, s, c = phi[last], sign[there], weight[there]
+        x, s, c = phi[last].astype(np.float64), sign[there], weight[there]
         a = np.column_stack([x, np.ones(len(x))])
         v = np.append(w, b)
         for _ in range(30):  # squared hinge by Newton steps
@@ -323,7 +355,9 @@ def train(texts: list[str], y: np.ndarray, count: int = 96, rounds: int = 6, rid
                 break
         w, b = v[:-1], float(v[-1])
     model = Model(marks, half @ w, b, np.zeros(4))
-    model.curve = logistic(model.features(raw), y)
+    features = [model.features(raw[i : i + 100]) for i in range(0, len(raw), 100)]
+    model.curve = logistic(np.concatenate(features), y)
+    model.known, model.values = np.empty(0, np.uint64), np.empty(0, np.float32)
     return model
 
 
