@@ -20,6 +20,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +32,12 @@ from pyspark.sql import Window as W
 from ledgerline.llm.common import shuffle_width, text_or_empty, written
 from ledgerline.llm.tokens import encoder, slices
 
-PIECES = "doc_id long, slot long, piece int, start long, length long, ids binary"
+PIECES = "doc_id long, slot long, piece int, start long, length long"
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """One row per piece of each document with its ids (little-endian unsigned 32-bit)."""
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = True) -> DataFrame:
+    """One row per piece of each document with its ids (little-endian unsigned 32-bit), or else with their crc32 only."""
+    last = "ids" if with_ids else "ids_crc32"
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,12 +52,14 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
                     edge = 0
                     for k in range(-(-n // capacity)):
                         to = n - (-(-n // capacity) - 1 - k) * capacity
-                        out.append((doc, slot, k, edge, to - edge, ids[4 * edge : 4 * to]))
+                        part = ids[4 * edge : 4 * to]
+                        out.append((doc, slot, k, edge, to - edge, part if with_ids else zlib.crc32(part)))
                         edge, slot = to, slot + 1
-                yield pd.DataFrame(out, columns=["doc_id", "slot", "piece", "start", "length", "ids"]).astype(
+                yield pd.DataFrame(out, columns=["doc_id", "slot", "piece", "start", "length", last]).astype(
                     {"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInPandas(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInPandas(
+        cut, f"{PIECES}, {last} {'binary' if with_ids else 'long'}")
 
 
 def plan(histogram: dict[int, int], capacity: int = 1024) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -169,5 +173,5 @@ def sequences(placed: DataFrame) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Pieces of all documents with their places; the ids stand in the rows as their crc32."""
-    slim = pieces(docs, vocabulary, capacity, end_id).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    slim = pieces(docs, vocabulary, capacity, end_id, with_ids=False)
     return place(spark, written(spark, slim, "pieces"), capacity).drop("slot")

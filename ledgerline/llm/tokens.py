@@ -89,7 +89,7 @@ class PieceEncoder:
         return [whole[i] if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
 
 
-def slices(texts, most: int = 4_000_000):
+def slices(texts, most: int = 1_000_000):
     """Index ranges of at most ``most`` characters together (a longer text is alone), to bound what one call holds."""
     first, size = 0, 0
     for i, text in enumerate(texts):
