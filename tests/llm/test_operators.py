@@ -170,7 +170,8 @@ def test_op3_components(spark, docs):
     assert _sorted(got) == _sorted(_want_components(ROWS))
 
 
-def test_op3_heavy_grams_and_large_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("heavy,block", [(8, 6), (7, 6), (32, 128)])
+def test_op3_heavy_grams_and_large_blocks(spark, monkeypatch, heavy, block):
     """Many variants of one text, many texts with one passage: every gram of theirs is met by pivots."""
     rnd = random.Random(8)
     base = [f"w{rnd.randrange(60)}" for _ in range(60)]
@@ -183,8 +184,8 @@ def test_op3_heavy_grams_and_large_blocks(spark, monkeypatch):
     passage = " ".join(f"p{j}" for j in range(12))
     rows += [(1000 + i, " ".join(f"q{rnd.randrange(400)}" for _ in range(rnd.randrange(0, 6))) + " " + passage) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    monkeypatch.setattr(ngram_join, "HEAVY", 8)
-    monkeypatch.setattr(ngram_join, "BLOCK", 6)
+    monkeypatch.setattr(ngram_join, "HEAVY", heavy)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark, docs).collect()]
     assert _sorted(got) == _sorted(_want_components(rows))
 
