@@ -174,19 +174,33 @@ def _claims(seg: Segment, states) -> str:
     return f"({cond} AND {seg.channel} IS NOT NULL)" if seg.channel else cond
 
 
-def _policy(seg: Segment) -> str:
+def _policies(missing_age: bool) -> str:
+    """The first failing P rule; ``missing_age``: a missing age fails as well."""
     rules = []
     for c, label in POLICY_RULES:
-        # a missing age counts as under age in the NTC segment only
-        young = f"({c} IS NULL OR {c} < 1800)" if seg.code == "NTC" else T.true_or_false(f"{c} < 1800")
-        cond = young if c == "cst_customerage" else _yes(c)
-        rules.append((cond, T.q(label)))
+        young = f"({c} IS NULL OR {c} < 1800)" if missing_age else T.true_or_false(f"{c} < 1800")
+        rules.append((young if c == "cst_customerage" else _yes(c), T.q(label)))
+    return T.case(rules)
+
+
+# What segments share, computed once a row: the first failing P rule and the low income, each also with missing values
+# failing (as in the NTC segment only), and the debt review.
+_SHARED = {
+    "_p": _policies(False),
+    "_p_ntc": _policies(True),
+    "_g": _yes(DEBT_REVIEW_REQUESTED[0]),
+    "_low": T.true_or_false(f"{LOW_INCOME[0]} < 1500"),
+    "_low_ntc": f"({LOW_INCOME[0]} IS NULL OR {LOW_INCOME[0]} < 1500)",
+}
+
+
+def _policy(seg: Segment) -> str:
+    own = "_ntc" if seg.code == "NTC" else ""
+    rules = [(f"_p{own} IS NOT NULL", f"_p{own}")]
     if seg.debt_review:
-        rules.append((_yes(DEBT_REVIEW_REQUESTED[0]), T.q(DEBT_REVIEW_REQUESTED[1])))
+        rules.append(("_g", T.q(DEBT_REVIEW_REQUESTED[1])))
     if seg.income:
-        c = LOW_INCOME[0]
-        low = f"({c} IS NULL OR {c} < 1500)" if seg.code == "NTC" else T.true_or_false(f"{c} < 1500")
-        rules.append((low, T.q(LOW_INCOME[1])))
+        rules.append((f"_low{own}", T.q(LOW_INCOME[1])))
     for c, op, v, label in seg.checks:
         cond = f"{c} IS NULL" if op == "null" else T.true_or_false(f"{c} {'<' if op == '<' else '='} {v}")
         rules.append((cond, T.q(label)))
@@ -203,11 +217,18 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
     """Apply the twelve segments in order; adds segment, outcome, waterfall, matrix, risk grade,
     the segment filter flags and the activation flags.  ``fixed=True`` uses ``fixed_segments()``.
 
-    Two projections per segment (claim + policy; matrix, outcome and grade),
-    each written as SQL expression text.
+    One projection for what the segments share, claims and matrices included; then two short ones per segment
+    (claim + policy; matrix, outcome and grade), each written as SQL expression text.
     """
+    segments = fixed_segments() if fixed else SEGMENTS
+    shared = dict(_SHARED)
+    for seg in segments:
+        shared[f"_claim_{seg.code}"] = _claims(seg, seg.states)
+        shared[f"_done_{seg.code}"] = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
+        shared[f"_mat_{seg.code}"] = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
     out = df.withColumns(
         {
+            **{c: F.expr(e) for c, e in shared.items()},
             "decision_services_segment": F.lit(None).cast("string"),
             **{f: F.lit(None).cast("int") for f in OUTPUT_FLAGS},
             "decision_services_waterfall": F.lit(None).cast("string"),
@@ -216,8 +237,8 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
             "decision_services_risk_grade": F.lit(None).cast("string"),
         }
     )
-    for seg in (fixed_segments() if fixed else SEGMENTS):
-        claim = _claims(seg, seg.states)
+    for seg in segments:
+        claim, computed, mat = (f"_{x}_{seg.code}" for x in ("claim", "done", "mat"))
         out = out.withColumns(
             {
                 "decision_services_segment": F.expr(f"CASE WHEN {claim} THEN {T.q(seg.claim_code or seg.code)} ELSE decision_services_segment END"),
@@ -226,11 +247,9 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
                     f"CASE WHEN {claim} THEN coalesce({_policy(seg)}, decision_services_waterfall) ELSE decision_services_waterfall END"),
             }
         )
-        computed = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
         # as delivered for IMM: computed for one state, applied to another -> NULL results there
-        applied = _claims(seg, seg.states) if seg.code == "IMM" and not fixed else computed
+        applied = claim if seg.code == "IMM" and not fixed else computed
         empty = "(decision_services_waterfall IS NULL OR decision_services_waterfall = '')"
-        mat = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
         outcome = f"CASE WHEN {empty} THEN {T.q('Approve ' + seg.grade)} ELSE 'Decline' END"
         new_wf = f"CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE decision_services_waterfall END"
         step = {}
@@ -258,7 +277,7 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
             "filter_xxxxxx_state": F.expr("CASE WHEN decision_services_segment = 'XXX' THEN 1 ELSE filter_xxxxxx_state END"),
         }
     )
-    return activation_flags(out)
+    return activation_flags(out.drop(*shared))
 
 
 def activation_flags(df: DataFrame, subscriptions: str = "app_subscriptions", state: str = "customer_state") -> DataFrame:
