@@ -193,6 +193,7 @@ def _with_counts(df: DataFrame, specs):
 
 
 def _label_sql(c: dict[str, str], n: int) -> str:
+    # The window labels and their order.
     return T.case(
         [
             (f"{c['cnt_x']} > 0", "'X-Exclusion'"),
@@ -213,6 +214,7 @@ def _nz_sql(x: str) -> str:
 
 
 def _grp_sql(cnt: str, n: int, word: str) -> str:
+    # The completeness texts.
     return T.case(
         [
             (f"{cnt} IS NULL OR {cnt} = 0", T.q(f"E. All {word} points missing")),
@@ -388,6 +390,7 @@ def account_state(df: DataFrame, account_cat="account_cat", dlq="delinquency_att
         return "(" + " AND ".join(f"{x} IS NULL" for x in cols) + ")"
 
     never_adv = all_null("obs24_adv", "obs24_dc4")
+    # The state texts and their order.
     rules = [
         (f"{d} = 'D' OR obs24 = 'X-Exclusion' OR obs24 = 'I-Missing'", "X. EXC Exclusions"),
         (f"upper({c}) = 'APP'", "A. NTU Not Taken-Up Applications"),

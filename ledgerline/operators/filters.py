@@ -53,6 +53,7 @@ def _filter_parts(flt: Filter, c) -> tuple[Column, Column | None, dict[str, Colu
     a, b = c("an_a"), c("an_b")
     one = F.lit(1)
     none = F.lit(None).cast("int")
+    # Fixed values in what follows: the filter words and the waterfall labels.
     if n in ("administration", "debt_review", "deceased", "fraud", "debt_prescription"):
         spec = {
             "administration": ("H. Administration, Insolvency & Liquidation", "Consumer under Administration, Insolvency, Liquidation", "administration"),

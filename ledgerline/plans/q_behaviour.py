@@ -124,6 +124,7 @@ def performance_sql(n: int) -> list[str]:
     return [f"CASE WHEN pit > {n} THEN {v} END AS {k}" for k, v in vals.items()]
 
 
+# The state texts and their order, as the requirements have them.
 STATE_SQL = """CASE
   WHEN delinquency_attribute = 'D' OR obs24 = 'X-Exclusion' OR obs24 = 'I-Missing' THEN 'X. EXC Exclusions'
   WHEN upper(account_cat) = 'APP' THEN 'A. NTU Not Taken-Up Applications'
