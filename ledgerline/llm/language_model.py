@@ -10,7 +10,7 @@ their last two bytes.  P(class | history) is a softmax over hashed features: the
 * Training: all training texts, dealt into ROUNDS parts.  In a round every task runs stochastic gradient steps
   over its texts, starting from the round's model; the tasks' models are averaged by their tokens (in two levels).
 * Scoring: one pass scores classes in batches and the counts of the COMMON most frequent words (a bounded broadcast); the
-  rarer words travel to their block's owner, who sends back each text's sum.  So no word, however frequent, gathers rows.
+  rarer words travel to their block's owner, who answers each batch with its texts' sums.  So no word, however frequent, gathers rows.
 
 Also returned is the add-one unigram base: the sum of log10((c + 1) / (N + V + 1)).
 Defined cases: null text is empty (the end alone); every row is scored, also with repeated or null ids (a null id counts as the
@@ -38,7 +38,7 @@ ROWS = 4096  # of each of the three features
 COMMON = 1 << 17
 ROUNDS = 2
 BATCH = 4096
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 MODULUS, HELD_OUT = 7, 2
 
@@ -146,7 +146,7 @@ class Model:
         own = np.zeros(FREQUENT)
         own[: len(sure)] = counts[sure] + 2.0
         own[len(sure) :] = 2.0
-        self.log_class = np.log10(np.concatenate([own, n + v + 1]))  # a class's add-one total
+        self.log_class = np.log10(np.concatenate([own, np.maximum(n + v, 0) + 1]))  # a class's add-one total
         self.weights = np.zeros((3 * ROWS, CLASSES), np.float32)
         self.bias = np.zeros(CLASSES, np.float32)
 
@@ -302,8 +302,9 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
             order = np.argsort(h, kind="stable")
             h, r, n = h[order], r[order], n[order]
             edge = np.searchsorted(_block(h, blocks), np.arange(blocks + 1, dtype=np.uint64))
-            return pd.DataFrame([(k, h[a:b].tobytes() + r[a:b].tobytes() + n[a:b].astype("<u4").tobytes())
-                                 for k, (a, b) in enumerate(zip(edge, edge[1:])) if a < b], columns=["block", "raw"])
+            part = int(r.min())  # names this batch: no other holds that text
+            return pd.DataFrame([(k, part, h[a:b].tobytes() + r[a:b].tobytes() + n[a:b].astype("<u4").tobytes())
+                                 for k, (a, b) in enumerate(zip(edge, edge[1:])) if a < b], columns=["block", "row", "raw"])
 
         for batch, raw in _slices(batches):
             h, t, at = tokens(raw)
@@ -333,9 +334,11 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
             yield flush().reindex(columns=columns)
 
     def answer(batches):
+        """To each batch of a block's words: its texts, their known words and sums of logarithms."""
         block, h, logs = None, None, None
         for batch in batches:
-            for k, raw, hashes, counts in zip(batch["block"].tolist(), batch["raw"], batch["hashes"], batch["counts"]):
+            out = []
+            for k, part, raw, hashes, counts in zip(batch["block"].tolist(), batch["row"].tolist(), batch["raw"], batch["hashes"], batch["counts"]):
                 if k != block:
                     block, h = k, np.frombuffer(hashes, "<u8") if hashes is not None else np.empty(0, np.uint64)
                     logs = np.log10(np.frombuffer(counts, "<u8") + 1.0) if hashes is not None else np.empty(0)
@@ -345,17 +348,38 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 hit = np.flatnonzero(h[place] == words) if len(h) else np.empty(0, np.int64)
                 own, back = np.unique(rows[hit], return_inverse=True)
                 n = n[hit].astype(np.float64)
-                yield pd.DataFrame({"row": own, "more_known": np.bincount(back, n, len(own)).astype(np.int64),
-                                    "more_logs": np.bincount(back, n * logs[place[hit]], len(own))})
+                sums = np.bincount(back, n, len(own)), np.bincount(back, n * logs[place[hit]], len(own))
+                if len(own):
+                    out.append((part, own.tobytes() + np.concatenate(sums).astype("<f8").tobytes()))
+            yield pd.DataFrame(out, columns=["part", "raw"])
+
+    def total(batches):
+        part, held = None, []
+
+        def rows():
+            own, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+            known, logs = (np.bincount(back, np.concatenate([x[i] for x in held]), len(own)) for i in (1, 2))
+            return pd.DataFrame({"row": own, "more_known": known.astype(np.int64), "more_logs": logs})
+
+        for batch in batches:
+            for k, raw in zip(batch["part"].tolist(), batch["raw"]):
+                if k != part:
+                    if held:
+                        yield rows()
+                    part, held = k, []
+                m = len(raw) // 24
+                held.append((np.frombuffer(raw, "<i8", m), np.frombuffer(raw, "<f8", m, 8 * m), np.frombuffer(raw, "<f8", m, 16 * m)))
+        if held:
+            yield rows()
 
     columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "classes", "block", "raw"]
     found = written(spark, _rows(docs).mapInPandas(
         run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, classes double, block int, raw binary"), "lm-rows")
-    asked = found.filter("block >= 0").select("block", "raw").repartition(blocks, "block")
+    asked = found.filter("block >= 0").select("block", "row", "raw").repartition(blocks, "block")
     owners = words.select(F.col("block").alias("_block"), "hashes", "counts")  # one row a block
-    asked = asked.join(owners.hint("merge"), F.col("block") == F.col("_block"), "left").select("block", "raw", "hashes", "counts")
-    rare = asked.mapInPandas(answer, "row long, more_known long, more_logs double").groupBy("row").agg(
-        F.sum("more_known").alias("more_known"), F.sum("more_logs").alias("more_logs"))
+    asked = asked.join(owners.hint("merge"), F.col("block") == F.col("_block"), "left").select("block", "row", "raw", "hashes", "counts")
+    answers = asked.mapInPandas(answer, "part long, raw binary").repartition(blocks, "part").sortWithinPartitions("part")
+    rare = answers.mapInPandas(total, "row long, more_known long, more_logs double")  # all of a text's words are in one batch
     out = found.filter("block < 0").drop("block", "raw").join(rare, "row", "left").fillna(0, ["more_known", "more_logs"])
     logs = F.col("logs") + F.col("more_logs")
     base = float(np.log10(model.total + model.distinct + 1.0))

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.llm.common import text_or_empty
+from ledgerline.llm.common import text_or_empty, tidied
+from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import NOT_ALNUM, encoded, rolling, word_hashes
 
 #: Exact phrases and their labels.
@@ -72,14 +73,16 @@ def grams(docs: DataFrame, k: int = K) -> DataFrame:
 
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            words, at = word_hashes(encoded(batch["text"]), NOT_ALNUM)
-            found = [rolling(words[a:b], k).view("int64") for a, b in zip(at, at[1:])]
-            yield pd.DataFrame({"row": range(row, row + len(batch)), "doc_id": batch["doc_id"].astype("Int64").to_numpy(),
-                                "n_words": at[1:] - at[:-1], "grams": found})
-            row += len(batch)
+            texts = batch["text"].tolist()
+            for a, b in slices(texts):
+                words, at = word_hashes(encoded(texts[a:b]), NOT_ALNUM)
+                found = [rolling(words[i:j], k).view("int64") for i, j in zip(at, at[1:])]
+                yield pd.DataFrame({"row": range(row, row + b - a), "doc_id": batch["doc_id"].iloc[a:b].astype("Int64").to_numpy(),
+                                    "n_words": at[1:] - at[:-1], "grams": found})
+                row += b - a
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInPandas(
-        hashed, "row long, doc_id long, n_words long, grams array<long>")
+        tidied(hashed), "row long, doc_id long, n_words long, grams array<long>")
 
 
 def spans(spark: SparkSession, docs: DataFrame, k: int = K, slack: int = 3) -> DataFrame:
