@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import Row
@@ -170,7 +171,7 @@ def test_plans_stay_in_the_jvm_and_never_gather_to_one_partition(spark):
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
                 # only global aggregates may gather (one partial row per task), never rows
-                assert "Aggregate(keys=[]" in lines[i + 1], (key, line)
+                assert re.search(r"Aggregate\(keys?=\[\]", lines[i + 1]), (key, line)
 
 
 def test_ordered_lag_equals_whole_key_lag(spark):
