@@ -217,67 +217,47 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
     """Apply the twelve segments in order; adds segment, outcome, waterfall, matrix, risk grade,
     the segment filter flags and the activation flags.  ``fixed=True`` uses ``fixed_segments()``.
 
-    One projection for what the segments share, claims and matrices included; then two short ones per segment
-    (claim + policy; matrix, outcome and grade), each written as SQL expression text.
+    The segments are one array, folded in order by ``aggregate``, so that the result is a single expression: a condition on
+    it that Spark pushes below the projection stays as long as the array, where a chain of projections that refer to each
+    other would multiply.
     """
     segments = fixed_segments() if fixed else SEGMENTS
-    shared = dict(_SHARED)
+    steps, flags = [], {f: [] for f in OUTPUT_FLAGS}
     for seg in segments:
-        shared[f"_claim_{seg.code}"] = _claims(seg, seg.states)
-        shared[f"_done_{seg.code}"] = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
-        shared[f"_mat_{seg.code}"] = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
-    out = df.withColumns(
-        {
-            **{c: F.expr(e) for c, e in shared.items()},
-            "decision_services_segment": F.lit(None).cast("string"),
-            **{f: F.lit(None).cast("int") for f in OUTPUT_FLAGS},
-            "decision_services_waterfall": F.lit(None).cast("string"),
-            "decision_services_outcome": F.lit(None).cast("string"),
-            "decision_services_matrix": F.lit(None).cast("string"),
-            "decision_services_risk_grade": F.lit(None).cast("string"),
-        }
-    )
-    for seg in segments:
-        claim, computed, mat = (f"_{x}_{seg.code}" for x in ("claim", "done", "mat"))
-        out = out.withColumns(
-            {
-                "decision_services_segment": F.expr(f"CASE WHEN {claim} THEN {T.q(seg.claim_code or seg.code)} ELSE decision_services_segment END"),
-                seg.flag: F.expr(f"CASE WHEN {claim} THEN 1 ELSE {seg.flag} END"),
-                "decision_services_waterfall": F.expr(
-                    f"CASE WHEN {claim} THEN coalesce({_policy(seg)}, decision_services_waterfall) ELSE decision_services_waterfall END"),
-            }
-        )
+        claim = _claims(seg, seg.states)
+        done = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
         # as delivered for IMM: computed for one state, applied to another -> NULL results there
-        applied = claim if seg.code == "IMM" and not fixed else computed
-        empty = "(decision_services_waterfall IS NULL OR decision_services_waterfall = '')"
-        outcome = f"CASE WHEN {empty} THEN {T.q('Approve ' + seg.grade)} ELSE 'Decline' END"
-        new_wf = f"CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE decision_services_waterfall END"
-        step = {}
-        if seg.grades:
-            # grade of the matrix just computed (one map lookup), else the grade already set
+        applied = claim if seg.code == "IMM" and not fixed else done
+        mat = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
+        grade = "CAST(NULL AS STRING)"
+        if seg.grades:  # grade of the matrix just computed
             grades = "map(" + ", ".join(f"{T.q(k)}, {T.q(v)}" for k, v in seg.grades) + ")"
-            step["decision_services_risk_grade"] = F.expr(
-                f"CASE WHEN {applied} THEN coalesce(try_element_at({grades}, CASE WHEN {computed} THEN {mat} END), "
-                f"decision_services_risk_grade) ELSE decision_services_risk_grade END")
-        out = out.withColumns(
-            {
-                **step,
-                "decision_services_outcome": F.expr(
-                    f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {outcome} END ELSE decision_services_outcome END"),
-                "decision_services_waterfall": F.expr(
-                    f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {new_wf} END ELSE decision_services_waterfall END"),
-                "decision_services_matrix": F.expr(
-                    f"CASE WHEN {applied} THEN CASE WHEN {computed} THEN {mat} END ELSE decision_services_matrix END"),
-            }
-        )
-    out = out.withColumn("decision_services_segment", F.expr("coalesce(decision_services_segment, 'XXX')"))
-    out = out.withColumns(
+            grade = f"try_element_at({grades}, CASE WHEN {done} THEN {mat} END)"
+        steps.append(f"named_struct('claim', {claim}, 'code', {T.q(seg.claim_code or seg.code)}, 'policy', {_policy(seg)}, 'done', {done}, "
+                     f"'applied', {applied}, 'mat', {mat}, 'approve', {T.q('Approve ' + seg.grade)}, 'grade', {grade})")
+        flags[seg.flag].append(claim)
+    wf = "CASE WHEN s.claim THEN coalesce(s.policy, a.wf) ELSE a.wf END"
+    empty = f"coalesce({wf}, '') = ''"
+    fold = (f"named_struct('seg', CASE WHEN s.claim THEN s.code ELSE a.seg END, "
+            f"'wf', CASE WHEN NOT s.applied THEN {wf} WHEN s.done THEN CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE {wf} END END, "
+            f"'outcome', CASE WHEN NOT s.applied THEN a.outcome WHEN s.done THEN CASE WHEN {empty} THEN s.approve ELSE 'Decline' END END, "
+            f"'mat', CASE WHEN NOT s.applied THEN a.mat WHEN s.done THEN s.mat END, "
+            f"'grade', CASE WHEN s.applied THEN coalesce(s.grade, a.grade) ELSE a.grade END)")
+    start = "named_struct(" + ", ".join(f"'{c}', CAST(NULL AS STRING)" for c in ("seg", "wf", "outcome", "mat", "grade")) + ")"
+    staged = df.withColumns({c: F.expr(e) for c, e in _SHARED.items()})
+    staged = staged.withColumn("_r", F.expr(f"aggregate(array({', '.join(steps)}), {start}, (a, s) -> {fold})"))
+    out = staged.withColumns(
         {
-            "decision_services_outcome": F.expr("CASE WHEN decision_services_segment = 'XXX' THEN 'Decline' ELSE decision_services_outcome END"),
-            "filter_xxxxxx_state": F.expr("CASE WHEN decision_services_segment = 'XXX' THEN 1 ELSE filter_xxxxxx_state END"),
+            "decision_services_segment": F.expr("coalesce(_r.seg, 'XXX')"),
+            **{f: F.expr(f"CASE WHEN {' OR '.join(c) or 'false'} THEN 1 END").cast("int") for f, c in flags.items()},
+            "decision_services_waterfall": F.col("_r.wf"),
+            "decision_services_outcome": F.expr("CASE WHEN _r.seg IS NULL THEN 'Decline' ELSE _r.outcome END"),
+            "decision_services_matrix": F.col("_r.mat"),
+            "decision_services_risk_grade": F.col("_r.grade"),
         }
     )
-    return activation_flags(out.drop(*shared))
+    xxx = F.expr("CASE WHEN _r.seg IS NULL THEN 1 ELSE filter_xxxxxx_state END")
+    return activation_flags(out.withColumn("filter_xxxxxx_state", xxx).drop("_r", *_SHARED))
 
 
 def activation_flags(df: DataFrame, subscriptions: str = "app_subscriptions", state: str = "customer_state") -> DataFrame:
