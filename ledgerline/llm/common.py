@@ -101,3 +101,29 @@ def drop_rows(spark: SparkSession, docs: DataFrame, named: DataFrame) -> DataFra
     if named.filter("once").isEmpty():
         return out
     return out.unionByName(hit.filter("once").groupBy("_doc", "_key").agg(F.first("row").alias("row")).select("row.*"))
+
+
+def release_memory() -> None:
+    """Give freed memory of a reused Python worker back to the system, at the end of a task."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
+def tidied(run):
+    """A ``mapInPandas`` function that releases the worker's freed memory when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return wrapped

@@ -15,7 +15,7 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int,
-                    modulus: int = 5, held_out: int = 0, most_together: int = 12_000_000) -> tuple[list[str], np.ndarray]:
+                    modulus: int = 5, held_out: int = 0, most_together: int = 8_000_000) -> tuple[list[str], np.ndarray]:
     """(texts, labels) of at most ``per_class`` training rows of each class, those with the smallest hash of the id.
 
     Only rows outside the held-out remainder, with a 0/1 label and a text of at most ``most_chars`` characters, count; those

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.llm.common import shuffle_width, text_or_empty, written
+from ledgerline.llm.common import shuffle_width, text_or_empty, tidied, written
 from ledgerline.llm.tokens import encoder, slices
 
 PIECES = "doc_id long, slot long, piece int, start long, length long"
@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
                     {"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInPandas(
-        cut, f"{PIECES}, {last} {'binary' if with_ids else 'long'}")
+        tidied(cut), f"{PIECES}, {last} {'binary' if with_ids else 'long'}")
 
 
 def plan(histogram: dict[int, int], capacity: int = 1024) -> tuple[list[tuple[int, int, int, int, int]], int]:

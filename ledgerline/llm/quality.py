@@ -5,7 +5,7 @@ and random codes); learned filters run over the chunk, their rectified responses
 a small dense layer gives the chunk's logit.  A text's probability combines the mean, the largest and the smallest chunk
 logit by a logistic curve fitted on the training sample.
 
-Training draws a bounded sample: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 12
+Training draws a bounded sample: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 8
 million together, fetched to the driver.  Scoring reads every whole text.  Defined cases: null text is empty and has one
 all-padding chunk; if the sample lacks a class every score is its only label (0 without labels); every row is scored
 alone, so ids may repeat or be null; empty tables give no rows; other columns are ignored.
@@ -21,8 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_or_empty
+from ledgerline.llm.common import release_memory, text_or_empty
 from ledgerline.llm.labelled import logistic, remainder, training_sample
+from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import encoded
 
 CHUNK, TAPS, STRIDE, FILTERS, HIDDEN = 512, 8, 2, 24, 16
@@ -158,16 +159,12 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, thr
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            raw, out, first = encoded(texts), [], 0
-            while first < len(raw):
-                last, size = first, 0
-                while last < len(raw) and (last == first or size + len(raw[last]) <= 1 << 21):
-                    size += len(raw[last])
-                    last += 1
-                out.append(held.value.scores(raw[first:last]))
-                first = last
-            yield pd.Series(np.concatenate(out) if out else np.empty(0))
+        try:
+            for texts in batches:
+                out = [held.value.scores(encoded(texts.iloc[a:b])) for a, b in slices(texts)]
+                yield pd.Series(np.concatenate(out) if out else np.empty(0))
+        finally:
+            release_memory()
 
     return docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
                        probability(text_or_empty()).alias("score")).withColumn(

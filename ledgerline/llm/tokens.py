@@ -22,7 +22,7 @@ JOIN = 256
 _ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
 
 
-def encoder(path: str, keep: int = 1_000_000) -> "PieceEncoder":
+def encoder(path: str, keep: int = 500_000) -> "PieceEncoder":
     """The worker's encoder for a vocabulary file; lives as long as the Python worker."""
     found = _ENCODERS.get((path, keep))
     if found is None:
@@ -33,7 +33,7 @@ def encoder(path: str, keep: int = 1_000_000) -> "PieceEncoder":
 class PieceEncoder:
     """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
-    About ``keep`` pieces stay cached, and those of the texts at hand."""
+    About ``keep`` pieces stay cached, in two generations, and those of the texts at hand."""
 
     def __init__(self, path: str, keep: int):
         import os
@@ -50,6 +50,7 @@ class PieceEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep = keep
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -81,10 +82,12 @@ class PieceEncoder:
             cut.append(pieces)
             all_pieces.update(pieces)
         new = [p for p in all_pieces if p not in self.cache]
-        if len(self.cache) + len(new) > self.keep:  # keep what these texts use
-            self.cache = {p: self.cache[p] for p in all_pieces if p in self.cache}
+        if 2 * (len(self.cache) + len(new)) > self.keep:  # a new generation; what is still used moves over
+            self.older, self.cache = self.cache, {}
+            new = list(all_pieces)
         if new:
-            self._learn(new)
+            self.cache.update((p, self.older[p]) for p in new if p in self.older)
+            self._learn([p for p in new if p not in self.older])
         get = self.cache.__getitem__
         return [whole[i] if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
 

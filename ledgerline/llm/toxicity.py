@@ -13,7 +13,7 @@ the highest margin, chosen anew each round (a document is toxic if one of its se
 words, a trained machine is one number a word; a document's probability comes from its best sentence and its total
 evidence by a logistic curve fitted on the training sample.
 
-The sample is bounded: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 12
+The sample is bounded: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 8
 million together, fetched to the driver.
 Scoring reads every whole text.  Defined cases: null text is empty; texts without words, and every text if the sample
 lacks a class, get the score of no evidence; every row is scored alone, so ids may repeat or be null; empty
@@ -30,8 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_or_empty
+from ledgerline.llm.common import release_memory, text_or_empty
 from ledgerline.llm.labelled import logistic, remainder, training_sample
+from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import _CODES, _powers, encoded, mixed
 
 SPAN = 5
@@ -188,10 +189,10 @@ class Landmarks:
         order = np.argsort(row, kind="stable")
         row, slot, w = row[order], slot[order], w[order]
         out = np.zeros((len(some), self.m), np.float32)
-        for a in range(0, len(row), 1 << 18):  # sums of sparse products, in blocks
-            r = row[a : a + (1 << 18)]
-            first = np.flatnonzero(np.diff(r, prepend=-1))
-            np.add.at(out, r[first], np.add.reduceat(self.weight[slot[a : a + (1 << 18)]] * w[a : a + (1 << 18), None], first, axis=0))
+        for a in range(0, len(row), 1 << 13):  # sums of sparse products, in blocks that fit a cache
+            part = slice(a, a + (1 << 13))
+            first = np.flatnonzero(np.diff(row[part], prepend=-1))
+            out[row[part][first]] += np.add.reduceat(self.weight[slot[part]] * w[part, None], first, axis=0)
         value = out / np.sqrt(np.maximum(norms(letters[some]), 1e-12))[:, None]
         value[value < FLOOR] = 0
         on = value.any(axis=1)
@@ -371,16 +372,12 @@ def scored(spark: SparkSession, docs: DataFrame, model: Model, name: str = "scor
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            raw, out, first = encoded(texts), [], 0
-            while first < len(raw):
-                last, size = first, 0
-                while last < len(raw) and (last == first or size + len(raw[last]) <= 1 << 22):
-                    size += len(raw[last])
-                    last += 1
-                out.append(held.value.scores(raw[first:last]))
-                first = last
-            yield pd.Series(np.concatenate(out) if out else np.empty(0))
+        try:
+            for texts in batches:
+                out = [held.value.scores(encoded(texts.iloc[a:b])) for a, b in slices(texts)]
+                yield pd.Series(np.concatenate(out) if out else np.empty(0))
+        finally:
+            release_memory()
 
     return docs.withColumn(name, probability(text_or_empty()))
 
