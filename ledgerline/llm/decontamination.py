@@ -4,13 +4,16 @@ Words are runs of non-white bytes after lower-casing A-Z; a gram is ``GRAM`` wor
 words).  A leak is a window of a document, as long as an item, whose weighted similarity to the item is at least
 ``threshold``: grams count as often as they occur, similarity = sum of the smaller counts / sum of the larger ones.
 
-1. Windows: a window that is similar shares a gram with its item, so every shared gram gives the item-sized window that
-   lines it up with the item.  All grams of all texts are joined to the items' grams by hash; windows are distinct.
+1. Windows: all grams of all texts are joined to the items' grams by hash.  Similarity bounds from below how many of a
+   window's grams are the item's; windows with fewer of these hits are dropped.  A window that starts on no hit can be
+   moved on by a word without losing similarity, until it starts on one or ends with the text, so the windows are those
+   that start on a hit, the last one, and those that line a hit up with its place in the item.
 2. Fingerprints: the 64-bit SimHash of a window's and an item's grams.  Fingerprints within ``RADIUS`` bits agree in at
    least one of RADIUS + 1 blocks, so an equi-join on (item, block number, block value) finds all of them.  At a
    similarity of 0.75 a bit differs with probability 0.17 (mean 11 of 64, deviation 3), so a radius of 31 is over six
    deviations away: the radius filters chance matches and leaves the decision to step 3.
-3. Verification: the exact weighted similarity of the candidates; the best window of each (document, item) is returned.
+3. Verification: the exact weighted similarity of the candidates; the best window of each (document, item) is returned, of
+   equal ones one that is lined up with the item, then the first.
 
 The items' tables are broadcast only if they hold at most BROADCAST_ROWS rows; beyond that Spark joins by shuffling.
 Defined cases: null texts and items without words match nothing; rows equal in id and text count once; null ids are kept; empty
@@ -43,6 +46,10 @@ def _grams(words_sql: str, gram: str) -> str:
 
 #: Occurrences numbered, so that a set intersection counts repeated grams.
 _NUMBERED = "transform({0}, (x, i) -> xxhash64(x, size(filter(slice({0}, 1, i), y -> y = x))))"
+#: Starts of the windows of ``held`` grams that hold at least ``need`` of the sorted hits ``at``: from each hit back to the one before.
+_DENSE = ("flatten(transform(slice(at, 1, greatest(0, size(at) - need + 1)), (x, i) -> aggregate(array(greatest(IF(i = 0, 0, "
+          "get(at, i - 1) + 1), get(at, i + need - 1) - held + 1)), CAST(array() AS ARRAY<INT>), "
+          "(s, a) -> IF(a <= least(x, last), sequence(a, least(x, last)), s))))")
 #: Bit b is set if more grams have it than not.
 _SIMHASH = ("aggregate(transform(sequence(0, 63), b -> IF(aggregate({0}, 0, (s, h) -> s + CAST(shiftright(h, b) & 1L AS INT)) * 2 "
             "> size({0}), shiftleft(1L, b), 0L)), 0L, (s, v) -> s | v)")
@@ -92,11 +99,22 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold:
             "doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
                 ("item_id", benchmark.schema["item_id"].dataType), ("first_word", "int"), ("n_words", "int"),
                 ("similarity", "double"), ("hamming", "int"), ("text_key", "long"))])
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("place"), F.col("n") - F.col("item_words")))
-    windows = near.select("doc_id", "text_key", "item_id", start.alias("first_word")).distinct()
-    windows = written(spark, windows, "leak-windows")
-
-    per_text = windows.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("item_id", "first_word")).alias("at"))
+    near = near.withColumn("last", F.greatest(F.lit(0), F.col("n") - F.col("item_words")))  # start of a text's last window
+    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("place"), F.col("last")))
+    hits = near.groupBy("doc_id", "text_key", "item_id", "n", "item_words", "last").agg(
+        F.array_sort(F.collect_set("pos")).alias("at"), F.collect_set(start).alias("aligned"))
+    own, held = (F.col("item_words") - F.least(F.lit(GRAM), F.col("item_words")) + 1,
+                 F.least("n", "item_words") - F.least(F.lit(GRAM), F.col("item_words")) + 1)  # grams of the item, of a window
+    hits = hits.withColumn("held", held).withColumn("need", F.greatest(
+        F.lit(1), F.ceil((own + held) * (threshold / (1 + threshold)) - 1e-9).cast("int"))).filter("size(at) >= need")
+    hits = hits.withColumn("dense", F.expr(_DENSE)).withColumn("lined", F.array_intersect("dense", "aligned"))
+    other = F.array_except(F.array_intersect("dense", F.array_append("at", F.col("last"))), "lined")
+    windows = hits.select("doc_id", "text_key", "item_id", F.explode(F.concat(
+        F.transform("lined", lambda x: F.struct(x.alias("first_word"), F.lit(True).alias("aligned"))),
+        F.transform(other, lambda x: F.struct(x.alias("first_word"), F.lit(False).alias("aligned"))))).alias("x"))
+    windows = written(spark, windows.select("doc_id", "text_key", "item_id", "x.*"), "leak-windows")
+
+    per_text = windows.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("item_id", "first_word", "aligned")).alias("at"))
     hit = texts.withColumnRenamed("doc_id", "_doc").withColumnRenamed("text_key", "_key").join(
         per_text, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key")))
     hit = hit.select("doc_id", "text_key", "w", F.explode("at").alias("x")).select("doc_id", "text_key", "w", "x.*")
@@ -117,7 +135,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold:
     both = both.withColumn("shared", shared).withColumn(
         "similarity", F.col("shared") / (F.size("numbered") + F.size("found") - F.col("shared")))
     best = both.filter(F.col("similarity") >= threshold).groupBy("doc_id", "text_key", "item_id").agg(
-        F.max(F.struct("similarity", (-F.col("first_word")).alias("back"), "n_words", "hamming")).alias("b"))
+        F.max(F.struct("similarity", "aligned", (-F.col("first_word")).alias("back"), "n_words", "hamming")).alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.back")).alias("first_word"), "b.n_words", "b.similarity", "b.hamming", "text_key")
 
 

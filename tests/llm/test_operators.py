@@ -294,6 +294,25 @@ def test_op8_leaks(spark, docs):
     assert decontamination.leaks(spark, docs, benchmark.limit(0)).count() == 0
 
 
+def test_op8_moved_parts(spark):
+    """Items whose halves are swapped, at the start, inside and at the end of texts, and whole texts shorter than the item."""
+    rnd = random.Random(12)
+    word = lambda k: [f"w{rnd.randrange(10**6)}" for _ in range(k)]
+    items = [(i, word(rnd.choice([12, 20, 39, 59]))) for i in range(12)] + [(12, ["a", "b"] * 20)]
+    rows = []
+    for i, q in items:
+        h = len(q) // 2
+        turned, cut = q[h:] + q[:h], [*q[: len(q) - 2], "changed", q[-1]]
+        rows += [(len(rows) + j, " ".join(t)) for j, t in enumerate((
+            word(30) + turned + word(30), turned, word(30) + turned, turned + word(30), word(9) + cut + word(9), q[1:], word(9) + q + word(2) + q))]
+    benchmark = spark.createDataFrame([(i, " ".join(q)) for i, q in items], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in decontamination.leaks(spark, docs, benchmark).collect()}
+    want = {(d, i): s for d, t in rows for i, q in items if (s := brute.leaks(t, " ".join(q))) >= 0.75}
+    assert len(want) > 50 and got.keys() == want.keys() and all(math.isclose(got[k][0], want[k]) for k in want)
+    assert {got[7 * i + j, i][1] for i in range(12) for j in (4, 6) if (7 * i + j, i) in got} == {9}
+
+
 def test_op10_phrases_and_notices(spark, docs):
     got = [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan.scan(spark, docs).collect()]
     assert _sorted(got) == _sorted((d, *brute.phrases(t)) for d, t in ROWS)
