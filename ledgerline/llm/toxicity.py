@@ -93,9 +93,10 @@ def split_words(texts: list[bytes]) -> Words:
     start = np.flatnonzero(new)
     nth = np.arange(len(first)) - np.repeat(start, np.diff(np.append(start, len(first))))
     sentence = np.cumsum(new | (nth % SENTENCE == 0)) - 1
-    # a run of three or more one-letter words is one more word; it counts in the sentence where it begins
-    lone = np.diff(np.concatenate([[0], ((size == 1) & ~(np.diff(text, prepend=0) != 0)).astype(np.int8), [0]]))
-    a, b = np.flatnonzero(lone == 1), np.flatnonzero(lone == -1)
+    # a run of three or more one-letter words of one text is one more word; it counts in the sentence where it begins
+    lone = size == 1
+    joined = lone[1:] & lone[:-1] & (text[1:] == text[:-1])
+    a, b = np.flatnonzero(lone & ~np.append(False, joined)), np.flatnonzero(lone & ~np.append(joined, False)) + 1
     long = b - a >= 3
     a, b = a[long], b[long]
     starts = np.concatenate([first, first[a]])

@@ -363,6 +363,17 @@ def test_string_kernel_tolerates_gaps():
     assert bytes(lone.letters[lone.start[-1] : lone.start[-1] + lone.size[-1]].astype(np.uint8)) == b"amoron"
 
 
+def test_spaced_words_at_the_edges_of_texts():
+    texts = [b"some words a b c", b"i d i o t here", b"m o r", b"", b"x y", b"z w"]
+
+    def spaced(batch):
+        w = toxicity.split_words(batch)
+        found = [(int(t), bytes(w.letters[a : a + n].astype(np.uint8))) for t, a, n in zip(w.text, w.start, w.size) if n > 1]
+        return [x for t, x in sorted(found) if x not in (b"some", b"words", b"here")]
+
+    assert spaced(texts) == [b"abc", b"idiot", b"mor"] == [x for t in texts for x in spaced([t])]
+
+
 def test_empty_tables(spark, empty):
     assert packing.pack(spark, empty, VOCABULARY).count() == 0
     assert ngram_join.join(spark, empty).count() == 0
