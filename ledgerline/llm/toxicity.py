@@ -1,8 +1,9 @@
 """Toxicity: a support vector machine over a gapped subsequence string kernel, with Nyström landmarks.
 
 Kernel of two words: the common subsequences of three bytes that span at most ``SPAN`` bytes, each weighed by
-DECAY**span on both sides, normalised to 1 for equal words.  Gaps and inserted characters only lower the weight, so
-"i.d.i.o.t" and "idxiot" stay near "idiot".  ASCII punctuation inside a word is skipped, and a run of three or
+DECAY**span on both sides, divided by the landmark's norm and the smaller of both norms (1 for equal words, at most 1): letters
+that a word has besides the landmark's cost nothing in themselves.  Gaps and inserted characters only lower the weight, and no
+value is cut off, so "i.d.i.o.t" and "idxiot" stay near "idiot", and "ixdxixoxt" less so.  ASCII punctuation inside a word is skipped, and a run of three or
 more one-letter words also counts as one word.  The kernel of a sentence and a landmark word is the sum over the
 sentence's words of the word kernel to the power POWER (a convolution kernel).
 
@@ -35,11 +36,11 @@ from ledgerline.llm.labelled import logistic, remainder, training_sample
 from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import _CODES, _powers, encoded, mixed
 
-SPAN = 5
-DECAY = 0.7
+SPAN = 9  # three letters and the gaps of a span of 5 still meet with one more letter in every gap
+DECAY = 0.9
 POWER = 3
-FLOOR = 0.35  # word kernels below this count as 0
 WIDTH = 24  # longer words are read in overlapping windows
+BLOCK = 1 << 12  # words at a time
 REMEMBERED = 1_000_000  # words whose evidence a worker keeps
 SENTENCE = 64  # words; longer sentences are cut
 PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -109,13 +110,13 @@ def split_words(texts: list[bytes]) -> Words:
 def windows(words: Words, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(place in ``which``, letters as rows padded with 0) in blocks; words over WIDTH letters take several rows."""
     step = WIDTH - SPAN + 1
-    for a in range(0, len(which), 1 << 15):
-        size = words.size[which[a : a + (1 << 15)]]
+    for a in range(0, len(which), BLOCK):
+        size = words.size[which[a : a + BLOCK]]
         rows = np.maximum(1, -(-(size - SPAN + 1) // step))
         row = np.repeat(np.arange(len(size)), rows)
         shift = (np.arange(len(row)) - np.repeat(np.cumsum(rows) - rows, rows)) * step
         col = np.arange(min(WIDTH, int(size.max())))
-        at = (words.start[which[a : a + (1 << 15)]][row] + shift)[:, None] + col
+        at = (words.start[which[a : a + BLOCK]][row] + shift)[:, None] + col
         there = col < (size[row] - shift)[:, None]
         yield a + row, np.where(there, words.letters[np.minimum(at, len(words.letters) - 1)], 0)
 
@@ -165,28 +166,24 @@ class Landmarks:
             self.weight[place[c], r] = w / self.root[r]
 
     def kernel(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, values): the rows with a kernel value of at least FLOOR, and all their values to the power POWER."""
+        """(rows, values): the rows that share a subsequence with a landmark, and all their values to the power POWER."""
         n = len(letters)
-        hit_row, hit_slot, hit_w, least = [], [], [], np.zeros(n)
+        hit_row, hit_slot, hit_w = [], [], []
         for row, code, w in grams(letters):
             slot = self.slot[code]
             on = np.flatnonzero(slot >= 0)
             hit_row.append(row[on])
             hit_slot.append(slot[on])
             hit_w.append(np.full(len(on), w, np.float32))
-            least += np.bincount(row, minlength=n) * w * w  # the norm is at least this
         if not hit_row:
             return np.empty(0, np.int64), np.empty((0, self.m), np.float32)
         row, slot, w = map(np.concatenate, (hit_row, hit_slot, hit_w))
-        # a first bound by the largest weight any landmark has for the gram
-        bound = np.bincount(row, weights=self.weight.max(axis=1)[slot] * w, minlength=n) / np.sqrt(np.maximum(least, 1e-12))
-        some = np.flatnonzero(bound >= FLOOR)
+        some = np.flatnonzero(np.bincount(row, minlength=n))
         if not len(some):
             return some, np.empty((0, self.m), np.float32)
         back = np.full(n, -1)
         back[some] = np.arange(len(some))
-        on = back[row] >= 0
-        row, slot, w = back[row[on]], slot[on], w[on]
+        row = back[row]
         order = np.argsort(row, kind="stable")
         row, slot, w = row[order], slot[order], w[order]
         out = np.zeros((len(some), self.m), np.float32)
@@ -194,10 +191,8 @@ class Landmarks:
             part = slice(a, a + (1 << 13))
             first = np.flatnonzero(np.diff(row[part], prepend=-1))
             out[row[part][first]] += np.add.reduceat(self.weight[slot[part]] * w[part, None], first, axis=0)
-        value = out / np.sqrt(np.maximum(norms(letters[some]), 1e-12))[:, None]
-        value[value < FLOOR] = 0
-        on = value.any(axis=1)
-        return some[on], value[on] ** POWER
+        size = np.sqrt(np.maximum(norms(letters[some]), 1e-12)).astype(np.float32)[:, None]
+        return some, np.minimum(out / np.minimum(size, self.root.astype(np.float32)), 1) ** POWER
 
 
 @dataclass
@@ -298,7 +293,7 @@ def choose_landmarks(texts: list[bytes], y: np.ndarray, count: int) -> np.ndarra
 def sentence_kernels(texts: list[bytes], marks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
     """(kernel vectors of the sentences near a landmark, and one zero vector a text for its others; owners)."""
     kernels, owners = [np.zeros((len(texts), marks.m), np.float32)], [np.arange(len(texts))]
-    for before, words in _parts(texts):
+    for before, words in _parts(texts, 1 << 18):
         at, back = words.distinct()
         found = [(row[hit], k) for row, letters in windows(words, at) for hit, k in [marks.kernel(letters)]]
         near, place = np.unique(np.concatenate([r for r, _ in found] or [np.empty(0, np.int64)]), return_inverse=True)

@@ -363,6 +363,22 @@ def test_string_kernel_tolerates_gaps():
     assert bytes(lone.letters[lone.start[-1] : lone.start[-1] + lone.size[-1]].astype(np.uint8)) == b"amoron"
 
 
+@pytest.mark.parametrize("landmark,other,filled", [
+    ("moron", "table", ("mxoron", "mxoxron", "moxrxon", "mxoxrxoxn")), ("idiot", "editor", ("idxiot", "idxixot", "ixdxixoxt")),
+    ("stupid", "studio", ("stuxpid", "stuxpxid", "sxtxuxpxixd"))])
+def test_string_kernel_with_letters_in_several_gaps(landmark, other, filled):
+    def row(word):
+        return np.array([[toxicity._LETTER[b] for b in word.encode().ljust(toxicity.WIDTH, b".")]], np.int16)
+
+    marks = toxicity.Landmarks(row(landmark))
+    values = []
+    for word in (*filled, other):
+        at, k = marks.kernel(row(word))
+        values.append(float(k[0, 0]) if len(at) else 0.0)
+    one, *more, far = values
+    assert one > max(more) and min(more) > 0.05 and min(more) > far
+
+
 def test_spaced_words_at_the_edges_of_texts():
     texts = [b"some words a b c", b"i d i o t here", b"m o r", b"", b"x y", b"z w"]
 
