@@ -2,9 +2,9 @@
 
 All rolling word k-gram hashes of every text are joined by Spark to the positions of the templates' k-grams (a fixed
 table of this module, so the broadcast is bounded).  A hit votes for its diagonal: text position minus template
-position.  Votes are counted per (text, template, diagonal); neighbouring diagonals, which inserted or missing words
-produce, are merged while they lie within ``slack`` words of each other; a merged span is verified by the share of the
-template's k-grams that it holds, and of overlapping notices the best stands.  A template marked exact stands wherever one diagonal has all its votes.
+position.  Votes are counted per (text, template, diagonal); diagonals, which inserted or missing words part, are merged
+in order of position while they lie within ``slack`` words of each other, or go on in the template where the one before
+stopped, after at most the template's length and ``slack`` words; a merged span is verified by the share of the template's k-grams that it holds, and of overlapping notices the best stands.  A template marked exact stands wherever one diagonal has all its votes.
 
 Words are runs of digits, letters a-z (after lower-casing A-Z) and non-ASCII characters.
 Defined cases: null text is empty (no words, no labels, score 0); every row is a text of its own, also when its id repeats or
@@ -102,10 +102,14 @@ def spans(spark: SparkSession, docs: DataFrame, k: int = K, slack: int = 3) -> D
              .groupBy("row", "doc_id", "n_words", "template", "label", "exact", "n_grams", "diagonal")
              .agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.countDistinct("place").alias("votes"),
                   F.collect_set("place").alias("places")))
-    # neighbouring diagonals of one template whose votes stand within a template's length of each other are one span
+    # diagonals of one template whose votes stand within a template's length of each other are one span, if they are
+    # neighbours or the later one goes on in the template where the one before stopped (words were inserted)
     line = W.partitionBy("row", "template").orderBy("lo", "diagonal")
-    apart = (F.col("exact") | (F.abs(F.col("diagonal") - F.lag("diagonal").over(line)) > slack)
-             | (F.col("lo") > F.lag("lo").over(line) + F.col("n_grams") + slack))
+    near = ((F.abs(F.col("diagonal") - F.lag("diagonal").over(line)) <= slack)
+            & (F.col("lo") <= F.lag("lo").over(line) + F.col("n_grams") + slack))
+    onward = ((F.col("lo") - F.col("diagonal") >= F.lag(F.col("hi") - F.col("diagonal")).over(line))
+              & (F.col("lo") > F.lag("hi").over(line)) & (F.col("lo") <= F.lag("hi").over(line) + F.col("n_grams") + slack))
+    apart = F.col("exact") | ~(near | onward)
     runs = votes.withColumn("new", F.coalesce(apart.cast("int"), F.lit(1))).withColumn("span", F.sum("new").over(line))
     return runs.groupBy("row", "doc_id", "n_words", "template", "label", "exact", "n_grams", "span").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("diagonal").alias("diagonal"), F.max("votes").alias("votes"),

@@ -320,6 +320,14 @@ def test_op10_phrases_and_notices(spark, docs):
     assert labels[19] == "cc-by,cc-by-nc-4.0,gpl,reserved" and labels[22] == "mit" and labels[1] == ""
 
 
+def test_op10_notices_with_words_between(spark):
+    rows = [(i, f"licensed under {put} the gnu {name} general public license", label) for i, (put, name, label) in enumerate(
+        [("", "lesser", "lgpl"), ("the terms and conditions of", "lesser", "lgpl"), ("the terms and conditions of", "affero", "agpl")])]
+    rows.append((9, "licensed under a b c d e f g h i j k l m n o p q r s t u v w x y z general public license", ""))
+    got = {r.doc_id: r.labels for r in license_scan.scan(spark, spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    assert all((label or "lgpl") in got[i].split(",") if label else "lgpl" not in got[i] for i, _, label in rows)
+
+
 def test_classifiers_on_edge_tables(spark, docs, empty):
     labels = spark.createDataFrame([(d, 0 if "v" in (t or "") else 1, int(d == 23)) for d, t in ROWS if d is not None and d != 8]
                                    + [(8, None, None), (9, 2, 7)], LABELS)
