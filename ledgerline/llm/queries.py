@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    decontamination, exact_dedup, language_model, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
+    bpe_trie, decontamination, exact_dedup, language_model, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
 )
 from ledgerline.llm.common import table
 
@@ -64,8 +64,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_trie.encode(spark, table(spark, sf_dir, "documents"), vocabulary())
+    return bpe_trie.digests(bpe_trie.decode(spark, encoded, vocabulary()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op7_language_model, op8_decontamination, op9_toxicity, op10_license_scan)
+    f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op7_language_model, op8_decontamination, op9_toxicity, op10_license_scan,
+                              op11_bpe_trie)
 }
 
 ORACLES: dict[str, str] = {

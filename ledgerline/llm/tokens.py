@@ -92,13 +92,18 @@ class PieceEncoder:
         return [whole[i] if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
 
 
-def slices(texts, most: int = 1_000_000):
-    """Index ranges of at most ``most`` characters together (a longer text is alone), to bound what one call holds."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
+def spans(sizes, most: int):
+    """Index ranges of at most ``most`` together (a larger one is alone), to bound what one call holds."""
+    first, held = 0, 0
+    for i, n in enumerate(sizes):
+        if held and held + n > most:
             yield first, i
-            first, size = i, 0
-        size += len(text)
-    if first < len(texts):
-        yield first, len(texts)
+            first, held = i, 0
+        held += n
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def slices(texts, most: int = 1_000_000):
+    """Index ranges of texts of at most ``most`` characters together."""
+    return spans([len(t) for t in texts], most)
