@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    bpe_trie, decontamination, exact_dedup, language_model, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
+    bpe_trie, decontamination, exact_dedup, language_model, lexical_search, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
 )
 from ledgerline.llm.common import table
 
@@ -69,9 +69,13 @@ def op11_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(bpe_trie.decode(spark, encoded, vocabulary()))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op7_language_model, op8_decontamination, op9_toxicity, op10_license_scan,
-                              op11_bpe_trie)
+                              op11_bpe_trie, op13_lexical_search)
 }
 
 ORACLES: dict[str, str] = {
@@ -107,5 +111,25 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 n AS (SELECT *, row_number() OVER (PARTITION BY text_sha256, doc_id) AS copy FROM d)
 SELECT n.doc_id, g.keep_id, g.group_size, (n.doc_id IS NOT DISTINCT FROM g.keep_id AND copy = 1) AS kept, n.text_sha256
 FROM n JOIN g USING (text_sha256)
+""",
+    "op13_lexical_search": """
+WITH o AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+d AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM o),
+i AS (SELECT row_number() OVER () AS q, item_id, text FROM benchmark),
+q AS (
+  SELECT DISTINCT q, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM i),
+n AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM d GROUP BY r),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM n, a),
+f AS (SELECT r, term, count(*) AS tf FROM d SEMI JOIN q USING (term) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, a GROUP BY term),
+s AS (
+  SELECT q.q, m.r, m.doc_id, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM f JOIN w USING (term) JOIN m ON m.r = f.r JOIN q ON q.term = f.term GROUP BY q.q, m.r, m.doc_id),
+k AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS place FROM s WHERE score > 0)
+SELECT i.item_id, CAST(k.place AS INTEGER) AS rank, k.doc_id, k.score FROM k JOIN i USING (q) WHERE k.place <= 10
 """,
 }
