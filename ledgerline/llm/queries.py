@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    bpe_trie, decontamination, exact_dedup, language_model, lexical_search, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
+    bpe_trie, conversation_repair, decontamination, exact_dedup, language_model, lexical_search, license_scan, ngram_join, packing, quality, token_files, toxicity, warc,
 )
 from ledgerline.llm.common import table
 
@@ -69,13 +69,17 @@ def op11_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(bpe_trie.decode(spark, encoded, vocabulary()))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(spark, conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack_best_fit, op2_warc, op3_ngram_join, op4_quality, op5_token_files, op6_exact_dedup, op7_language_model, op8_decontamination, op9_toxicity, op10_license_scan,
-                              op11_bpe_trie, op13_lexical_search)
+                              op11_bpe_trie, op12_conversation_repair, op13_lexical_search)
 }
 
 ORACLES: dict[str, str] = {
@@ -111,6 +115,59 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 n AS (SELECT *, row_number() OVER (PARTITION BY text_sha256, doc_id) AS copy FROM d)
 SELECT n.doc_id, g.keep_id, g.group_size, (n.doc_id IS NOT DISTINCT FROM g.keep_id AND copy = 1) AS kept, n.text_sha256
 FROM n JOIN g USING (text_sha256)
+""",
+    "op12_conversation_repair": """
+WITH RECURSIVE
+k AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+c AS (SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x: CAST(ord(x) AS BIGINT)),
+        lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, b)),
+        4294967295), 4294967295) % 20 AS deal FROM k),
+d AS (SELECT g, turn, CASE deal WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE deal WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(CASE deal WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS n,
+             row_number() OVER (PARTITION BY g, role, text ORDER BY turn NULLS FIRST) AS again,
+             rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ended,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS before FROM d),
+f AS (SELECT *, CASE WHEN ended = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+      FROM o),
+m AS (SELECT g, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (before || substr(role, 1, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY g),
+-- states: 0 nothing yet, 1 system, 2 user, 3 assistant; up to two rows are inserted in one place
+ins AS (SELECT * FROM (VALUES (0, 0, 0, '', ''), (1, 0, 1, '', ''), (2, 0, 2, '', ''), (3, 0, 3, '', ''), (0, 5, 2, 'I', chr(10) || 'user:'),
+  (1, 5, 2, 'I', chr(10) || 'user:'), (3, 5, 2, 'I', chr(10) || 'user:'), (2, 5, 3, 'I', chr(10) || 'assistant:'),
+  (0, 10, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 10, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (3, 10, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 10, 2, 'II', chr(10) || 'assistant:' || chr(10) || 'user:'))
+  AS t(state, price, then_state, letters, lines)),
+keep AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) AS t(state, initial, then_state)),
+p AS (
+  SELECT DISTINCT g, CAST(0 AS BIGINT) AS n, 0 AS state, printf('%012d', 0) AS audit, '' AS lines FROM f
+  UNION ALL
+  SELECT g, n, state, min(audit) AS audit, arg_min(lines, audit) AS lines FROM (
+    SELECT f.g, f.n, e.state, printf('%012d', CAST(substr(p.audit, 1, 12) AS BIGINT) + ins.price + e.price) || substr(p.audit, 13) || ins.letters || e.letter AS audit,
+           p.lines || ins.lines || e.line AS lines
+    FROM p JOIN f ON f.g = p.g AND f.n = p.n + 1 JOIN ins ON ins.state = p.state,
+    LATERAL (
+      SELECT ins.then_state AS state, 2 AS price, 'D' AS letter, '' AS line
+      UNION ALL
+      SELECT keep.then_state, CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END, 'K', chr(10) || f.role || ':' || f.text FROM keep
+      WHERE keep.state = ins.then_state AND keep.initial = substr(f.role, 1, 1) AND coalesce(f.fault, '') NOT IN ('blank', 'duplicate')
+      UNION ALL
+      SELECT CASE ins.then_state WHEN 2 THEN 3 ELSE 2 END, CASE WHEN f.fault = 'truncated' THEN 6 ELSE 1 END, 'R',
+             chr(10) || CASE ins.then_state WHEN 2 THEN 'assistant:' ELSE 'user:' END || f.text
+      WHERE coalesce(f.fault, '') NOT IN ('blank', 'duplicate')) e)
+  GROUP BY g, n, state),
+z AS (SELECT g, min(audit) AS audit, arg_min(lines, audit) AS lines FROM (
+        SELECT p.g, printf('%012d', CAST(substr(p.audit, 1, 12) AS BIGINT) + ins.price) || substr(p.audit, 13) || ins.letters AS audit, p.lines || ins.lines AS lines
+        FROM p JOIN m ON m.g = p.g AND m.n = p.n JOIN ins ON ins.state = p.state AND ins.then_state IN (0, 3)) GROUP BY g),
+a AS (SELECT DISTINCT g, conv_id FROM k)
+SELECT a.conv_id, CAST(coalesce(m.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(m.blank, 0) AS BIGINT) AS blank, CAST(coalesce(m.duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(m.truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(m.illegal, 0) AS BIGINT) AS illegal,
+       CAST(coalesce(substr(z.audit, 1, 12), '0') AS BIGINT) AS cost, coalesce(substr(z.audit, 13), '') AS audit,
+       sha256(coalesce(substr(z.lines, 2), '')) AS repaired_sha256
+FROM a LEFT JOIN m USING (g) LEFT JOIN z USING (g)
 """,
     "op13_lexical_search": """
 WITH o AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
