@@ -126,10 +126,10 @@ c AS (SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x:
 d AS (SELECT g, turn, CASE deal WHEN 4 THEN 'user' ELSE role END AS role,
              CASE deal WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
              unnest(CASE deal WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM c),
-o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS n,
-             row_number() OVER (PARTITION BY g, role, text ORDER BY turn NULLS FIRST) AS again,
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS n FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY n) AS again,
              rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ended,
-             lag(substr(role, 1, 1)) OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS before FROM d),
+             lag(substr(role, 1, 1)) OVER (PARTITION BY g ORDER BY n) AS before FROM l),
 f AS (SELECT *, CASE WHEN ended = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
       FROM o),
 m AS (SELECT g, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
