@@ -1,15 +1,14 @@
 """Previous-row values and row numbers within a key, without sending a whole key to one task.
 
 ``lag`` over ``Window.partitionBy(key)`` sorts every row of a key in one task; one applicant key (an all-zero or
-unknown ID) can hold a large share of all rows.  Here a key's order is given in levels of leading order columns,
-from the outermost in, and the columns that order what is left.  The rows of equal level columns are a piece:
+unknown ID) can hold a large share of all rows.  ``ordered_lag`` is a distributed prefix scan instead:
 
-1. inside a piece the previous row (or the row number) is an ordinary window function;
-2. pieces hand over by a table of one row per piece: its last row (``max_by``) or its row count, carried
-   level by level, so that a window never sees more than one row per distinct value of a level's columns.
+1. the rows are range-partitioned once by (key, order), so a part holds a run of the order, whatever the keys;
+2. inside a part the previous row of the key is an ordinary window function over (part, key);
+3. every part hands over its last row alone: one row a part, shifted by one part and joined back to the first row of each key.
 
-The input is shuffled once, by piece; both steps read that exchange.  The result equals the window function over the
-whole key ordered by all levels and the rest.
+``ordered_row_number`` cuts a key into pieces by a leading order column and adds up the pieces' row counts.
+Both equal the window function over the whole key.
 """
 
 from __future__ import annotations
@@ -50,34 +49,29 @@ def _piece(keys: Sequence[str], levels: Sequence[Order]) -> Column:
     return F.struct(*[F.col(c) for c in [*keys, *[c for level in levels for c, _ in level]]])
 
 
-def _carried(pieces: DataFrame, types, keys, levels) -> DataFrame:
-    """``pieces`` (the key and level columns, _last) with _carry = _last of the preceding piece of the key."""
-    outer, inner = levels[:-1], levels[-1]
-    group = [*keys, *[c for level in outer for c, _ in level]]
-    w = Window.partitionBy(*group).orderBy(*_order(inner))
-    out = pieces.withColumns({"_carry": F.lag("_last").over(w), "_edge": F.row_number().over(w) == 1})
-    if outer:
-        up = pieces.groupBy(*group).agg(F.max_by("_last", _sort_key(types, inner)).alias("_last"))
-        up = _carried(up, types, keys, outer).select(_piece(keys, outer).alias("_up"), F.col("_carry").alias("_over"))
-        out = out.withColumn("_up", _piece(keys, outer)).join(up, "_up", "left").withColumn(
-            "_carry", F.when(F.col("_edge"), F.col("_over")).otherwise(F.col("_carry"))).drop("_up", "_over")
-    return out.drop("_edge")
-
-
 def ordered_lag(df: DataFrame, keys: Sequence[str], levels: Sequence[Order], rest: Order, lag_cols: Sequence[str],
                 prefix: str = "prev_") -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key, rows ordered by all ``levels`` then
-    ``rest`` (which should end in a unique column)."""
+    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key, rows ordered by all ``levels`` (orders of
+    columns, the outermost first) then ``rest``, which should end in a unique column: rows of equal order share a part.
+
+    NULL keys are one key.  There are as many parts as shuffle partitions, each one task's; their last rows (one row a
+    part) are broadcast."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    dealt = df.withColumn("_piece", _piece(keys, levels)).repartition("_piece")
-    w = Window.partitionBy("_piece").orderBy(*_order(rest))
-    staged = dealt.withColumns({**{f"{prefix}{c}": F.lag(c).over(w) for c in lag_cols}, "_first": F.row_number().over(w) == 1})
-    last = dealt.groupBy("_piece").agg(
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), _sort_key(types, rest)).alias("_last")).select("_piece.*", "_last")
-    carry = _carried(last, types, keys, levels).select(_piece(keys, levels).alias("_piece"), "_carry")
-    joined = staged.join(carry, "_piece", "left")
+    order = [*[x for level in levels for x in level], *rest]
+    line = [(k, True) for k in keys] + order
+    ranged = df.repartitionByRange(*_order(line)).withColumn("_part", F.spark_partition_id())
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = Window.partitionBy("_part", *keys).orderBy(*_order(order))
+    staged = ranged.repartitionById(width, "_part").withColumns({**{f"{prefix}{c}": F.lag(c).over(w) for c in lag_cols}, "_first": F.row_number().over(w) == 1})
+    last = F.struct(F.struct(*keys).alias("key"), F.struct(*[F.col(c).alias(c) for c in lag_cols]).alias("row"))
+    ends = ranged.groupBy("_part").agg(F.max_by(last, _sort_key(types, line)).alias("_end"))
+    ends = ends.agg(F.array_sort(F.collect_list(F.struct("_part", "_end"))).alias("_ends"))
+    carry = ends.select(F.inline(F.transform("_ends", lambda x, i: F.struct(
+        x["_part"].alias("_at"), F.when(i > 0, F.get("_ends", i - 1)["_end"]).alias("_carry")))))
+    joined = staged.join(F.broadcast(carry), F.col("_part") == F.col("_at"), "left")
+    over = F.col("_first") & F.col("_carry.key").eqNullSafe(F.struct(*keys))
     return joined.withColumns({
-        f"{prefix}{c}": F.when(F.col("_first"), F.col(f"_carry.{c}")).otherwise(F.col(f"{prefix}{c}")) for c in lag_cols
+        f"{prefix}{c}": F.when(over, F.col(f"_carry.row.{c}")).otherwise(F.col(f"{prefix}{c}")) for c in lag_cols
     }).select(*df.columns, *[f"{prefix}{c}" for c in lag_cols])
 
 

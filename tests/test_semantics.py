@@ -330,21 +330,24 @@ def test_dormancy_with_repeated_undated_and_unnamed_rows(spark):
     assert D.expand_activity_calendar(df, "2024-01-01", "s", "d", ("data", "voice")).count() == len(days)
 
 
-def test_no_task_gets_a_hot_key_when_records_do_not_follow_dates(spark):
+def test_no_task_gets_a_hot_key(spark):
+    """One key, no incomes, equal grades: the rows that a task reads, also in the comparison of applications."""
     from ledgerline.functions.sequences import ordered_lag
 
-    rnd = random.Random(3)
-    n = 3000
-    recs = list(range(n))
-    rnd.shuffle(recs)
-    rows = [Row(k=0 if i % 3 == 0 else i, s=i % 3, g=rnd.randrange(9), inc=rnd.randrange(500), rec=recs[i]) for i in range(n)]
-    df = spark.createDataFrame(rows)
-    got = ordered_lag(df, ["k"], [[("s", True)], [("g", True)], [("inc", False)]], [("rec", True)], ["rec"])
-    assert got.count() == n
-    pieces = df.groupBy("k", "s", "g", "inc").count()
-    assert pieces.agg(F.max("count")).first()[0] < n / 100  # the rows that one window group sorts
-    days = df.groupBy("k", "s", "g").agg(F.countDistinct("inc").alias("c"))
-    assert days.agg(F.max("c")).first()[0] <= 500
+    n, width = 40_000, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(n).select(
+        F.lit(7).alias("idkey"), F.col("id").alias("app_record_number"), F.lit(0).alias("dup_application_sequence"),
+        F.lit(1).alias("filter_decision_outcome_seq"), F.lit(2).alias("risk_grade"), F.lit(None).cast("long").alias("gross_income"),
+        F.lit(100).alias("subscription_limit"), F.to_date(F.lit("2024-01-01")).alias("app_date"), F.lit("202401").alias("app_month"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for got in (A.compare_consecutive_applications(df),
+                    ordered_lag(df, ["idkey"], [[("risk_grade", True)], [("gross_income", False)]], [("app_record_number", True)], ["app_record_number"])):
+            read = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+            assert sum(read) == n and len(read) == width and max(read) < 1.5 * n / width, read
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got.filter("prev_app_record_number = app_record_number - 1").count() == n - 1
 
 
 def test_descending_text_order_is_refused(spark):
