@@ -174,37 +174,51 @@ def _claims(seg: Segment, states) -> str:
     return f"({cond} AND {seg.channel} IS NOT NULL)" if seg.channel else cond
 
 
-def _policies(missing_age: bool) -> str:
-    """The first failing P rule; ``missing_age``: a missing age fails as well."""
-    rules = []
-    for c, label in POLICY_RULES:
-        young = f"({c} IS NULL OR {c} < 1800)" if missing_age else T.true_or_false(f"{c} < 1800")
-        rules.append((young if c == "cst_customerage" else _yes(c), T.q(label)))
-    return T.case(rules)
-
-
-# What segments share, computed once a row: the first failing P rule and the low income, each also with missing values
-# failing (as in the NTC segment only), and the debt review.
-_SHARED = {
-    "_p": _policies(False),
-    "_p_ntc": _policies(True),
-    "_g": _yes(DEBT_REVIEW_REQUESTED[0]),
-    "_low": T.true_or_false(f"{LOW_INCOME[0]} < 1500"),
-    "_low_ntc": f"({LOW_INCOME[0]} IS NULL OR {LOW_INCOME[0]} < 1500)",
-}
-
-
-def _policy(seg: Segment) -> str:
-    own = "_ntc" if seg.code == "NTC" else ""
-    rules = [(f"_p{own} IS NOT NULL", f"_p{own}")]
+def _rules_of(seg: Segment) -> list[tuple[str, str]]:
+    """(condition, label) of a segment's policy rules in their order; in the NTC segment missing values fail as well."""
+    missing = seg.code == "NTC"
+
+    def below(c, v):
+        return f"({c} IS NULL OR {c} < {v})" if missing else T.true_or_false(f"{c} < {v}")
+
+    out = [(below(c, 1800) if c == "cst_customerage" else _yes(c), label) for c, label in POLICY_RULES]
     if seg.debt_review:
-        rules.append(("_g", T.q(DEBT_REVIEW_REQUESTED[1])))
+        out.append((_yes(DEBT_REVIEW_REQUESTED[0]), DEBT_REVIEW_REQUESTED[1]))
     if seg.income:
-        rules.append((f"_low{own}", T.q(LOW_INCOME[1])))
+        out.append((below(LOW_INCOME[0], 1500), LOW_INCOME[1]))
     for c, op, v, label in seg.checks:
-        cond = f"{c} IS NULL" if op == "null" else T.true_or_false(f"{c} {'<' if op == '<' else '='} {v}")
-        rules.append((cond, T.q(label)))
-    return T.case(rules)
+        out.append((f"{c} IS NULL" if op == "null" else T.true_or_false(f"{c} {'<' if op == '<' else '='} {v}"), label))
+    return out
+
+
+def _rule_table(segments: list[Segment]) -> tuple[list[tuple[str, str]], list[int]]:
+    """(all distinct rules in an order that is every segment's own, each segment's rules as a bit mask over them)."""
+    order: list[tuple[str, str]] = []
+    for seg in segments:
+        place = -1
+        for rule in _rules_of(seg):
+            if rule not in order:
+                order.insert(place + 1, rule)
+            if order.index(rule) <= place:
+                raise ValueError(f"{seg.code} tests {rule[1]!r} in another order than earlier segments")
+            place = order.index(rule)
+    if len(order) > 63:
+        raise ValueError("more rules than the bits of a long")
+    return order, [sum(1 << order.index(rule) for rule in _rules_of(seg)) for seg in segments]
+
+
+def _bits(conditions: list[str]) -> str:
+    """A long with bit i set where condition i holds."""
+    return "(" + " | ".join(f"(CASE WHEN {c} THEN {1 << i}L ELSE 0L END)" for i, c in enumerate(conditions)) + ")"
+
+
+def _lowest(bits: str) -> str:
+    """The number of the lowest set bit."""
+    return f"bit_count(({bits} & -({bits})) - 1L)"
+
+
+def _listed(values: list[str], place: str) -> str:
+    return f"element_at(array({', '.join(values)}), CAST({place} AS INT) + 1)"
 
 
 def _band(x: str, cuts) -> str:
@@ -217,47 +231,51 @@ def decision_waterfall(df: DataFrame, fixed: bool = False) -> DataFrame:
     """Apply the twelve segments in order; adds segment, outcome, waterfall, matrix, risk grade,
     the segment filter flags and the activation flags.  ``fixed=True`` uses ``fixed_segments()``.
 
-    The segments are one array, folded in order by ``aggregate``, so that the result is a single expression: a condition on
-    it that Spark pushes below the projection stays as long as the array, where a chain of projections that refer to each
-    other would multiply.
+    A bitmap decision table: every distinct rule is one bit of a long, computed once a row, and a segment's first failing
+    rule is the lowest bit of that long under the segment's mask.  Claims and computed matrices are one bit a segment, the
+    last segment the lowest, so that what the steps one after the other leave behind is the lowest set bit of a few longs,
+    and the bands and grades of a row's own segments only are looked up.
     """
     segments = fixed_segments() if fixed else SEGMENTS
-    steps, flags = [], {f: [] for f in OUTPUT_FLAGS}
-    for seg in segments:
-        claim = _claims(seg, seg.states)
-        done = _claims(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
-        # as delivered for IMM: computed for one state, applied to another -> NULL results there
-        applied = claim if seg.code == "IMM" and not fixed else done
-        mat = f"concat({_band('cbx_prism_tm', seg.prism_cuts)}, 'x', {_band(seg.score_col, seg.score_cuts)})"
-        grade = "CAST(NULL AS STRING)"
-        if seg.grades:  # grade of the matrix just computed
-            grades = "map(" + ", ".join(f"{T.q(k)}, {T.q(v)}" for k, v in seg.grades) + ")"
-            grade = f"try_element_at({grades}, CASE WHEN {done} THEN {mat} END)"
-        steps.append(f"named_struct('claim', {claim}, 'code', {T.q(seg.claim_code or seg.code)}, 'policy', {_policy(seg)}, 'done', {done}, "
-                     f"'applied', {applied}, 'mat', {mat}, 'approve', {T.q('Approve ' + seg.grade)}, 'grade', {grade})")
-        flags[seg.flag].append(claim)
-    wf = "CASE WHEN s.claim THEN coalesce(s.policy, a.wf) ELSE a.wf END"
-    empty = f"coalesce({wf}, '') = ''"
-    fold = (f"named_struct('seg', CASE WHEN s.claim THEN s.code ELSE a.seg END, "
-            f"'wf', CASE WHEN NOT s.applied THEN {wf} WHEN s.done THEN CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE {wf} END END, "
-            f"'outcome', CASE WHEN NOT s.applied THEN a.outcome WHEN s.done THEN CASE WHEN {empty} THEN s.approve ELSE 'Decline' END END, "
-            f"'mat', CASE WHEN NOT s.applied THEN a.mat WHEN s.done THEN s.mat END, "
-            f"'grade', CASE WHEN s.applied THEN coalesce(s.grade, a.grade) ELSE a.grade END)")
-    start = "named_struct(" + ", ".join(f"'{c}', CAST(NULL AS STRING)" for c in ("seg", "wf", "outcome", "mat", "grade")) + ")"
-    staged = df.withColumns({c: F.expr(e) for c, e in _SHARED.items()})
-    staged = staged.withColumn("_r", F.expr(f"aggregate(array({', '.join(steps)}), {start}, (a, s) -> {fold})"))
-    out = staged.withColumns(
-        {
-            "decision_services_segment": F.expr("coalesce(_r.seg, 'XXX')"),
-            **{f: F.expr(f"CASE WHEN {' OR '.join(c) or 'false'} THEN 1 END").cast("int") for f, c in flags.items()},
-            "decision_services_waterfall": F.col("_r.wf"),
-            "decision_services_outcome": F.expr("CASE WHEN _r.seg IS NULL THEN 'Decline' ELSE _r.outcome END"),
-            "decision_services_matrix": F.col("_r.mat"),
-            "decision_services_risk_grade": F.col("_r.grade"),
-        }
-    )
-    xxx = F.expr("CASE WHEN _r.seg IS NULL THEN 1 ELSE filter_xxxxxx_state END")
-    return activation_flags(out.withColumn("filter_xxxxxx_state", xxx).drop("_r", *_SHARED))
+    rules, masks = _rule_table(segments)
+    last_first = list(reversed(segments))
+    masks = masks[::-1]
+    claims = [_claims(s, s.states) for s in last_first]
+    dones = [_claims(s, s.matrix_states if s.matrix_states is not None else s.states) for s in last_first]
+    # as delivered for IMM: computed for one state, applied to another -> NULL results there
+    applied = [c if s.code == "IMM" and not fixed else d for s, c, d in zip(last_first, claims, dones)]
+    mats = [f"concat({_band('cbx_prism_tm', s.prism_cuts)}, 'x', {_band(s.score_col, s.score_cuts)})" for s in last_first]
+    staged = df.withColumns({"_rules": F.expr(_bits([c for c, _ in rules])), "_claim": F.expr(_bits(claims)),
+                             "_applied": F.expr(_bits(applied)), "_done": F.expr(_bits([f"({a} AND {d})" for a, d in zip(applied, dones)]))})
+    # what counts for the waterfall stands after the last step that wiped it (applied, but not computed)
+    fails = " | ".join(f"(CASE WHEN (_rules & {m}L) <> 0 THEN {1 << i}L ELSE 0L END)" for i, m in enumerate(masks))
+    wiped = "(_applied & ~_done)"
+    after = f"CASE WHEN {wiped} = 0 THEN -1L ELSE ({wiped} & -{wiped}) - 1L END"
+    staged = staged.withColumns({"_fail": F.expr(f"_claim & ({fails}) & ({after})"), "_pass": F.expr(f"_done & ({after})"),
+                                 "_last": F.expr("_applied & -_applied")})
+    own = f"(_rules & {_listed([f'{m}L' for m in masks], _lowest('_fail'))})"
+    labels = _listed([T.q(label) for _, label in rules], _lowest(own))
+    computed = "(_last & _done) <> 0"
+    grades = []
+    for i, (s, mat) in enumerate(zip(last_first, mats)):
+        if s.grades:
+            table = "map(" + ", ".join(f"{T.q(k)}, {T.q(v)}" for k, v in s.grades) + ")"
+            grades.append(f"CASE WHEN (_done & {1 << i}L) <> 0 THEN try_element_at({table}, {mat}) END")
+    flags = {f: sum(1 << i for i, s in enumerate(last_first) if s.flag == f) for f in OUTPUT_FLAGS}
+    flags = {f: f"(_claim & {m}L) <> 0" for f, m in flags.items()}
+    flags["filter_xxxxxx_state"] += " OR _claim = 0"
+    out = {
+        "decision_services_segment": f"CASE WHEN _claim = 0 THEN 'XXX' ELSE {_listed([T.q(s.claim_code or s.code) for s in last_first], _lowest('_claim'))} END",
+        **{f: f"CAST(CASE WHEN {c} THEN 1 END AS INT)" for f, c in flags.items()},
+        "decision_services_waterfall": f"CASE WHEN _fail <> 0 THEN {labels} WHEN _pass <> 0 THEN 'P. Pass Credit Policies' END",
+        "decision_services_outcome": f"CASE WHEN _claim = 0 THEN 'Decline' WHEN NOT ({computed}) THEN NULL "
+                                     f"WHEN (_fail & -_last) = 0 AND (_pass & -(2L * _last)) = 0 "
+                                     f"THEN {_listed([T.q('Approve ' + s.grade) for s in last_first], _lowest('_last'))} ELSE 'Decline' END",
+        "decision_services_matrix": f"CASE WHEN {computed} THEN CASE _last " + " ".join(f"WHEN {1 << i}L THEN {m}" for i, m in enumerate(mats)) + " END END",
+        "decision_services_risk_grade": f"coalesce({', '.join(grades)})",
+    }
+    return activation_flags(staged.withColumns({c: F.expr(e) for c, e in out.items()}).drop(
+        "_rules", "_claim", "_applied", "_done", "_fail", "_pass", "_last"))
 
 
 def activation_flags(df: DataFrame, subscriptions: str = "app_subscriptions", state: str = "customer_state") -> DataFrame:
