@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from ledgerline.llm.common import release_memory, text_or_empty
-from ledgerline.llm.tokens import CUT, PIECES, PLAIN_TEXT, slices, spans
+from ledgerline.llm.common import release_memory, text_or_empty, worker_state
+from ledgerline.llm.tokens import CUT, PIECES, PLAIN_TEXT, Numbers, slices, spans
 
 #: Words whose ids a worker keeps between slices of texts.
 KEEP = 400_000
@@ -38,8 +38,6 @@ KEEP = 400_000
 KEEP_PAIRS = 1_000_000
 NEVER = 1 << 60
 
-_TRIES: dict[str, "TrieEncoder"] = {}
-
 
 def byte_alphabet() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: bytes with a visible Latin-1 character stand for
@@ -123,14 +121,6 @@ class Vocabulary:
         return self.whole(a) and self.whole(b) and self.parted(a, b, self.born[t])
 
 
-class _Numbers(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
-
-
 class TrieEncoder:
     """``encode(texts)``: (ids of all texts as one array, offsets of the texts)."""
 
@@ -147,7 +137,7 @@ class TrieEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers = Numbers()
         self.ids = np.empty(0, np.int32)
         self.ends = np.zeros(1, np.int64)
 
@@ -227,9 +217,7 @@ class TrieEncoder:
 
 
 def _trie(path: str) -> TrieEncoder:
-    if path not in _TRIES:
-        _TRIES[path] = TrieEncoder(path)
-    return _TRIES[path]
+    return worker_state(("trie", path), lambda: TrieEncoder(path))
 
 
 def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:

@@ -118,9 +118,31 @@ def release_memory() -> None:
         pass
 
 
-def tidied(run):
-    """A ``mapInPandas`` function that releases the worker's freed memory when its task ends."""
+_STATES: dict = {}
+
+
+def worker_state(name, make):
+    """What the Python worker holds for one use (an encoder and its cache, say) from task to task; made at the first call."""
+    if name not in _STATES:
+        only_state(name)
+        _STATES[name] = make()
+    return _STATES[name]
+
+
+def only_state(name=None) -> None:
+    """Drop what the worker holds for other uses: a worker serves the tasks of many stages, but holds one stage's state."""
+    others = [n for n in _STATES if n != name]
+    for n in others:
+        del _STATES[n]
+    if others:
+        release_memory()
+
+
+def tidied(run, state=None):
+    """A ``mapInPandas`` function that drops other states than its own (``state``) when its task begins, and releases the
+    worker's freed memory when it ends."""
     def wrapped(batches):
+        only_state(state)
         try:
             yield from run(batches)
         finally:

@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
                     {"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInPandas(
-        tidied(cut), f"{PIECES}, {last} {'binary' if with_ids else 'long'}")
+        tidied(cut, vocabulary), f"{PIECES}, {last} {'binary' if with_ids else 'long'}")
 
 
 def plan(histogram: dict[int, int], capacity: int = 1024) -> tuple[list[tuple[int, int, int, int, int]], int]:

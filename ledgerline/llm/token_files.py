@@ -152,7 +152,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("salt", F.xxhash64("text"))
     ordered = rows.repartitionByRange(shuffle_width(spark), "doc_id", "salt").sortWithinPartitions("doc_id", "salt")
-    shards = written(spark, ordered.drop("salt").mapInPandas(tidied(write), "shard int, uri string, n_docs long, n_ids long"),
+    shards = written(spark, ordered.drop("salt").mapInPandas(tidied(write, vocabulary), "shard int, uri string, n_docs long, n_ids long"),
                      "token-manifest")
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)  # one row per shard file
     return shards.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))

@@ -10,30 +10,36 @@ Each distinct piece is encoded once by the library, and the ids of a text are it
 from __future__ import annotations
 
 import re
+from itertools import chain, islice
 
 import numpy as np
 
+from ledgerline.llm.common import worker_state
+
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
 PLAIN_TEXT = re.compile(rf"[\t-\r -~{_L}]*")
 PIECES = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{_L}]+|\s+(?!\S)|\s+")
 CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 JOIN = 256
 
-_ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
+def encoder(path: str, keep: int = 400_000) -> "PieceEncoder":
+    """The worker's encoder for a vocabulary file; it is kept until the worker serves another operator (state ``path``)."""
+    return worker_state(path, lambda: PieceEncoder(path, keep))
+
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
 
-def encoder(path: str, keep: int = 500_000) -> "PieceEncoder":
-    """The worker's encoder for a vocabulary file; lives as long as the Python worker."""
-    found = _ENCODERS.get((path, keep))
-    if found is None:
-        found = _ENCODERS[path, keep] = PieceEncoder(path, keep)
-    return found
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
 
 
 class PieceEncoder:
     """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
-    About ``keep`` pieces stay cached, in two generations, and those of the texts at hand."""
+    Pieces are numbered as they are met; a slice's new ones are encoded together, and the ids of all its texts are gathered
+    at once.  About ``keep`` pieces stay known; then all but the first quarter, which are the frequent ones, are forgotten."""
 
     def __init__(self, path: str, keep: int):
         import os
@@ -49,47 +55,62 @@ class PieceEncoder:
             self.byte_length[i] = len(token)  # byte-level tokens: one character a byte
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep = keep
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces; a space and letters are encoded many at once, as they part from one another."""
-        plain, other = [], []
-        for p in pieces:
-            (plain if p[0] == " " and p[1:].isalpha() else other).append(p)
-        self.cache.update(zip(other, [ids.tobytes() for ids in self._encode(other)]))
-        groups = [plain[i : i + JOIN] for i in range(0, len(plain), JOIN)]
-        texts = ["".join(g) for g in groups]
-        for group, text, ids in zip(groups, texts, self._encode(texts)):
-            sizes = np.fromiter(map(len, group) if text.isascii() else (len(p.encode()) for p in group), np.int64, len(group))
-            at = np.searchsorted(np.cumsum(self.byte_length[ids]), np.cumsum(sizes)) + 1
-            if len(ids) != at[-1]:
-                raise ValueError("pieces and ids do not line up")
-            raw, ends = ids.tobytes(), (at * 4).tolist()
-            self.cache.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        self.numbers = Numbers()
+        self.start, self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self) -> None:
+        """Encode the new pieces; a space and letters are encoded many at once, as they part from one another."""
+        known = len(self.start)
+        pieces = list(islice(self.numbers, known, None))
+        plain = np.fromiter((p[0] == " " and p[1:].isalpha() for p in pieces), bool, len(pieces))
+        other = [pieces[i] for i in np.flatnonzero(~plain).tolist()]
+        joined = [pieces[i] for i in np.flatnonzero(plain).tolist()]
+        groups = [joined[i : i + JOIN] for i in range(0, len(joined), JOIN)]
+        single, many = self._encode(other), self._encode(["".join(g) for g in groups])
+        flat = np.fromiter(chain.from_iterable(chain(single, many)), "<u4")
+        size = np.empty(len(pieces), np.int64)
+        size[~plain] = np.fromiter(map(len, single), np.int64, len(single))
+        at = int(size[~plain].sum())
+        length = np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in joined), np.int64, len(joined))
+        ends = np.searchsorted(np.cumsum(self.byte_length[flat[at:]]), np.cumsum(length)) + 1
+        size[plain] = np.diff(ends, prepend=0)
+        if len(joined) and at + ends[-1] != len(flat):
+            raise ValueError("pieces and ids do not line up")
+        order = np.concatenate([np.flatnonzero(~plain), np.flatnonzero(plain)])
+        start = np.empty(len(pieces), np.int64)
+        start[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _forget(self) -> None:
+        """Keep the first quarter; what a call learnt lies together, so their ids are near the beginning."""
+        few = self.keep // 4
+        self.numbers = Numbers(islice(self.numbers.items(), few))
+        self.start, self.size = self.start[:few].copy(), self.size[:few].copy()
+        self.flat = self.flat[: int((self.start + self.size).max(initial=0))].copy()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut, whole, all_pieces = [], {}, set()
+        if len(self.numbers) > self.keep:
+            self._forget()
+        number, own, whole = self.numbers.__getitem__, [], {}
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
-                whole[i] = self._encode([text])[0].tobytes()
-                cut.append(())
+                whole[i] = np.array(self._encode([text])[0], "<u4").tobytes()
+                own.append(np.empty(0, np.int64))
                 continue
             pieces = PIECES.findall(text) if PLAIN_TEXT.fullmatch(text) else list(filter(None, CUT.split(text)))
-            cut.append(pieces)
-            all_pieces.update(pieces)
-        new = [p for p in all_pieces if p not in self.cache]
-        if 2 * (len(self.cache) + len(new)) > self.keep:  # a new generation; what is still used moves over
-            self.older, self.cache = self.cache, {}
-            new = list(all_pieces)
-        if new:
-            self.cache.update((p, self.older[p]) for p in new if p in self.older)
-            self._learn([p for p in new if p not in self.older])
-        get = self.cache.__getitem__
-        return [whole[i] if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
+            own.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
+        if len(self.numbers) > len(self.start):
+            self._learn()
+        each = np.concatenate(own) if own else np.empty(0, np.int64)
+        size = self.size[each]
+        edge = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(self.start[each] - edge[:-1], size) + np.arange(edge[-1])].tobytes()
+        ends = (4 * edge[np.cumsum([len(o) for o in own], dtype=np.int64)]).tolist()
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip([0, *ends], ends))]
 
 
 def spans(sizes, most: int):
