@@ -12,8 +12,8 @@ activity date of the whole table -- or one per activity row of that day -- with
 
 A day is active on a channel if one of its rows is; rows of one day share both.
 
-Plan: rows are first counted per subscriber, day and flags (pre-aggregated, so
-a subscriber-day may hold any number of rows); one window (same partition
+Plan: rows are first counted per subscriber and day, a counter for each combination
+of flags (pre-aggregated, so a subscriber-day may hold any number of rows); one window (same partition
 and order for every channel) gives each activity row its last-active date
 per channel and the next activity row; each activity row then generates its
 own day plus the silent days after it with ``explode(sequence(...))``.  No
@@ -87,30 +87,102 @@ def dormancy_report(
     return _calendar(df, min_date, id_col, date_col, channels, with_dormancy=True)
 
 
-def _calendar(df, min_date, id_col, date_col, channels, with_dormancy):
+def _days(df, min_date, id_col, date_col, channels):
+    """(start and end of the calendar, one row per subscriber and day with _rows and the day's flags).
+
+    ``_rows`` holds the day's distinct flag rows and how often each occurs: one counter for each combination of flags, so
+    any number of activity rows of a day is summed up in the tasks that read them."""
     flags = [f"active_{ch}" for ch in channels]
     start = _as_date(min_date)
     # Last calendar day = latest activity date over the whole table, planned
     # as a scalar subquery (one small aggregate job, no collect, no join).
     end = df.select(F.max(F.col(date_col).cast("date"))).scalar()
-
-    base = df.select(
-        F.col(id_col),
-        F.col(date_col).cast("date").alias("_d"),
-        # a NULL subscriber never matches its own activity rows in a key join:
-        # keep the subscriber, zero the flags
-        *[F.when(F.col(id_col).isNotNull() & (F.col(d) == 1), 1).otherwise(0).alias(d) for d in flags],
-    )
+    day = F.col(date_col).cast("date")
+    # a NULL subscriber never matches its own activity rows in a key join: keep the subscriber, zero the flags;
     # rows before the calendar start generate no day and count as inactive
-    base = base.select(
-        id_col, "_d", *[F.when(F.col("_d") >= start, F.col(d)).otherwise(0).alias(d) for d in flags]
-    )
-
-    # one row per subscriber and day, with its distinct flag rows and how often each occurs (at most 2**channels);
+    counts = F.col(id_col).isNotNull() & (day >= start)
+    base = df.select(F.col(id_col), day.alias("_d"), *[F.when(counts & (F.col(d) == 1), 1).otherwise(0).alias(d) for d in flags])
+    kind = sum((F.col(d) * (1 << i) for i, d in enumerate(flags)), F.lit(0))
+    base = base.withColumn("_kind", kind)
+    kinds = range(1 << len(flags))
+    base = base.groupBy(id_col, "_d").agg(*[F.sum(F.when(F.col("_kind") == k, 1).otherwise(0)).alias(f"_n{k}") for k in kinds])
     # a NULL subscriber matches no activity row, so its days have one row each
-    kinds = base.groupBy(id_col, "_d", *flags).agg(F.when(F.col(id_col).isNull(), 1).otherwise(F.count(F.lit(1))).cast("int").alias("_n"))
-    base = kinds.groupBy(id_col, "_d").agg(
-        F.collect_list(F.struct("_n", *flags)).alias("_rows"), *[F.max(d).alias(d) for d in flags])
+    held = [F.struct(F.when(F.col(id_col).isNull(), F.signum(F.col(f"_n{k}"))).otherwise(F.col(f"_n{k}")).cast("int").alias("_n"),
+                     *[F.lit(k >> i & 1).alias(d) for i, d in enumerate(flags)]) for k in kinds]
+    rows = F.filter(F.array(*held), lambda x: x["_n"] > 0)
+    return start, end, base.select(id_col, "_d", rows.alias("_rows"), *[
+        F.when(sum((F.col(f"_n{k}") for k in kinds if k >> i & 1), F.lit(0)) > 0, 1).otherwise(0).alias(d) for i, d in enumerate(flags)])
+
+
+def _by_day(base, start, id_col, channels) -> DataFrame:
+    """``_days`` with, per channel, the last active day before the row's (``_was_``, the eve of the calendar if none) and of
+    all (``_on_``), whether the row is its subscriber's first or last, and the further activity rows of its day."""
+    w = Window.partitionBy(id_col).orderBy("_d")
+    before, whole = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    eve = F.date_sub(start, 1)
+    on = {ch: F.when(F.col(f"active_{ch}") == 1, F.col("_d")) for ch in channels}
+    return base.select(
+        "*", *[F.coalesce(F.max(d).over(before), eve).alias(f"_was_{ch}") for ch, d in on.items()],
+        *[F.coalesce(F.max(d).over(whole), eve).alias(f"_on_{ch}") for ch, d in on.items()],
+        (F.row_number().over(w) == 1).alias("_first"), F.lead(F.lit(True)).over(w).isNull().alias("_last"),
+        F.aggregate("_rows", F.lit(-1), lambda n, r: n + r["_n"]).cast("long").alias("_more"))
+
+
+def dormancy_runs(df: DataFrame, min_date, id_col: str = "service_number", date_col: str = "call_begin_date",
+                  channels=CHANNELS) -> DataFrame:
+    """(subscriber, channel, from_date, to_date, open): the runs of days without activity from ``min_date`` to the table's
+    last date; ``open`` ones reach that date.  A row a run, however many days it has; no day is generated."""
+    start, end, base = _days(df, min_date, id_col, date_col, channels)
+    runs = []
+    for ch in channels:
+        on = F.col(f"active_{ch}") == 1
+        runs.append(F.when(on, F.struct(F.lit(ch).alias("channel"), F.date_add(f"_was_{ch}", 1).alias("from_date"),
+                                        F.date_sub("_d", 1).alias("to_date"), F.lit(False).alias("open"))))
+        runs.append(F.when(F.col("_last"), F.struct(F.lit(ch).alias("channel"), F.date_add(f"_on_{ch}", 1).alias("from_date"),
+                                                    end.alias("to_date"), F.lit(True).alias("open"))))
+    return _by_day(base, start, id_col, channels).select(id_col, F.inline(F.array(*runs))).filter("from_date <= to_date")
+
+
+def dormant_counts(df: DataFrame, min_date, id_col: str = "service_number", date_col: str = "call_begin_date",
+                   channels=CHANNELS) -> DataFrame:
+    """``dormant_counts_by_day`` of the activity's dormancy report without the report: a sweep over the runs.
+
+    A run adds one subscriber on its first day and takes one off after its last (an empty run does both on one day), and a
+    day's further activity rows, which the report lists too, add theirs for that day.  These events are summed by channel
+    and day in the tasks that find them, and then added up along the calendar, a window of one row a day for each channel."""
+    start, end, base = _days(df, min_date, id_col, date_col, channels)
+
+    def event(ch, date, dormant, still):
+        return F.struct(F.lit(ch).alias("channel"), date.alias("date"), dormant.cast("long").alias("dormant"), still.cast("long").alias("still_dormant"))
+
+    one, none, more = F.lit(1), F.lit(0), F.col("_more")
+    extra = F.col("_d").isNotNull() & (F.col("_d") >= start) & (more > 0)
+    events = [F.when(F.col("_first"), event("", start, one, none)), F.when(extra, event("", F.col("_d"), more, none)),
+              F.when(extra, event("", F.date_add("_d", 1), -more, none))]
+    for ch in channels:
+        on, was, final = F.col(f"active_{ch}") == 1, F.col(f"_was_{ch}"), F.col(f"_on_{ch}")
+        still = F.when(F.col("_d") > final, more).otherwise(none)
+        events += [F.when(on, event(ch, F.date_add(was, 1), one, none)), F.when(on, event(ch, F.col("_d"), -one, none)),
+                   F.when(F.col("_last"), event(ch, F.date_add(final, 1), one, one)),
+                   F.when(extra & ~on, event(ch, F.col("_d"), more, still)), F.when(extra & ~on, event(ch, F.date_add("_d", 1), -more, -still))]
+    events = _by_day(base, start, id_col, channels).select(F.inline(F.array(*events))).filter("date IS NOT NULL")
+    # every calendar day once a channel
+    calendar = df.limit(1).select(F.explode(F.sequence(start, end)).alias("date"))
+    calendar = calendar.select(F.inline(F.array(*[event(ch, F.col("date"), none, none) for ch in [*channels, ""]])))
+    swept = events.unionByName(calendar).groupBy("channel", "date").agg(F.sum("dormant").alias("dormant"), F.sum("still_dormant").alias("still_dormant"))
+    line = Window.partitionBy("channel").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = swept.select("channel", "date", *[F.sum(c).over(line).alias(c) for c in ("dormant", "still_dormant")]).filter(F.col("date") <= end)
+
+    def of(ch, c):
+        return F.max(F.when(F.col("channel") == ch, F.col(c)))
+
+    return swept.groupBy("date").agg(
+        *[of(ch, c).alias(f"{c}_{ch}") for ch in channels for c in ("dormant", "still_dormant")], of("", "dormant").alias("subscribers"))
+
+
+def _calendar(df, min_date, id_col, date_col, channels, with_dormancy):
+    flags = [f"active_{ch}" for ch in channels]
+    start, end, base = _days(df, min_date, id_col, date_col, channels)
 
     w = Window.partitionBy(id_col).orderBy("_d")
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

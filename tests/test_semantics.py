@@ -309,6 +309,34 @@ def test_scans_read_only_the_needed_columns(spark):
             assert int(read) < int(total), (key, s)
 
 
+def test_dormancy_runs_and_their_sweep_equal_the_report(spark):
+    from itertools import groupby
+
+    from ledgerline.operators import dormancy as D
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", "c", "d", None]), rnd.choice([None, *[f"2024-01-{d:02}" for d in range(1, 28)], "2023-12-30"]),
+             rnd.randrange(2), int(rnd.random() < 0.2)) for _ in range(90)]
+    rows += [("hot", "2024-01-05", 1, 0)] * 40 + [("hot", "2024-01-05", 0, 0)] * 7 + [("once", "2024-01-27", 0, 0), ("never", None, 1, 1)]
+    df = spark.createDataFrame(rows, "s string, d string, active_data int, active_voice int").withColumn("d", F.to_date("d"))
+    args = (df, "2024-01-01", "s", "d", ("data", "voice"))
+    report = D.dormancy_report(*args)
+    want = sorted(tuple(r) for r in D.dormant_counts_by_day(report, ("data", "voice")).collect())
+    got = D.dormant_counts(*args)
+    assert sorted(tuple(r) for r in got.select("date", "dormant_data", "still_dormant_data", "dormant_voice", "still_dormant_voice", "subscribers").collect()) == want
+    assert len(want) == 27
+    runs = []
+    days = sorted({(str(r.s), r.date, r.dormancy_period_data, r.dormancy_period_voice, r.still_dormant_data, r.still_dormant_voice) for r in report.collect()})
+    for s, own in groupby(days, key=lambda r: r[0]):
+        own = list(own)
+        for ch, i in (("data", 2), ("voice", 3)):
+            for k, r in enumerate(own):
+                if r[i] == 1 or (r[i] and k == 0):
+                    end = next((own[j - 1] for j in range(k + 1, len(own)) if not own[j][i]), own[-1])
+                    runs.append((s, ch, r[1], end[1], bool(end[i + 2])))
+    assert sorted((str(r.s), *tuple(r)[1:]) for r in D.dormancy_runs(*args).collect()) == sorted(runs)
+
+
 def test_texts_of_over_a_million_characters_stay_whole(spark):
     n = (1 << 20) + 50
     df = spark.createDataFrame([(1, "x" * n + "END")], "k int, t string")
