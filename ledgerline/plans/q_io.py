@@ -10,6 +10,7 @@ from ledgerline.plans.catalog import query
 from ledgerline.plans.q_behaviour import delinquency_sql
 from ledgerline.session import scratch_dir
 from ledgerline.sources import io_ops as IO
+from ledgerline.sources import published
 from ledgerline.sources.fixtures import fixture, fixture_cte
 
 _ACC, _APPS, _TXN = fixture_cte("fx_accounts"), fixture_cte("fx_applications"), fixture_cte("fx_transactions")
@@ -53,14 +54,14 @@ def q_write_append(spark, sf_dir):
       CASE WHEN app_month >= 199700 THEN 2 ELSE 1 END AS load_version FROM fx_applications""",
 )
 def q_replace_partition(spark, sf_dir):
-    """Load every month, then reload the 1997-1998 months twice (idempotent): those partitions carry version 2."""
+    """Load every month, then reload the months from 1997 on twice (idempotent): those partitions carry version 2."""
     target = scratch_dir(spark, "applications_by_month")
     apps = fixture(spark, sf_dir, "fx_applications").select("app_record_number", "app_month", "gross_income")
-    IO.replace_partition(apps.withColumn("load_version", F.lit(1)), target, "app_month")
+    published.replace_partitions(apps.withColumn("load_version", F.lit(1)), target, "app_month")
     recent = apps.filter(F.col("app_month") >= 199700).withColumn("load_version", F.lit(2))
-    IO.replace_partition(recent, target, "app_month")
-    IO.replace_partition(recent, target, "app_month")
-    return spark.read.parquet(target).select("app_record_number", "app_month", "gross_income", "load_version")
+    published.replace_partitions(recent, target, "app_month")
+    published.replace_partitions(recent, target, "app_month")
+    return published.read(spark, target).select("app_record_number", "app_month", "gross_income", "load_version")
 
 
 @query(
@@ -72,5 +73,5 @@ def q_export_csv_gz(spark, sf_dir):
     base = scratch_dir(spark, "exports")
     txn = fixture(spark, sf_dir, "fx_transactions")
     summary = txn.groupBy("account").agg(F.count(F.lit(1)).alias("n_txn"), F.sum("amt").cast("bigint").alias("amt_total"))
-    path = IO.export_csv_gz(summary, base, "transactions_summary")
+    path = IO.export_csv_gz(summary, base, "transactions_summary.csv.gz", single=True)
     return spark.read.schema(summary.schema).option("header", True).option("sep", "|").csv(path)

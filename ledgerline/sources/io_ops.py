@@ -8,6 +8,7 @@ new data and leaves all others untouched.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,9 @@ def replace_partition(df: DataFrame, target: str, partition_col: str | Sequence[
     values occur in ``df`` are rewritten (dynamic partition overwrite), all
     others stay as they are.  Running it twice with the same data gives the
     same table as running it once.  Returns 1 when the table existed before.
+
+    The result is a plain partitioned folder; its partitions become visible one
+    after the other.  ``published.replace_partitions`` makes all visible at once.
     """
     cols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     existed = table_exists(df.sparkSession, target)
@@ -78,14 +82,48 @@ def replace_partition(df: DataFrame, target: str, partition_col: str | Sequence[
     return int(existed)
 
 
-def export_csv_gz(df: DataFrame, fp_base: str, fn: str, sep: str = "|", n_files: int | None = None) -> str:
+def export_csv_gz(df: DataFrame, fp_base: str, fn: str, sep: str = "|", single: bool = False) -> str:
     """Gzip CSV with a header row, ``|``-delimited, overwriting ``fp_base/fn``.
 
-    ``n_files`` coalesces to that many files (1 gives a single file, which one
-    task writes -- only sensible for small extracts); the default keeps the
-    DataFrame's partitioning, one file per task.
+    The default is a folder, one file with a header per task.  ``single`` makes ``fp_base/fn`` one file, still written by
+    many tasks: a gzip file may consist of members, so the tasks' files (without headers) are joined byte by byte, in the
+    DataFrame's order, after a member that holds the header.  The driver copies the compressed bytes once, a buffer at a
+    time; nothing is formatted, compressed or held there.
     """
     target = f"{fp_base.rstrip('/')}/{fn}"
-    out = df.coalesce(n_files) if n_files else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).option("compression", "gzip").csv(target)
+    writer = df.write.mode("overwrite").option("sep", sep).option("compression", "gzip")
+    if not single:
+        writer.option("header", True).csv(target)
+        return target
+    parts = f"{target}.parts-{uuid.uuid4().hex}"
+    writer.option("header", False).csv(parts)
+    head = f"{target}.head-{uuid.uuid4().hex}"
+    empty = df.sparkSession.createDataFrame([tuple(df.columns)], ", ".join(f"c{i} string" for i in range(len(df.columns))))
+    empty.coalesce(1).write.option("sep", sep).option("compression", "gzip").csv(head)
+    _joined(df.sparkSession, [head, parts], target)
     return target
+
+
+def _joined(spark: SparkSession, folders: Sequence[str], target: str) -> None:
+    """One file of the data files of some folders, in order of folder and name; the folders are removed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(conf)
+    files = []
+    for folder in folders:
+        held = [s.getPath() for s in fs.listStatus(path(folder)) if not s.getPath().getName().startswith(("_", "."))]
+        files += sorted(held, key=lambda p: p.getName())
+    whole = path(f"{target}.whole-{uuid.uuid4().hex}")
+    out = fs.create(whole, False)
+    try:
+        for f in files:
+            stream = fs.open(f)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            stream.close()
+    finally:
+        out.close()
+    if fs.exists(path(target)):
+        fs.delete(path(target), True)
+    fs.rename(whole, path(target))
+    for folder in folders:
+        fs.delete(path(folder), True)
