@@ -8,6 +8,7 @@ window over the whole table.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,22 @@ def compare_columns_join(
     return out.filter(F.col("comparison") != "equality") if unequal_only else out
 
 
+class Comparison(NamedTuple):
+    """What a comparison of two tables gives: the unequal rows, their keys, and rows and share per label (equality included)."""
+
+    rows: DataFrame
+    keys: DataFrame
+    distribution: DataFrame
+
+
+def compare_two_columns(df_a: DataFrame, df_b: DataFrame, on, col_a: str, col_b: str, how: str = "inner") -> Comparison:
+    """``compare_columns_join`` with the keys of the unequal rows (left table's, a row each; a DataFrame, as there may be any
+    number) and the distribution of the labels over all joined rows."""
+    labelled = compare_columns_join(df_a, df_b, on, col_a, col_b, how, unequal_only=False)
+    rows = labelled.filter(F.col("comparison") != "equality")
+    return Comparison(rows, rows.select(*[f"{k}_a" for k in _keys(on)]), count_distribution(labelled, "comparison"))
+
+
 def compare_columns(df: DataFrame, col_a: str, col_b: str, keep: Sequence[str] = (), unequal_only: bool = True) -> DataFrame:
     """Label two columns of one table: equality, left/right value is NULL, no equality."""
     lab = comparison_label(F.col(col_a), F.col(col_b), "left value is NULL", "right value is NULL", "no equality", None)
@@ -82,20 +99,33 @@ def count_distribution(df: DataFrame, col: str, sort: bool = True) -> DataFrame:
     return out.orderBy(F.col("n_entries").desc(), F.col(col).asc_nulls_first()) if sort else out
 
 
+def _distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row: _n rows and ``<column>_cnt`` distinct non-null values, exact.
+
+    Every row becomes narrow (column number, value) pairs, in one field per data type so that values are compared as what they
+    are.  A task counts its own pairs before they are dealt by hash, so what is shuffled is a task's distinct pairs at most,
+    and no hot value or column is one task's."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.select(*[F.col(f"`{c}`") for c in cols]).schema}
+    fields = {k: f"v{i}" for i, k in enumerate(dict.fromkeys(kinds.values()))}
+    pairs = [F.struct(F.lit(i).alias("_col"), *[(F.col(f"`{c}`") if kinds[c] == k else F.lit(None).cast(k)).alias(v) for k, v in fields.items()])
+             for i, c in enumerate(cols)]
+    held = df.select(F.inline(F.array(*pairs))).groupBy("_col", *fields.values()).agg(F.count(F.lit(1)).alias("_k"))
+    there = F.coalesce(*[F.when(F.col(v).isNotNull(), 1) for v in fields.values()], F.lit(0))
+    return held.groupBy().agg(
+        F.coalesce(F.sum(F.when(F.col("_col") == 0, F.col("_k"))), F.lit(0)).cast("bigint").alias("_n"),
+        *[F.count(F.when((F.col("_col") == i) & (there == 1), 1)).alias(f"{c}_cnt") for i, c in enumerate(cols)])
+
+
 def distinct_stats(df: DataFrame, cols: Iterable[str], approx: bool = False) -> DataFrame:
     """Distinct non-null values per column and duplicates (n - distinct), with shares.
 
-    ``approx=True`` uses HyperLogLog++ sketches (one pass, no per-column
-    shuffle); the exact form plans one distinct aggregation, which expands each row once per column before the
-    shuffle -- for many columns of a large table run it column by column.
+    ``approx=True`` uses HyperLogLog++ sketches (one pass, nothing but the sketches is shuffled).
     """
     cols = list(cols)
-    n = F.count(F.lit(1))
-    aggs = [n.alias("_n")]
-    for c in cols:
-        d = F.approx_count_distinct(c) if approx else F.countDistinct(c)
-        aggs.append(d.alias(f"{c}_cnt"))
-    base = df.agg(*aggs)
+    if approx or not cols:
+        base = df.agg(F.count(F.lit(1)).alias("_n"), *[F.approx_count_distinct(c).alias(f"{c}_cnt") for c in cols])
+    else:
+        base = _distinct_counts(df, cols)
     out = []
     for c in cols:
         cnt = F.col(f"{c}_cnt")

@@ -113,12 +113,17 @@ def q_activation_status(spark, sf_dir):
 
 @query(
     "drop_all_null_columns",
-    oracle=f"""WITH {_APPS} SELECT app_record_number, decision_outcome, app_date FROM fx_applications""",
+    oracle=f"""WITH {_APPS}, a AS (SELECT app_record_number, decision_outcome, app_date, {_OUTCOME_SQL} AS o FROM fx_applications)
+SELECT app_record_number, decision_outcome, app_date, CAST(o AS INTEGER) AS filter_decision_outcome_seq,
+  CAST(CASE WHEN o = 1 THEN 1 END AS INTEGER) AS filter_decision_outcome_approved, CAST(CASE WHEN o = 4 THEN 1 END AS INTEGER) AS filter_decision_outcome_declined
+FROM a WHERE o IN (1, 4)""",
 )
 def q_drop_all_null_columns(spark, sf_dir):
-    """The 14 initialised activation columns are NULL everywhere and are dropped; the rest stay."""
-    apps = FL.activations_initialise(fixture(spark, sf_dir, "fx_applications").select("app_record_number", "decision_outcome", "app_date"))
-    return Q.drop_all_null_columns(apps)
+    """One-hots of the approved and declined applications: no row sets those of the other outcomes, nor the 14 initialised
+    activation columns, so these are dropped."""
+    apps = FL.filter_one_hots(fixture(spark, sf_dir, "fx_applications").select("app_record_number", "decision_outcome", "app_date"),
+                              channel=None, service=None, risk_grade=None)
+    return Q.drop_all_null_columns(FL.activations_initialise(apps.filter(F.col("filter_decision_outcome_seq").isin(1, 4))))
 
 
 def _dup_sql(order: str, incoming: bool) -> str:

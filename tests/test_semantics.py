@@ -337,6 +337,29 @@ def test_dormancy_runs_and_their_sweep_equal_the_report(spark):
     assert sorted((str(r.s), *tuple(r)[1:]) for r in D.dormancy_runs(*args).collect()) == sorted(runs)
 
 
+def test_distinct_counts_of_any_types_without_expanding_rows(spark):
+    df = spark.createDataFrame([(1, "a", 0.0, None, [1]), (1, "b", -0.0, None, [1]), (2, None, float("nan"), None, None), (None, "a", float("nan"), None, [2])],
+                               "i int, s string, d double, n date, l array<int>")
+    got = Q.distinct_stats(df, df.columns)
+    assert got.first().asDict()["n_rows"] == 4
+    assert [got.first()[f"{c}_cnt"] for c in df.columns] == [2, 2, 2, 0, 2]
+    want = df.agg(*[F.countDistinct(c).alias(c) for c in ("i", "s", "d", "n", "l")]).first()
+    assert [got.first()[f"{c}_cnt"] for c in df.columns] == list(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "partial_count" in plan
+    none = Q.distinct_stats(df.limit(0), ["i", "s"]).first()
+    assert (none.n_rows, none.i_cnt, none.s_cnt) == (0, 0, 0)
+
+
+def test_comparison_of_two_tables_gives_rows_keys_and_distribution(spark):
+    a = spark.createDataFrame([(1, 5), (2, None), (3, 7), (4, None), (5, 1)], "k int, x int")
+    b = spark.createDataFrame([(1, 5), (2, 3), (3, 8), (4, None)], "k int, y int")
+    found = Q.compare_two_columns(a, b, "k", "x", "y", how="left")
+    assert sorted(r.k_a for r in found.keys.collect()) == [2, 3, 5] == sorted(r.k_a for r in found.rows.collect())
+    assert {r.comparison: (r.n_entries, r.perc_entries) for r in found.distribution.collect()} == {
+        "equality": (2, 40.0), "ineq left value is NULL": (1, 20.0), "inequality": (1, 20.0), "ineq right value is NULL": (1, 20.0)}
+
+
 def test_texts_of_over_a_million_characters_stay_whole(spark):
     n = (1 << 20) + 50
     df = spark.createDataFrame([(1, "x" * n + "END")], "k int, t string")
