@@ -117,7 +117,7 @@ def _distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def distinct_stats(df: DataFrame, cols: Iterable[str], approx: bool = False) -> DataFrame:
-    """Distinct non-null values per column and duplicates (n - distinct), with shares.
+    """Distinct non-null values per column and duplicates (n - distinct), with shares (NULL for an empty table).
 
     ``approx=True`` uses HyperLogLog++ sketches (one pass, nothing but the sketches is shuffled).
     """
@@ -131,9 +131,9 @@ def distinct_stats(df: DataFrame, cols: Iterable[str], approx: bool = False) ->
         cnt = F.col(f"{c}_cnt")
         out += [
             cnt,
-            (cnt * 100.0 / F.col("_n")).alias(f"{c}_pct"),
+            F.try_divide(cnt * 100.0, F.col("_n")).alias(f"{c}_pct"),
             (F.col("_n") - cnt).alias(f"{c}_dup_cnt"),
-            ((F.col("_n") - cnt) * 100.0 / F.col("_n")).alias(f"{c}_dup_pct"),
+            F.try_divide((F.col("_n") - cnt) * 100.0, F.col("_n")).alias(f"{c}_dup_pct"),
         ]
     return base.select(F.col("_n").alias("n_rows"), *out)
 

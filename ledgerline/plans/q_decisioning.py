@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import decisioning as D
 from ledgerline.operators import filters as FL
 from ledgerline.operators import scorecards as S
+from ledgerline.plans import oracle_decisions as OD
 from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_applications import _grade_sql
@@ -24,7 +25,7 @@ from ledgerline.sources.fixtures import fixture, fixture_cte
 
 _APPS, _BUR, _ACT = fixture_cte("fx_applications"), fixture_cte("fx_bureau"), fixture_cte("fx_activations")
 OUT_COLS = (["app_record_number", "decision_services_segment", "decision_services_waterfall", "decision_services_outcome",
-             "decision_services_matrix", "decision_services_risk_grade"] + D.OUTPUT_FLAGS + D.ACTIVATION_FLAGS)
+             "decision_services_matrix", "decision_services_risk_grade"] + [*OD.OUTPUT_FLAGS, *OD.ACTIVATION_FLAGS])
 
 
 def bureau_scores(spark, sf_dir) -> DataFrame:
@@ -59,9 +60,9 @@ def decision_input(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------- oracle SQL
 
 def _score_expr(card: str) -> str:
-    attrs, inputs = S.SCORECARDS[card], SCORE_INPUTS[card]
+    attrs, inputs = OD.SCORECARDS[card], SCORE_INPUTS[card]
     total = " + ".join(f"coalesce({_points_sql(a, inputs[a.name])}, 0)" for a in attrs)
-    voids = [f"{inputs[a.name]} IS NULL" for a in attrs if isinstance(a, S.CodeAttribute) and a.null == "void"]
+    voids = [f"{inputs[a.name]} IS NULL" for a in attrs if isinstance(a, OD.Codes) and a.null == "void"]
     t = f"CAST({total} AS INTEGER)"
     return f"CASE WHEN NOT ({' OR '.join(voids)}) THEN {t} END" if voids else t
 
@@ -78,16 +79,16 @@ def _claim_sql(seg, states) -> str:
     return f"({c} AND {seg.channel} IS NOT NULL)" if seg.channel else c
 
 
-def _policy_sql(seg) -> str:
+def _policy_sql(seg, strict: bool) -> str:
     whens = []
     for c, label in OT.POLICY:
-        young = f"coalesce({c} < 1800, {'true' if seg.code == 'NTC' else 'false'})"
+        young = f"coalesce({c} < 1800, {'true' if strict else 'false'})"
         cond = young if c == "cst_customerage" else f"coalesce({c} = 'Y', false)"
         whens.append(f"WHEN {cond} THEN '{label}'")
     if seg.debt_review:
         whens.append(f"WHEN coalesce({OT.DEBT_REVIEW[0]} = 'Y', false) THEN '{OT.DEBT_REVIEW[1]}'")
     if seg.income:
-        low = "(app_gross_income IS NULL OR app_gross_income < 1500)" if seg.code == "NTC" else "coalesce(app_gross_income < 1500, false)"
+        low = "(app_gross_income IS NULL OR app_gross_income < 1500)" if strict else "coalesce(app_gross_income < 1500, false)"
         whens.append(f"WHEN {low} THEN '{OT.LOW_INCOME}'")
     for c, op, v, label in seg.checks:
         cond = f"{c} IS NULL" if op == "null" else f"coalesce({c} {'<' if op == '<' else '='} {v}, false)"
@@ -107,22 +108,24 @@ def _waterfall_sql(fixed: bool = False) -> str:
         a.customer_age AS cst_customerage, a.gross_income AS app_gross_income,
         a.prism_score AS cbx_prism_tm, a.custom_score AS ntc_accept_final_score_v01, a.prism_score AS ntc_accept_risk_score_v01,
         a.perc0delq90 AS all_perc0delq90days, a.numpay90 AS all_numpayments90days, a.subscription_limit AS app_subscriptions,
-        CAST(NULL AS VARCHAR) AS seg, {', '.join(f'CAST(NULL AS INTEGER) AS {f}' for f in D.OUTPUT_FLAGS)},
+        CAST(NULL AS VARCHAR) AS seg, {', '.join(f'CAST(NULL AS INTEGER) AS {f}' for f in OD.OUTPUT_FLAGS)},
         CAST(NULL AS VARCHAR) AS wf, CAST(NULL AS VARCHAR) AS outc, CAST(NULL AS VARCHAR) AS mat, CAST(NULL AS VARCHAR) AS grade
       FROM fx_applications a LEFT JOIN bs ON a.idkey = bs.idkey)"""]
     prev = "inp"
-    for i, seg in enumerate(D.fixed_segments() if fixed else D.SEGMENTS):
+    steps = list(OD.SEGMENTS)
+    for i, code, states, matrix in OD.INTENDED if fixed else ():
+        steps[i] = steps[i]._replace(code=code, states=states, matrix_states=matrix)
+    for i, seg in enumerate(steps):
         claim = _claim_sql(seg, seg.states)
-        code = seg.claim_code or seg.code
-        ctes.append(f"""s{i}a AS (SELECT * REPLACE (CASE WHEN {claim} THEN '{code}' ELSE seg END AS seg,
+        ctes.append(f"""s{i}a AS (SELECT * REPLACE (CASE WHEN {claim} THEN '{seg.code}' ELSE seg END AS seg,
             CASE WHEN {claim} THEN 1 ELSE {seg.flag} END AS {seg.flag},
-            CASE WHEN {claim} THEN coalesce({_policy_sql(seg)}, wf) ELSE wf END AS wf) FROM {prev})""")
+            CASE WHEN {claim} THEN coalesce({_policy_sql(seg, i == OD.STRICT)}, wf) ELSE wf END AS wf) FROM {prev})""")
         computed = _claim_sql(seg, seg.matrix_states if seg.matrix_states is not None else seg.states)
-        applied = _claim_sql(seg, seg.states) if seg.code == "IMM" and not fixed else computed
+        applied = _claim_sql(seg, seg.states) if i == OD.CROSSED and not fixed else computed
         empty = "(wf IS NULL OR wf = '')"
-        mat = f"{_band('cbx_prism_tm', seg.prism_cuts)} || 'x' || {_band(seg.score_col, seg.score_cuts)}"
+        mat = f"{_band('cbx_prism_tm', seg.prism_cuts)} || 'x' || {_band(seg.score, seg.score_cuts)}"
         ctes.append(f"""s{i}b AS (SELECT * REPLACE (
-            CASE WHEN {applied} THEN CASE WHEN {computed} THEN CASE WHEN {empty} THEN 'Approve {seg.grade}' ELSE 'Decline' END END ELSE outc END AS outc,
+            CASE WHEN {applied} THEN CASE WHEN {computed} THEN CASE WHEN {empty} THEN 'Approve {seg.approves}' ELSE 'Decline' END END ELSE outc END AS outc,
             CASE WHEN {applied} THEN CASE WHEN {computed} THEN CASE WHEN {empty} THEN 'P. Pass Credit Policies' ELSE wf END END ELSE wf END AS wf,
             CASE WHEN {applied} THEN CASE WHEN {computed} THEN {mat} END ELSE mat END AS mat) FROM s{i}a)""")
         prev = f"s{i}b"
@@ -137,7 +140,7 @@ def _waterfall_sql(fixed: bool = False) -> str:
            "WHEN coalesce(filter_responsible_state, 0) = 1 THEN 3 WHEN coalesce(filter_erratic_state, 0) = 1 THEN 4 "
            "WHEN coalesce(filter_arrears_state, 0) = 1 THEN 5 ELSE 6 END")
     acts = ", ".join(f"CAST(CASE WHEN app_subscriptions IS NOT NULL AND {idx} = {i + 1} THEN 1 END AS INTEGER) AS {n}"
-                     for i, n in enumerate(D.ACTIVATION_FLAGS))
+                     for i, n in enumerate(OD.ACTIVATION_FLAGS))
     ctes.append(f"""dw AS (SELECT *, seg AS decision_services_segment, wf AS decision_services_waterfall, outc AS decision_services_outcome,
         mat AS decision_services_matrix, grade AS decision_services_risk_grade, {acts} FROM fin2)""")
     return f"WITH {_APPS}, {_BUR},\n" + ",\n".join(ctes)
@@ -209,11 +212,11 @@ ri0 AS (SELECT dwo.*, 1 AS freq, v.accounts AS app_accounts, {goods}, ac.act
         ON dwo.app_record_number = ac.app_record_number
       LEFT JOIN acct v ON dwo.idkey = v.account),
 ri AS (SELECT *, {', '.join(per_app)} FROM ri0)"""
-    measure_src = {m: (f"r_{m}" if (m.replace("_cnt", "") in srcs or m.startswith("app_predicted_income")) else m) for m in D.REPORT_MEASURES}
-    sums = ", ".join(f"sum({measure_src[m]}) AS s_{m}" for m in D.REPORT_MEASURES)
+    measure_src = {m: (f"r_{m}" if (m.replace("_cnt", "") in srcs or m.startswith("app_predicted_income")) else m) for m in OD.REPORT_MEASURES}
+    sums = ", ".join(f"sum({measure_src[m]}) AS s_{m}" for m in OD.REPORT_MEASURES)
     keys = f"decision_services_segment, decision_services_waterfall, decision_services_outcome, {REPORT_VAR}"
     agg = f"""agg AS (SELECT {keys}, {sums} FROM ri GROUP BY {keys})"""
-    exprs = {m: f"s_{m}" for m in D.REPORT_MEASURES if m != "freq"}
+    exprs = {m: f"s_{m}" for m in OD.REPORT_MEASURES if m != "freq"}
     apps = "(s_filter_decision_outcome_approved + s_filter_decision_outcome_referred + s_filter_decision_outcome_declined)"
     for o2 in ("approved", "referred", "declined"):
         exprs[f"filter_decision_outcome_{o2}"] = f"CASE WHEN {apps} IS NOT NULL THEN 100 * s_filter_decision_outcome_{o2} / {apps} END"
@@ -222,7 +225,7 @@ ri AS (SELECT *, {', '.join(per_app)} FROM ri0)"""
     for k in (1, 3, 6, 9, 12):
         exprs[f"badrate{k}m"] = (f"CASE WHEN s_goods{k} + s_bads{k} > 50 AND s_app_accounts >= 50 "
                                  f"THEN (1000 * s_bads{k} / CAST(s_goods{k} + s_bads{k} AS INTEGER)) / 10 END")
-    for s_ in D.SCORE_AVERAGES:
+    for s_ in OD.SCORE_AVERAGES:
         exprs[s_] = f"CASE WHEN s_{s_}_cnt IS NOT NULL THEN CAST(trunc(s_{s_} / s_{s_}_cnt) AS INTEGER) END"
     met = f"met AS (SELECT {keys}, s_freq AS applicants, {', '.join(f'{v} AS {k}' for k, v in exprs.items())} FROM agg)"
     g12, g9, g6 = (_grade_sql(f"badrate{n}m", OT.MANDATE[n]) for n in (12, 9, 6))

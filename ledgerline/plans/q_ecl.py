@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import ecl as E
 from ledgerline.operators import scorecards as S
+from ledgerline.plans import oracle_decisions as OD
 from ledgerline.plans.catalog import query
 from ledgerline.sources.fixtures import fixture, fixture_cte
 
@@ -216,24 +217,24 @@ SCORE_INPUTS = {
 
 
 def _points_sql(attr, c: str) -> str:
-    if isinstance(attr, S.NumericAttribute):
-        parts = [f"WHEN {c} IS NULL THEN {attr.null_points}"]
+    if isinstance(attr, OD.Bins):
+        parts = [f"WHEN {c} IS NULL THEN {attr.null}"]
         parts += [f"WHEN {c} {op} {b} THEN {p}" for op, b, p in attr.bins]
-        parts.append(f"WHEN {c} >= {attr.bins[-1][1]} THEN {attr.top}")
+        parts.append(f"WHEN {c} >= {attr.bins[-1][1]} THEN {attr.rest}")
         return "CASE " + " ".join(parts) + " END"
     code = f"upper(replace({c}, ' ', ''))"
     if attr.null == "blank":
         code = f"coalesce({code}, '')"
-    parts = [f"WHEN {code} = '' THEN {attr.blank_points}"]
+    parts = [f"WHEN {code} = '' THEN {attr.blank}"]
     for codes, p in attr.groups:
         parts.append(f"WHEN {code} IN ({', '.join(repr(x) for x in codes)}) THEN {p}")
     return "CASE " + " ".join(parts) + " END"
 
 
 def _score_sql(card: str) -> str:
-    attrs, inputs = S.SCORECARDS[card], SCORE_INPUTS[card]
+    attrs, inputs = OD.SCORECARDS[card], SCORE_INPUTS[card]
     total = " + ".join(f"coalesce({_points_sql(a, inputs[a.name])}, 0)" for a in attrs)
-    voids = [f"{inputs[a.name]} IS NULL" for a in attrs if isinstance(a, S.CodeAttribute) and a.null == "void"]
+    voids = [f"{inputs[a.name]} IS NULL" for a in attrs if isinstance(a, OD.Codes) and a.null == "void"]
     t = f"CAST({total} AS INTEGER)"
     if voids:
         t = f"CASE WHEN NOT ({' OR '.join(voids)}) THEN {t} END"

@@ -14,6 +14,7 @@ from ledgerline.operators import behaviour as B
 from ledgerline.operators import filters as FL
 from ledgerline.operators import identity as I
 from ledgerline.operators import portfolio as PF
+from ledgerline.plans import oracle_decisions as OD
 from ledgerline.plans import oracle_tables as OT
 from ledgerline.plans.catalog import query
 from ledgerline.plans.q_behaviour import delinquency_sql
@@ -229,8 +230,8 @@ def _one_hot_sql() -> str:
     cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, _, n) in enumerate(OT.OUTCOMES)]
     cols.append(f"CAST(CASE WHEN ({k}) IS NULL THEN 1 END AS INTEGER) AS filter_decision_outcome_unknown")
     s = "upper(coalesce(decision_service, ''))"
-    k = "CASE " + " ".join(f"WHEN instr({s}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(FL.DECISION_SERVICES)) + " END"
-    cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, n) in enumerate(FL.DECISION_SERVICES)]
+    k = "CASE " + " ".join(f"WHEN instr({s}, '{w}') > 0 THEN {i + 1}" for i, (w, _) in enumerate(OD.DECISION_SERVICES)) + " END"
+    cols += [f"CAST(CASE WHEN {k} = {i + 1} THEN 1 END AS INTEGER) AS {n}" for i, (_, n) in enumerate(OD.DECISION_SERVICES)]
     cols.append(f"CAST(CASE WHEN ({k}) IS NULL THEN 1 END AS INTEGER) AS filter_dmp_unknown")
     g = "upper(coalesce(CAST(risk_grade AS VARCHAR), 'None'))"
     k = "CASE " + " ".join(f"WHEN {g} = '{i}' THEN {i}" for i in range(1, 10)) + " END"
