@@ -168,12 +168,12 @@ def portfolio_summary(df: DataFrame, var: str, per: str) -> DataFrame:
     return summary_metrics(agg, per)
 
 
-def portfolio_performance(df: DataFrame, dim: str = "account", yoy: str = "2024", acc: str = "accounts",
-                          age: bool = True, per: str = "2024", sort: bool = True) -> DataFrame:
-    """Dimension, ageing and portfolio summaries stacked under ``yoy_<dim>``.
+def portfolio_states(df: DataFrame, dim: str = "account", yoy: str = "2024", acc: str = "accounts", age: bool = True) -> DataFrame:
+    """Mergeable states of the summaries: (view, ``yoy_<dim>``, yoy_label, sums of all measures), before any average or rate.
 
-    One pass: segmentation, ageing and roll-rate columns are projections,
-    and the three summaries are one GROUPING SETS aggregate.
+    One pass: segmentation, ageing and roll-rate columns are projections, and the three views are one GROUPING SETS
+    aggregate.  A state has a row per view and segment, whatever the accounts; states of disjoint rows (months, say) add up,
+    so a store of them by period answers for any periods without reading accounts again (``performance_of``).
     """
     ydim = f"yoy_{dim}"
     staged = portfolio_input(df, dim, yoy, acc)
@@ -187,11 +187,26 @@ def portfolio_performance(df: DataFrame, dim: str = "account", yoy: str = "2024"
         F.grouping("yoy_aging").alias("_g_age"),
     )
     seg = F.expr(f"CASE WHEN _g_dim = 0 THEN {T.ident(ydim)} WHEN _g_age = 0 THEN yoy_aging ELSE yoy_portfolio END")
-    agg = agg.select(seg.alias(ydim), "yoy_label", *MEASURES)
-    out = summary_metrics(agg, per)
+    view = F.expr("CASE WHEN _g_dim = 0 THEN 'dimension' WHEN _g_age = 0 THEN 'ageing' ELSE 'portfolio' END")
+    return agg.select(view.alias("view"), seg.alias(ydim), "yoy_label", *MEASURES)
+
+
+def performance_of(states: DataFrame, dim: str = "account", per: str = "2024", sort: bool = True) -> DataFrame:
+    """The report of some ``portfolio_states`` rows (of one period or several, of one label or several): states of the same
+    view, segment and label are added up, then averaged."""
+    ydim = f"yoy_{dim}"
+    agg = states.groupBy("view", ydim, "yoy_label").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    out = summary_metrics(agg.drop("view"), per)
     return out.orderBy(ydim) if sort else out
 
 
+def portfolio_performance(df: DataFrame, dim: str = "account", yoy: str = "2024", acc: str = "accounts",
+                          age: bool = True, per: str = "2024", sort: bool = True) -> DataFrame:
+    """Dimension, ageing and portfolio summaries stacked under ``yoy_<dim>``, from the accounts in one pass."""
+    out = summary_metrics(portfolio_states(df, dim, yoy, acc, age).drop("view"), per)
+    return out.orderBy(f"yoy_{dim}") if sort else out
+
+
 # Collections-system analysis codes -> flag columns.
 ANALYSIS_A_FLAGS = [
     ("CURRENT", "a_current_nbr"),

@@ -129,7 +129,7 @@ def test_replace_partition_is_idempotent(spark):
     assert once == twice == [(1, "a"), (2, "x"), (2, "y"), (3, "c")]
 
 
-def test_grouping_sets_equal_separate_group_bys(spark):
+def _account_view(spark, first, last):
     i = F.col("id")
     cols = {
         "account": i, "accounts": F.lit(1), "balance": i * 10, "instalment": i,
@@ -144,7 +144,37 @@ def test_grouping_sets_equal_separate_group_bys(spark):
         cols[f"goods_{n}"] = F.when((i + n) % 3 == 0, F.lit(1))
         cols[f"bads_{n}"] = F.when((i + n) % 4 == 0, F.lit(1))
         cols[f"doubtful_debt_{n}m"] = F.when((i + n) % 9 == 0, F.lit(1))
-    df = spark.range(0, 200).select(*[v.alias(k) for k, v in cols.items()])
+    return spark.range(first, last).select(*[v.alias(k) for k, v in cols.items()])
+
+
+def test_a_new_period_is_added_to_stored_states(spark, tmp_path):
+    from ledgerline.sources import published
+
+    target, source = scratch_dir(spark, "states"), scratch_dir(spark, "months")
+    months = {202401: (0, 200), 202402: (200, 290), 202403: (290, 500)}
+    for month, (a, b) in months.items():
+        _account_view(spark, a, b).write.parquet(f"{source}/{month}")
+        df = spark.read.parquet(f"{source}/{month}")  # no other month is read
+        assert df.inputFiles() and all(str(month) in f for f in PF.portfolio_states(df).inputFiles())
+        published.replace_partitions(PF.portfolio_states(df).withColumn("period", F.lit(month)), target, "period")
+    key = lambda r: tuple((k, v) for k, v in sorted(r.asDict().items()))
+    stored = published.read(spark, target)
+
+    def rows(df):
+        return sorted(map(key, df.collect()), key=repr)
+
+    assert rows(PF.performance_of(stored)) == rows(PF.portfolio_performance(_account_view(spark, 0, 500), per="2024"))
+    one = stored.filter(F.col("period") == 202402)
+    assert "PartitionFilters: [isnotnull(period" in one._jdf.queryExecution().executedPlan().toString()
+    assert rows(PF.performance_of(one)) == rows(PF.portfolio_performance(_account_view(spark, 200, 290)))
+    again = PF.portfolio_states(_account_view(spark, 200, 260)).withColumn("period", F.lit(202402))  # the month is corrected
+    published.replace_partitions(again, target, "period")
+    whole = _account_view(spark, 0, 260).unionByName(_account_view(spark, 290, 500))
+    assert rows(PF.performance_of(published.read(spark, target))) == rows(PF.portfolio_performance(whole))
+
+
+def test_grouping_sets_equal_separate_group_bys(spark):
+    df = _account_view(spark, 0, 200)
     combined = PF.portfolio_performance(df, "account", "2024", per="2024", sort=False)
     staged = PF.roll_rate_flags(PF.segment_by_ageing(PF.portfolio_segmentation(PF.portfolio_input(df, "account", "2024"), "account")))
     parts = [PF.portfolio_summary(staged, c, "2024").withColumnRenamed(c, "yoy_account") for c in ("yoy_account", "yoy_aging", "yoy_portfolio")]
