@@ -211,6 +211,18 @@ def build_profiles(df: DataFrame, profile_col: str, element_col: str, ptype: str
     return df.withColumn(out or profile_col, prefix_month(profile_col, element_col, ptype))
 
 
+def roll_profiles(profiles: DataFrame, month: DataFrame, key: str, elements: dict[str, tuple[str, str]]) -> DataFrame:
+    """Every account of the old profiles or the new month, with the month's elements in front: ``elements`` maps a profile
+    column to (element column of ``month``, profile type).
+
+    Accounts without a row in the month get a missing element, new accounts a profile of missing months behind it; ``month``
+    holds at most one row of a key.  Where both sides are bucketed by the key into equally many buckets
+    (``sources.bucketed``), the join shuffles neither: a month is added by reading the profiles once, in place.
+    """
+    held = profiles.join(month.select(key, *[e for e, _ in elements.values()]), key, "full_outer")
+    return held.select(key, *[prefix_month(c, e, t).alias(c) for c, (e, t) in elements.items()])
+
+
 def build_profiles_from_months(df: DataFrame, key: str, month_col: str, value_col: str, ptype: str, out: str = "profile") -> DataFrame:
     """Bulk build from long form ``(key, month_idx 1..60, element)``.
 

@@ -89,3 +89,34 @@ def test_a_single_gzip_file_is_written_by_many_tasks(spark):
         assert lines[0] == "id|t|n" and [int(x.split("|")[0]) for x in lines[1:]] == list(range(len(lines) - 1))
         assert raw.count(b"\x1f\x8b\x08") >= 4  # one member a task, and the header's
     assert spark.read.option("header", True).option("sep", "|").csv(IO.export_csv_gz(df.limit(0), base, "e.csv.gz", single=True)).columns == ["id", "t", "n"]
+
+
+def test_a_month_is_added_to_bucketed_profiles_without_a_shuffle(spark):
+    import random
+
+    from ledgerline.operators import profiles as PR
+    from ledgerline.sources.bucketed import write_bucketed
+
+    rnd = random.Random(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        long, stored = [], None
+        for month in range(1, 5):  # the fourth is the newest
+            rows = [(a, rnd.choice("0123CP"), rnd.randrange(100)) for a in range(300) if rnd.random() < 0.8]
+            long += [(5 - month, *r) for r in rows]
+            df = spark.createDataFrame(rows, "account int, age string, mob int").withColumn("mob", PR.encode_value("mob", 2))
+            new = write_bucketed(df, f"month_{month}", scratch_dir(spark, "month"), "account", 4)
+            if stored is None:
+                stored = spark.createDataFrame([], "account int, age_profile string, mob_profile string")
+                stored = write_bucketed(stored, "profiles_0", scratch_dir(spark, "profiles"), "account", 4)
+            rolled = PR.roll_profiles(stored, new, "account", {"age_profile": ("age", "AGE"), "mob_profile": ("mob", "MOB")})
+            plan = rolled._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            stored = write_bucketed(rolled, f"profiles_{month}", scratch_dir(spark, "profiles"), "account", 4, dealt=True)
+            assert len(stored.inputFiles()) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    form = spark.createDataFrame(long, "idx int, account int, age string, mob int").withColumn("mob", PR.encode_value("mob", 2))
+    want = PR.build_profiles_from_months(form, "account", "idx", "age", "AGE", "age_profile").join(
+        PR.build_profiles_from_months(form, "account", "idx", "mob", "MOB", "mob_profile"), "account")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, want.collect())) and stored.count() == 300
