@@ -13,6 +13,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.skew import skew_join
+
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -37,9 +39,12 @@ def compare_columns_join(
     col_b: str,
     how: str = "inner",
     unequal_only: bool = True,
+    skewed: bool = False,
 ) -> DataFrame:
     """Join two tables on key column(s) and label how ``col_a`` compares to ``col_b``.
 
+    ``skewed``: a few keys hold a large share of ``df_a`` (found by a sketch, then salted).
+
     Output columns: ``<key>_a``, ``<key>_b`` per key, ``<col_a>_a``,
     ``<col_b>_b``, ``comparison`` (equality, ineq left value is NULL, ineq
     right value is NULL, inequality, ineq for other reason).
@@ -47,8 +52,12 @@ def compare_columns_join(
     keys = _keys(on)
     a = df_a.select(*[F.col(k).alias(f"{k}_a") for k in keys], F.col(col_a).alias(f"{col_a}_a"))
     b = df_b.select(*[F.col(k).alias(f"{k}_b") for k in keys], F.col(col_b).alias(f"{col_b}_b"))
-    cond = [a[f"{k}_a"] == b[f"{k}_b"] for k in keys]
-    joined = a.join(b, on=cond, how=how)
+    if skewed:
+        names = [f"_k{i}" for i in range(len(keys))]
+        joined = skew_join(a.withColumns({n: F.col(f"{k}_a") for n, k in zip(names, keys)}),
+                           b.withColumns({n: F.col(f"{k}_b") for n, k in zip(names, keys)}), names, how)
+    else:
+        joined = a.join(b, on=[a[f"{k}_a"] == b[f"{k}_b"] for k in keys], how=how)
     lab = comparison_label(
         F.col(f"{col_a}_a"),
         F.col(f"{col_b}_b"),
@@ -71,10 +80,11 @@ class Comparison(NamedTuple):
     distribution: DataFrame
 
 
-def compare_two_columns(df_a: DataFrame, df_b: DataFrame, on, col_a: str, col_b: str, how: str = "inner") -> Comparison:
+def compare_two_columns(df_a: DataFrame, df_b: DataFrame, on, col_a: str, col_b: str, how: str = "inner",
+                        skewed: bool = False) -> Comparison:
     """``compare_columns_join`` with the keys of the unequal rows (left table's, a row each; a DataFrame, as there may be any
     number) and the distribution of the labels over all joined rows."""
-    labelled = compare_columns_join(df_a, df_b, on, col_a, col_b, how, unequal_only=False)
+    labelled = compare_columns_join(df_a, df_b, on, col_a, col_b, how, unequal_only=False, skewed=skewed)
     rows = labelled.filter(F.col("comparison") != "equality")
     return Comparison(rows, rows.select(*[f"{k}_a" for k in _keys(on)]), count_distribution(labelled, "comparison"))
 
