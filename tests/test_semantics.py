@@ -461,3 +461,19 @@ def test_every_contract_rung_occurs(spark):
     catalog.load_all()
     out = catalog.QUERIES["contract_treatment"](spark, "/root/testdata/sf0.01")
     assert {r[0][0] for r in out.select("con_treatment").distinct().collect()} == set("123456ABCDEFGHIJX")
+
+
+def test_application_record_has_its_fixed_columns(spark):
+    import pytest
+
+    from ledgerline.operators import record_layout as L
+
+    assert len(L.RECORD_COLUMNS) == len({c.lower() for c in L.RECORD_COLUMNS}) == 177
+    apps = spark.createDataFrame([(1, dt.date(2024, 1, 1), 3, "x")], "app_record_number int, app_date date, risk_grade int, other string")
+    acts = spark.createDataFrame([(1, dt.date(2024, 1, 9), 1, 11, 21)], "app_record_number int, con_start_date date, l_linenumber int, account int, subscriber_number int")
+    out = L.application_record(A.match_applications_contracts(apps, acts, fixed=True), app_risk_grade="risk_grade")
+    assert out.columns == L.RECORD_COLUMNS
+    row = out.first()
+    assert (row.APP_Record_Number, row.APP_Risk_Grade, row.APP_Subscriber_Number1, row.APP_Activation_Days1, row.IDKey) == (1, 3, 21, 8, None)
+    with pytest.raises(ValueError):
+        L.application_record(apps, fill_missing=False)
