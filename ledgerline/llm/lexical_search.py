@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import release_memory, written
+from ledgerline.llm.common import only_state, release_memory, written
 from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import NOT_ALNUM
 
@@ -119,6 +119,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[s
 def corpus_counts(docs: DataFrame, held) -> tuple[int, int, np.ndarray]:
     """(N, L, df of the block's terms)."""
     def run(batches):
+        only_state()
         try:
             data = held.value
             find, df, total = automaton(data["terms"]), np.zeros(len(data["terms"]), np.int64), np.zeros(2, np.int64)
@@ -158,6 +159,7 @@ class _Best:
 
 def _scan(held, top: int, n_docs: int, n_terms: int):
     def run(batches):
+        only_state()
         try:
             data = held.value
             find, weight, first, items, width = automaton(data["terms"]), data["weight"], data["first"], data["items"], data["n_items"]

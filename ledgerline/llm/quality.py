@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import release_memory, text_or_empty
+from ledgerline.llm.common import only_state, release_memory, text_or_empty
 from ledgerline.llm.labelled import logistic, remainder, training_sample
 from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import encoded
@@ -159,6 +159,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, thr
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        only_state()
         try:
             for texts in batches:
                 out = [held.value.scores(encoded(texts.iloc[a:b])) for a, b in slices(texts)]
