@@ -5,13 +5,15 @@ Texts are equal when identical after lower-casing A-Z; a null text is the empty
 * Key: 64-bit xxhash64 of the normalised text.  The directory starts at depth 0 and doubles until every
   bucket holds at most ``capacity`` distinct keys (``MAX_DEPTH`` bits at the most): a bucket of local depth d
   is the d-bit key prefix whose own count fits while its parent's did not; a directory slot is a prefix of the
-  global depth and points to the bucket that covers it.  Copies of one text are one key, so a hot text never
+  global depth and points to the bucket that covers it.  Beyond 2**MAX_DEPTH times ``capacity`` distinct keys (8.6e9 by
+  default) buckets grow past ``capacity``; nothing else changes.  Copies of one text are one key, so a hot text never
   makes a bucket overfull.
 * Insertion compares bytes: rows are grouped by (key, normalised text), with map-side pre-aggregation, so a
   text that holds a third of all rows is shuffled once per task, and two texts with one key stay apart.
 * Owner tasks: each bucket (a key range) goes to one task, which chains the texts of one key in order of their
   digest and writes its index file below ``spark.checkpoint.dir``.
-* Probe: every row looks up (key, digest) in the index; only ids and digests are shuffled.
+* Probe: every row goes from its key's slot to the bucket, and there down the key's chain by its digest; only ids and
+  digests are shuffled.
 
 Defined cases: null ``doc_id`` counts below every other id; of rows equal in id and text exactly one stays;
 an empty table gives no rows; other columns of the input are ignored by ``dedup_index`` and kept by ``keep_one``.
@@ -62,16 +64,17 @@ def directory(keys: DataFrame, capacity: int) -> tuple[DataFrame, int]:
     return slots, depth
 
 
-def build_index(spark: SparkSession, docs: DataFrame, capacity: int = 8192) -> DataFrame:
-    """Write the index files; returns them: (bucket, local_depth, key, chain, sha, keep_id, group_size)."""
+def build_index(spark: SparkSession, docs: DataFrame, capacity: int = 8192) -> tuple[DataFrame, DataFrame, int]:
+    """Write the index; returns its files (bucket, local_depth, key, chain, sha, keep_id, group_size), the directory's slots
+    and its depth."""
     keyed = _keyed(docs)
     slots, depth = directory(keyed.select("key").distinct(), capacity)
     texts = (keyed.groupBy("key", "norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
              .select("key", "keep_id", "group_size", F.sha2(F.col("norm").cast("binary"), 256).alias("sha")))
     owned = (texts.withColumn("slot", _prefix(depth)).join(slots, "slot").repartition("bucket")
              .withColumn("chain", F.row_number().over(W.partitionBy("bucket", "key").orderBy("sha")) - 1))
-    return written(spark, owned.select("bucket", "local_depth", "key", "chain", "sha", "keep_id", "group_size"),
-                   "hash-index")
+    owned = owned.select("bucket", "local_depth", "key", "chain", "sha", "keep_id", "group_size")
+    return written(spark, owned, "hash-index"), slots, depth
 
 
 def dedup_index(spark: SparkSession, docs: DataFrame, capacity: int = 8192) -> DataFrame:
@@ -79,8 +82,9 @@ def dedup_index(spark: SparkSession, docs: DataFrame, capacity: int = 8192) -> D
 
     Rows equal in id and text travel as one row with their number until the end.
     """
-    index = build_index(spark, docs, capacity)
-    rows = _repeats(docs).join(index.select("bucket", "chain", "key", "sha", "keep_id", "group_size"), ["key", "sha"])
+    index, slots, depth = build_index(spark, docs, capacity)
+    rows = _repeats(docs).withColumn("slot", _prefix(depth)).join(slots.select("slot", "bucket"), "slot")
+    rows = rows.join(index.select("bucket", "chain", "key", "sha", "keep_id", "group_size"), ["bucket", "key", "sha"])
     return rows.select(
         "doc_id", "keep_id", "group_size", F.col("sha").alias("text_sha256"), "bucket", "chain", "key", "repeats",
         F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("copy"),

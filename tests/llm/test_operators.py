@@ -409,6 +409,35 @@ def test_empty_tables(spark, empty):
     assert decontamination.leaks(spark, empty, benchmark).count() == 0
 
 
+def test_op6_groups_stay_apart_when_all_keys_collide(spark, docs, monkeypatch):
+    want = sorted(((r.doc_id is None, r.doc_id or 0, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.dedup_index(spark, docs).collect()))
+    keyed = exact_dedup._keyed
+    monkeypatch.setattr(exact_dedup, "_keyed", lambda d: keyed(d).withColumn("key", F.lit(7).cast("long")))
+    got = exact_dedup.dedup_index(spark, docs, 4)
+    assert sorted(((r.doc_id is None, r.doc_id or 0, r.group_size, r.kept, r.text_sha256) for r in got.collect())) == want
+    assert got.select("bucket").distinct().count() == 1 and got.select("chain").distinct().count() == len({w[4] for w in want})
+
+
+def test_op6_answers_from_its_index(spark, docs, monkeypatch):
+    whole = exact_dedup.dedup_index(spark, docs, 4).collect()
+    bucket = whole[0].bucket
+    build = exact_dedup.build_index
+
+    def without(*args):
+        index, slots, depth = build(*args)
+        return index.filter(F.col("bucket") != bucket), slots, depth
+
+    monkeypatch.setattr(exact_dedup, "build_index", without)
+    assert exact_dedup.dedup_index(spark, docs, 4).count() == sum(r.bucket != bucket for r in whole) < len(whole)
+
+    def misled(*args):
+        index, slots, depth = build(*args)
+        return index, slots.withColumn("bucket", F.lit(bucket)), depth
+
+    monkeypatch.setattr(exact_dedup, "build_index", misled)
+    assert exact_dedup.dedup_index(spark, docs, 4).count() == sum(r.bucket == bucket for r in whole)
+
+
 def test_word_hashes_of_pieces_of_a_long_text(monkeypatch):
     from ledgerline.llm import words
 
@@ -424,7 +453,7 @@ def test_query_matches_oracle(spark, name):
     from tools.check_oracles import rows_of
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     cur = con.execute(queries.ORACLES[name])
