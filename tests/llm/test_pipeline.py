@@ -74,6 +74,16 @@ def test_stages_keep_columns_and_defined_rows(spark, edge):
     assert docs.filter("doc_id = 3").count() == 1 and docs.agg(F.max("length")).first()[0] <= 1024
 
 
+def test_columns_of_clashing_names_pass_the_stages(spark):
+    rows = [(1, "calm words of one text", 7, "a", 1.5, True), (2, "other words " * 40_000, None, "b", 2.5, False)]
+    docs = written(spark, spark.createDataFrame(rows, "doc_id long, text string, row int, score string, _toxicity_probability double, key boolean"), "clash")
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(spark, stage(spark, out, SF), f"clash-{name}")
+        assert out.columns == docs.columns, name
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_stages_on_an_empty_table(spark, edge):
     docs = edge.limit(0)
     for name, stage in corpus_pipeline.STAGES:
