@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import shuffle_width, written
 
-SEGMENT = 128
+SEGMENT = 64
 REROLE, DELETE, INSERT, CUT_OFF = 1, 2, 5, 5
 #: States of the pattern by what was last given: nothing, a system row, a user row, an assistant row.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -237,7 +237,8 @@ def audits(spark: SparkSession, found: DataFrame) -> DataFrame:
     segments = found.filter("NOT gone").groupBy("conv_id", seg.alias("seg")).agg(codes.alias("codes"))
     segments = (segments.join(size.withColumnRenamed("conv_id", "_c"), F.col("conv_id").eqNullSafe(F.col("_c")))
                 .select("conv_id", "seg", "codes", ((F.col("seg") + 1) * SEGMENT >= F.col("_n")).alias("last"), (F.col("_n") > SEGMENT).alias("_long")))
-    segments = written(spark, segments, "segments")
+    # dealt anew by number: searches cost time, not bytes, by which small partitions would be joined
+    segments = written(spark, segments, "segments").repartition(shuffle_width(spark), "conv_id", "seg")
     short = segments.filter("NOT _long").select("conv_id", "seg", "codes", "last", F.lit(START).alias("entry"), F.lit(START).alias("leave"))
     many = segments.filter("_long").drop("_long")
     if not many.isEmpty():
