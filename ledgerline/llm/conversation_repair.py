@@ -8,7 +8,7 @@ estimate and grows to the least cost that went over it; the first accepting path
 answer.  Where the search stands is (row, state of the pattern); a table keeps the cost that failed there as a proven lower
 bound, so no position is searched twice for the same budget.
 
-How it is spread: the faults come from joins and one window, without Python.  A conversation's rows become one character
+How it is spread: the faults come from two windows, without Python.  A conversation's rows become one character
 each (role initial, and whether it must go or is cut off), in segments of at most SEGMENT rows that are searched
 independently, in parallel: a conversation of one segment from its start to an accepting end, a segment of a longer one from
 every state to every state, whereupon the least chain of segments is picked (smaller audits first among equals; as an audit's
@@ -66,18 +66,13 @@ def faults(rows: DataFrame) -> DataFrame:
     """Rows of (conv_id, turn, role, text, gone), numbered in their conversation (``place``, from 1; dropped ones last), with
     ``fault`` (blank, duplicate, truncated or null), ``code`` (initial for the search) and ``illegal``.
 
-    Duplicates are found by the first turn of each (conversation, role, text), summed up a task before it is shuffled."""
-    first = (rows.filter("NOT gone").groupBy(F.col("conv_id").alias("_c"), F.col("role").alias("_r"), F.col("text").alias("_t"))
-             .agg(F.min(F.struct("turn")).alias("_first")))
-    same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("role") == F.col("_r")) & (F.col("text") == F.col("_t"))
-    held = rows.join(first, same, "left").select("conv_id", "turn", "role", "text", "gone", F.col("_first.turn").alias("_first"))
+    The rows are dealt by conversation once; both windows, along the conversation and along equal rows of it, use that."""
     line = Window.partitionBy("conv_id").orderBy("gone", F.col("turn").asc_nulls_first(), "role", "text")
-    again = (F.lag("role").over(line) == F.col("role")) & (F.lag("text").over(line) == F.col("text"))
-    held = held.select("*", F.row_number().over(line).alias("place"), F.coalesce(again, F.lit(False)).alias("_again"),
-                       F.lag(F.substring("role", 1, 1)).over(line).alias("_before"))
+    held = rows.select("*", F.row_number().over(line).alias("place"), F.lag(F.substring("role", 1, 1)).over(line).alias("_before"))
+    held = held.withColumn("_nth", F.row_number().over(Window.partitionBy("conv_id", "role", "text").orderBy("place")))
     end = F.rtrim(F.col("text"), F.lit(WHITE))
     fault = (F.when(F.col("gone"), None).when(end == "", "blank")
-             .when(F.col("_again") | ~F.col("turn").eqNullSafe(F.col("_first")), "duplicate")
+             .when(F.col("_nth") > 1, "duplicate")
              .when(~F.substring(end, -1, 1).isin(".", "!", "?"), "truncated"))
     initial = F.substring("role", 1, 1)
     plain = F.when(initial.isin("s", "u", "a"), initial).otherwise("o")
