@@ -167,7 +167,8 @@ def dormant_counts(df: DataFrame, min_date, id_col: str = "service_number", date
                    F.when(extra & ~on, event(ch, F.col("_d"), more, still)), F.when(extra & ~on, event(ch, F.date_add("_d", 1), -more, -still))]
     events = _by_day(base, start, id_col, channels).select(F.inline(F.array(*events))).filter("date IS NOT NULL")
     # every calendar day once a channel
-    calendar = df.limit(1).select(F.explode(F.sequence(start, end)).alias("date"))
+    last = df.agg(F.max(F.col(date_col).cast("date")).alias("_end"))
+    calendar = last.filter(F.col("_end") >= start).select(F.explode(F.sequence(start, "_end")).alias("date"))
     calendar = calendar.select(F.inline(F.array(*[event(ch, F.col("date"), none, none) for ch in [*channels, ""]])))
     swept = events.unionByName(calendar).groupBy("channel", "date").agg(F.sum("dormant").alias("dormant"), F.sum("still_dormant").alias("still_dormant"))
     line = Window.partitionBy("channel").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
