@@ -75,13 +75,23 @@ def ordered_lag(df: DataFrame, keys: Sequence[str], levels: Sequence[Order], res
     }).select(*df.columns, *[f"{prefix}{c}" for c in lag_cols])
 
 
-def ordered_row_number(df: DataFrame, keys: Sequence[str], level: Order, rest: Order, out: str = "row_no") -> DataFrame:
+def ordered_row_number(df: DataFrame, keys: Sequence[str], level: Order, rest: Order, out: str = "row_no",
+                       counted: dict[str, Column] | None = None) -> DataFrame:
     """Add ``out`` = row number within the key, rows ordered by ``level`` then ``rest``: the rows of the key's preceding
-    pieces and the row number inside the piece."""
+    pieces and the row number inside the piece.  ``counted``: name -> condition; adds the number of the key's rows that
+    meet it.
+
+    A piece's counts stand in its last row, so they take the sort of the numbering and no table of the pieces."""
+    counted = counted or {}
     dealt = df.withColumn("_piece", _piece(keys, [level])).repartition("_piece")
-    staged = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy("_piece").orderBy(*_order(rest))))
-    counts = dealt.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")).select("_piece.*", "_piece", "_n")
-    w = Window.partitionBy(*keys).orderBy(*_order(level)).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).select("_piece", "_before")
+    inside = Window.partitionBy("_piece").orderBy(*_order(rest))
+    sofar = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    staged = dealt.withColumn("_inside", F.row_number().over(inside))
+    ends = dealt.select("_piece", F.row_number().over(inside).alias("_n"), F.lead(F.lit(1)).over(inside).isNull().alias("_last"),
+                        *[F.count(F.when(c, 1)).over(sofar).alias(n) for n, c in counted.items()])
+    ends = ends.filter("_last").select("_piece.*", "_piece", "_n", *counted)
+    by_level = Window.partitionBy(*keys).orderBy(*_order(level))
+    w, whole = (by_level.rowsBetween(Window.unboundedPreceding, to) for to in (-1, Window.unboundedFollowing))
+    before = ends.select("_piece", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"), *[F.sum(n).over(whole).alias(n) for n in counted])
     return staged.join(before, "_piece", "left").select(
-        *df.columns, (F.col("_before") + F.col("_inside")).cast("int").alias(out))
+        *df.columns, (F.col("_before") + F.col("_inside")).cast("int").alias(out), *counted)
