@@ -1,12 +1,12 @@
-"""Labelled samples for the classifiers: a bounded, deterministic set of labelled training rows."""
+"""Labelled rows for the classifiers: all training rows as a table, or a bounded, deterministic sample of them."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_or_empty
+from ledgerline.llm.common import text_or_empty, written
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:
@@ -14,6 +14,14 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, modulus: int = 5, held_out: int = 0) -> DataFrame:
+    """Written table (text, y) of every row outside the held-out remainder with a 0/1 label, its whole text."""
+    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).filter(
+        F.col("y").isin(0, 1) & (remainder(F.col("_id"), modulus) != held_out))
+    rows = docs.select(F.col("doc_id").alias("_doc"), text_or_empty().alias("text")).join(known, F.col("_doc") == F.col("_id"))
+    return written(spark, rows.select("text", "y"), "labelled", "zstd")
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int,
                     modulus: int = 5, held_out: int = 0, most_together: int = 8_000_000) -> tuple[list[str], np.ndarray]:
     """(texts, labels) of at most ``per_class`` training rows of each class, those with the smallest hash of the id.
@@ -44,3 +52,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
         if np.abs(step).max() < 1e-7:
             break
     return w
+
+
+def logistic_of(rows: DataFrame, names: list[str], weight: Column, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+    """``logistic`` of a table with the columns ``names`` and y, its rows weighed: one aggregate row a step reaches the driver."""
+    x = [*[F.col(n) for n in names], F.lit(1.0)]
+    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    w = np.zeros(len(x))
+    for _ in range(steps):
+        z = F.lit(0.0)
+        for c, v in zip(x, w.tolist()):
+            z = z + c * F.lit(v)
+        staged = rows.withColumn("_w", weight).withColumn("_p", 1 / (1 + F.exp(-F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z)))))
+        p, u = F.col("_p"), F.col("_w")
+        found = staged.agg(*[F.sum(u * (p - F.col("y")) * c) for c in x], *[F.sum(u * (p * (1 - p) + 1e-9) * x[i] * x[j]) for i, j in pairs]).first()
+        h = ridge * np.eye(len(x))
+        for (i, j), v in zip(pairs, found[len(x) :]):
+            h[i, j] += v
+            h[j, i] = h[i, j]
+        step = np.linalg.solve(h, np.array(found[: len(x)]) + ridge * w)
+        w -= step
+        if np.abs(step).max() < 1e-7:
+            break
+    return w

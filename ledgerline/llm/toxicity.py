@@ -7,17 +7,19 @@ value is cut off, so "i.d.i.o.t" and "idxiot" stay near "idiot", and "ixdxixoxt"
 more one-letter words also counts as one word.  The kernel of a sentence and a landmark word is the sum over the
 sentence's words of the word kernel to the power POWER (a convolution kernel).
 
-Landmarks are the words of the labelled training sample that speak most for either toxic documents; the Nyström
+Landmarks are the words of the labelled training rows that speak most for either toxic documents; the Nyström
 features of a sentence are its kernel values to the landmarks times the inverse root of the landmarks' own kernel.
 A linear machine (squared hinge) is trained on labelled sentences: each training document stands for its sentence of
 the highest margin, chosen anew each round (a document is toxic if one of its sentences is).  As the kernel sums over
 words, a trained machine is one number a word; a document's probability comes from its best sentence and its total
-evidence by a logistic curve fitted on the training sample.
-
-The sample is bounded: at most ``per_class`` rows of each class with at most ``most_chars`` characters each and 8
-million together, fetched to the driver.
-Scoring reads every whole text.  Defined cases: null text is empty; texts without words, and every text if the sample
-lacks a class, get the score of no evidence; every row is scored alone, so ids may repeat or be null; empty
+evidence by a logistic curve fitted on the training rows.
+
+Training reads every labelled row outside the held-out remainder, its whole text, in Spark tasks: word counts by class are
+added by word, the sentences' kernel values are written in 16-bit floats, every round's best sentences are a written table, and
+each Newton step sends one sum of gradients and curvatures a task to the driver.  In the curve a class weighs at most
+CLASS_WEIGHT rows, so the prior of the probabilities does not move with the number of labels.
+Scoring reads every whole text.  Defined cases: null text is empty; texts without words, and every text if the training rows
+lack a class, get the score of no evidence; every row is scored alone, so ids may repeat or be null; empty
 tables give no rows; other columns are kept by ``scored``.
 """
 
@@ -31,8 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import only_state, release_memory, text_or_empty
-from ledgerline.llm.labelled import logistic, remainder, training_sample
+from ledgerline.llm.common import only_state, release_memory, text_or_empty, tidied, written
+from ledgerline.llm.labelled import logistic_of, remainder, training_rows
 from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import _CODES, _powers, encoded, mixed
 
@@ -43,6 +45,7 @@ WIDTH = 24  # longer words are read in overlapping windows
 BLOCK = 1 << 12  # words at a time
 REMEMBERED = 1_000_000  # words whose evidence a worker keeps
 SENTENCE = 64  # words; longer sentences are cut
+CLASS_WEIGHT = 2500  # rows that a class counts as in the curve, if it has more
 PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 #: byte -> letter code, 0 for bytes that are skipped, -1 for white space; 7 bits a code
@@ -244,60 +247,71 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _parts(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, Words]]:
-    """(number of texts before, words of the next texts), about ``most`` bytes at a time."""
+def _parts(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
+    """(first text, the text after the last one, their words), about ``most`` bytes at a time."""
     first = 0
     while first < len(texts):
         last, size = first, 0
         while last < len(texts) and (last == first or size + len(texts[last]) <= most):
             size += len(texts[last])
             last += 1
-        yield first, split_words(texts[first:last])
+        yield first, last, split_words(texts[first:last])
         first = last
 
 
-def choose_landmarks(texts: list[bytes], y: np.ndarray, count: int) -> np.ndarray:
+def word_counts(rows: DataFrame) -> DataFrame:
+    """letters (codes, a byte each), hash, and the number of toxic and clean rows, of every word of 3 to WIDTH letters."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, b in slices(batch["text"]):
+                raw, y = encoded(batch["text"].iloc[a:b]), batch["y"].to_numpy()[a:b]
+                for before, _, words in _parts(raw):
+                    fits = np.flatnonzero((words.size >= 3) & (words.size <= WIDTH))
+                    pair = np.unique(np.column_stack([words.hash[fits], words.text[fits].astype(np.uint64)]), axis=0)
+                    h, back = np.unique(pair[:, 0], return_inverse=True)
+                    toxic = np.bincount(back, y[before + pair[:, 1].astype(np.int64)] == 1, len(h)).astype(np.int64)
+                    own, at = np.unique(words.hash[fits], return_index=True)  # the same words in the same order
+                    letters = [words.letters[i : i + n].astype(np.uint8).tobytes() for i, n in zip(words.start[fits[at]], words.size[fits[at]])]
+                    yield pd.DataFrame({"letters": letters, "hash": own.view(np.int64), "toxic": toxic,
+                                        "clean": np.bincount(back, minlength=len(h)) - toxic})
+
+    found = rows.mapInPandas(tidied(run), "letters binary, hash long, toxic long, clean long")
+    return found.groupBy("letters", "hash").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def choose_landmarks(rows: DataFrame, of_class: dict[int, int], count: int) -> np.ndarray:
     """The words whose presence speaks most for a class, by the signed root of their G statistic; two of three for toxic."""
-    found = []
-    for before, words in _parts(texts):
-        fits = (words.size >= 3) & (words.size <= WIDTH)
-        pair = np.unique(np.column_stack([words.hash[fits], words.text[fits].astype(np.uint64)]), axis=0)
-        h, back = np.unique(pair[:, 0], return_inverse=True)
-        toxic = y[before + pair[:, 1].astype(np.int64)] == 1
-        found.append((h, np.bincount(back, toxic, len(h)), np.bincount(back, ~toxic, len(h))))
-    h, back = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
-    a, b = (np.bincount(back, np.concatenate([f[i] for f in found]), len(h)) for i in (1, 2))
-    n = [float((y == c).sum()) for c in (1, 0)]
-    r = (a + b) / sum(n)
-
-    def likelihood(k, m):  # k of m against the rate r
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.nan_to_num(k * np.log(k / (m * r)), nan=0.0) + np.nan_to_num((m - k) * np.log((m - k) / (m * (1 - r))), nan=0.0)
-
-    g = likelihood(a, n[0]) + likelihood(b, n[1])
-    strength = np.copysign(np.sqrt(np.maximum(g, 0)), a / n[0] - b / n[1])
-    order = np.lexsort((h, -strength))
-    toxic = h[order[strength[order] > 0][: count * 2 // 3]]
-    clean = h[order[strength[order] < 0][::-1][: count - len(toxic)]]
-    chosen = np.concatenate([toxic, clean])
-    place = {int(x): i for i, x in enumerate(chosen)}
-    out = np.zeros((len(chosen), WIDTH), np.int16)
-    for _, words in _parts(texts):
-        for i in np.flatnonzero(np.isin(words.hash, chosen)).tolist():
-            k = place[int(words.hash[i])]
-            if not out[k].any():
-                out[k, : words.size[i]] = words.letters[words.start[i] : words.start[i] + words.size[i]]
+    n = [float(of_class[c]) for c in (1, 0)]
+
+    @F.pandas_udf("double")
+    def strength(toxic: pd.Series, clean: pd.Series) -> pd.Series:
+        a, b = toxic.to_numpy(float), clean.to_numpy(float)
+        r = (a + b) / sum(n)
+
+        def likelihood(k, m):  # k of m against the rate r
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.nan_to_num(k * np.log(k / (m * r)), nan=0.0) + np.nan_to_num((m - k) * np.log((m - k) / (m * (1 - r))), nan=0.0)
+
+        g = likelihood(a, n[0]) + likelihood(b, n[1])
+        return pd.Series(np.copysign(np.sqrt(np.maximum(g, 0)), a / n[0] - b / n[1]))
+
+    words = written(rows.sparkSession, word_counts(rows).withColumn("strength", strength("toxic", "clean")), "word-strengths")
+    toxic = words.filter("strength > 0").orderBy(F.col("strength").desc(), "hash", "letters").limit(count * 2 // 3).collect()
+    clean = words.filter("strength < 0").orderBy("strength", "hash", "letters").limit(count - len(toxic)).collect()
+    out = np.zeros((len(toxic) + len(clean), WIDTH), np.int16)
+    for i, r in enumerate([*toxic, *clean]):
+        out[i, : len(r["letters"])] = np.frombuffer(r["letters"], np.uint8)
     return out
 
 
-def sentence_kernels(texts: list[bytes], marks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
-    """(kernel vectors of the sentences near a landmark, and one zero vector a text for its others; owners)."""
-    kernels, owners = [np.zeros((len(texts), marks.m), np.float32)], [np.arange(len(texts))]
-    for before, words in _parts(texts, 1 << 18):
+def sentence_kernels(texts: list[bytes], marks: Landmarks) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, next text, kernel vectors of the sentences near a landmark, their owners from 0) of runs of texts."""
+    for first, last, words in _parts(texts, 1 << 18):
         at, back = words.distinct()
         found = [(row[hit], k) for row, letters in windows(words, at) for hit, k in [marks.kernel(letters)]]
         near, place = np.unique(np.concatenate([r for r, _ in found] or [np.empty(0, np.int64)]), return_inverse=True)
         if not len(near):
+            yield first, last, np.zeros((0, marks.m), np.float32), np.empty(0, np.int64)
             continue
         each = np.zeros((len(near), marks.m), np.float32)
         np.add.at(each, place, np.concatenate([k for _, k in found]))
@@ -308,58 +322,115 @@ def sentence_kernels(texts: list[bytes], marks: Landmarks) -> tuple[np.ndarray,
         kernel = np.zeros((len(sentences), marks.m), np.float32)
         np.add.at(kernel, row, each[slot[back[speaks]]])
         owner = np.empty(len(sentences), np.int64)
-        owner[row] = words.text[speaks] + before
-        kernels.append(kernel)
-        owners.append(owner)
-    return np.concatenate(kernels), np.concatenate(owners)
+        owner[row] = words.text[speaks]
+        yield first, last, kernel, owner
+
+
+def kernel_table(spark: SparkSession, rows: DataFrame, marks: Landmarks) -> DataFrame:
+    """Written table of runs of texts: y (a byte a text), owner (32 bits a sentence), kernel (16-bit floats)."""
+    held = spark.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, b in slices(batch["text"]):
+                y = batch["y"].to_numpy(np.int8)[a:b]
+                for first, last, kernel, owner in sentence_kernels(encoded(batch["text"].iloc[a:b]), held.value):
+                    yield pd.DataFrame([(y[first:last].tobytes(), owner.astype("<u4").tobytes(), kernel.astype("<f2").tobytes())],
+                                       columns=["y", "owner", "kernel"])
+
+    return written(spark, rows.mapInPandas(tidied(run), "y binary, owner binary, kernel binary"), "sentence-kernels", "zstd")
+
+
+def best_sentences(spark: SparkSession, kernels: DataFrame, weights: np.ndarray) -> DataFrame:
+    """Written table of runs of texts: y, and the kernel vector of each text's sentence of the highest margin (zeros are one, too)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for y, owner, raw in zip(batch["y"], batch["owner"], batch["kernel"]):
+                kernel = np.frombuffer(raw, "<f2").reshape(-1, len(weights)).astype(np.float32)
+                owners = np.concatenate([np.arange(len(y)), np.frombuffer(owner, "<u4").astype(np.int64)])
+                margin = np.concatenate([np.zeros(len(y)), kernel @ weights])
+                order = np.lexsort((margin, owners))
+                last = order[np.flatnonzero(np.diff(np.append(owners[order], -1)))] - len(y)
+                best = np.zeros((len(y), len(weights)), "<f2")
+                best[last >= 0] = kernel[last[last >= 0]]
+                out.append((y, best.tobytes()))
+            yield pd.DataFrame(out, columns=["y", "kernel"])
+
+    return written(spark, kernels.mapInPandas(tidied(run), "y binary, kernel binary"), "best-sentences", "zstd")
+
+
+def hinge_sums(best: DataFrame, half: np.ndarray, v: np.ndarray, weight: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+    """(gradient, curvature) of the squared hinge at ``v``, added up by the tasks."""
+    size = len(v)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grad, hess = np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            for y, raw in zip(batch["y"], batch["kernel"]):
+                y = np.frombuffer(y, np.int8)
+                a = np.column_stack([np.frombuffer(raw, "<f2").reshape(len(y), -1).astype(np.float64) @ half, np.ones(len(y))])
+                s, c = np.where(y == 1, 1.0, -1.0), np.where(y == 1, weight[1], weight[0])
+                gap = np.maximum(0, 1 - s * (a @ v))
+                on = gap > 0
+                grad -= 2 * a.T @ (c * s * gap)
+                hess += 2 * (a[on] * c[on, None]).T @ a[on]
+        yield pd.DataFrame({"sums": [np.append(grad, hess).tobytes()]})
+
+    sums = [np.frombuffer(r["sums"]) for r in best.mapInPandas(tidied(run), "sums binary").collect()]
+    total = np.sum(sums, axis=0)
+    return total[:size], total[size:].reshape(size, size)
+
+
+def text_features(spark: SparkSession, rows: DataFrame, model: Model) -> DataFrame:
+    """Written table: y and the features best, total, share of every row."""
+    held = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, b in slices(batch["text"]):
+                found = held.value.features(encoded(batch["text"].iloc[a:b]))
+                yield pd.DataFrame(found, columns=["best", "total", "share"]).assign(y=batch["y"].to_numpy()[a:b])
+
+    return written(spark, rows.mapInPandas(tidied(run), "best double, total double, share double, y int"), "text-features")
 
 
-def train(texts: list[str], y: np.ndarray, count: int = 96, rounds: int = 6, ridge: float = 1e-3) -> Model:
-    if len(np.unique(y)) < 2:
-        return Model(None, np.empty(0), 0.0, np.array([0.0 if not len(y) else float(y[0])]))
-    raw = encoded(texts)
-    chosen = choose_landmarks(raw, y, count)
+def train(spark: SparkSession, rows: DataFrame, count: int = 96, rounds: int = 6, ridge: float = 1e-3) -> Model:
+    """The model of a written table (text, y)."""
+    of_class = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(of_class) < 2:
+        return Model(None, np.empty(0), 0.0, np.array([float(next(iter(of_class), 0))]))
+    total = sum(of_class.values())
+    chosen = choose_landmarks(rows, of_class, count)
     if not len(chosen):
-        return Model(None, np.empty(0), 0.0, np.array([float(y.mean())]))
+        return Model(None, np.empty(0), 0.0, np.array([of_class[1] / total]))
     marks = Landmarks(chosen)
-    rows, k = marks.kernel(chosen)
+    near, k = marks.kernel(chosen)
     own = np.zeros((len(chosen), len(chosen)))
-    own[rows] = k
+    own[near] = k
     values, vectors = np.linalg.eigh((own + own.T) / 2 + 1e-3 * np.eye(len(own)))
     half = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T  # inverse root
-    kernel, owner = sentence_kernels(raw, marks)
-    phi = (kernel @ half.astype(np.float32)).astype(np.float32)
-    del kernel
-    sign, weight = np.where(y == 1, 1.0, -1.0), np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
-    there = np.unique(owner)
+    kernels = kernel_table(spark, rows, marks)
+    weight = {c: total / (2 * n) for c, n in of_class.items()}
     first = len(chosen) * 2 // 3
-    w, b = half.T @ np.r_[np.ones(first), np.zeros(len(chosen) - first)], 0.0
+    v = np.append(half.T @ np.r_[np.ones(first), np.zeros(len(chosen) - first)], 0.0)
     for _ in range(rounds):
-        margin = phi @ w
-        order = np.lexsort((margin, owner))
-        last = order[np.flatnonzero(np.diff(np.append(owner[order], -1)))]  # each document's best sentence
-        x, s, c = phi[last].astype(np.float64), sign[there], weight[there]
-        a = np.column_stack([x, np.ones(len(x))])
-        v = np.append(w, b)
+        best = best_sentences(spark, kernels, half @ v[:-1])  # each document's best sentence
         for _ in range(30):  # squared hinge by Newton steps
-            gap = np.maximum(0, 1 - s * (a @ v))
-            on = gap > 0
-            grad = ridge * len(a) * v - 2 * a.T @ (c * s * gap)
-            hess = 2 * (a[on] * c[on, None]).T @ a[on] + ridge * len(a) * np.eye(len(v))
-            step = np.linalg.solve(hess, grad)
+            grad, hess = hinge_sums(best, half, v, weight)
+            step = np.linalg.solve(hess + ridge * total * np.eye(len(v)), grad + ridge * total * v)
             v = v - step
             if np.abs(step).max() < 1e-6:
                 break
-        w, b = v[:-1], float(v[-1])
-    model = Model(marks, half @ w, b, np.zeros(4))
-    features = [model.features(raw[i : i + 100]) for i in range(0, len(raw), 100)]
-    model.curve = logistic(np.concatenate(features), y)
-    model.known, model.values = np.empty(0, np.uint64), np.empty(0, np.float32)
+    model = Model(marks, half @ v[:-1], float(v[-1]), np.zeros(4))
+    each = F.when(F.col("y") == 1, min(1.0, CLASS_WEIGHT / of_class[1])).otherwise(min(1.0, CLASS_WEIGHT / of_class[0]))
+    model.curve = logistic_of(text_features(spark, rows, model), ["best", "total", "share"], each)
     return model
 
 
-def fitted(docs: DataFrame, labels: DataFrame, per_class: int = 2500, most_chars: int = 20_000) -> Model:
-    return train(*training_sample(docs, labels, "toxic", per_class, most_chars))
+def fitted(docs: DataFrame, labels: DataFrame) -> Model:
+    spark = docs.sparkSession
+    return train(spark, training_rows(spark, docs, labels, "toxic"))
 
 
 def scored(spark: SparkSession, docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
