@@ -296,8 +296,9 @@ def choose_landmarks(rows: DataFrame, of_class: dict[int, int], count: int) -> n
         return pd.Series(np.copysign(np.sqrt(np.maximum(g, 0)), a / n[0] - b / n[1]))
 
     words = written(rows.sparkSession, word_counts(rows).withColumn("strength", strength("toxic", "clean")), "word-strengths")
-    toxic = words.filter("strength > 0").orderBy(F.col("strength").desc(), "hash", "letters").limit(count * 2 // 3).collect()
-    clean = words.filter("strength < 0").orderBy("strength", "hash", "letters").limit(count - len(toxic)).collect()
+    unsigned = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))  # orders hashes as unsigned numbers
+    toxic = words.filter("strength > 0").orderBy(F.col("strength").desc(), unsigned, "letters").limit(count * 2 // 3).collect()
+    clean = words.filter("strength < 0").orderBy("strength", unsigned.desc(), "letters").limit(count - len(toxic)).collect()
     out = np.zeros((len(toxic) + len(clean), WIDTH), np.int16)
     for i, r in enumerate([*toxic, *clean]):
         out[i, : len(r["letters"])] = np.frombuffer(r["letters"], np.uint8)
