@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
-from ledgerline.llm.common import text_or_empty, written
+from ledgerline.llm.common import bloom_filter, bloom_hits, text_or_empty, written
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:
@@ -15,10 +17,23 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, modulus: int = 5, held_out: int = 0) -> DataFrame:
-    """Written table (text, y) of every row outside the held-out remainder with a 0/1 label, its whole text."""
+    """Written table (text, y) of every row outside the held-out remainder with a 0/1 label, its whole text.
+
+    Only rows that may have such a label, by a Bloom filter of the ids, are shuffled to the exact join; it is a merge join at
+    every size of the labels."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1) & (remainder(F.col("_id"), modulus) != held_out))
-    rows = docs.select(F.col("doc_id").alias("_doc"), text_or_empty().alias("text")).join(known, F.col("_doc") == F.col("_id"))
+    kind = docs.schema["doc_id"].dataType
+    rows = docs.select(F.col("doc_id").alias("_doc"), text_or_empty().alias("text"))
+    if kind == labels.schema["doc_id"].dataType and isinstance(kind, (IntegralType, StringType)):  # else equal ids may differ in their hash
+        held = spark.sparkContext.broadcast(bloom_filter(known.select(F.xxhash64("_id").alias("key")), "key"))
+
+        @F.pandas_udf("boolean")
+        def doubtful(key: pd.Series) -> pd.Series:
+            return pd.Series(bloom_hits(held.value, key.to_numpy(np.int64).view(np.uint64)))
+
+        rows = rows.filter(doubtful(F.xxhash64("_doc")))
+    rows = rows.join(known.hint("merge"), F.col("_doc") == F.col("_id"))
     return written(spark, rows.select("text", "y"), "labelled", "zstd")
 
 

@@ -15,7 +15,7 @@ words, a trained machine is one number a word; a document's probability comes fr
 evidence by a logistic curve fitted on the training rows.
 
 Training reads every labelled row outside the held-out remainder, its whole text, in Spark tasks: word counts by class are
-added by word, the sentences' kernel values are written in 16-bit floats, every round's best sentences are a written table, and
+added by word, the kernel values of a word are computed once while a task remembers it, the sentences' are written in 16-bit floats, every round's best sentences are a written table, and
 each Newton step sends one sum of gradients and curvatures a task to the driver.  In the curve a class weighs at most
 CLASS_WEIGHT rows, so the prior of the probabilities does not move with the number of labels.
 Scoring reads every whole text.  Defined cases: null text is empty; texts without words, and every text if the training rows
@@ -25,6 +25,7 @@ tables give no rows; other columns are kept by ``scored``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import only_state, release_memory, text_or_empty, tidied, written
+from ledgerline.llm.common import only_state, release_memory, text_or_empty, tidied, worker_state, written
 from ledgerline.llm.labelled import logistic_of, remainder, training_rows
 from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import _CODES, _powers, encoded, mixed
@@ -42,11 +43,14 @@ SPAN = 9  # three letters and the gaps of a span of 5 still meet with one more l
 DECAY = 0.9
 POWER = 3
 WIDTH = 24  # longer words are read in overlapping windows
-BLOCK = 1 << 12  # words at a time
+BLOCK = 1 << 11  # words at a time
 REMEMBERED = 1_000_000  # words whose evidence a worker keeps
+VECTORS = 1 << 16  # words whose kernel values to all landmarks a training task keeps
 SENTENCE = 64  # words; longer sentences are cut
 CLASS_WEIGHT = 2500  # rows that a class counts as in the curve, if it has more
 PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
+_NONE = 1 << 24  # above every key of 21 bits of code and 3 bits of span
+_WEIGHT = DECAY ** np.arange(3, SPAN + 1)  # by the span's number
 
 #: byte -> letter code, 0 for bytes that are skipped, -1 for white space; 7 bits a code
 _LETTER = np.zeros(256, np.int16)
@@ -111,42 +115,48 @@ def split_words(texts: list[bytes]) -> Words:
 
 
 def windows(words: Words, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(place in ``which``, letters as rows padded with 0) in blocks; words over WIDTH letters take several rows."""
+    """(place in ``which``, letters as rows padded with 0) in blocks of at most BLOCK rows; words over WIDTH letters take several."""
     step = WIDTH - SPAN + 1
     for a in range(0, len(which), BLOCK):
         size = words.size[which[a : a + BLOCK]]
         rows = np.maximum(1, -(-(size - SPAN + 1) // step))
-        row = np.repeat(np.arange(len(size)), rows)
-        shift = (np.arange(len(row)) - np.repeat(np.cumsum(rows) - rows, rows)) * step
+        rows = np.repeat(np.arange(len(size)), rows), np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
         col = np.arange(min(WIDTH, int(size.max())))
-        at = (words.start[which[a : a + BLOCK]][row] + shift)[:, None] + col
-        there = col < (size[row] - shift)[:, None]
-        yield a + row, np.where(there, words.letters[np.minimum(at, len(words.letters) - 1)], 0)
-
-
-def grams(letters: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """(row, code, weight) of all gapped three-byte subsequences, pattern by pattern."""
-    x = letters.astype(np.int32)
+        for b in range(0, len(rows[0]), BLOCK):
+            row, shift = rows[0][b : b + BLOCK], rows[1][b : b + BLOCK] * step
+            at = (words.start[which[a : a + BLOCK]][row] + shift)[:, None] + col
+            there = col < (size[row] - shift)[:, None]
+            yield a + row, np.where(there, words.letters[np.minimum(at, len(words.letters) - 1)], 0)
+
+
+def grams(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, code, weight) of each row's distinct gapped three-byte subsequences, the weights of equal ones added up."""
+    x, width = letters.astype(np.int32), letters.shape[1]
+    high, middle, low = x << 17, x << 10, np.where(x > 0, x << 3, _NONE)
+    key = np.empty((len(x), sum(max(0, width - b) for _, b in PATTERNS)), np.int32)
+    at = 0
     for a, b in PATTERNS:
-        if letters.shape[1] > b:
-            row, at = np.nonzero(x[:, b:] > 0)
-            yield row, (x[row, at] << 14) | (x[row, at + a] << 7) | x[row, at + b], DECAY ** (b + 1)
-
-
-def norms(letters: np.ndarray) -> np.ndarray:
-    """The kernel of each word with itself."""
-    parts = list(grams(letters))
-    if not parts:
-        return np.zeros(len(letters))
-    key = np.concatenate([(r.astype(np.int64) << 21) | c for r, c, _ in parts])
-    weight = np.concatenate([np.full(len(r), w) for r, _, w in parts])
-    order = np.argsort(key, kind="stable")
-    key, weight = key[order], weight[order]
-    if not len(key):
-        return np.zeros(len(letters))
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    total = np.add.reduceat(weight, first)
-    return np.bincount(key[first] >> 21, weights=total * total, minlength=len(letters))
+        if width > b:
+            part = key[:, at : at + width - b]
+            np.bitwise_or(high[:, : width - b], middle[:, a : width - b + a], out=part)
+            part |= low[:, b:] | (b - 2)
+            at += width - b
+    key.sort(axis=1)
+    there = key < _NONE
+    many = there.sum(axis=1)
+    key = key[there]
+    row, code = np.repeat(np.arange(len(x)), many), key >> 3
+    new = np.ones(len(key), bool)
+    np.not_equal(code[1:], code[:-1], out=new[1:])
+    new[(np.cumsum(many) - many)[many > 0]] = True
+    first = np.flatnonzero(new)
+    weight = np.add.reduceat(_WEIGHT[key & 7], first) if len(first) else np.empty(0)
+    return row[first], code[first], weight
+
+
+def norms(row: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The root of the kernel of each of ``n`` words with itself, from its ``grams``."""
+    return np.sqrt(np.bincount(row, weights=weight * weight, minlength=n))
 
 
 class Landmarks:
@@ -154,48 +164,85 @@ class Landmarks:
 
     def __init__(self, letters: np.ndarray):
         self.m = len(letters)
-        self.root = np.sqrt(norms(letters))
-        table: dict[tuple[int, int], float] = {}
-        for row, code, w in grams(letters):
-            for r, c in zip(row.tolist(), code.tolist()):
-                table[c, r] = table.get((c, r), 0.0) + w
-        items = sorted(table.items())
-        codes = sorted({c for (c, _), _ in items})
+        row, code, weight = grams(letters)
+        self.root = norms(row, weight, self.m)
+        order = np.argsort(code, kind="stable")
+        codes, first = np.unique(code[order], return_index=True)
         self.slot = np.full(1 << 21, -1, np.int32)
         self.slot[codes] = np.arange(len(codes))
-        place = {c: i for i, c in enumerate(codes)}
-        self.weight = np.zeros((max(1, len(codes)), self.m), np.float32)
-        for (c, r), w in items:
-            self.weight[place[c], r] = w / self.root[r]
+        self.first = np.append(first, len(code))  # a code's landmarks and weights, from here to the next code's
+        self.mark, self.weight = row[order], (weight / self.root[row])[order]
 
     def kernel(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, values): the rows that share a subsequence with a landmark, and all their values to the power POWER."""
-        n = len(letters)
-        hit_row, hit_slot, hit_w = [], [], []
-        for row, code, w in grams(letters):
-            slot = self.slot[code]
-            on = np.flatnonzero(slot >= 0)
-            hit_row.append(row[on])
-            hit_slot.append(slot[on])
-            hit_w.append(np.full(len(on), w, np.float32))
-        if not hit_row:
-            return np.empty(0, np.int64), np.empty((0, self.m), np.float32)
-        row, slot, w = map(np.concatenate, (hit_row, hit_slot, hit_w))
-        some = np.flatnonzero(np.bincount(row, minlength=n))
+        row, code, weight = grams(letters)
+        slot = self.slot[code]
+        on = np.flatnonzero(slot >= 0)
+        new = np.diff(row[on], prepend=-1) != 0
+        some, back = row[on][new], np.cumsum(new) - 1
         if not len(some):
             return some, np.empty((0, self.m), np.float32)
-        back = np.full(n, -1)
-        back[some] = np.arange(len(some))
-        row = back[row]
-        order = np.argsort(row, kind="stable")
-        row, slot, w = row[order], slot[order], w[order]
-        out = np.zeros((len(some), self.m), np.float32)
-        for a in range(0, len(row), 1 << 13):  # sums of sparse products, in blocks that fit a cache
-            part = slice(a, a + (1 << 13))
-            first = np.flatnonzero(np.diff(row[part], prepend=-1))
-            out[row[part][first]] += np.add.reduceat(self.weight[slot[part]] * w[part, None], first, axis=0)
-        size = np.sqrt(np.maximum(norms(letters[some]), 1e-12)).astype(np.float32)[:, None]
-        return some, np.minimum(out / np.minimum(size, self.root.astype(np.float32)), 1) ** POWER
+        size = norms(row, weight, len(letters))[some]
+        first, many = self.first[slot[on]], self.first[slot[on] + 1] - self.first[slot[on]]
+        at = np.repeat(first - (np.cumsum(many) - many), many)  # a subsequence once for each landmark that has it
+        at += np.arange(len(at))
+        out = np.bincount(np.repeat(back * self.m, many) + self.mark[at], weights=self.weight[at] * np.repeat(weight[on], many),
+                          minlength=len(some) * self.m)
+        out = out.astype(np.float32).reshape(-1, self.m)
+        out /= np.minimum(size.astype(np.float32)[:, None], self.root.astype(np.float32))
+        out = np.minimum(out, 1, out=out)
+        powers = out.copy()
+        for _ in range(POWER - 1):
+            powers *= out
+        return some, powers
+
+
+def summed(rows: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """``n`` sums of the rows of each place."""
+    order = np.argsort(place, kind="stable")
+    first = np.flatnonzero(np.diff(place[order], prepend=-1))
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    if len(first):
+        out[place[order][first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+class WordVectors:
+    """Kernel values of words to all landmarks; equal words are computed once while they are remembered.
+
+    About ``keep`` words stay known; then all but the first quarter, which are the frequent ones, are forgotten."""
+
+    def __init__(self, marks: Landmarks, keep: int = VECTORS):
+        self.marks, self.keep = marks, keep
+        self.known, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)  # hashes, sorted; their rows of ``held``
+        self.held = np.zeros((keep, marks.m), np.float32)
+
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(a row for each distinct word, each word's row)."""
+        at, back = words.distinct()
+        hashes = words.hash[at]
+        out = np.zeros((len(at), self.marks.m), np.float32)
+        near = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        old = self.known[near] == hashes if len(self.known) else np.zeros(len(at), bool)
+        out[old] = self.held[self.place[near[old]]]
+        new = np.flatnonzero(~old)
+        for row, letters in windows(words, at[new]):
+            hit, k = self.marks.kernel(letters)
+            own, place = np.unique(row[hit], return_inverse=True)
+            out[new[own]] += k if len(own) == len(k) else summed(k, place, len(own))
+        self._remember(hashes[new], out[new])
+        return out, back
+
+    def _remember(self, hashes: np.ndarray, vectors: np.ndarray) -> None:
+        if len(self.known) + len(hashes) > self.keep:
+            first = self.place < self.keep // 4
+            self.known, self.place = self.known[first], self.place[first]
+        used = len(self.known)
+        hashes, vectors = hashes[: self.keep - used], vectors[: self.keep - used]
+        self.held[used : used + len(hashes)] = vectors
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.known, self.place = np.insert(self.known, at, hashes[order]), np.insert(self.place, at, used + order)
 
 
 @dataclass
@@ -206,6 +253,13 @@ class Model:
     curve: np.ndarray  # logistic weights of (best sentence margin, log of total evidence, share of evidence), and bias
     known: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # hashes of remembered words, sorted
     values: np.ndarray = field(default_factory=lambda: np.empty(0, np.float32))
+    name: str = field(default_factory=lambda: f"toxicity-{uuid.uuid4().hex}")  # of the words' evidence in a worker
+
+    def remembering(self) -> "Model":
+        """This model with what the worker has remembered by another copy with these weights, whatever its curve."""
+        kept = worker_state(self.name, lambda: self)
+        kept.curve = self.curve
+        return kept
 
     def word_values(self, words: Words) -> np.ndarray:
         """The evidence of each word; equal words are computed once, and remembered within bounds."""
@@ -267,13 +321,13 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 raw, y = encoded(batch["text"].iloc[a:b]), batch["y"].to_numpy()[a:b]
                 for before, _, words in _parts(raw):
                     fits = np.flatnonzero((words.size >= 3) & (words.size <= WIDTH))
-                    pair = np.unique(np.column_stack([words.hash[fits], words.text[fits].astype(np.uint64)]), axis=0)
-                    h, back = np.unique(pair[:, 0], return_inverse=True)
-                    toxic = np.bincount(back, y[before + pair[:, 1].astype(np.int64)] == 1, len(h)).astype(np.int64)
-                    own, at = np.unique(words.hash[fits], return_index=True)  # the same words in the same order
-                    letters = [words.letters[i : i + n].astype(np.uint8).tobytes() for i, n in zip(words.start[fits[at]], words.size[fits[at]])]
+                    own, at, back = np.unique(words.hash[fits], return_index=True, return_inverse=True)
+                    word, text = np.divmod(np.unique(back * len(raw) + words.text[fits]), len(raw))  # each word of a text once
+                    toxic = np.bincount(word, y[before + text] == 1, len(own)).astype(np.int64)
+                    every = words.letters.astype(np.uint8).tobytes()
+                    letters = [every[i : i + n] for i, n in zip(words.start[fits[at]].tolist(), words.size[fits[at]].tolist())]
                     yield pd.DataFrame({"letters": letters, "hash": own.view(np.int64), "toxic": toxic,
-                                        "clean": np.bincount(back, minlength=len(h)) - toxic})
+                                        "clean": np.bincount(word, minlength=len(own)) - toxic})
 
     found = rows.mapInPandas(tidied(run), "letters binary, hash long, toxic long, clean long")
     return found.groupBy("letters", "hash").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -305,26 +359,15 @@ def choose_landmarks(rows: DataFrame, of_class: dict[int, int], count: int) -> n
     return out
 
 
-def sentence_kernels(texts: list[bytes], marks: Landmarks) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def sentence_kernels(texts: list[bytes], vectors: WordVectors) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, next text, kernel vectors of the sentences near a landmark, their owners from 0) of runs of texts."""
     for first, last, words in _parts(texts, 1 << 18):
-        at, back = words.distinct()
-        found = [(row[hit], k) for row, letters in windows(words, at) for hit, k in [marks.kernel(letters)]]
-        near, place = np.unique(np.concatenate([r for r, _ in found] or [np.empty(0, np.int64)]), return_inverse=True)
-        if not len(near):
-            yield first, last, np.zeros((0, marks.m), np.float32), np.empty(0, np.int64)
-            continue
-        each = np.zeros((len(near), marks.m), np.float32)
-        np.add.at(each, place, np.concatenate([k for _, k in found]))
-        slot = np.full(len(at), -1)
-        slot[near] = np.arange(len(near))
-        speaks = np.flatnonzero(slot[back] >= 0)
+        each, back = vectors.of(words)
+        speaks = np.flatnonzero(each.any(axis=1)[back])
         sentences, row = np.unique(words.sentence[speaks], return_inverse=True)
-        kernel = np.zeros((len(sentences), marks.m), np.float32)
-        np.add.at(kernel, row, each[slot[back[speaks]]])
         owner = np.empty(len(sentences), np.int64)
         owner[row] = words.text[speaks]
-        yield first, last, kernel, owner
+        yield first, last, summed(each[back[speaks]], row, len(sentences)), owner
 
 
 def kernel_table(spark: SparkSession, rows: DataFrame, marks: Landmarks) -> DataFrame:
@@ -332,10 +375,11 @@ def kernel_table(spark: SparkSession, rows: DataFrame, marks: Landmarks) -> Data
     held = spark.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors = WordVectors(held.value)
         for batch in batches:
             for a, b in slices(batch["text"]):
                 y = batch["y"].to_numpy(np.int8)[a:b]
-                for first, last, kernel, owner in sentence_kernels(encoded(batch["text"].iloc[a:b]), held.value):
+                for first, last, kernel, owner in sentence_kernels(encoded(batch["text"].iloc[a:b]), vectors):
                     yield pd.DataFrame([(y[first:last].tobytes(), owner.astype("<u4").tobytes(), kernel.astype("<f2").tobytes())],
                                        columns=["y", "owner", "kernel"])
 
@@ -348,9 +392,9 @@ def best_sentences(spark: SparkSession, kernels: DataFrame, weights: np.ndarray)
         for batch in batches:
             out = []
             for y, owner, raw in zip(batch["y"], batch["owner"], batch["kernel"]):
-                kernel = np.frombuffer(raw, "<f2").reshape(-1, len(weights)).astype(np.float32)
+                kernel = np.frombuffer(raw, "<f2").reshape(-1, len(weights))
                 owners = np.concatenate([np.arange(len(y)), np.frombuffer(owner, "<u4").astype(np.int64)])
-                margin = np.concatenate([np.zeros(len(y)), kernel @ weights])
+                margin = np.concatenate([np.zeros(len(y)), kernel.astype(np.float64) @ weights])
                 order = np.lexsort((margin, owners))
                 last = order[np.flatnonzero(np.diff(np.append(owners[order], -1)))] - len(y)
                 best = np.zeros((len(y), len(weights)), "<f2")
@@ -390,10 +434,10 @@ def text_features(spark: SparkSession, rows: DataFrame, model: Model) -> DataFra
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in slices(batch["text"]):
-                found = held.value.features(encoded(batch["text"].iloc[a:b]))
+                found = held.value.remembering().features(encoded(batch["text"].iloc[a:b]))
                 yield pd.DataFrame(found, columns=["best", "total", "share"]).assign(y=batch["y"].to_numpy()[a:b])
 
-    return written(spark, rows.mapInPandas(tidied(run), "best double, total double, share double, y int"), "text-features")
+    return written(spark, rows.mapInPandas(tidied(run, model.name), "best double, total double, share double, y int"), "text-features")
 
 
 def train(spark: SparkSession, rows: DataFrame, count: int = 96, rounds: int = 6, ridge: float = 1e-3) -> Model:
@@ -437,13 +481,15 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
 def scored(spark: SparkSession, docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with one more column: the toxicity probability of its whole text."""
     held = spark.sparkContext.broadcast(model)
+    name_of = model.name
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        only_state()
+        only_state(name_of)
         try:
             for texts in batches:
-                out = [held.value.scores(encoded(texts.iloc[a:b])) for a, b in slices(texts)]
+                own = held.value.remembering()
+                out = [own.scores(encoded(texts.iloc[a:b])) for a, b in slices(texts)]
                 yield pd.Series(np.concatenate(out) if out else np.empty(0))
         finally:
             release_memory()

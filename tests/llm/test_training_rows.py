@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ledgerline.llm import toxicity
+from ledgerline.llm import labelled, toxicity
 from ledgerline.llm.labelled import logistic, logistic_of, training_rows
 from ledgerline.llm.common import written
 from pyspark.sql import functions as F
@@ -75,3 +75,40 @@ def test_best_sentences_equal_a_plain_choice(spark):
     for d in range(9):
         own = [np.zeros(4, "<f2"), *k[owner == d]]
         assert (got[d] == max(own, key=lambda r: float(r.astype(np.float32) @ w))).all()
+
+
+def test_texts_without_a_label_are_not_shuffled(spark, monkeypatch):
+    """Ids are sieved before the join, which is the same at every size; the texts of all rows were shuffled to it."""
+    planned = []
+    monkeypatch.setattr(labelled, "written", lambda spark, df, *a: planned.append(df) or df)
+    docs = spark.createDataFrame([(i % 400 if i else None, f"text {i}") for i in range(800)], "doc_id long, text string")
+    known = [(d, int(d % 3 == 0)) for d in range(0, 400, 40)] + [(40, 1), (None, 1), (8, 7), (9999, 1)]
+    found = training_rows(spark, docs, spark.createDataFrame(known, "doc_id long, toxic int"), "toxic").collect()
+    want = [(f"text {i}", y) for i in range(1, 800) for d, y in known if d == i % 400 and y in (0, 1) and zlib.crc32(str(d).encode()) % 5]
+    assert len(want) > 10 and Counter((r.text, r.y) for r in found) == Counter(want)
+    plan = planned[0]._jdf.queryExecution().executedPlan().toString()
+    texts = plan[plan.index("SortMergeJoin"):]
+    assert "BroadcastHashJoin" not in plan and texts.index("Exchange") < texts.index("doubtful")
+
+
+@pytest.mark.parametrize("keep", [4, 12, 1 << 10])
+def test_remembered_vectors_equal_fresh_ones(keep):
+    """Words are computed once while they are remembered, also if more than ``keep`` come; each run of texts computed its own."""
+    rnd = random.Random(5)
+    some = [f"{a[:5]}{b}{c}" for a in WORDS for b in WORDS[:3] for c in ("", "x" * 40)] + ["a", "to"]
+    letters = np.array([[toxicity._LETTER[b] for b in w.encode().ljust(toxicity.WIDTH, b".")] for w in ("river", "scoundrel", "aaaa")], np.int16)
+    marks = toxicity.Landmarks(letters)
+    asked = []
+    kernel = marks.kernel
+    marks.kernel = lambda rows: asked.append(len(rows)) or kernel(rows)
+    vectors = toxicity.WordVectors(marks, keep)
+    for _ in range(20):
+        words = toxicity.split_words([" ".join(rnd.choices(some, k=30)).encode() for _ in range(3)])
+        each, back = vectors.of(words)
+        plain = np.zeros((len(words.start), 3), np.float32)
+        for row, own in toxicity.windows(words, np.arange(len(words.start))):
+            hit, k = kernel(own)
+            np.add.at(plain, row[hit], k)
+        assert np.allclose(each[back], plain, atol=1e-6) and len(vectors.known) <= keep
+        assert (np.diff(vectors.known.astype(object)) > 0).all()
+    assert keep < 100 or sum(asked) < 400
