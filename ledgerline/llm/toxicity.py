@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import only_state, release_memory, text_or_empty, tidied, worker_state, written
+from ledgerline.llm.common import only_state, release_memory, small_batches, text_or_empty, tidied, worker_state, written
 from ledgerline.llm.labelled import logistic_of, remainder, training_rows
 from ledgerline.llm.tokens import slices
 from ledgerline.llm.words import _CODES, _powers, encoded, mixed
@@ -46,6 +46,7 @@ WIDTH = 24  # longer words are read in overlapping windows
 BLOCK = 1 << 11  # words at a time
 REMEMBERED = 1_000_000  # words whose evidence a worker keeps
 VECTORS = 1 << 16  # words whose kernel values to all landmarks a training task keeps
+RUNS = 4  # rows of the sentences' kernel table, of about a megabyte each, that are stored and read together
 SENTENCE = 64  # words; longer sentences are cut
 CLASS_WEIGHT = 2500  # rows that a class counts as in the curve, if it has more
 PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -383,7 +384,7 @@ def kernel_table(spark: SparkSession, rows: DataFrame, marks: Landmarks) -> Data
                     yield pd.DataFrame([(y[first:last].tobytes(), owner.astype("<u4").tobytes(), kernel.astype("<f2").tobytes())],
                                        columns=["y", "owner", "kernel"])
 
-    return written(spark, rows.mapInPandas(tidied(run), "y binary, owner binary, kernel binary"), "sentence-kernels", "zstd")
+    return written(spark, rows.mapInPandas(tidied(run), "y binary, owner binary, kernel binary"), "sentence-kernels", "zstd", RUNS)
 
 
 def best_sentences(spark: SparkSession, kernels: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -441,7 +442,12 @@ def text_features(spark: SparkSession, rows: DataFrame, model: Model) -> DataFra
 
 
 def train(spark: SparkSession, rows: DataFrame, count: int = 96, rounds: int = 6, ridge: float = 1e-3) -> Model:
-    """The model of a written table (text, y)."""
+    """The model of a written table (text, y); texts and sentence kernels reach the tasks' workers in small batches."""
+    with small_batches(spark):
+        return _trained(spark, rows, count, rounds, ridge)
+
+
+def _trained(spark: SparkSession, rows: DataFrame, count: int, rounds: int, ridge: float) -> Model:
     of_class = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(of_class) < 2:
         return Model(None, np.empty(0), 0.0, np.array([float(next(iter(of_class), 0))]))

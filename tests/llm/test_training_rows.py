@@ -7,11 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerline.llm import labelled, toxicity
 from ledgerline.llm.labelled import logistic, logistic_of, training_rows
-from ledgerline.llm.common import written
+from ledgerline.llm.common import BATCH_BYTES, small_batches, written
 from pyspark.sql import functions as F
 
 WORDS = "river stone window market paper garden winter letter bridge copper".split()
@@ -112,3 +114,39 @@ def test_remembered_vectors_equal_fresh_ones(keep):
         assert np.allclose(each[back], plain, atol=1e-6) and len(vectors.known) <= keep
         assert (np.diff(vectors.known.astype(object)) > 0).all()
     assert keep < 100 or sum(asked) < 400
+
+
+def test_large_rows_are_stored_and_read_a_few_at_a_time(spark, monkeypatch):
+    """Sentence kernels are rows of about a megabyte; a task held the whole file several times, in the executor and in its worker."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, paths = spark.conf.get(setting), {}, {}
+
+    def noted(name, run):
+        def call(*args):
+            seen.setdefault(name or args[2], set()).add(int(spark.conf.get(setting).rstrip("b")))
+            out = run(*args)
+            paths[name or args[2]] = out.inputFiles() if name is None else []
+            return out
+        return call
+
+    monkeypatch.setattr(toxicity, "written", noted(None, toxicity.written))
+    monkeypatch.setattr(toxicity, "hinge_sums", noted("sums", toxicity.hinge_sums))
+    rows = _rows(40, 36000)  # over 9 MB of text, a run a text
+    found = toxicity.score_documents(spark, *_tables(spark, rows)).collect()
+    assert {r.doc_id: r.predicted for r in found} == {d: y for d, _, y in rows}
+    assert set(seen) == {"word-strengths", "sentence-kernels", "best-sentences", "sums", "text-features"}
+    assert set.union(*seen.values()) == {BATCH_BYTES} and spark.conf.get(setting) == before
+    files = [pq.ParquetFile(p.removeprefix("file://").removeprefix("file:")) for p in paths["sentence-kernels"]]
+    assert max(f.metadata.num_rows for f in files) > toxicity.RUNS
+    assert max(f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) <= toxicity.RUNS
+
+
+def test_small_batches_hold_few_large_rows_and_end_with_an_error(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    table = written(spark, spark.range(0, 24, 1, 1).select(F.expr("cast(repeat('x', 1000000) as binary)").alias("kernel")), "large-rows")
+    sizes = table.coalesce(1).mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n int")
+    with pytest.raises(KeyError), small_batches(spark):
+        many = [r.n for r in sizes.select("n").collect()]
+        raise KeyError
+    assert sum(many) == 24 and max(many) <= -(-BATCH_BYTES // 1_000_000) and spark.conf.get(setting) == before
